@@ -2,7 +2,7 @@
 
 from orderlens.sources.sample import PHYSICAL, with_tables
 
-from oracle import sqlbank
+from oracle import cleaning, sqlbank
 
 _NAMES = {n: n for n in PHYSICAL}
 
@@ -17,4 +17,6 @@ def _wrap(text: str, extra: dict[str, str] | None = None) -> str:
 
 
 def all_sql() -> dict[str, str]:
-    return {k: _wrap(v) for k, v in sqlbank.SQL.items()}
+    out = {k: _wrap(v) for k, v in sqlbank.SQL.items()}
+    out |= {k: _wrap(v, cleaning.TABLES) for k, v in cleaning.SQL.items()}
+    return out

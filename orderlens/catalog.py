@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from orderlens.plans import cleaning as cl
 from orderlens.plans import sqlbank as q
 from orderlens.session import tune
 from orderlens.sources.sample import clean_tables, raw_tables
@@ -56,5 +59,24 @@ def sql_bank() -> dict:
     }
 
 
+# decimals compared where a value is computed rather than copied
+_ROUND = {
+    "delivery_partners": {"AverageDeliveryTime": 6, "Rating": 6}, "weather": {"Temperature": 6, "Rainfall": 6},
+    "traffic": {"AverageSpeed": 6}, "orders": {"FinalAmount": 2}, "order_items": {"TotalPrice": 2},
+}
+
+
+def _rounded(df, cols: dict):
+    return df.withColumns({c: F.round(F.col(c), n) for c, n in cols.items()}) if cols else df
+
+
+def table_jobs() -> dict:
+    def job(table):
+        return lambda s, d: _rounded(cl.Cleaner(_r(s, d)).table(table), _ROUND.get(table, {}))
+
+    names = {t: f"clean_{'feedback' if t == 'customer_feedback' else t}" for t in cl.COLUMNS}
+    return {names[t]: job(t) for t in cl.COLUMNS}
+
+
 def all_queries() -> dict:
-    return {**sql_bank()}
+    return {**sql_bank(), **table_jobs()}

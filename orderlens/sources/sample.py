@@ -280,7 +280,7 @@ def definitions(dialect: str) -> dict[str, str]:
         SELECT OrderItemID * 2 + k AS SourceRow, CAST(OrderItemID AS STRING) AS OrderItemID, CAST(OrderID AS STRING) AS OrderID,
                CASE WHEN OrderItemID % 90 = 1 THEN '987654321' ELSE CAST(FoodItemID AS STRING) END AS FoodItemID,
                CASE WHEN OrderItemID % 17 = 0 THEN CAST(-Quantity AS STRING) ELSE CAST(Quantity AS STRING) END AS Quantity,
-               {_money('UnitPrice')} AS UnitPrice, {_blank(_money('TotalPrice'), 'OrderItemID', 23)} AS TotalPrice
+               CAST(CAST(UnitPrice AS DECIMAL(18,9)) AS STRING) AS UnitPrice, {_blank(_money('TotalPrice'), 'OrderItemID', 23)} AS TotalPrice
         FROM t_order_items {q.copies(2)} WHERE k = 0 OR OrderItemID % 80 = 0"""
     out["r_payments"] = f"""
         SELECT PaymentID * 2 + k AS SourceRow, CAST(PaymentID AS STRING) AS PaymentID, CAST(OrderID AS STRING) AS OrderID, PaymentMethod,
@@ -315,7 +315,7 @@ def _needed(defs: dict[str, str], text: str) -> list[str]:
     wanted: set[str] = set()
     stack = [text]
     while stack:
-        for name in re.findall(r"\b[tr]_[a-z_]+\b", stack.pop()):
+        for name in re.findall(r"\b[trc]_[a-z_]+\b", stack.pop()):
             if name in defs and name not in wanted:
                 wanted.add(name)
                 stack.append(defs[name])
@@ -324,8 +324,9 @@ def _needed(defs: dict[str, str], text: str) -> list[str]:
 
 def with_tables(text: str, dialect: str, physical: dict[str, str], extra: dict[str, str] | None = None) -> str:
     """``text`` with the tables it names put before it as common table expressions."""
-    defs = {**definitions(dialect), **(extra or {})}
-    parts = [f"{n} AS ({defs[n].format(**physical)})" for n in _needed(defs, text)]
+    base, extra = definitions(dialect), extra or {}
+    names = _needed({**base, **extra}, text)
+    parts = [f"{n} AS ({extra[n] if n in extra else base[n].format(**physical)})" for n in names]
     head = "WITH " + ",\n".join(parts) + "\n" if parts else ""
     return head + text
 
