@@ -2,7 +2,7 @@
 
 from orderlens.sources.sample import PHYSICAL, with_tables
 
-from oracle import cleaning, sqlbank
+from oracle import cleaning, cleanops, sqlbank
 
 _NAMES = {n: n for n in PHYSICAL}
 
@@ -19,4 +19,5 @@ def _wrap(text: str, extra: dict[str, str] | None = None) -> str:
 def all_sql() -> dict[str, str]:
     out = {k: _wrap(v) for k, v in sqlbank.SQL.items()}
     out |= {k: _wrap(v, cleaning.TABLES) for k, v in cleaning.SQL.items()}
+    out |= {k: _wrap(v, cleanops.EXTRA) for k, v in cleanops.SQL.items()}
     return out

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from orderlens.constants import TABLES
 from orderlens.plans import cleaning as cl
+from orderlens.plans import column_rules as cr
+from orderlens.plans import profile, quality
 from orderlens.plans import sqlbank as q
-from orderlens.session import tune
+from orderlens.session import new_folder, tune
+from orderlens.sources import files
 from orderlens.sources.sample import clean_tables, raw_tables
 
 AS_OF = "2001-08-01"  # the last order day of the sample tables
@@ -78,5 +82,99 @@ def table_jobs() -> dict:
     return {names[t]: job(t) for t in cl.COLUMNS}
 
 
+def over_raw(fn, **params):
+    return lambda spark, d: fn(_r(spark, d), **params)
+
+
+def column_rules() -> dict:
+    raw = {
+        "clean_text": cr.text, "parse_mixed_dates": cr.mixed_dates, "resolve_ambiguous_dates": cr.resolved_dates,
+        "to_number": cr.numbers, "abs_sign_fix": cr.sign_fix, "dedupe_rows": cr.exact_duplicates,
+        "dedupe_key_keep_first": cr.first_per_key, "impute_group_median": cr.group_median,
+        "impute_global_median": cr.whole_median, "impute_constant": cr.constant, "impute_row_mean": cr.mean_of_others,
+        "invalidate_range": cr.out_of_range, "validate_pattern": cr.patterns, "cap_iqr": cr.iqr_cap,
+        "cap_percentile": cr.percentile_cap, "clip_constant": cr.constant_clip, "swap_reversed_dates": cr.swapped_dates,
+        "fill_city_blocks": cr.city_blocks, "infer_nearest_class": cr.nearest_class, "recompute_amount": cr.amounts,
+        "null_unknown_fk": cr.known_coupons, "upper_code": cr.coupon_case, "title_case": cr.city_case,
+        "truncate_time": cr.short_times,
+    }
+    clean = {"canonical_city": cr.city_names, "drop_orphans": cr.without_orphans, "best_status_row": cr.best_payment}
+    return {**{k: over_raw(f) for k, f in raw.items()}, **{k: over_clean(f) for k, f in clean.items()}}
+
+
+def checks() -> dict:
+    return {
+        "cleaning_log": lambda s, d: cl.Cleaner(_r(s, d)).log(),
+        "cleaning_log_summary": lambda s, d: cl.log_summary(cl.Cleaner(_r(s, d)).log()),
+        "profile_tables": lambda s, d: profile.profile_tables(_r(s, d), ("customers", "orders", "payments")),
+        "profile_patterns": lambda s, d: profile.profile_patterns(_r(s, d)["orders"], "OrderDate"),
+        "check_sign_flip": lambda s, d: profile.check_sign_flip(_r(s, d)["orders"]),
+        "ambiguous_date_share": lambda s, d: profile.ambiguous_date_share(_r(s, d)["orders"], "OrderDate"),
+        "check_pk_unique": over_clean(quality.pk_unique),
+        "check_fk": over_clean(quality.fk_resolve),
+        "check_ranges": over_clean(quality.ranges_hold),
+        "validation_report": over_clean(quality.validation_report),
+        "check_ddl_constraints": over_clean(quality.ddl_constraints),
+    }
+
+
+def _counts(frames: dict):
+    parts = [df.agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("n")) for n, df in frames.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _csv_out(raw, folder: str, names) -> None:
+    for n in names:
+        raw[n].drop("SourceRow").write.option("ignoreLeadingWhiteSpace", False).option(
+            "ignoreTrailingWhiteSpace", False).csv(f"{folder}/{n}.csv", header=True)
+
+
+def _read_raw_text(s, d):
+    folder = new_folder(s)
+    _csv_out(_r(s, d), folder, ["customers"])
+    return files.read_raw_text(s, "customers", folder).drop("SourceRow")
+
+
+def _read_raw_all(s, d):
+    folder = new_folder(s)
+    _csv_out(_r(s, d), folder, TABLES)
+    return _counts(files.read_raw_all(s, folder))
+
+
+def _store_clean(s, d) -> str:
+    folder, t = new_folder(s), _t(s, d)
+    for n in TABLES:
+        cl.whole_numbers(n, t[n].select(*cl.COLUMNS[n])).write.parquet(f"{folder}/{n}")
+    return folder
+
+
+def _read_clean(s, d):
+    orders = files.read_clean(s, _store_clean(s, d))["orders"]
+    return orders.select("OrderID", "OrderDate", "DeliveryTimeMinutes", "FinalAmount", "CouponCode")
+
+
+def _write_clean(s, d):
+    folder = new_folder(s)
+    files.write_clean(cl.Cleaner(_r(s, d)), folder)
+    return _counts(files.read_clean(s, folder))
+
+
+def _bulk_load(s, d):
+    folder, t = new_folder(s), _t(s, d)
+    name = "load_" + folder.rsplit("/", 1)[1]
+    files.bulk_load(t, name, folder)
+    return _counts({n: s.table(f"{name}.{n}") for n in TABLES})
+
+
+def file_jobs() -> dict:
+    return {
+        "read_raw_text": _read_raw_text, "read_raw_all": _read_raw_all, "read_clean": _read_clean,
+        "write_clean": _write_clean, "bulk_load_relational": _bulk_load,
+    }
+
+
 def all_queries() -> dict:
-    return {**sql_bank(), **table_jobs()}
+    return {**sql_bank(), **table_jobs(), **column_rules(), **checks(), **file_jobs()}

@@ -38,10 +38,14 @@ def scratch_dir(spark: SparkSession) -> str:
     return _local_scratch[app]
 
 
+def new_folder(spark: SparkSession) -> str:
+    return f"{scratch_dir(spark)}/orderlens/{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write once to the shared folder and read back, so that every later use
     sees the same rows and a lost executor costs only one re-read."""
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/orderlens/{uuid.uuid4().hex}"
+    path = new_folder(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
