@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from orderlens import catalog_features
 from orderlens.constants import TABLES
 from orderlens.plans import cleaning as cl
 from orderlens.plans import column_rules as cr
@@ -177,4 +178,8 @@ def file_jobs() -> dict:
 
 
 def all_queries() -> dict:
-    return {**sql_bank(), **table_jobs(), **column_rules(), **checks(), **file_jobs()}
+    named = {**catalog_features.QUERIES}
+    return {
+        **sql_bank(), **table_jobs(), **column_rules(), **checks(), **file_jobs(),
+        **{k: over_clean(f) for k, f in named.items()},
+    }

@@ -160,13 +160,15 @@ def ranks(df: DataFrame, group: list[str], value: str, tie: str, descending: boo
 
 
 def percentiles(
-    df: DataFrame, group: list[str], value: str, points: dict[str, float], blocks: int | None = None
+    df: DataFrame, group: list[str], value: str, points: dict[str, float], weight: str | None = None,
+    blocks: int | None = None,
 ) -> DataFrame:
     """Exact linearly interpolated percentiles per group.
 
-    Equal values are counted first, then their counts are accumulated over
+    ``weight`` gives the number of rows a row stands for. Equal values are counted first, then their counts are accumulated over
     blocks, so neither a large group nor many distinct values meet in one task."""
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count(F.lit(1)).alias("_n"))
+    size = F.sum(weight) if weight else F.count(F.lit(1))
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(size.alias("_n"))
     blk = sort_blocks(counts, group, [value], blocks)
     cum = running(blk, group, {"_cum": ("sum", "_n")})
     totals = blk.groupBy(*group).agg(F.sum("_n").alias("_total"))
