@@ -2,7 +2,7 @@
 
 from orderlens.sources.sample import PHYSICAL, with_tables
 
-from oracle import cleaning, cleanops, features, sqlbank
+from oracle import cleaning, cleanops, features, reports, sqlbank
 
 _NAMES = {n: n for n in PHYSICAL}
 
@@ -21,4 +21,5 @@ def all_sql() -> dict[str, str]:
     out |= {k: _wrap(v, cleaning.TABLES) for k, v in cleaning.SQL.items()}
     out |= {k: _wrap(v, cleanops.EXTRA) for k, v in cleanops.SQL.items()}
     out |= {k: _wrap(v, features.TABLES) for k, v in features.SQL.items()}
+    out |= {k: _wrap(v, reports.TABLES) for k, v in reports.SQL.items()}
     return out

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from orderlens import catalog_features
+from orderlens import catalog_features, catalog_reports
 from orderlens.constants import TABLES
 from orderlens.plans import cleaning as cl
 from orderlens.plans import column_rules as cr
@@ -181,5 +181,5 @@ def all_queries() -> dict:
     named = {**catalog_features.QUERIES}
     return {
         **sql_bank(), **table_jobs(), **column_rules(), **checks(), **file_jobs(),
-        **{k: over_clean(f) for k, f in named.items()},
+        **{k: over_clean(f) for k, f in named.items()}, **catalog_reports.queries(),
     }

@@ -116,7 +116,7 @@ def definitions(dialect: str) -> dict[str, str]:
                CASE c.c_custkey % 3 WHEN 0 THEN 'Female' WHEN 1 THEN 'Male' ELSE 'Other' END AS Gender,
                CAST(9000000000 + c.c_custkey AS STRING) AS Phone, lower(c.c_name) || '@example.com' AS Email,
                n.r_name AS City, n.n_name AS State, CAST(400000 + c.c_custkey % 100000 AS STRING) AS Pincode,
-               {q.day('1994-01-01', 'c.c_custkey % 365')} AS RegistrationDate, c.c_mktsegment AS Membership,
+               {q.day('1994-07-01', 'c.c_custkey % 365')} AS RegistrationDate, c.c_mktsegment AS Membership,
                CAST(0 AS INT) AS TotalOrders, 'C' || CAST(c.c_custkey % 12 AS STRING) AS PreferredCuisine
         FROM {{customer}} c JOIN t_nations n ON n.n_nationkey = c.c_nationkey"""
     out["t_restaurants"] = """
@@ -315,7 +315,7 @@ def _needed(defs: dict[str, str], text: str) -> list[str]:
     wanted: set[str] = set()
     stack = [text]
     while stack:
-        for name in re.findall(r"\b[trc]_[a-z_]+\b", stack.pop()):
+        for name in re.findall(r"\b[trc]_[a-z_0-9]+\b", stack.pop()):
             if name in defs and name not in wanted:
                 wanted.add(name)
                 stack.append(defs[name])
