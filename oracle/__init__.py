@@ -2,7 +2,7 @@
 
 from orderlens.sources.sample import PHYSICAL, with_tables
 
-from oracle import cleaning, cleanops, features, reports, sqlbank, stats
+from oracle import cleaning, cleanops, features, ml, reports, sqlbank, stats
 
 _NAMES = {n: n for n in PHYSICAL}
 
@@ -23,4 +23,5 @@ def all_sql() -> dict[str, str]:
     out |= {k: _wrap(v, features.TABLES) for k, v in features.SQL.items()}
     out |= {k: _wrap(v, reports.TABLES) for k, v in reports.SQL.items()}
     out |= {k: _wrap(v, stats.TABLES) for k, v in stats.SQL.items()}
+    out |= {k: _wrap(v, ml.TABLES) for k, v in ml.SQL.items()}
     return out

@@ -7,11 +7,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from orderlens.ml import models
 from orderlens.plans import features, star
 from orderlens.session import materialise, tune
 from orderlens.sources.sample import SampleTables, clean_tables
 
 _stored: dict[tuple[str, str, str], DataFrame] = {}
+_kept: dict[tuple[str, str, str], object] = {}
 
 
 class Store:
@@ -26,6 +28,25 @@ class Store:
             _stored[key] = materialise(build())
         return _stored[key]
 
+    def keep(self, name: str, build):
+        """A driver-side object (a task, fitted models), built once per application."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _kept:
+            _kept[key] = build()
+        return _kept[key]
+
+    @property
+    def delivery(self) -> models.Task:
+        return self.keep("delivery", lambda: models.delivery_task(self.base))
+
+    @property
+    def churning(self) -> models.Task:
+        return self.keep("churning", lambda: models.churn_task(self.churn))
+
+    def fitted(self, which: str, name: str):
+        task = self.delivery if which == "delivery" else self.churning
+        return self.keep(f"{which}/{name}", lambda: models.fit_all(task, [name])[name])
+
     @property
     def base(self) -> DataFrame:
         return self._once("order_base", lambda: features.order_base_table(self.t))
