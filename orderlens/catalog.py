@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from orderlens import catalog_features, catalog_ml, catalog_reports, catalog_stats
+from orderlens import catalog_features, catalog_ml, catalog_reports, catalog_stats, catalog_streaming
 from orderlens.constants import TABLES
 from orderlens.plans import cleaning as cl
 from orderlens.plans import column_rules as cr
@@ -182,5 +182,5 @@ def all_queries() -> dict:
     return {
         **sql_bank(), **table_jobs(), **column_rules(), **checks(), **file_jobs(),
         **{k: over_clean(f) for k, f in named.items()}, **catalog_reports.queries(),
-        **catalog_stats.queries(), **catalog_ml.queries(),
+        **catalog_stats.queries(), **catalog_ml.queries(), **catalog_streaming.queries(),
     }
