@@ -8,7 +8,6 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from orderlens.constants import FUZZY_CUTOFF, PAYMENT_RANK
 from orderlens.functions.dates import parse_mixed_dates, pick_closer
@@ -50,15 +49,14 @@ def best_status_row(payments: DataFrame, count: str | None = None, sums: tuple =
 
 
 # ------------------------------------------------------------- city names
-@F.pandas_udf(StringType())
-def _closest(keys: pd.Series, names: pd.Series) -> pd.Series:
-    known = list(names.iloc[0]) if len(names) else []
+def _closest(keys: pd.DataFrame, names: pd.DataFrame) -> pd.DataFrame:
+    known = sorted(names["known"])
 
     def best(k):
         hit = difflib.get_close_matches(k, known, n=1, cutoff=FUZZY_CUTOFF)
         return hit[0] if hit else None
 
-    return keys.map(best)
+    return pd.DataFrame({"city_key": keys["city_key"], "known": keys["city_key"].map(best)})
 
 
 def city_lookup(texts: DataFrame, col: str, cities: DataFrame) -> DataFrame:
@@ -68,11 +66,12 @@ def city_lookup(texts: DataFrame, col: str, cities: DataFrame) -> DataFrame:
     exact = keys.join(names, F.col("city_key") == F.col("known"), "left").select(
         "city_key", F.coalesce("canonical", city_alias(F.col("city_key"))).alias("canonical")
     )
-    all_names = names.select(F.sort_array(F.collect_list("known"))).scalar()
-    fuzzy = (
-        exact.filter("canonical is null").select("city_key", _closest("city_key", all_names).alias("known"))
-        .join(names, "known").select("city_key", "canonical")
-    )
+    # the spellings left over are matched in parts; every part meets the whole list
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left = exact.filter("canonical is null").select("city_key", F.pmod(F.xxhash64("city_key"), F.lit(parts)).alias("part"))
+    lists = names.select("known", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("part"))
+    matched = left.groupBy("part").cogroup(lists.groupBy("part")).applyInPandas(_closest, "city_key string, known string")
+    fuzzy = matched.join(names, "known").select("city_key", "canonical")
     return exact.filter("canonical is not null").unionByName(fuzzy)
 
 

@@ -201,7 +201,6 @@ class Cleaner:
         j = self._start("customers")
         j.unique("CustomerID", exact=True)
         j.text("Name", "Email", "Gender", "State", "Membership", "PreferredCuisine")
-        j.city(self.keys("cities"))
         j.ids("CustomerID")
         j.number("Age", "TotalOrders")
         j.absolute("Age")
@@ -215,13 +214,14 @@ class Cleaner:
         j.missing("Email", "left NULL")
         j.date("RegistrationDate")
         j.set(TotalOrders=F.greatest(F.coalesce(F.col("TotalOrders"), F.lit(0.0)), F.lit(0.0)))
+        # last, so that the statistics above are taken without the name join
+        j.city(self.keys("cities"))
         return j
 
     def _restaurants(self) -> Job:
         j = self._start("restaurants")
         j.unique("RestaurantID")
         j.text("RestaurantName", "Cuisine", "Area", "OwnerName", "RestaurantType")
-        j.city(self.keys("cities"))
         j.ids("RestaurantID")
         j.number("Rating", "AverageCost", "Latitude", "Longitude")
         j.unknown("Cuisine")
@@ -231,6 +231,8 @@ class Cleaner:
         # ratings have one decimal: a few dozen distinct values
         j.df = op.impute_group_median(j.df, "Rating", "Cuisine", then_global=True, bounded=True)
         j.set(Rating=F.bround(F.col("Rating"), 1))
+        # last, so that the statistics above are taken without the name join
+        j.city(self.keys("cities"))
         return j
 
     def _menu(self) -> Job:
@@ -252,13 +254,14 @@ class Cleaner:
         j.ids("DeliveryPartnerID")
         j.number("Age", "Rating", "CompletedDeliveries", "AverageDeliveryTime")
         j.text("Name", "VehicleType")
-        j.city(self.keys("cities"))
         j.absolute("AverageDeliveryTime")
         j.missing("Rating", "median")
         j.set(Rating=F.coalesce(F.col("Rating"), op.global_median(j.df, "Rating", bounded=True)))
         j.date("JoiningDate", ambiguous=False)
         j.df = op.cap_iqr(j.df, "AverageDeliveryTime")
         j.note("extreme outlier (3 IQR)", "AverageDeliveryTime", "capped", F.col("AverageDeliveryTime_outlier"))
+        # last, so that the statistics above are taken without the name join
+        j.city(self.keys("cities"))
         return j
 
     def _promotions(self) -> Job:
@@ -298,7 +301,6 @@ class Cleaner:
         j = self._start("traffic")
         j.ids("TrafficID")
         j.number("AverageSpeed")
-        j.city(self.keys("cities"))
         j.date("Date")
         j.absolute("AverageSpeed")
         j.df = op.cap_percentile(j.df, "AverageSpeed", 0.99)
@@ -307,6 +309,8 @@ class Cleaner:
         j.df = op.infer_nearest_class(j.df, "TrafficLevel", "AverageSpeed")
         j.note("missing", "TrafficLevel", "nearest class median", F.col("TrafficLevel_inferred"))
         j.set(Time=truncate_time(F.col("Time"), 5))
+        # last, so that the statistics above are taken without the name join
+        j.city(self.keys("cities"))
         return j
 
     def _orders(self) -> Job:
