@@ -2,7 +2,7 @@
 
 from orderlens.sources.sample import PHYSICAL, with_tables
 
-from oracle import cleaning, cleanops, features, ml, reports, sqlbank, stats, streaming
+from oracle import cleaning, cleanlog, cleanops, features, ml, reports, sqlbank, stats, streaming
 
 _NAMES = {n: n for n in PHYSICAL}
 
@@ -25,4 +25,5 @@ def all_sql() -> dict[str, str]:
     out |= {k: _wrap(v, stats.TABLES) for k, v in stats.SQL.items()}
     out |= {k: _wrap(v, ml.TABLES) for k, v in ml.SQL.items()}
     out |= {k: _wrap(v) for k, v in streaming.SQL.items()}
+    out |= {k: _wrap(v, cleanlog.TABLES) for k, v in cleanlog.SQL.items()}
     return out

@@ -107,6 +107,7 @@ def checks() -> dict:
     return {
         "cleaning_log": lambda s, d: cl.Cleaner(_r(s, d)).log(),
         "cleaning_log_summary": lambda s, d: cl.log_summary(cl.Cleaner(_r(s, d)).log()),
+        "cleaning_log_by_table": lambda s, d: cl.log_by_table(cl.Cleaner(_r(s, d)).log()),
         "profile_tables": lambda s, d: profile.profile_tables(_r(s, d), ("customers", "orders", "payments")),
         "profile_patterns": lambda s, d: profile.profile_patterns(_r(s, d)["orders"], "OrderDate"),
         "check_sign_flip": lambda s, d: profile.check_sign_flip(_r(s, d)["orders"]),
