@@ -58,8 +58,6 @@ def _base(t):
     return rounded(ft.order_base_table(t)).drop("Latitude", "Longitude", "Gender")
 
 
-def _churn(t):
-    return rounded(ft.churn_table(ft.order_base_table(t), t), CHURN_ROUND)
 
 
 QUERIES = {
@@ -87,8 +85,12 @@ QUERIES = {
     "feat_restaurant_feedback": lambda t: rounded(ft.restaurant_feedback(_rated(t))),
     "feat_distance_proxy": lambda t: pick(t["orders"].select("OrderID", "RestaurantID").join(ft.restaurant_dim(t), "RestaurantID"), "OrderID", "DistanceProxyKm"),
     "order_base_table": _base,
-    "churn_table": _churn,
-    "churn_gap_days": lambda t: rounded(ft.churn_table(ft.order_base_table(t), t).select("CustomerID", "AvgGapDays"), CHURN_ROUND),
-    "feature_completeness": lambda t: ft.completeness(ft.order_base_table(t), FEATURES),
     "city_match_rate": lambda t: ft.city_match_rate(ft.with_dimensions(t)),
 }
+
+# these read the stored base table
+FROM_BASE = {
+    "churn_table": lambda s: rounded(ft.churn_table(s.base, s.t), CHURN_ROUND),
+    "churn_gap_days": lambda s: rounded(ft.churn_table(s.base, s.t).select("CustomerID", "AvgGapDays"), CHURN_ROUND),
+    "feature_completeness": lambda s: ft.completeness(s.base, FEATURES),
+}

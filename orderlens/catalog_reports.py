@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from orderlens.catalog_features import rounded
+from orderlens.catalog_features import FROM_BASE, rounded
 from orderlens.plans import kpis as k
 from orderlens.plans import measures as m
 from orderlens.plans import star as st
@@ -195,6 +195,6 @@ def over_store(fn):
 
 
 def queries() -> dict:
-    return {name: over_store(fn) for name, fn in QUERIES.items()}
+    return {name: over_store(fn) for name, fn in {**FROM_BASE, **QUERIES}.items()}
 
 

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import combinations
 
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -334,13 +337,20 @@ def chart_scatter_sample(b: DataFrame, n: int = 2500) -> DataFrame:
 
 
 def chart_corr_matrix(b: DataFrame, cols=CORR_COLUMNS) -> DataFrame:
-    """Every pair in one pass; rows with a missing value count only for other pairs."""
-    x = [F.col(c).cast("double") for c in cols]
-    entries = [
-        F.struct(F.lit(cols[i]).alias("a"), F.lit(cols[j]).alias("b"), F.round(F.corr(x[i], x[j]), 6).alias("r"))
-        for i in range(len(cols)) for j in range(i + 1, len(cols))
-    ]
-    return b.agg(F.array(*entries).alias("e")).select(F.explode("e").alias("e")).select("e.*")
+    """(a, b, r) for every pair. Complete columns go through one matrix product;
+    a pair with missing values counts the rows where both are present."""
+    d = b.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    gaps = d.agg(*[F.max(F.col(c).isNull()).alias(c) for c in cols]).first()  # one row of flags
+    full, partial = [c for c in cols if not gaps[c]], [c for c in cols if gaps[c]]
+    rows = d.select(array_to_vector(F.array(*full)).alias("v"))
+    m = Correlation.corr(rows, "v").first()[0].toArray()  # columns x columns
+    whole = [(x, y, float(m[i][j])) for i, x in enumerate(full) for j, y in enumerate(full) if i < j]
+    parts = [d.sparkSession.createDataFrame(whole, "a string, b string, r double")]
+    mixed = [(x, y) for x, y in combinations(cols, 2) if x in partial or y in partial]
+    for i in range(0, len(mixed), 16):  # few enough buffers per aggregate for generated code
+        e = [F.struct(F.lit(x).alias("a"), F.lit(y).alias("b"), F.corr(x, y).alias("r")) for x, y in mixed[i:i + 16]]
+        parts.append(d.agg(F.array(*e).alias("e")).select(F.explode("e").alias("e")).select("e.*"))
+    return union(parts).withColumn("r", F.round("r", 6))
 
 
 def chart_pair_sample(b: DataFrame, n: int = 800) -> DataFrame:

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderlens.operators.cleaning import mark_known
+
 PRIMARY_KEYS = {
     "cities": "CityID", "customers": "CustomerID", "restaurants": "RestaurantID", "menu": "FoodItemID",
     "delivery_partners": "DeliveryPartnerID", "promotions": "PromotionID", "orders": "OrderID",
@@ -60,56 +62,61 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def _unique(t, table: str, key: str, label: str) -> DataFrame:
-    return t[table].agg(
-        F.lit(label).alias("check_name"), (F.count(F.lit(1)) == F.count_distinct(key)).alias("passed"))
+def _explode(df: DataFrame, entries: list) -> DataFrame:
+    """One aggregate, one output row per entry."""
+    return df.agg(F.array(*entries).alias("e")).select(F.explode("e").alias("e")).select("e.*")
+
+
+def _check(name: str, passed) -> Column:
+    return F.struct(F.lit(name).alias("check_name"), passed.alias("passed"))
+
+
+def _key_entry(table: str) -> Column:
+    key = PRIMARY_KEYS[table]
+    return _check(f"{table}.{key} unique", F.count(F.lit(1)) == F.count_distinct(key))
+
+
+def _range_entries(table: str) -> list[Column]:
+    return [_check(n, F.count_if(~F.coalesce(F.expr(cond), F.lit(False))) == 0) for tab, n, cond in RANGES if tab == table]
 
 
 def pk_unique(t) -> DataFrame:
-    return _union([_unique(t, tab, key, f"{tab}.{key} unique") for tab, key in PRIMARY_KEYS.items()])
+    return _union([_explode(t[tab], [_key_entry(tab)]) for tab in PRIMARY_KEYS])
 
 
 def fk_resolve(t) -> DataFrame:
-    def one(child, col, parent, pcol):
-        lost = t[child].select(F.col(col).alias("k")).filter("k is not null").join(
-            t[parent].select(F.col(pcol).alias("k")), "k", "left_anti")
-        return lost.agg(
-            F.lit(f"{child}.{col} in {parent}.{pcol}").alias("check_name"), (F.count(F.lit(1)) == 0).alias("passed"))
-
-    return _union([one(*fk) for fk in FOREIGN_KEYS])
-
-
-def _per_table(t, rules, entry) -> DataFrame:
-    """One scan per table for all its rules."""
-    by_table: dict[str, list] = {}
-    for r in rules:
-        by_table.setdefault(r[0], []).append(r)
-    parts = [
-        t[tab].agg(F.array(*[entry(r) for r in rs]).alias("e")).select(F.explode("e").alias("e")).select("e.*")
-        for tab, rs in by_table.items()
-    ]
+    """All references of a child table in one pass over it."""
+    children: dict[str, list] = {}
+    for child, *ref in FOREIGN_KEYS:
+        children.setdefault(child, []).append(ref)
+    parts = []
+    for child, refs in children.items():
+        df, entries = t[child].select(*[col for col, _, _ in refs]), []
+        for i, (col, parent, pcol) in enumerate(refs):
+            df = mark_known(df, col, t[parent], f"_ok{i}", pcol)
+            lost = F.count_if(F.col(col).isNotNull() & ~F.col(f"_ok{i}"))
+            entries.append(_check(f"{child}.{col} in {parent}.{pcol}", lost == 0))
+        parts.append(_explode(df, entries))
     return _union(parts)
 
 
 def ranges_hold(t) -> DataFrame:
-    def entry(rule):
-        ok = F.coalesce(F.expr(rule[2]), F.lit(False))
-        return F.struct(F.lit(rule[1]).alias("check_name"), (F.count_if(~ok) == 0).alias("passed"))
-
-    return _per_table(t, RANGES, entry)
+    return _union([_explode(t[tab], _range_entries(tab)) for tab in dict.fromkeys(r[0] for r in RANGES)])
 
 
 def validation_report(t) -> DataFrame:
-    return _union([pk_unique(t), fk_resolve(t), ranges_hold(t)])
+    """Keys and ranges share one scan per table, references one per child."""
+    own = [_explode(t[tab], [_key_entry(tab), *_range_entries(tab)]) for tab in PRIMARY_KEYS]
+    return _union([*own, fk_resolve(t)])
 
 
 def ddl_constraints(t) -> DataFrame:
-    def entry(rule):
-        bad = F.coalesce(~F.expr(rule[1]), F.lit(False))
-        return F.struct(
-            F.lit(rule[0]).alias("table_name"), F.lit(rule[1]).alias("rule"), F.count_if(bad).alias("violations"))
+    def entry(table, rule):
+        bad = F.coalesce(~F.expr(rule), F.lit(False))
+        return F.struct(F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), F.count_if(bad).alias("violations"))
 
-    rows = _per_table(t, CONSTRAINTS, entry)
+    tables = dict.fromkeys(r[0] for r in CONSTRAINTS)
+    rows = _union([_explode(t[tab], [entry(tab, rule) for x, rule in CONSTRAINTS if x == tab]) for tab in tables])
     uniques = [
         t[tab].groupBy(col).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").agg(
             F.lit(tab).alias("table_name"), F.lit(f"{col} UNIQUE").alias("rule"), F.count(F.lit(1)).alias("violations"))

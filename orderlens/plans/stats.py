@@ -29,25 +29,38 @@ MAX_BLOCKS = 20_000  # more rows make larger blocks, so that a replicate's draw
 _NUMPY_LIMIT = 10**9  # the library's bound on a hypergeometric population
 
 
-def _draw(rng, counts: np.ndarray, n: int) -> np.ndarray:
-    """Counts per value in a draw of n without replacement. Beyond the library's
-    bound each margin uses its normal limit, whose error there is below 1e-4 sd."""
-    if counts.sum() < _NUMPY_LIMIT:
-        return rng.multivariate_hypergeometric(counts, int(n), method="marginals")
-    out, left, need = np.zeros_like(counts), int(counts.sum()), int(n)
-    for i, c in enumerate(counts):
-        c, rest = int(c), left - int(counts[i])
-        if left < _NUMPY_LIMIT:
-            k = int(rng.hypergeometric(c, rest, need)) if need else 0
-        else:
-            mean = need * c / left
-            var = mean * (rest / left) * ((left - need) / (left - 1))
-            k = int(round(rng.normal(mean, np.sqrt(max(var, 0.0)))))
-            k = min(max(k, need - rest, 0), c, need)
-        out[i], left, need = k, rest, need - k
+def _hyper(rng, good: np.ndarray, rest: np.ndarray, need: np.ndarray) -> np.ndarray:
+    """Hypergeometric draws. Beyond the library's bound a draw uses its normal limit,
+    whose error there is below 1e-4 deviations."""
+    total = good + rest
+    small = total < _NUMPY_LIMIT
+    if small.all():
+        return rng.hypergeometric(good, rest, need)
+    mean = need * (good / total)
+    var = mean * (rest / total) * ((total - need) / np.maximum(total - 1, 1))
+    k = np.rint(rng.normal(mean, np.sqrt(np.maximum(var, 0.0)))).astype(np.int64)
+    k = np.clip(k, np.maximum(need - rest, 0), np.minimum(good, need))
+    if small.any():
+        k[small] = rng.hypergeometric(good[small], rest[small], need[small])
+    return k
+
+
+def _draw(rng, left: np.ndarray, n: int) -> np.ndarray:
+    """For each row of ``left`` (replicates x values) the counts per value in a draw of
+    n without replacement."""
+    out, need, rest = np.zeros_like(left), np.full(len(left), int(n), dtype=np.int64), left.sum(axis=1)
+    for i in range(left.shape[1]):
+        rest = rest - left[:, i]
+        out[:, i] = _hyper(rng, left[:, i], rest, need)
+        need = need - out[:, i]
     return out
 
 
+def _rng(seed: int, test: str, *place: int):
+    """The generator of one batch of replicates, wherever the batch is worked on."""
+    return np.random.default_rng([seed, sum(map(ord, test)), *place])
+
+
 # ------------------------------------------------------------ observed
 def _cat(c) -> Column:
     return F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("nan"))
@@ -78,42 +91,38 @@ def _chunk_draws(seed: int):
     def run(batches):
         for pdf in batches:
             rows = []
-            for test, rep, counts, chunks, sizes in zip(pdf.test, pdf.rep, pdf.counts, pdf.chunks, pdf.sizes):
-                rng = np.random.default_rng([seed, int(rep), sum(map(ord, test))])
-                left = np.asarray(counts, dtype=np.int64)
-                for c, s in zip(chunks, sizes):
-                    d = _draw(rng, left, s)
+            for test, batch, width, counts, chunks, sizes in zip(pdf.test, pdf.batch, pdf.width, pdf.counts, pdf.chunks, pdf.sizes):
+                rng = _rng(seed, test, int(batch), 0)
+                left = np.tile(np.asarray(counts, dtype=np.int64), (int(width), 1))
+                for c, n in zip(chunks, sizes):
+                    d = _draw(rng, left, n)
                     left = left - d
-                    rows.append((test, int(rep), int(c), d.tolist()))
-            yield pd.DataFrame(rows, columns=["test", "rep", "chunk", "draw"])
+                    rows.append((test, int(batch), int(c), d.ravel().tolist()))
+            yield pd.DataFrame(rows, columns=["test", "batch", "chunk", "draw"])
 
     return run
 
 
 def _group_statistics(seed: int):
     def run(key, draws: pd.DataFrame, groups: pd.DataFrame) -> pd.DataFrame:
-        test, chunk = key[0], int(key[1])
-        out = []
-        groups = groups.sort_values("g")
-        sizes = groups.n.to_numpy(dtype=np.int64)
-        for rep, draw, values, counts, kind in zip(draws.rep, draws.draw, draws["values"], draws["counts"], draws.kind):
-            rng = np.random.default_rng([seed, int(rep), chunk + 1, sum(map(ord, test))])
-            left, v = np.asarray(draw, dtype=np.int64), np.asarray(values, dtype=float)
-            c = np.asarray(counts, dtype=float)
-            total, grand = c.sum(), (c * v).sum() / c.sum()
-            s1 = s2 = 0.0
-            for n in sizes:
-                d = _draw(rng, left, n)
-                left = left - d
-                if kind == "chi2":
-                    ones, f = float(d[v == 1].sum()), c[v == 1].sum()
-                    e1, e0 = n * f / total, n * (total - f) / total
-                    s1 += (ones - e1) ** 2 / (e1 if e1 > 0 else 1) + (n - ones - e0) ** 2 / (e0 if e0 > 0 else 1)
-                else:
-                    m = (d * v).sum() / n - grand
-                    s1, s2 = s1 + m, s2 + m * m
-            out.append((test, kind, int(rep), len(sizes), s1, s2))
-        return pd.DataFrame(out, columns=["test", "kind", "rep", "k", "s1", "s2"])
+        test, chunk, batch = key[0], int(key[1]), int(key[2])
+        one = draws.iloc[0]
+        v, c = np.asarray(one["values"], dtype=float), np.asarray(one["counts"], dtype=float)
+        left = np.asarray(one["draw"], dtype=np.int64).reshape(-1, len(v))
+        total, grand = c.sum(), (c * v).sum() / c.sum()
+        rng, reps = _rng(seed, test, batch, chunk + 1), len(left)
+        s1, s2 = np.zeros(reps), np.zeros(reps)
+        for n in groups.sort_values("g").n.to_numpy(dtype=np.int64):
+            d = _draw(rng, left, n)
+            left = left - d
+            if one["kind"] == "chi2":
+                ones, f = d[:, v == 1].sum(axis=1), c[v == 1].sum()
+                e1, e0 = n * f / total, n * (total - f) / total
+                s1 += (ones - e1) ** 2 / (e1 if e1 > 0 else 1) + (n - ones - e0) ** 2 / (e0 if e0 > 0 else 1)
+            else:
+                m = d @ v / n - grand
+                s1, s2 = s1 + m, s2 + m * m
+        return pd.DataFrame({"test": test, "kind": one["kind"], "rep": np.arange(reps) + batch * BATCH, "k": len(groups), "s1": s1, "s2": s2})
 
     return run
 
@@ -136,13 +145,12 @@ def shuffle_few_values(cells: DataFrame, groups: DataFrame, tests: DataFrame, se
         "test", F.col("a.chunk").alias("chunks"), F.col("a.s").alias("sizes"))
     setup = materialise(tests.join(arrays, "test").join(sizes, "test"))
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    reps = setup.withColumn("rep", F.explode(F.expr("sequence(0, reps - 1)"))).repartition(width, "test", "rep")
-    draws = reps.select("test", "rep", "counts", "chunks", "sizes").mapInPandas(
-        _chunk_draws(seed), "test string, rep int, chunk int, draw array<long>")
-    batch = F.floor(F.col("rep") / BATCH).cast("int").alias("batch")
-    draws = draws.join(setup.select("test", "kind", "values", "counts"), "test").select("*", batch)
-    members = placed.join(setup.select("test", "reps"), "test").select(
-        "test", "chunk", "g", "n", F.explode(F.expr(f"sequence(0, cast(floor((reps - 1) / {BATCH}) as int))")).alias("batch"))
+    batch = F.explode(F.expr(f"sequence(0, cast(floor((reps - 1) / {BATCH}) as int))")).alias("batch")
+    each = setup.select("test", "reps", "counts", "chunks", "sizes", batch).withColumn("width", F.least(F.lit(BATCH), F.col("reps") - F.col("batch") * BATCH))
+    draws = each.repartition(width, "test", "batch").select("test", "batch", "width", "counts", "chunks", "sizes").mapInPandas(
+        _chunk_draws(seed), "test string, batch int, chunk int, draw array<long>")
+    draws = draws.join(setup.select("test", "kind", "values", "counts"), "test")
+    members = placed.join(setup.select("test", "reps"), "test").select("test", "chunk", "g", "n", batch)
     keys = ("test", "chunk", "batch")
     parts_out = draws.groupBy(*keys).cogroup(members.groupBy(*keys)).applyInPandas(
         _group_statistics(seed), "test string, kind string, rep int, k int, s1 double, s2 double")
@@ -156,14 +164,14 @@ def _block_draws(seed: int):
     def run(batches):
         for pdf in batches:
             rows = []
-            for test, rep, sizes, blocks, lengths in zip(pdf.test, pdf.rep, pdf.sizes, pdf.blocks, pdf.lengths):
-                rng = np.random.default_rng([seed, int(rep), sum(map(ord, test)), 7])
-                left = np.asarray(sizes, dtype=np.int64)
+            for test, batch, width, sizes, blocks, lengths in zip(pdf.test, pdf.batch, pdf.width, pdf.sizes, pdf.blocks, pdf.lengths):
+                rng = _rng(seed, test, int(batch), 7)
+                left = np.tile(np.asarray(sizes, dtype=np.int64), (int(width), 1))
                 for b, n in zip(blocks, lengths):
                     d = _draw(rng, left, n)
                     left = left - d
-                    rows.append((test, int(rep), int(b), d.tolist()))
-            yield pd.DataFrame(rows, columns=["test", "rep", "block", "take"])
+                    rows.append((test, int(batch), int(b), d.ravel().tolist(), d.shape[1]))
+            yield pd.DataFrame(rows, columns=["test", "batch", "block", "take", "k"])
 
     return run
 
@@ -171,14 +179,14 @@ def _block_draws(seed: int):
 def _block_sums(seed: int):
     def run(key, rows: pd.DataFrame, draws: pd.DataFrame) -> pd.DataFrame:
         y, block = rows.sort_values("id").y.to_numpy(dtype=float), int(key[0])
-        out = []
-        for test, rep, take in zip(draws.test, draws.rep, draws["take"]):
-            rng = np.random.default_rng([seed, int(rep), block + 1, sum(map(ord, test)), 11])
-            ends = np.cumsum(np.asarray(take, dtype=np.int64))
-            run_sums = np.concatenate([[0.0], np.cumsum(rng.permutation(y))])
-            sums = run_sums[ends] - run_sums[np.concatenate([[0], ends[:-1]])]
-            out.extend((test, int(rep), i, float(s)) for i, s in enumerate(sums))
-        return pd.DataFrame(out, columns=["test", "rep", "i", "s"])
+        parts = []
+        for test, batch, take, k in zip(draws.test, draws.batch, draws["take"], draws.k):
+            rng = _rng(seed, test, int(batch), block + 1, 11)
+            for r, sizes in enumerate(np.asarray(take, dtype=np.int64).reshape(-1, int(k))):
+                ends = np.cumsum(sizes)
+                sums = np.diff(np.concatenate([[0.0], np.cumsum(rng.permutation(y))])[np.concatenate([[0], ends])])
+                parts.append(pd.DataFrame({"test": test, "rep": int(batch) * BATCH + r, "i": np.arange(int(k)), "s": sums}))
+        return pd.concat(parts)
 
     return run
 
@@ -195,8 +203,9 @@ def shuffle_many_values(rows: DataFrame, groups: DataFrame, reps: int, seed: int
     sizes = groups.groupBy("test").agg(F.sort_array(F.collect_list(F.struct("g", "n"))).alias("a")).select("test", F.col("a.n").alias("sizes"))
     setup = sizes.withColumn("l", lengths.scalar()).select("test", "sizes", F.col("l.block").alias("blocks"), F.col("l.n").alias("lengths"))
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    each = setup.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(reps - 1)))).repartition(width, "test", "rep")
-    draws = each.mapInPandas(_block_draws(seed), "test string, rep int, block int, take array<long>")
+    each = setup.withColumn("batch", F.explode(F.sequence(F.lit(0), F.lit((reps - 1) // BATCH)))).withColumn(
+        "width", F.least(F.lit(BATCH), F.lit(reps) - F.col("batch") * BATCH))
+    draws = each.repartition(width, "test", "batch").mapInPandas(_block_draws(seed), "test string, batch int, block int, take array<long>, k int")
     sums = placed.groupBy("block").cogroup(draws.groupBy("block")).applyInPandas(
         _block_sums(seed), "test string, rep int, i int, s double")
     per = sums.groupBy("test", "rep", "i").agg(F.sum("s").alias("s"))

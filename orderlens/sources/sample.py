@@ -13,6 +13,8 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+from orderlens.session import materialise
+
 PHYSICAL = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
@@ -331,19 +333,26 @@ def with_tables(text: str, dialect: str, physical: dict[str, str], extra: dict[s
     return head + text
 
 
+_layer: dict[tuple[str, str, str], DataFrame] = {}
+
+
 class SampleTables:
-    """Lazily built DataFrames, by table name."""
+    """DataFrames by table name, built on first use. Each is written once per
+    application, as a raw or clean layer of files would be, and read from there."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, prefix: str = "t_"):
         self.spark, self.prefix = spark, prefix
+        self.sf_dir = sf_dir
         self.physical = {n: f"parquet.`{sf_dir}/{n}.parquet`" for n in PHYSICAL}
-        self._built: dict[str, DataFrame] = {}
+
+    def build(self, name: str) -> DataFrame:
+        return self.spark.sql(with_tables(f"SELECT * FROM {self.prefix}{name}", "spark", self.physical))
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._built:
-            text = with_tables(f"SELECT * FROM {self.prefix}{name}", "spark", self.physical)
-            self._built[name] = self.spark.sql(text)
-        return self._built[name]
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, self.prefix + name)
+        if key not in _layer:
+            _layer[key] = materialise(self.build(name))
+        return _layer[key]
 
 
 def clean_tables(spark: SparkSession, sf_dir: str) -> SampleTables:

@@ -82,8 +82,8 @@ def test_large_populations_are_drawn(spark):
     rng = np.random.default_rng(0)
     counts = np.array([3 * 10**9, 10**9, 2], dtype=np.int64)
     for n in (0, 10, 10**9, int(counts.sum())):
-        d = st._draw(rng, counts, n)
-        assert d.sum() == n and (d >= 0).all() and (d <= counts).all()
+        d = st._draw(rng, np.tile(counts, (5, 1)), n)
+        assert (d.sum(axis=1) == n).all() and (d >= 0).all() and (d <= counts).all()
 
 
 def test_battery_finds_a_real_difference(spark):
