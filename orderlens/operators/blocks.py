@@ -147,16 +147,23 @@ def row_numbers(blk: DataFrame, group: list[str], out: str = "rn") -> DataFrame:
 
 
 def ranks(df: DataFrame, group: list[str], value: str, tie: str, descending: bool = True) -> DataFrame:
-    """row_num, rank_num and dense_rank_num of ``value`` inside ``group``."""
+    """row_num, rank_num and dense_rank_num of ``value`` inside ``group``.
+
+    Positions over the whole table are known per block; a row's ranks follow from
+    the positions where its group and its run of equal values begin."""
     order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
-    blk = row_numbers(sort_blocks(df, group, [order, tie]), group, "row_num")
-    blk = neighbours(blk, group, [value, "row_num"])
-    new = F.col("prev_row_num").isNull() | ~F.col(value).eqNullSafe(F.col(f"prev_{value}"))
+    blk = row_numbers(sort_blocks(df, group, [order, tie]), [], "_at")
+    blk = neighbours(blk, group, [value, "_at"])
+    first = F.col("prev__at").isNull()
+    new = first | ~F.col(value).eqNullSafe(F.col(f"prev_{value}"))
     blk = blk.withColumns(
-        {"_new": new.cast("long"), "_start": F.when(new, F.col("row_num"))}
+        {"_new": new.cast("long"), "_run": F.when(new, F.col("_at")), "_grp": F.when(first, F.col("_at"))}
+    )
+    out = running(blk, group, {"dense_rank_num": ("sum", "_new"), "_r0": ("max", "_run"), "_g0": ("max", "_grp")})
+    return out.select(
+        *df.columns, (F.col("_at") - F.col("_g0") + 1).alias("row_num"),
+        (F.col("_r0") - F.col("_g0") + 1).alias("rank_num"), "dense_rank_num",
     )
-    out = running(blk, group, {"dense_rank_num": ("sum", "_new"), "rank_num": ("max", "_start")})
-    return out.select(*df.columns, "row_num", "rank_num", "dense_rank_num")
 
 
 def percentiles(
