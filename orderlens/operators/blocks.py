@@ -64,17 +64,16 @@ _TOTAL = {
 def running(blk: DataFrame, group: list[str], specs: dict[str, tuple[str, str]]) -> DataFrame:
     """Running values up to and including the row: ``{out: (kind, column)}`` with
     kind sum, max, last (last non-null so far) or next (first non-null from here)."""
-    head = Window.partitionBy(BLOCK, *group).orderBy(POS)
-    to_here, from_here = (
-        head.rowsBetween(Window.unboundedPreceding, 0),
-        head.rowsBetween(0, Window.unboundedFollowing),
-    )
+    inside = Window.partitionBy(BLOCK, *group)
+    to_here = inside.orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
+    # read backwards: a frame that only grows costs one step per row
+    from_here = inside.orderBy(F.desc(POS)).rowsBetween(Window.unboundedPreceding, 0)
     totals = blk.groupBy(BLOCK, *group).agg(
         *[_TOTAL[kind](F.col(c)).alias(f"t_{out}") for out, (kind, c) in specs.items()]
     )
-    chain = Window.partitionBy(*[F.col(g) for g in group] or [F.lit(0)]).orderBy(BLOCK)
-    before = chain.rowsBetween(Window.unboundedPreceding, -1)
-    after = chain.rowsBetween(1, Window.unboundedFollowing)
+    chain = Window.partitionBy(*[F.col(g) for g in group] or [F.lit(0)])
+    before = chain.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    after = chain.orderBy(F.desc(BLOCK)).rowsBetween(Window.unboundedPreceding, -1)
 
     def carried(out: str, kind: str) -> Column:
         c = F.col(f"t_{out}")
@@ -84,7 +83,7 @@ def running(blk: DataFrame, group: list[str], specs: dict[str, tuple[str, str]])
             return F.max(c).over(before)
         if kind == "last":
             return F.last(c, ignorenulls=True).over(before)
-        return F.first(c, ignorenulls=True).over(after)
+        return F.last(c, ignorenulls=True).over(after)
 
     outs = [f"k_{out}" for out in specs]
     carry = totals.select(
@@ -99,7 +98,7 @@ def running(blk: DataFrame, group: list[str], specs: dict[str, tuple[str, str]])
             return F.greatest(F.max(col).over(to_here), k)
         if kind == "last":
             return F.coalesce(F.last(col, ignorenulls=True).over(to_here), k)
-        return F.coalesce(F.first(col, ignorenulls=True).over(from_here), k)
+        return F.coalesce(F.last(col, ignorenulls=True).over(from_here), k)
 
     return (
         _attach(blk, carry, group, outs)

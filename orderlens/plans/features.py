@@ -84,12 +84,14 @@ def nearest_traffic(slots: DataFrame, t) -> DataFrame:
     wanted = slots.select(
         "RCity", "OrderDate", F.col("order_min").alias("m"), F.lit(None).cast(readings.schema["hit"].dataType).alias("hit"),
         F.lit(True).alias("is_slot"))
-    day = Window.partitionBy("RCity", "OrderDate").orderBy(F.col("m").asc_nulls_last())
     whole = Window.partitionBy("RCity", "OrderDate")
+    # one pass in time order and one against it, each with a frame that only grows
+    forth = whole.orderBy(F.col("m").asc_nulls_last()).rangeBetween(Window.unboundedPreceding, 0)
+    back = whole.orderBy(F.col("m").desc_nulls_last()).rangeBetween(Window.unboundedPreceding, 0)
     timed = F.when(F.col("m").isNotNull(), F.col("hit"))
     both = wanted.unionByName(readings).withColumns({
-        "before": F.last(timed, ignorenulls=True).over(day.rangeBetween(Window.unboundedPreceding, 0)),
-        "after": F.first(timed, ignorenulls=True).over(day.rangeBetween(0, Window.unboundedFollowing)),
+        "before": F.last(timed, ignorenulls=True).over(forth),
+        "after": F.last(timed, ignorenulls=True).over(back),
         "any": F.min("hit.r").over(whole),  # smallest id of the day
         "untimed": F.min(F.when(F.col("m").isNull(), F.col("hit.r"))).over(whole),
     }).filter("is_slot")
