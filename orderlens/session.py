@@ -42,10 +42,25 @@ def new_folder(spark: SparkSession) -> str:
     return f"{scratch_dir(spark)}/orderlens/{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame) -> DataFrame:
+def materialise(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write once to the shared folder and read back, so that every later use
-    sees the same rows and a lost executor costs only one re-read."""
+    sees the same rows and a lost executor costs only one re-read. The folder
+    goes when the application ends."""
     spark = df.sparkSession
-    path = new_folder(spark)
+    path = path or new_folder(spark)
+    _file_system(spark, path).deleteOnExit(_path(spark, path))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder that nothing reads any more."""
+    _file_system(spark, path).delete(_path(spark, path), True)
+
+
+def _path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    return _path(spark, path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
