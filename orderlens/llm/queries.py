@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import decontam, lines, neardup, packing
+from orderlens.llm import decontam, lines, neardup, packing, quality
 from orderlens.llm.common import table
 
 
@@ -29,12 +29,18 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop_repeated_lines(docs, min_docs=10, min_chars=1).select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.resample(docs, table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "n_grams", "log_weight", "draw", "kept")
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85).drop("rid", "first_row")
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_packing, op2_decontamination, op5_line_dedup, op8_near_dedup)}
+    return {f.__name__: f for f in (op1_packing, op2_decontamination, op5_line_dedup, op7_quality, op8_near_dedup)}
 
 
 SQL = {
