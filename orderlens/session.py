@@ -48,11 +48,16 @@ def materialise(df: DataFrame, path: str | None = None) -> DataFrame:
     goes when the application ends."""
     spark = df.sparkSession
     path = path or new_folder(spark)
-    _file_system(spark, path).deleteOnExit(_path(spark, path))
+    delete_at_end(spark, path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete_at_end(spark: SparkSession, path: str) -> None:
+    """Remove a folder when the application ends."""
+    _file_system(spark, path).deleteOnExit(_path(spark, path))
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Remove a folder that nothing reads any more."""
     _file_system(spark, path).delete(_path(spark, path), True)
