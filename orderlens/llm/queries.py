@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import decontam, lines, neardup, packing, quality
-from orderlens.llm.common import table
+from orderlens.llm import decontam, lines, main_text, neardup, packing, quality, secrets, topk, urls, warc
+from orderlens.llm.common import delete_at_end, new_folder, table
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -24,11 +24,27 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("rid", "items")
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judge_urls(pages, block=("net/", "example.com/de/"), allow=("example.net/en/", "org/fr/")).drop("url")
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark)
+    delete_at_end(spark, path)
+    warc.write_archives(warc.chunk_table(warc.plan_records(table(spark, sf_dir, "pages"))), path)
+    return warc.read_archives(spark, path)
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return lines.drop_repeated_lines(docs, min_docs=10, min_chars=1).select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = quality.resample(docs, table(spark, sf_dir, "labels"))
@@ -39,8 +55,19 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85).drop("rid", "first_row")
 
 
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256.0)
+
+
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_packing, op2_decontamination, op5_line_dedup, op7_quality, op8_near_dedup)}
+    every = (
+        op1_packing, op2_decontamination, op3_url_filter, op4_warc, op5_line_dedup, op6_secrets, op7_quality, op8_near_dedup, op9_top_k, op10_main_text,
+    )
+    return {f.__name__: f for f in every}
 
 
 SQL = {
@@ -55,9 +82,19 @@ flagged as (select l.*, g.key is not null as bad from l left join gone g on l.ke
 select any_value(doc_id) as doc_id, count(*) as n_lines, count(*) filter (where bad) as n_dropped,
   sha256(coalesce(string_agg(line, chr(10) order by i) filter (where not bad), '')) as kept_sha256
 from flagged group by r
+""",
+    "op9_top_k": r"""
+with v as (
+  select vec_id, [floor(256 * x::double)::bigint for x in embedding] as e from embeddings
+  where vec_id is not null and embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+), s as (
+  select q.vec_id as query_id, c.vec_id, list_inner_product(q.e::double[], c.e::double[])::bigint as score
+  from v q join v c on q.vec_id <> c.vec_id and len(q.e) = len(c.e) where q.vec_id % 50 = 0
+), r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+select query_id, rank::int as rank, vec_id, score from r where rank <= 5
 """,
 }
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(SQL)
+    return dict(SQL)
\ No newline at end of file
