@@ -42,8 +42,10 @@ from orderlens.llm.common import materialise, text_bytes
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 PART = 1000
 SEGMENT_WORDS = 1_500_000
+#: kinds of index rows: a document, a term's posting list, a document without an id
+DOC, TERM, NO_ID = 0, 1, 2
 
-ROWS = "segment long, kind int, term int, doc long, rid long, n_words long, base long, count long, places binary"
+ROWS = "segment long, kind int, term int, doc long, rid long, text_hash long, n_words long, base long, count long, places binary"
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -82,9 +84,10 @@ def windows_of(parts: list, width: int) -> tuple[dict[bytes, int], dict[tuple, s
 def _segment(number: int, rows: list[tuple], lengths: list[int], coded: list[np.ndarray], gap: int) -> Iterator[dict]:
     """One row per document and one per term with a posting list."""
     bases = np.concatenate([[0], np.cumsum(np.array(lengths, np.int64) + gap)])
-    blank = {"segment": number, "term": None, "doc": None, "rid": None, "n_words": None, "base": None, "count": None, "places": None}
-    for (doc, rid), n, base in zip(rows, lengths, bases.tolist(), strict=False):
-        yield blank | {"kind": 0, "doc": doc, "rid": rid, "n_words": n, "base": base}
+    # no nulls among the numbers: a pandas column that holds one would turn long ids into doubles
+    blank = {"segment": number, "term": 0, "doc": 0, "rid": 0, "text_hash": 0, "n_words": 0, "base": 0, "count": 0, "places": None}
+    for (doc, rid, text), n, base in zip(rows, lengths, bases.tolist(), strict=False):
+        yield blank | {"kind": DOC if doc is not None else NO_ID, "doc": doc or 0, "rid": rid, "text_hash": text, "n_words": n, "base": base}
     codes = np.concatenate(coded)
     if not len(codes):
         return
@@ -95,13 +98,13 @@ def _segment(number: int, rows: list[tuple], lengths: list[int], coded: list[np.
     codes, places = codes[order], places[order]
     found, first = np.unique(codes, return_index=True)
     for term, a, b in zip(found.tolist(), first.tolist(), [*first.tolist()[1:], len(codes)], strict=True):
-        yield blank | {"kind": 1, "term": term, "count": b - a, "places": places[a:b].tobytes()}
+        yield blank | {"kind": TERM, "term": term, "count": b - a, "places": places[a:b].tobytes()}
 
 
 def _index(part: Iterator[pa.RecordBatch], terms: dict[bytes, int], gap: int) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
-    schema = pa.schema([("segment", pa.int64()), ("kind", pa.int32()), ("term", pa.int32()), ("doc", pa.int64()), ("rid", pa.int64()), ("n_words", pa.int64()), ("base", pa.int64()), ("count", pa.int64()), ("places", pa.binary())])
+    schema = pa.schema([("segment", pa.int64()), ("kind", pa.int32()), ("term", pa.int32()), ("doc", pa.int64()), ("rid", pa.int64()), ("text_hash", pa.int64()), ("n_words", pa.int64()), ("base", pa.int64()), ("count", pa.int64()), ("places", pa.binary())])
     number, rows, lengths, coded, n = TaskContext.get().partitionId() << 33, [], [], [], 0
     none, get = -1, terms.get
 
@@ -110,9 +113,9 @@ def _index(part: Iterator[pa.RecordBatch], terms: dict[bytes, int], gap: int) ->
         return pa.RecordBatch.from_pylist(made, schema=schema)
 
     for batch in part:
-        for doc, rid, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+        for doc, rid, text_hash, text in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
             words = words_of(text)
-            rows.append((doc, rid))
+            rows.append((doc, rid, text_hash))
             lengths.append(len(words))
             coded.append(np.fromiter((get(w, none) for w in words), np.int32, len(words)))
             n += len(words) + gap
@@ -125,7 +128,8 @@ def _index(part: Iterator[pa.RecordBatch], terms: dict[bytes, int], gap: int) ->
 
 def build_index(docs: DataFrame, terms: dict[bytes, int], width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The stored index over every document for the given terms (a block's, so bounded)."""
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc"), F.monotonically_increasing_id().alias("rid"), text_bytes(text_col).alias("t"))
+    text_hash = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    narrow = docs.select(F.col(id_col).cast("long").alias("doc"), F.monotonically_increasing_id().alias("rid"), text_hash.alias("text_hash"), text_bytes(text_col).alias("t"))
     return materialise(narrow.mapInArrow(partial(_index, terms=terms, gap=width), ROWS))
 
 
@@ -161,8 +165,8 @@ def near_places(lists: dict[int, np.ndarray], terms: tuple, rank: dict[int, int]
 
 
 def _search(rows: pd.DataFrame, windows: list, rank: dict[int, int], within: int | None) -> pd.DataFrame:
-    docs = rows[rows["kind"] == 0].sort_values("base")
-    lists = {int(t): np.frombuffer(p, np.int32) for t, p in zip(*(rows.loc[rows["kind"] == 1, c] for c in ("term", "places")), strict=True)}
+    docs = rows[rows["kind"] != TERM].sort_values(["base", "rid"])
+    lists = {int(t): np.frombuffer(p, np.int32) for t, p in zip(*(rows.loc[rows["kind"] == TERM, c] for c in ("term", "places")), strict=True)}
     bases, n_words = docs["base"].to_numpy(np.int64), docs["n_words"].to_numpy(np.int64)
     starts, ends, owners = [], [], []
     for number, (phrase, _) in enumerate(windows):
@@ -191,7 +195,7 @@ def _search(rows: pd.DataFrame, windows: list, rank: dict[int, int], within: int
                     merged.append([a, b])
             spans[d] = np.array(merged, np.int64).ravel().tolist()
             items[d] = sorted({str(i) for w in np.unique(owner[chunk]).tolist() for i in windows[w][1]})
-    return pd.DataFrame({"rid": docs["rid"].to_numpy(np.int64), "doc": docs["doc"].astype("Int64").array, "n_words": n_words, "spans": spans, "items": items})
+    return pd.DataFrame({"rid": docs["rid"].to_numpy(np.int64), "doc": docs["doc"].astype("Int64").mask(docs["kind"] == NO_ID).array, "text_hash": docs["text_hash"].to_numpy(np.int64), "n_words": n_words, "spans": spans, "items": items})
 
 
 def _searcher(windows: list, rank: dict[int, int], within: int | None):
@@ -214,38 +218,38 @@ def find_occurrences(
     docs: DataFrame, items: DataFrame, width: int = 10, within: int | None = None, block_words: int = 500_000,
     id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
 ) -> DataFrame:
-    """One row per document and block: rid, doc, n_words, spans (start, end, start, end ... of words inside occurrences,
+    """One row per document and block: rid, doc, text_hash, n_words, spans (start, end, start, end ... of words inside occurrences,
     merged, ascending) and items (ids as strings). With ``within``, proximity matches of the windows' terms instead of
     exact phrases; the spans are then the anchors."""
     docs, found = docs.select(F.col(id_col), F.col(text_col)), []
     for terms, windows in _blocks(items.select(F.col(item_col), F.col(item_text)), width, block_words, item_col, item_text):
         index = build_index(docs, terms, width, id_col, text_col)
-        counts = index.where("kind = 1").groupBy("term").agg(F.sum("count").alias("n")).orderBy("n", "term").collect()  # the block's terms
+        counts = index.where(F.col("kind") == TERM).groupBy("term").agg(F.sum("count").alias("n")).orderBy("n", "term").collect()  # the block's terms
         rank = {r["term"]: i for i, r in enumerate(counts)}
         known = [(phrase, sorted(map(str, ids))) for phrase, ids in windows.items() if all(t in rank for t in phrase)]
-        found.append(index.groupBy("segment").applyInPandas(_searcher(known, rank, within), "rid long, doc long, n_words long, spans array<long>, items array<string>"))
+        found.append(index.groupBy("segment").applyInPandas(_searcher(known, rank, within), "rid long, doc long, text_hash long, n_words long, spans array<long>, items array<string>"))
     return reduce(DataFrame.unionByName, found)
 
 
-def _judge(part: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for rows in part:
-        hits, counts, digests, lists = [], [], [], []
-        for spans, items in zip(rows["spans"], rows["items"], strict=True):
-            pairs = sorted(tuple(p) for s in spans for p in np.asarray(s, np.int64).reshape(-1, 2).tolist())
+def _judge(part: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Merge what the blocks found in a document; columns: rid, doc, text_hash, n_words, spans, items."""
+    for batch in part:
+        hits, lists = [], []
+        for spans, items in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True):
+            pairs = sorted(p for s in spans for p in zip(s[::2], s[1::2], strict=True))
             end = hit = 0
             for a, b in pairs:
                 hit += max(0, b - max(a, end))
                 end = max(end, b)
-            names = sorted({x for i in items for x in i})
             hits.append(hit)
-            counts.append(len(names))
-            digests.append(hashlib.sha256(",".join(names).encode()).hexdigest())
-            lists.append(names)
-        yield pd.DataFrame({"rid": rows["rid"], "doc_id": rows["doc"], "n_words": rows["n_words"], "n_hit": hits, "n_items": counts, "items_sha256": digests, "contaminated": [h > 0 for h in hits], "items": lists})
+            lists.append(sorted({x for i in items for x in i}))
+        digests = [hashlib.sha256(",".join(x).encode()).hexdigest() for x in lists]
+        made = [pa.array(hits, pa.int64()), pa.array([len(x) for x in lists], pa.int64()), pa.array(digests, pa.string()), pa.array([h > 0 for h in hits], pa.bool_()), pa.array(lists, pa.list_(pa.string()))]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:4], *made], names=["rid", "doc_id", "text_hash", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "items"])
 
 
 def contamination(docs: DataFrame, items: DataFrame, **params) -> DataFrame:
-    """Per document: rid (its number in this reading of the table), doc_id, n_words, n_hit, n_items, items_sha256, contaminated, items."""
+    """Per document: rid (its number in this reading of the table), doc_id, text_hash, n_words, n_hit, n_items, items_sha256, contaminated, items."""
     found = find_occurrences(docs, items, **params)
-    whole = found.groupBy("rid", "doc", "n_words").agg(F.collect_list("spans").alias("spans"), F.collect_list("items").alias("items"))
-    return whole.mapInPandas(_judge, "rid long, doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<string>")
+    whole = found.groupBy("rid", "doc", "text_hash", "n_words").agg(F.collect_list("spans").alias("spans"), F.collect_list("items").alias("items"))
+    return whole.mapInArrow(_judge, "rid long, doc_id long, text_hash long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<string>")

@@ -138,7 +138,7 @@ def _sign(part: Iterator[pa.RecordBatch], k: int, rows: int) -> Iterator[pa.Reco
         yield pa.RecordBatch.from_arrays([*columns, pa.array(bands, pa.list_(pa.int64()))], names=names)
 
 
-def _text_hash(text_col: str) -> Column:
+def text_hash(text_col: str) -> Column:
     return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
 
 
@@ -179,7 +179,7 @@ def _sets_of(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int) -> Dat
     documents; many meet them in a join, which moves the texts once."""
     used = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     wanted = materialise(nodes.join(used, "node", "left_semi").select("node", "doc_id", "text_hash"))
-    texts = docs.withColumn("text_hash", _text_hash("text")).withColumnRenamed("doc_id", "d")
+    texts = docs.withColumn("text_hash", text_hash("text")).withColumnRenamed("doc_id", "d")
     few = F.broadcast(wanted) if wanted.count() <= BROADCAST_NODES else wanted
     held = texts.join(few, (texts["text_hash"] == wanted["text_hash"]) & texts["d"].eqNullSafe(wanted["doc_id"]))
     held = held.select("node", text_bytes("text").alias("t")).mapInArrow(partial(_sets, k=k), "node long, shingles binary")
@@ -256,10 +256,10 @@ def _residual(bands: DataFrame, nodes: DataFrame, labels: DataFrame, percent: in
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: rid, doc_id, n_shingles, component_id (smallest id reachable), kept (doc_id is that id), first_row (this
+    """Per row: rid, doc_id, text_hash, n_shingles, component_id (smallest id reachable), kept (doc_id is that id), first_row (this
     row stands for its component: one row of each is so marked)."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    narrow = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", _text_hash("text").alias("text_hash"), text_bytes("text").alias("t"))
+    narrow = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", text_hash("text").alias("text_hash"), text_bytes("text").alias("t"))
     signed = materialise(narrow.mapInArrow(partial(_sign, k=k, rows=band_rows(percent)), SIGNATURE))
     rank = F.shiftleft((63 - F.floor(F.log2(F.count("*").cast("double")))).cast("long"), ROW_BITS)
     classes = materialise(signed.where("n > 0").groupBy("set1", "set2").agg(F.min("rid").alias("rid"), (rank + F.min("rid")).alias("node"), F.min("doc_id").alias("low")))
@@ -286,11 +286,11 @@ def _result(signed: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFra
     grouped = _label(classes, labels, "node")
     lowest = grouped.groupBy("node_comp").agg(F.min("low").alias("component_id"))
     named = materialise(grouped.join(lowest, "node_comp").select("set1", "set2", "node_comp", "component_id"))
-    rows = signed.select("rid", "doc_id", F.col("n").alias("n_shingles"), "set1", "set2").join(named, ["set1", "set2"], "left")
+    rows = signed.select("rid", "doc_id", "text_hash", F.col("n").alias("n_shingles"), "set1", "set2").join(named, ["set1", "set2"], "left")
     alone = F.col("node_comp").isNull()
     rows = rows.withColumn("component_id", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")))
     rows = rows.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
     best = rows.where(~alone & F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("node_comp").agg(F.min("rid").alias("best"))
     rows = rows.join(best, "node_comp", "left")
     first_row = alone | F.coalesce(F.col("rid") == F.col("best"), F.lit(False))
-    return rows.select("rid", "doc_id", "n_shingles", "component_id", "kept", first_row.alias("first_row"))
+    return rows.select("rid", "doc_id", "text_hash", "n_shingles", "component_id", "kept", first_row.alias("first_row"))

@@ -21,7 +21,7 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10)
-    return found.drop("rid", "items")
+    return found.drop("rid", "text_hash", "items")
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,7 +52,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85).drop("rid", "first_row")
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85).drop("rid", "text_hash", "first_row")
 
 
 def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
