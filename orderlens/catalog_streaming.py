@@ -6,33 +6,39 @@ from pyspark.sql import functions as F
 
 from orderlens.catalog_features import rounded
 from orderlens.plans.cleaning import COLUMNS, whole_numbers
-from orderlens.session import new_folder, tune
+from orderlens.session import delete_at_end, new_folder, tune
 from orderlens.sources.sample import clean_tables
 from orderlens.streaming import jobs
 
+FILES = 4  # the feed comes in two batches
+
 
 def _landed(spark, d):
     """The orders as files in a folder, as a feed would leave them."""
     t, folder = clean_tables(tune(spark), d), new_folder(spark)
-    whole_numbers("orders", t["orders"].select(*COLUMNS["orders"])).write.parquet(folder)
+    delete_at_end(spark, folder)
+    # dealt by the hash of the id, so that every file, and with it every batch, holds orders of all dates
+    whole_numbers("orders", t["orders"].select(*COLUMNS["orders"])).repartition(FILES, "OrderID").write.parquet(folder)
     return t, folder
 
 
 def _run(spark, updates, key):
     out, checkpoint = new_folder(spark), new_folder(spark)
+    delete_at_end(spark, out)
+    delete_at_end(spark, checkpoint)
     jobs.run(updates, out, checkpoint)
     return jobs.latest(spark, out, key, updates.schema)
 
 
 def customer_counter(spark, d):
     t, folder = _landed(spark, d)
-    counts = _run(spark, jobs.customer_counts(jobs.order_stream(spark, folder)), "CustomerID")
+    counts = _run(spark, jobs.customer_counts(jobs.order_stream(spark, folder, files_per_batch=FILES // 2)), "CustomerID")
     return jobs.current_totals(t["customers"], counts)
 
 
 def city_kpi(spark, d):
     t, folder = _landed(spark, d)
-    kpis = _run(spark, jobs.city_kpis(jobs.order_stream(spark, folder), t["restaurants"]), "City")
+    kpis = _run(spark, jobs.city_kpis(jobs.order_stream(spark, folder, files_per_batch=FILES // 2), t["restaurants"]), "City")
     return rounded(kpis, {"TotalRevenue": 2, "AvgDeliveryTime": 6})
 
 
@@ -40,7 +46,7 @@ def event_counts(spark, d):
     """Distinct events per user from the raw event files."""
     schema = spark.read.parquet(f"{d}/events.parquet").schema
     stream = tune(spark).readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
-    seen = stream.withColumn("at", F.col("ts").cast("timestamp")).withWatermark("at", "1 day").dropDuplicatesWithinWatermark(["event_id"])
+    seen = stream.dropDuplicates(["event_id"])
     return _run(spark, seen.groupBy("user_id").agg(F.count(F.lit(1)).alias("n")), "user_id")
 
 

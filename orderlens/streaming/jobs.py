@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from orderlens.session import discard, materialise
 from orderlens.sources.schemas import CLEAN
 
 
@@ -20,20 +21,24 @@ def order_stream(spark: SparkSession, folder: str, schema: StructType | None = N
     return reader.parquet(folder)
 
 
-def distinct_orders(orders: DataFrame, delay: str) -> DataFrame:
-    """An order delivered twice counts once, as long as the copies arrive within the
-    delay; older state is dropped."""
-    at = F.to_timestamp(F.concat_ws(" ", F.col("OrderDate").cast("string"), "OrderTime"))
-    return orders.withColumn("OrderTS", at).withWatermark("OrderTS", delay).dropDuplicatesWithinWatermark(["OrderID"])
+def distinct_orders(orders: DataFrame) -> DataFrame:
+    """An order delivered twice counts once, however late it comes. The ids seen are kept for good, so a long-running
+    stream should keep its state in a store on disk (``use_disk_state``)."""
+    return orders.dropDuplicates(["OrderID"])
 
 
-def customer_counts(orders: DataFrame, delay: str = "7 days") -> DataFrame:
-    return distinct_orders(orders, delay).groupBy("CustomerID").agg(F.count(F.lit(1)).alias("NewOrders"))
+def use_disk_state(spark: SparkSession) -> None:
+    """Keep state in RocksDB and not on the heap; before a query's first start."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
-def city_kpis(orders: DataFrame, restaurants: DataFrame, delay: str = "7 days") -> DataFrame:
+def customer_counts(orders: DataFrame) -> DataFrame:
+    return distinct_orders(orders).groupBy("CustomerID").agg(F.count(F.lit(1)).alias("NewOrders"))
+
+
+def city_kpis(orders: DataFrame, restaurants: DataFrame) -> DataFrame:
     cities = restaurants.select("RestaurantID", "City")
-    return distinct_orders(orders, delay).join(cities, "RestaurantID").groupBy("City").agg(
+    return distinct_orders(orders).join(cities, "RestaurantID").groupBy("City").agg(
         F.count(F.lit(1)).alias("TotalOrders"), F.sum("FinalAmount").alias("TotalRevenue"), F.avg("DeliveryTimeMinutes").alias("AvgDeliveryTime"))
 
 
@@ -50,6 +55,21 @@ def run(updates: DataFrame, out: str, checkpoint: str, continuous: bool = False)
     return query
 
 
+def compact(spark: SparkSession, out: str, key: str, schema: StructType, number: int) -> None:
+    """Merge the batch folders up to ``number`` into that one, so that reading does not grow with the life of the stream.
+    For use between runs."""
+    full = StructType([*schema.fields]).add("batch", "long")
+    rows = spark.read.schema(full).parquet(out).where(F.col("batch") <= number)
+    old = [r[0] for r in rows.select("batch").distinct().collect()]  # one number per batch folder
+    values = [f.name for f in schema.fields if f.name != key]
+    merged = rows.groupBy(key).agg(F.max_by(F.struct(*values), "batch").alias("v")).select(key, "v.*")
+    # written aside first: a crash before the end leaves the old folders, and values of equal batches agree
+    materialise(merged).write.mode("overwrite").parquet(f"{out}/batch={number}")
+    for b in old:
+        if b != number:
+            discard(spark, f"{out}/batch={b}")
+
+
 def latest(spark: SparkSession, out: str, key: str, schema: StructType) -> DataFrame:
     """The last stored value per key."""
     full = StructType([*schema.fields]).add("batch", "long")
