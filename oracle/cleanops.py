@@ -119,4 +119,4 @@ def _profile(t: str) -> str:
         for c in cols)
 
 
-SQL["profile_tables"] = " UNION ALL ".join(_profile(t) for t in ("customers", "orders", "payments"))
+SQL["profile_tables"] = " UNION ALL ".join(_profile(t) for t in COLUMNS)

@@ -108,7 +108,7 @@ def checks() -> dict:
         "cleaning_log": lambda s, d: cl.Cleaner(_r(s, d)).log(),
         "cleaning_log_summary": lambda s, d: cl.log_summary(cl.Cleaner(_r(s, d)).log()),
         "cleaning_log_by_table": lambda s, d: cl.log_by_table(cl.Cleaner(_r(s, d)).log()),
-        "profile_tables": lambda s, d: profile.profile_tables(_r(s, d), ("customers", "orders", "payments")),
+        "profile_tables": lambda s, d: profile.profile_tables(_r(s, d), TABLES),
         "profile_patterns": lambda s, d: profile.profile_patterns(_r(s, d)["orders"], "OrderDate"),
         "check_sign_flip": lambda s, d: profile.check_sign_flip(_r(s, d)["orders"]),
         "ambiguous_date_share": lambda s, d: profile.ambiguous_date_share(_r(s, d)["orders"], "OrderDate"),
@@ -160,8 +160,10 @@ def _read_clean(s, d):
 
 def _write_clean(s, d):
     folder = new_folder(s)
-    files.write_clean(cl.Cleaner(_r(s, d)), folder)
-    return _counts(files.read_clean(s, folder))
+    t = _t(s, d)
+    files.write_clean(cl.Cleaner(_r(s, d)), folder, report=quality.validation_report(t))
+    log, report = (s.read.parquet(f"{folder}/{n}") for n in ("cleaning_log", "validation_report"))
+    return _counts({**files.read_clean(s, folder), "cleaning_log": log, "validation_report": report})
 
 
 def _bulk_load(s, d):

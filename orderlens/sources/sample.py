@@ -38,9 +38,6 @@ class SparkDialect:
         patterns = ("yyyy-MM-dd", "yyyy.MM.dd", "dd-MM-yyyy", "d MMM yyyy", "dd/MM/yyyy", "MM/dd/yyyy")
         return f"date_format({d}, '{patterns[kind]}')"
 
-    def first_of(self, cols):
-        return "min(struct(" + ", ".join(cols) + "))"
-
     def copies(self, n):
         return f"LATERAL VIEW explode(sequence(0, {n - 1})) x AS k"
 
@@ -62,9 +59,6 @@ class DuckDialect(SparkDialect):
         patterns = ("%Y-%m-%d", "%Y.%m.%d", "%d-%m-%Y", "%-d %b %Y", "%d/%m/%Y", "%m/%d/%Y")
         return f"strftime({d}, '{patterns[kind]}')"
 
-    def first_of(self, cols):
-        return "min({{" + ", ".join(f"'{c}': {c}" for c in cols) + "}})"
-
     def copies(self, n):
         return f"CROSS JOIN unnest(generate_series(0, {n - 1})) x(k)"
 
@@ -103,7 +97,6 @@ def _city_text(x, key):
 def definitions(dialect: str) -> dict[str, str]:
     q = SparkDialect() if dialect == "spark" else DuckDialect()
     nsup = "(SELECT count(*) FROM {supplier})"
-    item = q.first_of(["l_partkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate"])
     # every alias of a physical table is unlike the names of its columns
     out: dict[str, str] = {}
     out["t_cities"] = """
@@ -179,26 +172,30 @@ def definitions(dialect: str) -> dict[str, str]:
                CAST(CASE WHEN abs(RawMinutes) BETWEEN 1 AND 180 THEN abs(RawMinutes) END AS INT) AS DeliveryTimeMinutes,
                FoodCost, DeliveryFee, Discount, CouponCode, GST, FinalAmount, OrderStatus, PaymentMethod
         FROM t_orders_all WHERE RestaurantID IS NOT NULL"""
-    out["t_items_raw"] = f"""
-        SELECT l_orderkey, l_linenumber, {item} AS item FROM {{lineitem}} GROUP BY l_orderkey, l_linenumber"""
+    # line numbers repeat within an order, so all columns together number its lines; an order has a few lines
+    out["t_items_raw"] = """
+        SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, l_returnflag, l_shipdate,
+               l_orderkey * 1000 + row_number() OVER (PARTITION BY l_orderkey
+                   ORDER BY l_linenumber, l_partkey, l_quantity, l_extendedprice, l_returnflag, l_shipdate) AS line_id
+        FROM {lineitem}"""
     out["t_order_items"] = """
-        SELECT l_orderkey * 10 + l_linenumber AS OrderItemID, l_orderkey AS OrderID, item.l_partkey AS FoodItemID,
-               CAST(item.l_quantity AS INT) AS Quantity, item.l_extendedprice / item.l_quantity AS UnitPrice,
-               item.l_extendedprice AS TotalPrice
+        SELECT line_id AS OrderItemID, l_orderkey AS OrderID, l_partkey AS FoodItemID,
+               CAST(l_quantity AS INT) AS Quantity, l_extendedprice / l_quantity AS UnitPrice,
+               l_extendedprice AS TotalPrice
         FROM t_items_raw"""
     out["t_payments_all"] = """
-        SELECT l_orderkey * 10 + l_linenumber AS PaymentID, l_orderkey AS OrderID,
+        SELECT line_id AS PaymentID, l_orderkey AS OrderID,
                CASE l_orderkey % 4 WHEN 0 THEN 'Cash' WHEN 1 THEN 'Card' WHEN 2 THEN 'UPI' ELSE 'Wallet' END AS PaymentMethod,
-               CASE WHEN l_linenumber = 7 THEN 'Pending' WHEN item.l_returnflag = 'N' THEN 'Success'
-                    WHEN item.l_returnflag = 'R' THEN 'Refunded' ELSE 'Failed' END AS PaymentStatus,
-               'TX' || CAST(l_orderkey * 10 + l_linenumber AS STRING) AS TransactionID, CAST(item.l_shipdate AS DATE) AS PaymentDate
+               CASE WHEN l_linenumber = 7 THEN 'Pending' WHEN l_returnflag = 'N' THEN 'Success'
+                    WHEN l_returnflag = 'R' THEN 'Refunded' ELSE 'Failed' END AS PaymentStatus,
+               'TX' || CAST(line_id AS STRING) AS TransactionID, CAST(l_shipdate AS DATE) AS PaymentDate
         FROM t_items_raw"""
     rank = "CASE PaymentStatus WHEN 'Success' THEN 0 WHEN 'Refunded' THEN 1 WHEN 'Pending' THEN 2 ELSE 3 END"
     out["t_payments"] = f"""
         SELECT p.PaymentID, p.OrderID, p.PaymentMethod, p.PaymentStatus, p.TransactionID, p.PaymentDate
         FROM t_payments_all p
-        JOIN (SELECT OrderID AS k_order, min({rank} * 10 + 9 - PaymentID % 10) AS k_best FROM t_payments_all GROUP BY OrderID) k
-          ON k.k_order = p.OrderID AND k.k_best = {rank} * 10 + 9 - p.PaymentID % 10"""
+        JOIN (SELECT OrderID AS k_order, min({rank} * 1000 + 999 - PaymentID % 1000) AS k_best FROM t_payments_all GROUP BY OrderID) k
+          ON k.k_order = p.OrderID AND k.k_best = {rank} * 1000 + 999 - p.PaymentID % 1000"""
     out["t_customer_feedback"] = """
         SELECT OrderID AS FeedbackID, OrderID, CAST(1 + OrderID % 5 AS INT) AS CustomerRating,
                CAST(1 + OrderID * 3 % 5 AS INT) AS DeliveryRating, CAST(1 + OrderID * 7 % 4 AS INT) AS FoodRating,
