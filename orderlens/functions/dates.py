@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from orderlens.functions.text import strip
+
 
 def parse_mixed_dates(c: Column, day_first: bool = True) -> Column:
     """struct(parsed, ambiguous, alternative). A slash date with both parts up to
     12 has two readings: the default one and the alternative."""
-    s = F.trim(c)
+    s = strip(c)
 
     def read(form: str, pattern: str) -> Column:
         return F.when(s.rlike(form), F.try_to_date(s, pattern))

@@ -18,13 +18,21 @@ def clean_text(c: Column) -> Column:
     return F.when(~s.isin("", "nan", "NaN", "None"), s)
 
 
+def strip(c: Column) -> Column:
+    """Without white space of any kind at both ends."""
+    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+
+
 def to_number(c: Column) -> Column:
-    n = c.try_cast("double")
-    return F.when(~F.isnan(n), n)
+    """A decimal number, with an exponent if need be; any other text is NULL (a cast alone would take type suffixes)."""
+    s = strip(c)
+    return F.when(s.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"), s.try_cast("double"))
 
 
 def title_case(c: Column) -> Column:
-    return F.initcap(c)
+    """Each run of letters with a capital first letter."""
+    runs = F.regexp_extract_all(c, F.lit(r"(\p{L}+|[^\p{L}]+)"), F.lit(1))
+    return F.array_join(F.transform(runs, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.lower(w.substr(F.lit(2), F.length(w))))), "")
 
 
 def upper_code(c: Column) -> Column:
@@ -37,10 +45,9 @@ def truncate_time(c: Column, length: int) -> Column:
 
 def digits_or_null(c: Column, n: int, strip_sign: bool = False) -> Column:
     """Text of exactly n digits, after a trailing '.0' (and a sign) is cut off."""
-    s = F.regexp_replace(c, r"\.0$", "")
+    s = F.regexp_replace(strip(c), r"\.0$", "")
     if strip_sign:
         s = F.regexp_replace(s, r"^-+", "")
-    s = F.trim(s)
     return F.when(s.rlike(rf"^\d{{{n}}}$"), s)
 
 

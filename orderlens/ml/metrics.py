@@ -55,9 +55,9 @@ def roc_points(pred: DataFrame, by: list[str] = ()) -> DataFrame:
 
 
 def roc_auc(pred: DataFrame, by: list[str] = ()) -> DataFrame:
-    """Area under the curve through the distinct scores (ties count half)."""
+    """Area under the curve through the distinct scores (ties count half); 0 where only one class occurs."""
     area = F.sum(F.col("neg") * (F.col("tps") - F.col("pos") / 2.0))
-    return roc_points(pred, by).groupBy(*by).agg((area / (F.max("_p") * F.max("_n"))).alias("ROC_AUC"))
+    return roc_points(pred, by).groupBy(*by).agg(F.coalesce(F.try_divide(area, (F.max("_p") * F.max("_n")).cast("double")), F.lit(0.0)).alias("ROC_AUC"))
 
 
 def average_precision(pred: DataFrame, key: str = "id") -> DataFrame:

@@ -96,10 +96,11 @@ def scaler() -> StandardScaler:
 
 
 def class_weights(train: DataFrame) -> DataFrame:
-    """Rows of the two classes get the same total weight."""
+    """Rows of the two classes get the same total weight; a class alone keeps weight 1."""
     n = train.select(F.count(F.lit(1))).scalar()
     ones = train.select(F.sum("label")).scalar()
-    w = F.when(F.col("label") == 1, n / (2.0 * ones)).otherwise(n / (2.0 * (n - ones)))
+    share = F.when(F.col("label") == 1, ones).otherwise(n - ones)
+    w = F.when((ones > 0) & (ones < n), F.try_divide(n.cast("double"), 2.0 * share)).otherwise(1.0)
     return train.withColumn("weight", w)
 
 

@@ -203,8 +203,9 @@ def city_by_cuisine(b: DataFrame, cities: int, cuisines: int, cuisine_by: str =
     return wide.unpivot("RCity", top_q, "Cuisine", "revenue")
 
 
-def payment_by_status(b: DataFrame, statuses=("Success", "Refunded", "Pending", "Failed")) -> DataFrame:
-    return b.groupBy("PaymentMethod").pivot("PaymentStatus", list(statuses)).agg(F.count(F.lit(1))).fillna(0)
+def payment_by_status(b: DataFrame) -> DataFrame:
+    """Orders by method and status, every status that occurs; NULL is a status of its own."""
+    return b.groupBy("PaymentMethod", "PaymentStatus").agg(F.count(F.lit(1)).alias("orders"))
 
 
 def weekday_by_hour(b: DataFrame) -> DataFrame:
@@ -221,7 +222,8 @@ def chart_pivots(b: DataFrame) -> DataFrame:
 
     cells = [city_by_cuisine(b, 8, 6).select(F.lit("city_cuisine_8x6").alias("chart"), F.col("RCity").alias("row"), F.col("Cuisine").alias("col"), F.col("revenue").alias("value")),
              city_by_cuisine(b, 12, 10, "revenue").select(F.lit("city_cuisine_12x10").alias("chart"), F.col("RCity").alias("row"), F.col("Cuisine").alias("col"), F.col("revenue").alias("value"))]
-    return union([*cells, long(payment_by_status(b), "payment_status", "PaymentMethod"), long(weekday_by_hour(b), "weekday_hour", "dow")])
+    paid = payment_by_status(b).select(F.lit("payment_status").alias("chart"), F.col("PaymentMethod").alias("row"), F.col("PaymentStatus").alias("col"), F.col("orders").cast("double").alias("value"))
+    return union([*cells, paid, long(weekday_by_hour(b), "weekday_hour", "dow")])
 
 
 def chart_orders_per_day_by_hour(b: DataFrame) -> DataFrame:
@@ -254,7 +256,9 @@ def chart_avg_basket(b: DataFrame) -> DataFrame:
 def histogram(d: DataFrame, col: str, chart: str, bins: int = 40) -> DataFrame:
     v = d.select(F.col(col).cast("double").alias("v")).filter("v is not null")
     lo, hi = v.select(F.min("v")).scalar(), v.select(F.max("v")).scalar()
-    n = v.groupBy(F.least(F.floor((F.col("v") - lo) / (hi - lo) * bins), F.lit(bins - 1)).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    # a constant column fills one bin
+    place = F.coalesce(F.floor(F.try_divide(F.col("v") - lo, hi - lo) * bins), F.lit(0))
+    n = v.groupBy(F.least(place, F.lit(bins - 1)).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     return n.select(F.lit(chart).alias("chart"), "bin", F.round(lo + (hi - lo) / bins * F.col("bin"), 6).alias("left_edge"), "n")
 
 
@@ -296,17 +300,19 @@ def letter_values(b: DataFrame, top: int = 8) -> DataFrame:
     return q.select("city", *[F.round(c, 6).alias(c) for c in points])
 
 
-def density(d: DataFrame, col: str, group: str | None, grid: int = 100, cells: int = 512) -> DataFrame:
-    """Gaussian density on a fixed grid. The values are first counted in fine cells,
-    so the work per group is cells x grid whatever the number of rows."""
+def density(d: DataFrame, col: str, group: str | None, grid: int = 100, cells_per_bandwidth: int = 16) -> DataFrame:
+    """Gaussian density on a fixed grid. The values are first counted in cells that are a fixed part of the group's
+    bandwidth, so that the curve is as smooth with many rows as with few; their number grows with the rows to the power
+    0.2. A group without spread has no density (NULL)."""
     g = F.col(group) if group else F.lit("all")
     v = d.select(g.alias("g"), F.col(col).cast("double").alias("v")).filter("v is not null")
     lo, hi = v.select(F.min("v")).scalar(), v.select(F.max("v")).scalar()
-    cell = F.floor((F.col("v") - lo) / (hi - lo) * (cells - 1))
-    counts = v.groupBy("g", cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"), F.avg("v").alias("x"))
     stats = v.groupBy("g").agg(F.count(F.lit(1)).alias("total"), F.stddev_samp("v").alias("sd"))
     h = F.col("sd") * F.pow(F.col("total").cast("double"), F.lit(-0.2))
-    at = counts.join(stats.withColumn("h", h), "g").withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
+    stats = stats.withColumn("h", F.when(h > 0, h))
+    cell = F.coalesce(F.floor((F.col("v") - lo) / F.col("h") * cells_per_bandwidth), F.lit(0))
+    counts = v.join(stats.select("g", "h"), "g").groupBy("g", cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"), F.avg("v").alias("x"))
+    at = counts.join(stats, "g").withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
     at = at.withColumn("y", lo + (hi - lo) / (grid - 1) * F.col("i"))
     u = (F.col("y") - F.col("x")) / F.col("h")
     kernel = F.exp(-0.5 * u * u) / (F.sqrt(2 * F.pi()) * F.col("h"))
