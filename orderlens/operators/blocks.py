@@ -18,6 +18,7 @@ from orderlens.session import materialise
 BLOCK = "_blk"
 POS = "_pos"
 _IN_BLOCK = (1 << 33) - 1
+BLOCK_ROWS = 1_000_000
 
 
 def _key(k) -> Column:
@@ -26,11 +27,14 @@ def _key(k) -> Column:
 
 def sort_blocks(df: DataFrame, group: list[str], order: list, blocks: int | None = None) -> DataFrame:
     """Rows in (group, order) order with their block number and a position that
-    grows in that order. ``order`` must be total for a repeatable result."""
-    n = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    grows in that order. ``order`` must be total for a repeatable result. The number
+    of blocks follows the rows, so a block stays small however large the table is."""
+    rows = materialise(df)  # read twice here: by the range sampler and by the exchange
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = blocks or max(least, -(-rows.count() // BLOCK_ROWS))
     keys = [_key(k) for k in [*group, *order]]
     return materialise(
-        df.repartitionByRange(n, *keys)
+        rows.repartitionByRange(n, *keys)
         .sortWithinPartitions(*keys)
         .withColumn(BLOCK, F.spark_partition_id())
         .withColumn(POS, F.monotonically_increasing_id())

@@ -7,12 +7,14 @@ needs, with the same null distribution:
   of value counts per group without replacement (multivariate hypergeometric);
   its cost does not grow with the rows;
 * a continuous value is shuffled in two steps: how many rows of each block go to
-  each group (hypergeometric again), then a shuffle inside the block. Rows never
-  leave their block, whatever the number of replicates.
+  each group (hypergeometric again), then a shuffle inside the block for each
+  replicate. Rows never leave their block, but the work is rows x replicates.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -25,24 +27,46 @@ SEED = 42
 BATCH = 100  # replicates per task
 GROUPS_PER_CHUNK = 2000
 ROWS_PER_BLOCK = 50_000
-MAX_BLOCKS = 20_000  # more rows make larger blocks, so that a replicate's draw stays small
+DRAWS_HELD = 500  # draws that a task holds before it hands them on
 _NUMPY_LIMIT = 10**9  # the library's bound on a hypergeometric population
+_lgamma = np.vectorize(math.lgamma, otypes=[float])
 
 
 def _hyper(rng, good: np.ndarray, rest: np.ndarray, need: np.ndarray) -> np.ndarray:
-    """Hypergeometric draws. Beyond the library's bound a draw uses its normal limit,
-    whose error there is below 1e-4 deviations."""
-    total = good + rest
-    small = total < _NUMPY_LIMIT
+    """Hypergeometric draws, exact for any population: the library's generator up to its
+    bound, the ratio of uniforms beyond."""
+    small = good + rest < _NUMPY_LIMIT
     if small.all():
         return rng.hypergeometric(good, rest, need)
+    out = np.empty(len(good), np.int64)
+    out[small] = rng.hypergeometric(good[small], rest[small], need[small])
+    out[~small] = _hyper_large(rng, good[~small], rest[~small], need[~small])
+    return out
+
+
+def _hyper_large(rng, good: np.ndarray, rest: np.ndarray, need: np.ndarray) -> np.ndarray:
+    """Rejection from a table mountain hat around the mode (ratio of uniforms, Stadlober 1990)."""
+    low, high = np.maximum(need - rest, 0), np.minimum(good, need)
+    total = (good + rest).astype(float)
     mean = need * (good / total)
-    var = mean * (rest / total) * ((total - need) / np.maximum(total - 1, 1))
-    k = np.rint(rng.normal(mean, np.sqrt(np.maximum(var, 0.0)))).astype(np.int64)
-    k = np.clip(k, np.maximum(need - rest, 0), np.minimum(good, need))
-    if small.any():
-        k[small] = rng.hypergeometric(good[small], rest[small], need[small])
-    return k
+    sd = np.sqrt(np.maximum(mean * (rest / total) * (total - need) / np.maximum(total - 1, 1), 0) + 0.5)
+    mode = np.clip(np.floor((need + 1.0) * (good + 1.0) / (total + 2)), low, high)
+
+    def log_weight(k, at):  # log of the probability, up to a constant
+        return -(_lgamma(k + 1) + _lgamma(good[at] - k + 1) + _lgamma(need[at] - k + 1) + _lgamma(rest[at] - need[at] + k + 1))
+
+    top = log_weight(mode, np.arange(len(good)))
+    width = 2 * np.sqrt(2 / np.e) * sd + 3 - 2 * np.sqrt(3 / np.e)  # the hat's width, from the paper
+    out, open_ = np.where(low == high, low, -1).astype(np.int64), np.flatnonzero(low < high)
+    while len(open_):
+        u, v = 1.0 - rng.random(len(open_)), rng.random(len(open_))
+        k = np.floor(mean[open_] + 0.5 + width[open_] * (v - 0.5) / u)
+        inside = (k >= low[open_]) & (k <= high[open_])
+        accept = np.zeros(len(open_), bool)
+        accept[inside] = 2 * np.log(u[inside]) <= log_weight(k[inside], open_[inside]) - top[open_[inside]]
+        out[open_[accept]] = k[accept].astype(np.int64)
+        open_ = open_[~accept]
+    return out
 
 
 def _draw(rng, left: np.ndarray, n: int) -> np.ndarray:
@@ -97,7 +121,10 @@ def _chunk_draws(seed: int):
                 for c, n in zip(chunks, sizes):
                     d = _draw(rng, left, n)
                     left = left - d
-                    rows.append((test, int(batch), int(c), d.ravel().tolist()))
+                    rows.append((test, int(batch), int(c), d.ravel()))
+                    if len(rows) == DRAWS_HELD:
+                        yield pd.DataFrame(rows, columns=["test", "batch", "chunk", "draw"])
+                        rows = []
             yield pd.DataFrame(rows, columns=["test", "batch", "chunk", "draw"])
 
     return run
@@ -170,7 +197,10 @@ def _block_draws(seed: int):
                 for b, n in zip(blocks, lengths):
                     d = _draw(rng, left, n)
                     left = left - d
-                    rows.append((test, int(batch), int(b), d.ravel().tolist(), d.shape[1]))
+                    rows.append((test, int(batch), int(b), d.ravel(), d.shape[1]))
+                    if len(rows) == DRAWS_HELD:
+                        yield pd.DataFrame(rows, columns=["test", "batch", "block", "take", "k"])
+                        rows = []
             yield pd.DataFrame(rows, columns=["test", "batch", "block", "take", "k"])
 
     return run
@@ -197,7 +227,7 @@ def shuffle_many_values(rows: DataFrame, groups: DataFrame, reps: int, seed: int
     ``rows`` (id, y), ``groups`` (test, g, n) with few groups per test."""
     spark = rows.sparkSession
     total = rows.select(F.count(F.lit(1))).scalar()
-    blocks_n = F.least(F.greatest(F.ceil(total / ROWS_PER_BLOCK), F.lit(1)), F.lit(MAX_BLOCKS))
+    blocks_n = F.greatest(F.ceil(total / ROWS_PER_BLOCK), F.lit(1))
     placed = materialise(rows.withColumn("block", F.pmod(F.xxhash64("id"), blocks_n).cast("int")))
     lengths = placed.groupBy("block").agg(F.count(F.lit(1)).alias("n")).agg(F.sort_array(F.collect_list(F.struct("block", "n"))).alias("a"))
     sizes = groups.groupBy("test").agg(F.sort_array(F.collect_list(F.struct("g", "n"))).alias("a")).select("test", F.col("a.n").alias("sizes"))
@@ -318,7 +348,7 @@ def auc_null(scores: DataFrame, key: str, label: str, score: str, reps: int = 50
     m, n = r.select(F.sum("label")).scalar(), r.select(F.count(F.lit(1))).scalar()
 
     def auc(rank_sum: Column) -> Column:
-        return (rank_sum - m * (m + 1) / 2.0) / (m * (n - m))
+        return F.coalesce(F.try_divide(rank_sum - m * (m + 1) / 2.0, (m * (n - m)).cast("double")), F.lit(0.0))
 
     observed = r.filter("label = 1").agg(F.sum("y").alias("rs")).select(F.lit("auc").alias("test"), auc(F.col("rs")).alias("statistic"))
     sums = shuffle_many_values(r.select("id", "y"), groups, reps)
