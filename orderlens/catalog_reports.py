@@ -53,6 +53,17 @@ def _evaluate(s):
     return r6(out)
 
 
+def _months(s):
+    out = m.evaluate_months(s.star, ["dim_city.City"], {"dim_date.Date": ("1996-01-01", "1997-12-31"), "dim_customer.Membership": ["BUILDING", "MACHINERY"], "dim_menu.Category": ["none"]})
+    return r6(out)
+
+
+def _items_by_city(s):
+    """Two relationships in a row: predictions, their orders, the orders' restaurants."""
+    star = {**s.star, "ml_delivery_predictions": sample_predictions(s.base)}
+    return r6(m.evaluate(star, ["Delivery MAE", "Avg Actual"], ["dim_restaurant.Cuisine"], {"dim_customer.Membership": ["BUILDING"]}))
+
+
 def _customer_measures(s):
     names = ["Customers", "Ordering Customers", "Repeat Customers", "Retention Rate", "One-time Customers %", "Avg CLV"]
     return r6(m.evaluate(s.star, names, ["dim_customer.Membership"]))
@@ -136,6 +147,8 @@ QUERIES = {
     "restaurants_bottom10_per_city": lambda s: _score_rounded(st.bottom_per_city(s.score)),
     "export_star_schema": _export_star,
     "evaluate_measures": _evaluate,
+    "evaluate_months": _months,
+    "evaluate_chain": _items_by_city,
     "measures_kpi": _measures_kpi,
     "measures_time": lambda s: r6(m.measures_time(s.star)),
     "measures_revenue_30d": lambda s: r6(m.revenue_30d_avg(s.star)),

@@ -1,8 +1,9 @@
 """Named measures over the star schema.
 
 A measure is one aggregate expression with a home table. ``evaluate`` joins the
-home table to the dimensions that the grouping or the filters name, filters, and
-aggregates: the filter context of a report cell is its group."""
+home table to the dimensions that the grouping or the filters name, over as many
+relationships as it takes, filters, and aggregates: the filter context of a report
+cell is its group. ``evaluate_months`` does so for measures that look back in time."""
 
 from __future__ import annotations
 
@@ -93,44 +94,96 @@ def _split(name: str) -> tuple[str, str]:
     return table, col
 
 
+def _path(home: str, table: str, inactive: bool) -> list[tuple[str, str, str, str]] | None:
+    """The relationships (from, key, to, key) that lead from home to table, the shortest way; None if there is none."""
+    edges = {**RELATIONS, **(INACTIVE if inactive else {})}
+    ways, seen = [(home, [])], {home}
+    while ways:
+        at, way = ways.pop(0)
+        if at == table:
+            return way
+        for (one, many), (key, pk) in edges.items():
+            if one == at and many not in seen:
+                seen.add(many)
+                ways.append((many, [*way, (one, key, many, pk)]))
+    return None
+
+
 def _context(star, home: str, columns: list[str], inactive: bool) -> DataFrame:
     """The home table with the named foreign columns, called ``table.column``."""
-    df = star[home]
-    wanted: dict[str, list[str]] = {}
-    for c in columns:
-        table, col = _split(c)
-        wanted.setdefault(table, []).append(col)
-    for table, cols in wanted.items():
-        if table == home:
-            df = df.withColumns({f"{table}.{c}": F.col(c) for c in cols})
-            continue
-        rel = RELATIONS.get((home, table)) or (INACTIVE.get((home, table)) if inactive else None)
-        if rel is None:
+    df, reached = star[home], {home: None}
+    for table in dict.fromkeys(_split(c)[0] for c in columns):
+        way = _path(home, table, inactive)
+        if way is None:
             raise ValueError(f"{home} has no relationship to {table}")
-        key, pk = rel
-        dim = star[table].select(F.col(pk).alias("_pk"), *[F.col(c).alias(f"{table}.{c}") for c in cols])
-        df = df.join(dim, df[key] == dim["_pk"], "left").drop("_pk")
+        for one, key, many, pk in way:
+            if many in reached:
+                continue
+            dim = star[many].select(*[F.col(c).alias(f"{many}.{c}") for c in star[many].columns])
+            left = key if one == home else f"{one}.{key}"
+            df = df.join(dim, df[f"`{left}`"] == dim[f"`{many}.{pk}`"], "left")
+            reached[many] = None
+    own = [_split(c)[1] for c in columns if _split(c)[0] == home]
+    return df.withColumns({f"{home}.{c}": F.col(c) for c in own}) if own else df
+
+
+def _filtered(df: DataFrame, filters: dict) -> DataFrame:
+    for c, allowed in filters.items():
+        v = F.col(f"`{c}`")
+        df = df.filter(v.between(*allowed) if isinstance(allowed, tuple) else v.isin(*allowed))
     return df
 
 
 def evaluate(star, measures: list[str], by: list[str] = (), filters: dict | None = None, inactive: bool = False) -> DataFrame:
     """One row per group of ``by`` (``table.column`` names) with the measures.
 
-    ``filters`` maps a column to a list of values or a (from, to) tuple. Measures of
-    one call share their home table."""
+    ``filters`` maps a column to a list of values or a (from, to) tuple; a filter on a table that the home table has no
+    way to leaves the measures as they are. Measures of one call share their home table."""
     homes = {MEASURES[m][0] for m in measures}
     if len(homes) != 1:
         raise ValueError("measures of one call must share a home table")
     home = homes.pop()
-    filters = filters or {}
-    df = _context(star, home, list(dict.fromkeys([*by, *filters])), inactive)
-    for c, allowed in filters.items():
-        v = F.col(f"`{c}`")
-        df = df.filter(v.between(*allowed) if isinstance(allowed, tuple) else v.isin(*allowed))
+    filters = {c: v for c, v in (filters or {}).items() if _path(home, _split(c)[0], inactive) is not None}
+    df = _filtered(_context(star, home, list(dict.fromkeys([*by, *filters])), inactive), filters)
     keys = [F.col(f"`{c}`").alias(_split(c)[1]) for c in by]
     return df.groupBy(*keys).agg(*[MEASURES[m][1]().alias(m) for m in measures])
 
 
+def evaluate_months(star, by: list[str] = (), filters: dict | None = None, days: int = 60) -> DataFrame:
+    """Total Revenue, Revenue PM, Revenue MoM % and Active Customers per month and group of ``by``, under the filters.
+
+    A filter on the date ends what is shown, but a month before it, and the days up to a month's end, still count for
+    the months that are shown, as in a report. Months without orders in a group have no row; the month before is looked up
+    on the calendar, so a gap gives NULL."""
+    filters = {c: v for c, v in (filters or {}).items() if _path("fact_orders", _split(c)[0], False) is not None}
+    dates = {c: v for c, v in filters.items() if _split(c)[0] == "dim_date"}
+    rest = {c: v for c, v in filters.items() if c not in dates}
+    df = _filtered(_context(star, "fact_orders", list(dict.fromkeys([*by, *rest])), False), rest)
+    keys = [_split(c)[1] for c in by]
+    df = df.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(by, keys, strict=True)], "OrderDate", "CustomerID", F.when(done(), F.col("FinalAmount")).alias("_r"))
+    month = F.trunc("OrderDate", "month").alias("MonthStart")
+    revenue_ = df.groupBy(*keys, month).agg(F.sum("_r").alias("Total Revenue"))
+    before = revenue_.select(*keys, F.to_date(F.add_months("MonthStart", 1)).alias("MonthStart"), F.col("Total Revenue").alias("Revenue PM"))
+    shown = _filtered(star["dim_date"].select(*[F.col(c).alias(f"dim_date.{c}") for c in star["dim_date"].columns]), dates)
+    months = shown.select(F.col("`dim_date.MonthStart`").alias("MonthStart")).distinct()
+    spine = month_spine(star).join(months, "MonthStart")
+    ahead = days // 28 + 1
+    each = df.withColumn("MonthStart", F.explode(F.array(*[F.add_months(F.trunc("OrderDate", "month"), k) for k in range(ahead + 1)])))
+    live = each.join(spine, "MonthStart").filter((F.col("OrderDate") > F.date_sub("MonthEnd", days)) & (F.col("OrderDate") <= F.col("MonthEnd")))
+    active = live.groupBy(*keys, "MonthStart").agg(F.count_distinct("CustomerID").alias("Active Customers"))
+    on = [*keys, "MonthStart"]
+    out = _null_safe(_null_safe(revenue_, before, on), active, on).join(months, "MonthStart")
+    change = ratio(F.col("Total Revenue") - F.col("Revenue PM"), F.col("Revenue PM"))
+    return out.select(*keys, "MonthStart", "Total Revenue", "Revenue PM", change.alias("Revenue MoM %"), "Active Customers")
+
+
+def _null_safe(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Left join in which NULL keys meet."""
+    other = right.select(*[F.col(c).alias(f"_r_{c}") for c in on], *[c for c in right.columns if c not in on])
+    cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in on])
+    return left.join(other, cond, "left").drop(*[f"_r_{c}" for c in on])
+
+
 # --------------------------------------------------------- time intelligence
 def month_spine(star) -> DataFrame:
     return star["dim_date"].groupBy("MonthStart").agg(F.max("Date").alias("MonthEnd"))
