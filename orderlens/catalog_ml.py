@@ -10,9 +10,10 @@ from orderlens.ml import metrics as mt
 from orderlens.ml import models as ml
 from orderlens.ml import prep
 from orderlens.ml.scores import segment_rates
+from orderlens.plans import measures as m
 from orderlens.plans.kpis import union
 from orderlens.plans.star import top_features
-from orderlens.session import new_folder
+from orderlens.session import materialise, new_folder
 from orderlens.sources import files
 
 
@@ -84,23 +85,60 @@ def _selected(s):
     return union(out)
 
 
-def _save(s):
-    task, name, folder = s.churning, "Decision Tree", new_folder(s.spark)
-    ml.save_model(s.fitted("churn", name), task, folder, name)
-    from pyspark.ml.classification import DecisionTreeClassificationModel
+SELECTION = {"delivery": ("CV_R2_mean", "permutation_mse_increase"), "churn": ("CV_AUC", "auc_drop_when_shuffled")}
+
+
+def _chosen(s, which):
+    """The task, the name of the model that cross-validation chose, and the model."""
+    _, fitted, name = _comparison(s, which)
+    return (s.delivery if which == "delivery" else s.churning), name, fitted[name]
+
+
+def _model_rows(s, which):
+    """The comparison with all its scores; for delivery times also the leakage demonstration."""
+    rows = _comparison(s, which)[0].withColumn("task", F.lit(which))
+    return union([rows, ml.leakage_demo(s.delivery).withColumn("task", F.lit(which))]) if which == "delivery" else rows
+
+
+def _importance(s, which):
+    task, _, model = _chosen(s, which)
+    return s.keep(f"importance/{which}", lambda: materialise(ml.permutation_importance(task, model)))
+
 
-    back = DecisionTreeClassificationModel.load(f"{folder}/model")
-    return task.predict(back, task.test)
+def model_tables(s) -> dict:
+    """The six model tables of the star schema, from the models that cross-validation chose."""
+    delivery, _, delivery_model = _chosen(s, "delivery")
+    churn, _, churn_model = _chosen(s, "churn")
+    return {
+        "ml_delivery_predictions": ml.delivery_predictions(delivery, delivery_model), "ml_churn_scores": ml.churn_scores(churn, churn_model),
+        "ml_delivery_feature_importance": top_features(_importance(s, "delivery"), SELECTION["delivery"][1]),
+        "ml_churn_feature_importance": top_features(_importance(s, "churn"), SELECTION["churn"][1]),
+        "ml_model_comparison_delivery": _model_rows(s, "delivery").drop("task"), "ml_model_comparison_churn": _model_rows(s, "churn").drop("task"),
+    }
+
+
+def _importance_measures(s):
+    star = {**s.star, **model_tables(s)}
+    parts = [m.evaluate(star, [name], [f"{table}.feature"]).select(F.lit(name).alias("measure"), "feature", F.col(name).alias("value"))
+             for name, table in (("Delivery Importance", "ml_delivery_feature_importance"), ("Churn Importance", "ml_churn_feature_importance"))]
+    return union(parts)
+
+
+def _export_full_star(s):
+    """All seventeen tables: eleven of the star, six of the models."""
+    folder, tables = new_folder(s.spark), {**s.star, **model_tables(s)}
+    files.export_tables(tables, folder, by_month=("fact_orders",))
+    return union([s.spark.read.parquet(f"{folder}/{n}").agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("n")) for n in tables])
+
+
+def _save(s):
+    (task, name, model), folder = _chosen(s, "churn"), new_folder(s.spark)
+    ml.save_model(model, task, folder, name)
+    return task.predict(type(model).load(f"{folder}/model"), task.test)
 
 
 def _export_ml(s):
-    folder = new_folder(s.spark)
-    task = s.delivery
-    model = s.fitted("delivery", "Decision Tree")
-    imp = ml.impurity_importance(task, model)
-    tables = {"ml_delivery_predictions": ml.delivery_predictions(task, model),
-              "ml_delivery_feature_importance": top_features(imp, "impurity_importance"),
-              "ml_churn_scores": ml.churn_scores(s.churning, s.fitted("churn", "Decision Tree"))}
+    folder, tables = new_folder(s.spark), model_tables(s)
     files.export_tables(tables, folder)
     return union([s.spark.read.parquet(f"{folder}/{n}").agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("n")) for n in tables])
 
@@ -123,17 +161,19 @@ QUERIES = {
     "cross_validate": _cv,
     "random_search": _random_search,
     "grid_search": _grid_search,
-    "model_comparison": lambda s: union([_comparison(s, w)[0].select(F.lit(w).alias("task"), "Model", "Stage") for w in ("delivery", "churn")]),
+    "model_comparison": lambda s: union([_model_rows(s, w) for w in ("delivery", "churn")]),
     "select_by_cv": _selected,
     "leakage_demo": lambda s: ml.leakage_demo(s.delivery),
     "impurity_importance": lambda s: ml.impurity_importance(s.delivery, s.fitted("delivery", "Random Forest")),
-    "permutation_importance": lambda s: ml.permutation_importance(s.delivery, s.fitted("delivery", "Decision Tree")),
-    "permutation_importance_churn": lambda s: ml.permutation_importance(s.churning, s.fitted("churn", "Decision Tree")),
-    "delivery_predictions": lambda s: ml.delivery_predictions(s.delivery, s.fitted("delivery", "Random Forest")),
-    "churn_scores": lambda s: ml.churn_scores(s.churning, s.fitted("churn", "Gradient Boosting")),
+    "permutation_importance": lambda s: _importance(s, "delivery"),
+    "permutation_importance_churn": lambda s: _importance(s, "churn"),
+    "delivery_predictions": lambda s: model_tables(s)["ml_delivery_predictions"],
+    "churn_scores": lambda s: model_tables(s)["ml_churn_scores"],
     "target_shuffle_test": lambda s: ml.target_shuffle(s.delivery),
     "save_model": _save,
     "export_ml_tables": _export_ml,
+    "export_full_star": _export_full_star,
+    "measures_importance": _importance_measures,
 }
 
 

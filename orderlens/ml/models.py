@@ -233,7 +233,7 @@ def churn_scores(task: Task, model) -> DataFrame:
 
 def target_shuffle(task: Task, repeats: int = 5, seed: int = SEED) -> DataFrame:
     """R2 of a model fitted on the true target and on shuffled targets."""
-    model = task.models["Decision Tree"]
+    model = task.models["Random Forest"]
     first = task.judge(task.predict(model.fit(task.train), task.test)).select(F.lit(0).alias("shuffle"), "R2")
     parts = [first]
     order = mt.donors(task.train, task.key, repeats, seed)
