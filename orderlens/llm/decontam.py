@@ -89,7 +89,7 @@ def _segment(number: int, rows: list[tuple], lengths: list[int], coded: list[np.
     for (doc, rid, text), n, base in zip(rows, lengths, bases.tolist(), strict=False):
         yield blank | {"kind": DOC if doc is not None else NO_ID, "doc": doc or 0, "rid": rid, "text_hash": text, "n_words": n, "base": base}
     codes = np.concatenate(coded)
-    if not len(codes):
+    if not (codes >= 0).any():
         return
     places = np.concatenate([np.arange(len(c), dtype=np.int64) + b for c, b in zip(coded, bases.tolist(), strict=False)])
     held = codes >= 0

@@ -108,7 +108,8 @@ def entropy_spans(text: str, raw: bytes, base: list[tuple[int, int, int]]) -> li
         run = m.group()
         if not any(c.isdigit() for c in run) or any(p.fullmatch(run) for p in ALLOW):
             continue
-        if text[max(0, m.start() - 3) : m.start()].endswith(("//", "@", ".")) or text[m.end() : m.end() + 1] == "@":
+        before = text[max(0, m.start() - 1) : m.start()]
+        if before in ("@", ".") or (before == ":" and run.startswith("//")) or text[m.end() : m.end() + 1] == "@":
             continue  # part of an address
         if any(a < m.end() and m.start() < b for a, _, b in base):
             continue  # a base span tells of it
