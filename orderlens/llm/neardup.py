@@ -1,8 +1,9 @@
 """Near-duplicate documents: banded MinHash, odd sketches, exact confirmation, connected components.
 
-1. Each row gets the set of its word shingles (64-bit hashes), ``SAMPLES`` MinHash values, and an odd sketch: each
-   (sample number, value) flips one bit of a bitmap, so that the population count of the XOR of two bitmaps tells how
-   many samples differ, and with that the similarity, most precisely where it is high.
+1. Each row gets the set of its word shingles (64-bit hashes), ``SAMPLES`` MinHash values for bands, and an odd sketch:
+   the hash space is cut into ``BINS`` bins, the smallest value of each bin (one-permutation MinHash) flips one bit of a
+   bitmap, and so the population count of the XOR of two bitmaps tells how many samples differ, and with that the
+   similarity, most precisely where it is high. Sets smaller than the bins are sampled almost whole.
 2. Rows of equal sets are one node from here on (their similarity is 1).
 3. Bands of MinHash values give buckets. A bucket proposes a star: its pivot with each other member, so proposals grow
    with the rows and not with the square of a bucket. Proposals that fail the size bound or whose sketches lie far
@@ -14,7 +15,7 @@
 5. Components are found by alternating star contraction on the links; all steps are joins and aggregates.
 
 Rows per band follow from the threshold: a pair at the threshold shares no band with a probability of at most
-``MISS``. The sketch bound lies ``SIGMAS`` standard deviations below the threshold.
+``MISS``. A pair goes by its sketches only if they differ by ``SIGMAS`` standard deviations more than at the threshold.
 
 Cases: null or blank text has no shingles and no links. A text of fewer words than a shingle is one shingle. A null id
 takes part; it is never the smallest of a component. Repeated rows are rows.
@@ -27,15 +28,14 @@ from collections.abc import Iterator
 from functools import partial, reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.common import materialise, mix64, string_hashes, text_bytes
 
-SAMPLES, SKETCH_WORDS, SIGMAS, MISS = 128, 8, 5.0, 1e-6
+SAMPLES, BINS, SKETCH_WORDS, SIGMAS, MISS = 128, 2048, 32, 5.0, 1e-6
 BLOCK = 256
 CHUNK = 1 << 15
 #: a node's number: its row, below this bound, after a rank that puts larger classes first
@@ -90,20 +90,39 @@ def minhashes(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def odd_sketch(samples: np.ndarray) -> np.ndarray:
-    bits = SKETCH_WORDS * 64
-    spot = (mix64(samples ^ FLIPS[::-1]) % np.uint64(bits)).astype(np.int64)
-    flat = np.arange(len(samples))[:, None] * bits + spot
-    parity = np.bincount(flat.ravel(), minlength=len(samples) * bits) & 1
-    return np.packbits(parity.astype(np.uint8).reshape(len(samples), bits), axis=1, bitorder="little").view(np.uint64)
+def odd_sketch(sets: list[np.ndarray]) -> np.ndarray:
+    """(documents, SKETCH_WORDS) bitmaps of the bins' smallest values; the sets are sorted."""
+    bits, out = SKETCH_WORDS * 64, []
+    shift = np.uint64(64 - BINS.bit_length() + 1)
+    for start in range(0, len(sets), 500):
+        part = sets[start : start + 500]
+        spots = []
+        for i, s in enumerate(part):
+            bin_ = s >> shift
+            smallest = s[np.concatenate([[True], bin_[1:] != bin_[:-1]])[: len(s)]]
+            spots.append((mix64(smallest ^ FLIPS[0]) % np.uint64(bits)).astype(np.int64) + i * bits)
+        flips = np.bincount(np.concatenate(spots), minlength=len(part) * bits) & 1
+        out.append(np.packbits(flips.astype(np.uint8).reshape(len(part), bits), axis=1, bitorder="little").view(np.uint64))
+    return np.concatenate(out)
+
+
+def most_differing(n_a, n_b, percent: int, exp, sqrt):
+    """XOR population count up to which two sketches may belong to sets of these sizes at the threshold; for numbers,
+    arrays and columns alike, with their functions."""
+    t, bits = percent / 100, SKETCH_WORDS * 64
+    load = (n_a + n_b) * (1 / (1 + t) / BINS)  # of the union, per bin
+    empty = exp(-1 * load)
+    changed = (1 - empty) * (BINS * (1 - t))  # bins whose smallest value only one set has
+    both = 1 - load * empty / (1 - empty)  # of them, those where the other set has another value
+    flips = changed * (1 + both)
+    hidden = 1 - (1 - empty) / load  # values that a smaller one of the same bin hides
+    slope = exp(flips * (-2 / bits))
+    spread = changed * (hidden * (1 + both) * (1 + both) * t + both * (1 - both)) * slope * slope + flips * flips * (2 / bits) * slope + 1
+    return (1 - slope) * (bits / 2) + sqrt(spread) * SIGMAS
 
 
-def most_differing(percent: int) -> int:
-    """XOR population count up to which two sketches may belong to sets at the threshold."""
-    t, bits = percent / 100, SKETCH_WORDS * 64
-    low = max(0.0, t - SIGMAS * math.sqrt(t * (1 - t) / SAMPLES))
-    mean = bits / 2 * (1 - (1 - 2 / bits) ** (2 * SAMPLES * (1 - low)))
-    return math.ceil(mean + 3 * math.sqrt(mean / 2))
+def _most(n_a: np.ndarray, n_b: int, percent: int) -> np.ndarray:
+    return most_differing(n_a, n_b, percent, np.exp, np.sqrt)
 
 
 def band_hashes(samples: np.ndarray, rows: int) -> np.ndarray:
@@ -129,9 +148,8 @@ def _sign(part: Iterator[pa.RecordBatch], k: int, rows: int) -> Iterator[pa.Reco
         digests = np.frombuffer(b"".join(xxhash.xxh3_128_digest(s.tobytes()) for s in sets), "<i8").reshape(-1, 2)
         sketch, bands = np.zeros((len(sets), SKETCH_WORDS), np.uint64), [[] for _ in sets]
         if len(full):
-            samples = minhashes([sets[i] for i in full])
-            sketch[full] = odd_sketch(samples)
-            for i, row in zip(full.tolist(), band_hashes(samples, rows).view(np.int64), strict=True):
+            sketch[full] = odd_sketch([sets[i] for i in full])
+            for i, row in zip(full.tolist(), band_hashes(minhashes([sets[i] for i in full]), rows).view(np.int64), strict=True):
                 bands[i] = row
         columns = [*(batch.column(i) for i in range(3)), pa.array(n, pa.int64()), pa.array(digests[:, 0]), pa.array(digests[:, 1])]
         columns += [pa.array(np.ascontiguousarray(sketch[:, i]).view(np.int64)) for i in range(SKETCH_WORDS)]
@@ -146,7 +164,8 @@ def _likely(percent: int) -> Column:
     """The pair's sizes and sketches allow a similarity at the threshold."""
     differing = reduce(lambda x, y: x + y, [F.bit_count(F.col(f"a_{s}").bitwiseXOR(F.col(f"b_{s}"))) for s in SKETCH])
     small, large = F.least("a_n", "b_n"), F.greatest("a_n", "b_n")
-    return (small * 100 >= large * percent) & (differing <= most_differing(percent))
+    most = most_differing(F.col("a_n"), F.col("b_n"), percent, F.exp, F.sqrt)
+    return (small * 100 >= large * percent) & (differing <= most)
 
 
 def _side(nodes: DataFrame, side: str, columns: list[str]) -> DataFrame:
@@ -211,6 +230,13 @@ def components(links: DataFrame) -> DataFrame:
     return low.union(edges.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
 
 
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels after more links: what is known enters as one link for each node to its component."""
+    if links.isEmpty():
+        return labels
+    return materialise(components(links.select("a", "b").union(labels.where("node <> comp").select("node", "comp"))))
+
+
 def _label(df: DataFrame, labels: DataFrame, side: str) -> DataFrame:
     named = labels.select(F.col("node").alias(side), F.col("comp").alias(f"{side}_comp"))
     return df.join(named, side, "left").withColumn(f"{side}_comp", F.coalesce(f"{side}_comp", side))
@@ -220,22 +246,38 @@ def _between(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return _label(_label(pairs, labels, "a"), labels, "b").where("a_comp <> b_comp").select("a", "b")
 
 
-def _compare(percent: int):
-    most = most_differing(percent)
+UNIT = ["bh", "i", "j", "outer", "node", "comp", "n", *SKETCH]
 
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        """Pairs of the unit's outer members with its other members that sizes, sketches and components allow."""
-        outer, every = rows[rows["outer"]], rows[~rows["outer"]]
-        x, y = (r[SKETCH].to_numpy(np.int64).view(np.uint64) for r in (outer, every))
-        n, comp, node = (every[c].to_numpy(np.int64) for c in ("n", "comp", "node"))
-        found = []
-        for mine, size, c, v in zip(x, outer["n"].tolist(), outer["comp"].tolist(), outer["node"].tolist(), strict=True):
-            near = np.bitwise_count(y ^ mine).sum(axis=1) <= most
-            near &= (comp != c) & (np.minimum(n, size) * 100 >= np.maximum(n, size) * percent)
-            found += [(min(v, w), max(v, w)) for w in node[near].tolist()]
-        return pd.DataFrame(sorted(set(found)), columns=["a", "b"], dtype="int64")
 
-    return compare
+def _compare(part: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs of a unit's outer members with its other members that sizes, sketches and components allow. The rows come in
+    the order of their units; one unit, of at most about 2 * BLOCK rows, is held at a time."""
+    rest = None
+    for batch in part:
+        if not batch.num_rows:
+            continue
+        rows = np.column_stack([np.asarray(c.cast(pa.int64()), np.int64) for c in batch.columns])
+        rows = rows if rest is None else np.concatenate([rest, rows])
+        cuts = np.flatnonzero((rows[1:, :3] != rows[:-1, :3]).any(axis=1)) + 1
+        units = np.split(rows, cuts)
+        rest = units.pop()
+        yield _pairs(units, percent)
+    if rest is not None:
+        yield _pairs([rest], percent)
+
+
+def _pairs(units: list[np.ndarray], percent: int) -> pa.RecordBatch:
+    found: set[tuple[int, int]] = set()
+    for unit in units:
+        outer, every = unit[unit[:, 3] == 1], unit[unit[:, 3] == 0]
+        node, comp, n, sketch = every[:, 4], every[:, 5], every[:, 6], every[:, 7:].view(np.uint64)
+        for row in outer:
+            near = (comp != row[5]) & (np.minimum(n, row[6]) * 100 >= np.maximum(n, row[6]) * percent)
+            near = np.flatnonzero(near)
+            near = near[np.bitwise_count(sketch[near] ^ row[7:].view(np.uint64)).sum(axis=1) <= _most(n[near], row[6], percent)]
+            found.update((min(row[4], w), max(row[4], w)) for w in node[near].tolist())
+    pairs = np.array(sorted(found), np.int64).reshape(-1, 2)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
 
 def _residual(bands: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
@@ -249,10 +291,10 @@ def _residual(bands: DataFrame, nodes: DataFrame, labels: DataFrame, percent: in
     spot = F.xxhash64("node")
     rows = F.ceil(F.col("members") / BLOCK).cast("long")
     outer = F.ceil((F.col("members") - F.col("largest")) / BLOCK).cast("long")
-    columns = ["bh", "i", "j", "outer", "node", "comp", "n", *SKETCH]
-    every = full.withColumn("outer", F.lit(False)).withColumn("j", F.pmod(spot, rows)).withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), outer - 1)))
-    rest = full.where("comp <> main").withColumn("outer", F.lit(True)).withColumn("i", F.pmod(spot, outer)).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), rows - 1)))
-    return every.select(columns).union(rest.select(columns)).groupBy("bh", "i", "j").applyInPandas(_compare(percent), "a long, b long").distinct()
+    every = full.withColumn("outer", F.lit(0)).withColumn("j", F.pmod(spot, rows)).withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), outer - 1)))
+    rest = full.where("comp <> main").withColumn("outer", F.lit(1)).withColumn("i", F.pmod(spot, outer)).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), rows - 1)))
+    units = every.select(UNIT).union(rest.select(UNIT)).repartition("bh", "i", "j").sortWithinPartitions("bh", "i", "j")
+    return units.mapInArrow(partial(_compare, percent=percent), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -271,14 +313,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     likely = materialise(_likely_pairs(stars, nodes, percent))
     first = materialise(likely.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
     sets = _sets_of(likely, nodes, docs, k)
-    links = _confirmed(first, sets, percent)
-    labels = materialise(components(links))
+    labels = materialise(components(_confirmed(first, sets, percent)))
     more = materialise(_between(likely.join(first, ["a", "b"], "left_anti"), labels))
-    links = links.union(_confirmed(more, sets, percent))
-    labels = materialise(components(links))
+    labels = _merged(labels, _confirmed(more, sets, percent))
     rest = materialise(_residual(bands, nodes, labels, percent).join(likely, ["a", "b"], "left_anti"))
-    links = links.union(_confirmed(rest, _sets_of(rest, nodes, docs, k), percent))
-    labels = materialise(components(links))
+    if not rest.isEmpty():
+        labels = _merged(labels, _confirmed(rest, _sets_of(rest, nodes, docs, k), percent))
     return _result(signed, classes, labels)
 
 
