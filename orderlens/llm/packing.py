@@ -28,44 +28,52 @@ from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import materialise
+from orderlens.llm.common import materialise, text_bytes
 
 GAP = 0.0005
 HALVE_ABOVE = 0.005
-CACHE_WORDS = 500_000
+CACHE_WORDS = 1_000_000
+_MARKS = b".,;:!?"
 
-_tokenizers: dict[str, tuple] = {}
+_known: dict[str, dict] = {}
 
 
-def _tokenizer(path: str):
-    """The tokenizer and the ids, as bytes, of the words this worker has met."""
-    if path not in _tokenizers:
+class Words(dict):
+    """Ids of words, as little-endian 32-bit words, that this worker has met. A word that marks follow is that word and
+    the marks: the vocabulary splits there."""
+
+    def __init__(self, path: str):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        _tokenizers[path] = (Tokenizer.from_file(path), {"": b""})
-    return _tokenizers[path]
+        super().__init__()
+        self.tokenizer = Tokenizer.from_file(path)
+
+    def __missing__(self, word: bytes) -> bytes:
+        core = word.rstrip(_MARKS)
+        if core != word and core and 97 <= core[-1] <= 122:
+            ids = self[core] + self[word[len(core) :]]
+        else:
+            ids = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+        self[word] = ids
+        return ids
 
 
-def token_bytes(texts: list[str], path: str) -> list[bytes]:
-    """The ids of each text as little-endian 32-bit words. The vocabulary never merges across blanks, so what stands
-    between blanks and line ends is tokenised once and looked up afterwards."""
-    tokenizer, known = _tokenizer(path)
-    split = [t.replace("\n", " ").split(" ") for t in texts]
+def token_bytes(texts: list[bytes], path: str) -> list[bytes]:
+    """The ids of each text (UTF-8). The vocabulary is one of lower case and never merges across blanks, so what stands
+    between blanks and line ends is tokenised once and looked up afterwards; texts that may hold a special token keep their case."""
+    known = _known.get(path) or _known.setdefault(path, Words(path))
     if len(known) > CACHE_WORDS:
         known.clear()
-        known[""] = b""
-    new = list({w for words in split for w in words}.difference(known))
-    for word, encoded in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-        known[word] = np.array(encoded.ids, "<u4").tobytes()
-    return [b"".join(map(known.__getitem__, words)) for words in split]
+    known[b""] = b""
+    get = known.__getitem__
+    return [b"".join(map(get, (t if b"<|" in t else t.lower()).replace(b"\n", b" ").split(b" "))) for t in texts]
 
 
 PIECES = "row long, part int, doc_id long, start long, length long, ids_crc32 long, head_crc32 long, tail_crc32 long, doc_tokens long"
@@ -79,8 +87,7 @@ def _pieces(part: Iterator[pa.RecordBatch], path: str, seq_len: int, end_id: int
     types = [pa.int64(), pa.int32(), *[pa.int64()] * 7]
     for batch in part:
         out = []
-        texts = [t or "" for t in batch.column(1).to_pylist()]
-        for doc, ids in zip(batch.column(0).to_pylist(), token_bytes(texts, path), strict=True):
+        for doc, ids in zip(batch.column(0).to_pylist(), token_bytes(batch.column(1).to_pylist(), path), strict=True):
             ids = memoryview(ids + end)
             n = len(ids) // 4
             for start in range(0, n, seq_len):
@@ -213,7 +220,7 @@ class Slots:
 def pack(docs: DataFrame, tokenizer: str, seq_len: int = 2048, end_id: int = 1, unit: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset. ``tokenizer`` is the path
     of a vocabulary file that every executor has; seq_len is a multiple of 2 * unit."""
-    narrow = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
+    narrow = docs.select(F.col(id_col).cast("long"), text_bytes(text_col))
     pieces = materialise(narrow.mapInArrow(partial(_pieces, path=tokenizer, seq_len=seq_len, end_id=end_id), PIECES))
     size = F.ceil(F.col("length") / unit).cast("int")
     short = pieces.where(F.col("length") < seq_len).withColumn("size", size)
@@ -237,16 +244,13 @@ def pack(docs: DataFrame, tokenizer: str, seq_len: int = 2048, end_id: int = 1,
     ranked = short.withColumn("local", local).join(before.select("size", "part", F.coalesce("before", F.lit(0)).alias("before")), ["size", "part"])
     ranked = ranked.withColumn("rank", F.col("local") + F.col("before"))
 
-    def place(part: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in part:
-            sequence, order = slots.place(rows["size"].to_numpy(), rows["rank"].to_numpy(np.int64))
-            out = rows[["doc_id", "start", "length", "ids_crc32", "doc_tokens"]].copy()
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            out["sequence_id"], out["ord"] = sequence, order
-            yield out
+    def place(part: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in part:
+            sequence, order = slots.place(*(np.asarray(batch.column(i), np.int64) for i in (5, 6)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(sequence), pa.array(order)], names=[*batch.schema.names[:5], "sequence_id", "ord"])
 
     columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
-    placed = ranked.select(*columns, "size", "rank").mapInPandas(place, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, ord long")
+    placed = ranked.select(*columns, "size", "rank").mapInArrow(place, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, ord long")
     inside = Window.partitionBy("sequence_id").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)  # at most seq_len pieces
     placed = placed.withColumn("offset", F.coalesce(F.sum("length").over(inside), F.lit(0).cast("long"))).drop("ord")
     whole = pieces.where(F.col("length") == seq_len).select(*columns, (F.col("row") + F.lit(slots.sequences)).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
