@@ -246,17 +246,19 @@ def _between(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return _label(_label(pairs, labels, "a"), labels, "b").where("a_comp <> b_comp").select("a", "b")
 
 
-UNIT = ["bh", "i", "j", "outer", "node", "comp", "n", *SKETCH]
+UNIT = ["bh", "i", "j", "outer", "node", "comp", "n", *SKETCH, "bands"]
 
 
 def _compare(part: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of a unit's outer members with its other members that sizes, sketches and components allow. The rows come in
-    the order of their units; one unit, of at most about 2 * BLOCK rows, is held at a time."""
+    """Pairs of a unit's outer members with its other members that sizes, sketches and components allow, each in the
+    first band that they share only. The rows come in the order of their units; one unit, of at most about 2 * BLOCK rows,
+    is held at a time."""
     rest = None
     for batch in part:
         if not batch.num_rows:
             continue
-        rows = np.column_stack([np.asarray(c.cast(pa.int64()), np.int64) for c in batch.columns])
+        bands = np.asarray(batch.column(batch.num_columns - 1).flatten(), np.int64).reshape(batch.num_rows, -1)
+        rows = np.column_stack([*(np.asarray(c.cast(pa.int64()), np.int64) for c in batch.columns[:-1]), bands])
         rows = rows if rest is None else np.concatenate([rest, rows])
         cuts = np.flatnonzero((rows[1:, :3] != rows[:-1, :3]).any(axis=1)) + 1
         units = np.split(rows, cuts)
@@ -270,11 +272,13 @@ def _pairs(units: list[np.ndarray], percent: int) -> pa.RecordBatch:
     found: set[tuple[int, int]] = set()
     for unit in units:
         outer, every = unit[unit[:, 3] == 1], unit[unit[:, 3] == 0]
-        node, comp, n, sketch = every[:, 4], every[:, 5], every[:, 6], every[:, 7:].view(np.uint64)
+        node, comp, n, sketch, bands = every[:, 4], every[:, 5], every[:, 6], every[:, 7 : 7 + SKETCH_WORDS].view(np.uint64), every[:, 7 + SKETCH_WORDS :]
+        earlier = int((bands[0] == every[0, 0]).argmax()) if len(every) else 0  # bands before this unit's
         for row in outer:
             near = (comp != row[5]) & (np.minimum(n, row[6]) * 100 >= np.maximum(n, row[6]) * percent)
             near = np.flatnonzero(near)
-            near = near[np.bitwise_count(sketch[near] ^ row[7:].view(np.uint64)).sum(axis=1) <= _most(n[near], row[6], percent)]
+            near = near[(bands[near, :earlier] != row[7 + SKETCH_WORDS :][:earlier]).all(axis=1)]
+            near = near[np.bitwise_count(sketch[near] ^ row[7 : 7 + SKETCH_WORDS].view(np.uint64)).sum(axis=1) <= _most(n[near], row[6], percent)]
             found.update((min(row[4], w), max(row[4], w)) for w in node[near].tolist())
     pairs = np.array(sorted(found), np.int64).reshape(-1, 2)
     return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
@@ -287,14 +291,14 @@ def _residual(bands: DataFrame, nodes: DataFrame, labels: DataFrame, percent: in
     per = held.groupBy("bh", "node_comp").agg(F.count("*").alias("size"))
     mixed = per.groupBy("bh").agg(F.count("*").alias("comps"), F.max("size").alias("largest"), F.sum("size").alias("members")).where("comps > 1 and members > 2")
     main = per.join(mixed, "bh").where("size = largest").groupBy("bh").agg(F.min("node_comp").alias("main"), F.max("members").alias("members"), F.max("largest").alias("largest"))
-    full = held.select("bh", "node", F.col("node_comp").alias("comp")).join(main, "bh").join(nodes.select("node", "n", *SKETCH), "node")
+    full = held.select("bh", "node", F.col("node_comp").alias("comp")).join(main, "bh").join(nodes.select("node", "n", *SKETCH, "bands"), "node")
     spot = F.xxhash64("node")
     rows = F.ceil(F.col("members") / BLOCK).cast("long")
     outer = F.ceil((F.col("members") - F.col("largest")) / BLOCK).cast("long")
     every = full.withColumn("outer", F.lit(0)).withColumn("j", F.pmod(spot, rows)).withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), outer - 1)))
     rest = full.where("comp <> main").withColumn("outer", F.lit(1)).withColumn("i", F.pmod(spot, outer)).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), rows - 1)))
     units = every.select(UNIT).union(rest.select(UNIT)).repartition("bh", "i", "j").sortWithinPartitions("bh", "i", "j")
-    return units.mapInArrow(partial(_compare, percent=percent), "a long, b long").distinct()
+    return units.mapInArrow(partial(_compare, percent=percent), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -309,7 +313,6 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     bands = nodes.select("node", F.explode("bands").alias("bh"))
     pivots = bands.groupBy("bh").agg(F.min("node").alias("a"), F.count("*").alias("members")).where("members > 1").drop("members")
     stars = bands.join(pivots, "bh").where("node <> a").select("a", F.col("node").alias("b")).distinct()
-    nodes = nodes.drop("bands")
     likely = materialise(_likely_pairs(stars, nodes, percent))
     first = materialise(likely.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
     sets = _sets_of(likely, nodes, docs, k)
