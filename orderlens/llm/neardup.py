@@ -7,8 +7,7 @@
 2. Rows of equal sets are one node from here on (their similarity is 1).
 3. Bands of MinHash values give buckets. A bucket proposes a star: its pivot with each other member, so proposals grow
    with the rows and not with the square of a bucket. Proposals that fail the size bound or whose sketches lie far
-   below the threshold go; the others are confirmed on the full sets, first one proposal for each node, then those
-   that still join two components.
+   below the threshold go; the others are confirmed on the full sets.
 4. Buckets that still hold several components have pairs that no star has proposed. They are compared sketch by sketch,
    in blocks of bounded size: members outside the bucket's largest component against all members of other components.
    What the sketches cannot rule out is confirmed on the full sets too. No bucket is capped.
@@ -40,8 +39,8 @@ BLOCK = 256
 CHUNK = 1 << 15
 #: a node's number: its row, below this bound, after a rank that puts larger classes first
 ROW_BITS = 56
-#: nodes (24 bytes each) that may be broadcast to find their texts
-BROADCAST_NODES = 500_000
+#: stored rows (of at most 24 bytes) that may be broadcast; more of them meet the other side in an exchange
+BROADCAST_ROWS = 500_000
 
 _SEEDS = mix64(np.arange(1, 2 * SAMPLES + 1, dtype=np.uint64))
 FLIPS, FACTORS = _SEEDS[:SAMPLES], _SEEDS[SAMPLES:] | np.uint64(1)
@@ -193,14 +192,18 @@ def _sets(part: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingles(t, k).tobytes() for t in batch.column(1).to_pylist()], pa.binary())], names=["node", "shingles"])
 
 
+def _hinted(stored: DataFrame) -> DataFrame:
+    """A stored table, to be broadcast if it is small."""
+    return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored
+
+
 def _sets_of(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
     """(node, shingles), stored: the full sets of the nodes in the pairs, from their texts. Few nodes travel to the
     documents; many meet them in a join, which moves the texts once."""
     used = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     wanted = materialise(nodes.join(used, "node", "left_semi").select("node", "doc_id", "text_hash"))
     texts = docs.withColumn("text_hash", text_hash("text")).withColumnRenamed("doc_id", "d")
-    few = F.broadcast(wanted) if wanted.count() <= BROADCAST_NODES else wanted
-    held = texts.join(few, (texts["text_hash"] == wanted["text_hash"]) & texts["d"].eqNullSafe(wanted["doc_id"]))
+    held = texts.join(_hinted(wanted), (texts["text_hash"] == wanted["text_hash"]) & texts["d"].eqNullSafe(wanted["doc_id"]))
     held = held.select("node", text_bytes("text").alias("t")).mapInArrow(partial(_sets, k=k), "node long, shingles binary")
     return materialise(held.groupBy("node").agg(F.first("shingles").alias("shingles")))  # a row may be there twice
 
@@ -211,41 +214,40 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return materialise(both.select("a", "b", "a_shingles", "b_shingles").mapInArrow(partial(_confirm, percent=percent), "a long, b long"))
 
 
+def _is_stars(edges: DataFrame) -> bool:
+    """Every node hangs on one other, on which nothing but nodes like it hang."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.union(edges.select("v", F.lit(0), F.lit(1))).groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return ends.where("up > 1 or (up > 0 and down > 0)").count() == 0
+
+
 def components(links: DataFrame) -> DataFrame:
-    """(node, comp): the smallest node that each linked node reaches."""
+    """(node, comp), stored: the smallest node that each linked node reaches, for all but those that are it themselves."""
     edges = materialise(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
-    before = None
-    while True:
+    while not _is_stars(edges):
+        hint = F.broadcast if edges.count() <= BROADCAST_ROWS else lambda table: table  # no more rows than edges have ends
         both = edges.union(edges.select("v", "u"))
         low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = both.join(hint(low), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
+        small = large.join(hint(low), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
         edges = materialise(small.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-        after = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
-        if after == before:
-            break
-        before = after
-    low = edges.groupBy("u").agg(F.min("v").alias("comp")).withColumnRenamed("u", "node")
-    return low.union(edges.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("comp"))
 
 
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     """The labels after more links: what is known enters as one link for each node to its component."""
     if links.isEmpty():
         return labels
-    return materialise(components(links.select("a", "b").union(labels.where("node <> comp").select("node", "comp"))))
+    return components(links.select("a", "b").union(labels.select("node", "comp")))
 
 
 def _label(df: DataFrame, labels: DataFrame, side: str) -> DataFrame:
+    """The component of a node; a node without a label is one of its own."""
     named = labels.select(F.col("node").alias(side), F.col("comp").alias(f"{side}_comp"))
     return df.join(named, side, "left").withColumn(f"{side}_comp", F.coalesce(f"{side}_comp", side))
 
 
-def _between(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    return _label(_label(pairs, labels, "a"), labels, "b").where("a_comp <> b_comp").select("a", "b")
-
-
 UNIT = ["bh", "i", "j", "outer", "node", "comp", "n", *SKETCH, "bands"]
 
 
@@ -284,14 +286,14 @@ def _pairs(units: list[np.ndarray], percent: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
 
-def _residual(bands: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Likely pairs of different components that share a bucket; every bucket of several components is compared whole."""
-    shared = bands.groupBy("bh").agg(F.count("*").alias("members")).where("members > 2")
-    held = _label(bands.join(shared, "bh"), labels.select("node", "comp"), "node")
-    per = held.groupBy("bh", "node_comp").agg(F.count("*").alias("size"))
-    mixed = per.groupBy("bh").agg(F.count("*").alias("comps"), F.max("size").alias("largest"), F.sum("size").alias("members")).where("comps > 1 and members > 2")
-    main = per.join(mixed, "bh").where("size = largest").groupBy("bh").agg(F.min("node_comp").alias("main"), F.max("members").alias("members"), F.max("largest").alias("largest"))
-    full = held.select("bh", "node", F.col("node_comp").alias("comp")).join(main, "bh").join(nodes.select("node", "n", *SKETCH, "bands"), "node")
+def _residual(held: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Likely pairs of different components that share a bucket; every bucket of several components is compared whole.
+    ``held``: (bh, node, a, members) of buckets of two and more."""
+    named = _label(held.where("members > 2").select("bh", "node"), labels, "node")
+    per = named.groupBy("bh", "node_comp").agg(F.count("*").alias("size"))
+    mixed = per.groupBy("bh").agg(F.count("*").alias("comps"), F.sum("size").alias("members"), F.max(F.struct("size", "node_comp")).alias("top"))
+    mixed = mixed.where("comps > 1").select("bh", "members", F.col("top.size").alias("largest"), F.col("top.node_comp").alias("main"))
+    full = named.select("bh", "node", F.col("node_comp").alias("comp")).join(mixed, "bh").join(nodes.select("node", "n", *SKETCH, "bands"), "node")
     spot = F.xxhash64("node")
     rows = F.ceil(F.col("members") / BLOCK).cast("long")
     outer = F.ceil((F.col("members") - F.col("largest")) / BLOCK).cast("long")
@@ -307,33 +309,32 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     narrow = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", text_hash("text").alias("text_hash"), text_bytes("text").alias("t"))
     signed = materialise(narrow.mapInArrow(partial(_sign, k=k, rows=band_rows(percent)), SIGNATURE))
+    # one node for each set; what belongs to the set is the same in all its rows, the text is that of the first row
     rank = F.shiftleft((63 - F.floor(F.log2(F.count("*").cast("double")))).cast("long"), ROW_BITS)
-    classes = materialise(signed.where("n > 0").groupBy("set1", "set2").agg(F.min("rid").alias("rid"), (rank + F.min("rid")).alias("node"), F.min("doc_id").alias("low")))
-    nodes = materialise(signed.drop("set1", "set2").join(classes.select("rid", "node"), "rid"))
+    of_set = [F.first(c).alias(c) for c in ("n", *SKETCH, "bands")]
+    nodes = signed.where("n > 0").groupBy("set1", "set2").agg(
+        (rank + F.min("rid")).alias("node"), F.min("doc_id").alias("low"), F.coalesce(F.min_by("rid", "doc_id"), F.min("rid")).alias("low_rid"),
+        F.min_by(F.struct("doc_id", "text_hash"), "rid").alias("source"), *of_set)
+    nodes = materialise(nodes.select("*", "source.*").drop("source"))
     bands = nodes.select("node", F.explode("bands").alias("bh"))
-    pivots = bands.groupBy("bh").agg(F.min("node").alias("a"), F.count("*").alias("members")).where("members > 1").drop("members")
-    stars = bands.join(pivots, "bh").where("node <> a").select("a", F.col("node").alias("b")).distinct()
+    buckets = bands.groupBy("bh").agg(F.min("node").alias("a"), F.count("*").alias("members")).where("members > 1")
+    held = materialise(bands.join(buckets, "bh"))
+    stars = held.where("node <> a").select("a", F.col("node").alias("b")).distinct()
     likely = materialise(_likely_pairs(stars, nodes, percent))
-    first = materialise(likely.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
-    sets = _sets_of(likely, nodes, docs, k)
-    labels = materialise(components(_confirmed(first, sets, percent)))
-    more = materialise(_between(likely.join(first, ["a", "b"], "left_anti"), labels))
-    labels = _merged(labels, _confirmed(more, sets, percent))
-    rest = materialise(_residual(bands, nodes, labels, percent).join(likely, ["a", "b"], "left_anti"))
+    labels = components(_confirmed(likely, _sets_of(likely, nodes, docs, k), percent))
+    rest = materialise(_residual(held, nodes, _hinted(labels), percent).join(likely, ["a", "b"], "left_anti"))
     if not rest.isEmpty():
         labels = _merged(labels, _confirmed(rest, _sets_of(rest, nodes, docs, k), percent))
-    return _result(signed, classes, labels)
+    return _result(signed, nodes.select("set1", "set2", "node", "low", "low_rid"), _hinted(labels))
 
 
 def _result(signed: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
     grouped = _label(classes, labels, "node")
-    lowest = grouped.groupBy("node_comp").agg(F.min("low").alias("component_id"))
-    named = materialise(grouped.join(lowest, "node_comp").select("set1", "set2", "node_comp", "component_id"))
+    lowest = grouped.groupBy("node_comp").agg(F.min("low").alias("component_id"), F.coalesce(F.min_by("low_rid", "low"), F.min("low_rid")).alias("best"))
+    named = grouped.join(lowest, "node_comp").select("set1", "set2", "component_id", "best")
     rows = signed.select("rid", "doc_id", "text_hash", F.col("n").alias("n_shingles"), "set1", "set2").join(named, ["set1", "set2"], "left")
-    alone = F.col("node_comp").isNull()
+    alone = F.col("best").isNull()
     rows = rows.withColumn("component_id", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")))
-    rows = rows.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
-    best = rows.where(~alone & F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("node_comp").agg(F.min("rid").alias("best"))
-    rows = rows.join(best, "node_comp", "left")
-    first_row = alone | F.coalesce(F.col("rid") == F.col("best"), F.lit(False))
-    return rows.select("rid", "doc_id", "text_hash", "n_shingles", "component_id", "kept", first_row.alias("first_row"))
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
+    first_row = alone | (F.col("rid") == F.col("best"))
+    return rows.select("rid", "doc_id", "text_hash", "n_shingles", "component_id", kept.alias("kept"), F.coalesce(first_row, F.lit(True)).alias("first_row"))
