@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Elements by their role, and the words in class, id and role that mark boilerplate.
-SILENT = ("script", "style", "template", "noscript", "iframe", "textarea", "select", "svg", "math", "object", "title", "head")
+SILENT = ("script", "style", "template", "noscript", "iframe", "textarea", "select", "svg", "math", "object", "title")
 BOILERPLATE = frozenset(("nav", "footer", "aside", "form", "button", "menu", "dialog"))
 MARKED = frozenset((
     "ad", "ads", "advert", "advertisement", "adverts", "alert", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "complementary", "consent", "contentinfo", "cookie", "cookies", "copyright",
@@ -35,6 +35,8 @@ MARKED = frozenset((
 ))
 #: marks that also hold for an article element inside; other marks on a wrapper do not reach into it
 HARD = frozenset(("ad", "ads", "advert", "advertisement", "adverts", "comment", "comments", "discussion", "disqus", "promo", "recommended", "related", "replies", "reply", "sponsor", "sponsored"))
+#: beginnings of words that mark like the words above; the first three hold for articles inside too
+STEMS = ("comment", "advert", "sponsor", "sidebar", "cookie", "newsletter", "breadcrumb", "subscri")
 INLINE = frozenset((
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "input", "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong",
     "sub", "sup", "time", "tt", "u", "var", "wbr",
@@ -48,11 +50,11 @@ TOKEN = re.compile(
     re.S | re.I,
 )
 ATTRIBUTE = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
-PART = re.compile(r"[a-zA-Z]+")
+PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")  # words, those written together in mixed case too
 SPACE = re.compile(r"\s+")
 
-#: scores when no page names its article; the cost, in words, of tags that were never seen, and the largest cost
-DEFAULT_COST, LARGEST_COST = 2.0, 60.0
+#: the cost, in words, of tags that were never seen, the largest cost, and the largest within an article
+DEFAULT_COST, LARGEST_COST, INSIDE_COST = 2.0, 60.0, 0.3
 
 
 def _marked(name: str, rest: str, in_content: bool) -> tuple[bool, bool]:
@@ -63,11 +65,13 @@ def _marked(name: str, rest: str, in_content: bool) -> tuple[bool, bool]:
         return True, False
     hard = soft = False
     for key, value in ATTRIBUTE.findall(rest) if rest else ():
-        key, value = key.lower(), value.strip("\"'").lower()
-        if key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and re.search(r"display\s*:\s*none", value)):
+        key, value = key.lower(), value.strip("\"'")
+        if key == "hidden" or (key == "aria-hidden" and value.lower() == "true") or (key == "style" and re.search(r"display\s*:\s*none", value, re.I)):
             hard = True
         elif key in ("class", "id", "role"):
-            words = MARKED.intersection(PART.findall(value))
+            parts = {p.lower() for p in PART.findall(value)}
+            words = MARKED.intersection(parts)
+            words |= {"comment" if p.startswith(STEMS[:3]) else "sidebar" for p in parts if p.startswith(STEMS) and p != "commentary"}
             hard |= bool(words & HARD)
             soft |= bool(words - HARD - {"header", "masthead"} if in_content else words - HARD)
     return hard, soft and name not in CONTENT
@@ -128,14 +132,23 @@ def tag_costs(counts: dict[tuple[str, bool], int]) -> dict[str, float]:
     return costs
 
 
+def _score(tag: str | None, text: str, dead: bool, inside: bool, costs: dict[str, float]) -> float:
+    """Words of boilerplate count against a run, but for those within the article itself, which are only left out; there
+    tags cost little, and it is the article's own tags that hold a run back."""
+    if tag is None:
+        return float(len(text.split())) if not dead else 0.0 if inside else -float(len(text.split()))
+    if inside and tag.lstrip("/") not in CONTENT:
+        return 0.0 if dead else -min(INSIDE_COST, costs.get(tag, INSIDE_COST))
+    return -costs.get(tag, DEFAULT_COST)
+
+
 def main_text(page: str | None, costs: dict[str, float]) -> str:
     if not page:
         return ""
     tokens = parse(page)
     best, best_span, run, start = 0.0, (0, 0), 0.0, 0
-    for i, (tag, text, dead, _) in enumerate(tokens):
-        score = -costs.get(tag, DEFAULT_COST) if tag is not None else len(text.split()) * (-1 if dead else 1)
-        run += score
+    for i, (tag, text, dead, inside) in enumerate(tokens):
+        run += _score(tag, text, dead, inside, costs)
         if run <= 0:
             run, start = 0.0, i + 1
         elif run > best:

@@ -106,7 +106,7 @@ PAGE = """<html><body class="with-sidebar"><header><h2>Site name of many words h
 <article><header><h1>The &lt;title&gt; &amp; more</h1></header><p>First   paragraph with <b>bold</b>
 and a <a href="x">link</a>.<p>Unclosed one<br>goes on<!-- no > comment --></p><script>var t = "</p><p>no</p>";</script>
 <form><p>Your mail address please</p></form><ul><li>point one</li><li>point two</li></ul>
-<section class="comments"><p>I like this article a lot and have many words to say about it</p></section></article>
+<section class="commentList"><p>I like this article a lot and have many words to say about it</p></section></article>
 <aside><p>Other stories that you may want to read as well</p></aside><footer>&copy; 2020 site name and words</footer></body></html>"""
 MAIN = "The <title> & more\nFirst paragraph with bold and a link.\nUnclosed one goes on\npoint one\npoint two"
 
