@@ -8,6 +8,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from orderlens.constants import FUZZY_CUTOFF, PAYMENT_RANK
 from orderlens.functions.dates import parse_mixed_dates, pick_closer
@@ -49,14 +50,17 @@ def best_status_row(payments: DataFrame, count: str | None = None, sums: tuple =
 
 
 # ------------------------------------------------------------- city names
-def _closest(keys: pd.DataFrame, names: pd.DataFrame) -> pd.DataFrame:
-    known = sorted(names["known"])
+@F.pandas_udf(DoubleType())
+def _similarity(known: pd.Series, key: pd.Series) -> pd.Series:
+    return pd.Series([difflib.SequenceMatcher(None, a, b).ratio() for a, b in zip(known, key, strict=True)], dtype="float64")
 
-    def best(k):
-        hit = difflib.get_close_matches(k, known, n=1, cutoff=FUZZY_CUTOFF)
-        return hit[0] if hit else None
 
-    return pd.DataFrame({"city_key": keys["city_key"], "known": keys["city_key"].map(best)})
+def _pieces(c: Column) -> Column:
+    """Letter pairs, for up to three letters the letters too. Two texts whose similarity reaches the cutoff share one:
+    only matches of single letters would stay below it, but for the shortest texts."""
+    pairs = F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 1, F.lit(1))), lambda i: c.substr(i, F.lit(2)))
+    letters = F.when(F.length(c) <= 3, F.split(c, "")).otherwise(F.array().cast("array<string>"))
+    return F.explode(F.array_distinct(F.concat(pairs, letters)))
 
 
 def city_lookup(texts: DataFrame, col: str, cities: DataFrame) -> DataFrame:
@@ -66,12 +70,15 @@ def city_lookup(texts: DataFrame, col: str, cities: DataFrame) -> DataFrame:
     exact = keys.join(names, F.col("city_key") == F.col("known"), "left").select(
         "city_key", F.coalesce("canonical", city_alias(F.col("city_key"))).alias("canonical")
     )
-    # the spellings left over are matched in parts; every part meets the whole list
-    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    left = exact.filter("canonical is null").select("city_key", F.pmod(F.xxhash64("city_key"), F.lit(parts)).alias("part"))
-    lists = names.select("known", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("part"))
-    matched = left.groupBy("part").cogroup(lists.groupBy("part")).applyInPandas(_closest, "city_key string, known string")
-    fuzzy = matched.join(names, "known").select("city_key", "canonical")
+    # only names that share a piece and are of like length can be close enough; those are scored
+    left = exact.filter("canonical is null").select("city_key", _pieces(F.col("city_key")).alias("piece"))
+    pieces = names.select("known", _pieces(F.col("known")).alias("piece"))
+    short, long = (f(F.length("city_key"), F.length("known")) for f in (F.least, F.greatest))
+    like = (short + short).cast("double") / (short + long) >= FUZZY_CUTOFF  # no ratio is above this
+    pairs = left.join(pieces, "piece").filter(like).select("city_key", "known").distinct()
+    scored = pairs.withColumn("score", _similarity("known", "city_key")).filter(F.col("score") >= FUZZY_CUTOFF)
+    best = scored.groupBy("city_key").agg(F.max_by("known", F.struct("score", "known")).alias("known"))
+    fuzzy = best.join(names, "known").select("city_key", "canonical")
     return exact.filter("canonical is not null").unionByName(fuzzy)
 
 
@@ -158,18 +165,21 @@ def fill_city_blocks(df: DataFrame, order: str = "WeatherID", col: str = "City")
 
 
 def infer_nearest_class(df: DataFrame, label: str, value: str) -> DataFrame:
-    """A missing label becomes the one whose median is nearest; ties go by name."""
+    """A missing label becomes the one whose median is nearest; ties go by name.
+
+    The class medians and the values in need are put in one order; the nearest median is the last one before a value or
+    the next one after it."""
     med = percentiles(df.filter(F.col(label).isNotNull()), [label], value, {"m": 0.5})
-    # one array with an entry per class, fetched as a scalar subquery
-    classes = med.select(F.collect_list(F.struct(F.col(label).alias("name"), "m"))).scalar()
-    df = df.withColumn("_classes", classes)
-    nearest = F.array_min(
-        F.transform("_classes", lambda k: F.struct(F.abs(k["m"] - F.col(value)).alias("gap"), k["name"].alias("name")))
-    )["name"]
-    fill = F.when(F.col(value).isNotNull(), nearest)
-    return df.withColumns(
-        {f"{label}_inferred": F.col(label).isNull(), label: F.coalesce(F.col(label), fill)}
-    ).drop("_classes")
+    points = med.groupBy("m").agg(F.min(label).alias("name")).select(F.col("m").alias("_v"), F.struct("m", "name").alias("_class"))
+    need = df.filter(F.col(label).isNull() & F.col(value).isNotNull()).select(F.col(value).cast("double").alias("_v")).distinct()
+    blk = sort_blocks(need.withColumn("_class", F.lit(None).cast(points.schema["_class"].dataType)).unionByName(points), [], ["_v"])
+    near = running(blk, [], {"_low": ("last", "_class"), "_high": ("next", "_class")}).filter("_class is null")
+    choices = [F.when(F.col(c).isNotNull(), F.struct(F.abs(F.col(c)["m"] - F.col("_v")).alias("gap"), F.col(c)["name"].alias("name"))) for c in ("_low", "_high")]
+    nearest = near.select("_v", F.array_min(F.array_compact(F.array(*choices)))["name"].alias("_name"))
+    on = F.when(F.col(label).isNull(), F.col(value).cast("double")) == F.col("_v")
+    return df.join(nearest, on, "left").withColumns(
+        {f"{label}_inferred": F.col(label).isNull(), label: F.coalesce(F.col(label), "_name")}
+    ).drop("_v", "_name")
 
 
 def swap_reversed(df: DataFrame, start: str = "StartDate", end: str = "EndDate") -> DataFrame:

@@ -118,14 +118,13 @@ def conditions(slots: DataFrame, t) -> DataFrame:
     out = s.withColumns({
         "HasWeather": F.col("Rainfall").isNotNull().cast("int"), "HasTraffic": F.col("TrafficScore").isNotNull().cast("int"),
         "WeatherCondition": F.coalesce("WeatherCondition", F.lit("Unknown"))})
-    # daily means have at most one value per city and day and scores four values,
-    # so a per-city map of counts stays small; speeds go through ordered blocks
+    # daily means of a city have at most one value per day and scores four values,
+    # so a per-city map of counts stays small; speeds and all whole-table medians go through ordered blocks
     small = [c for c in READINGS if c != "AverageSpeed"]
     aggs = [F.percentile(c, 0.5, F.col("n_orders")) for c in small]
     city = s.groupBy("RCity").agg(*[a.alias(f"c_{c}") for a, c in zip(aggs, small)])
     city = city.join(percentiles(s, ["RCity"], "AverageSpeed", {"c_AverageSpeed": 0.5}, weight="n_orders"), "RCity", "left")
-    whole = {c: s.select(a).scalar() for a, c in zip(aggs, small)}
-    whole["AverageSpeed"] = percentiles(s, [], "AverageSpeed", {"m": 0.5}, weight="n_orders").scalar()
+    whole = {c: percentiles(s, [], c, {"m": 0.5}, weight="n_orders").scalar() for c in READINGS}
     return out.join(city, "RCity", "left").withColumns(
         {c: F.coalesce(F.col(c), F.col(f"c_{c}"), whole[c]) for c in READINGS}
     ).drop(*[f"c_{c}" for c in READINGS])

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from orderlens.constants import CANCELLED
 from orderlens.functions import pct, ratio
 from orderlens.operators.blocks import neighbours, ranks, row_numbers, running, sort_blocks
-from orderlens.session import scratch_dir
+from orderlens.session import delete_at_end, new_folder
 
 
 def _delivered():
@@ -297,10 +297,12 @@ def city_kpis(t) -> DataFrame:
 
 
 def i1_city_kpi_refresh(t, path: str | None = None) -> DataFrame:
-    """Replace the summary table and return what was stored."""
+    """Replace the summary table and return what was stored; without a path, a table of this run's own."""
     new = city_kpis(t).withColumn("LastRefreshed", F.current_timestamp())
     spark = new.sparkSession
-    path = path or f"{scratch_dir(spark)}/orderlens/city_kpi_summary"
+    if path is None:
+        path = new_folder(spark)
+        delete_at_end(spark, path)
     new.write.mode("overwrite").parquet(path)
     return spark.read.schema(new.schema).parquet(path)
 
