@@ -208,7 +208,7 @@ SQL = {
     "chart_mean_sem": f"SELECT TrafficScore, {r6('avg(DeliveryTimeMinutes)')} AS mean, {r6('1.96 * stddev_samp(DeliveryTimeMinutes) / sqrt(count(DeliveryTimeMinutes))')} AS half_width FROM c_done GROUP BY 1",
     "chart_avg_basket": f"SELECT Membership, {r6('avg(FinalAmount)')} AS avg_amount FROM c_done GROUP BY 1",
     "chart_histogram": " UNION ALL ".join([hist("order_value", "c_done", "FinalAmount"), hist("delivery_time", "c_done", "DeliveryTimeMinutes"), hist("clv", "(SELECT * FROM c_dimcust WHERE Orders > 0)", "CLV")]),
-    "chart_box_stats": " UNION ALL ".join([box("time_by_vehicle", "VehicleType", "DeliveryTimeMinutes"), box("amount_by_membership", "Membership", "FinalAmount"), box("time_by_rain", "RainImpact", "DeliveryTimeMinutes")]),
+    "chart_box_stats": " UNION ALL ".join([box("time_by_vehicle", "VehicleType", "DeliveryTimeMinutes"), box("amount_by_membership", "Membership", "FinalAmount"), box("time_by_rain", "RainImpact", "DeliveryTimeMinutes"), box("time_by_city", "RCity", "DeliveryTimeMinutes")]),
     "chart_letter_values": "SELECT city, " + ", ".join(f"{rnd(f'quantile_cont(clv, {p})', 6)} AS {n}" for n, p in (
         ("p50", 0.5), ("lo4", 0.25), ("hi4", 0.75), ("lo8", 0.125), ("hi8", 0.875), ("lo16", 0.0625), ("hi16", 0.9375)))
     + """ FROM (SELECT CustomerID, max(CustomerLifetimeValue) AS clv, max(CCity) AS city FROM c_base GROUP BY 1) WHERE city IN
@@ -226,6 +226,7 @@ SQL = {
     "rating_vs_cancel_corr": f"SELECT {r6('corr(r, c)')} AS corr, count(*) AS restaurants FROM (SELECT max(RestaurantRating) AS r, avg(IsCancelled) AS c FROM c_base GROUP BY RestaurantID HAVING count(*) >= 10)",
     "coupon_aov": f"SELECT HasCoupon, {r6('avg(FinalAmount)')} AS aov FROM c_done GROUP BY 1",
     "dash_executive": " UNION ALL ".join([
+        card("Active customers (60d)", "count(*) FILTER (WHERE DaysSinceLastOrder <= 60)", "c_dimcust"),
         card("Total Revenue", REV, "c_fact"), card("Total Orders", "count(*)", "c_fact"), card("Avg Delivery Time", AVGT, "c_fact"), card("Avg Rating", "avg(AvgRating)", "c_fact"),
         card("Late %", f"sum(IsLate) / {NDONE}", "c_fact"), card("Failure %", rate("IsDelivered = 0"), "c_fact"), card("P90 Delivery Time", f"quantile_cont(DeliveryTimeMinutes, 0.9) {DONE}", "c_fact"),
         panel("month", "c_fact", "CAST(date_trunc('month', OrderDate) AS DATE)", REV, 2), panel("city", "c_fact", "City", REV, 2, "ORDER BY value DESC, label LIMIT 8"), panel("status", "c_fact", "OrderStatus", "count(*)")]),
@@ -234,7 +235,8 @@ SQL = {
         card("median_clv", "median(CLV)", "c_dimcust WHERE Orders > 0"), card("avg_orders", "avg(Orders)", "c_dimcust WHERE Orders > 0"),
         panel("segment", "c_dimcust", "Segment", "count(*)"), panel("type", "c_dimcust", "CustomerType", "count(*)"), panel("clv_band", "c_dimcust", "CLVBand", "count(*)"),
         f"""SELECT 'registrations_to_quarter', CAST(q AS VARCHAR), {r6('sum(n) OVER (ORDER BY q)')} FROM (SELECT CAST(date_trunc('quarter', RegistrationDate) AS DATE) AS q, count(*) AS n FROM c_dimcust GROUP BY 1)""",
-        panel("new_by_month", "c_dimcust", "strftime(RegistrationDate, '%Y-%m')", "count(*)")]),
+        panel("new_by_month", "c_dimcust", "strftime(RegistrationDate, '%Y-%m')", "count(*)"),
+        f"""SELECT 'clv_histogram', CAST(bin AS VARCHAR), CAST(n AS DOUBLE) FROM ({hist("clv", "(SELECT * FROM c_dimcust WHERE Orders > 0)", "CLV")})"""]),
     "dash_restaurant": " UNION ALL ".join([
         card("scored", "count(*)", "c_score"), card("median_orders", "median(Orders)", "c_score"), card("avg_score", "avg(CompositeScore)", "c_score"), card("avg_rating", "avg(Rating)", "t_restaurants"),
         *[f"SELECT '{n}', RestaurantName || ' (' || RCity || ')', {r6('CompositeScore')} FROM (SELECT * FROM c_score ORDER BY CompositeScore {o}, RestaurantID LIMIT 10)" for n, o in (("top10", "DESC"), ("bottom10", "ASC"))],

@@ -46,7 +46,7 @@ def classifiers() -> dict:
     }
 
 
-# the values searched, by model; names are Spark ML parameters
+# The values searched, by model; names are Spark ML parameters
 REGRESSION_GRIDS = {
     "Random Forest": {"numTrees": [40, 60], "maxDepth": [4, 6, 8, 12], "minInstancesPerNode": [20, 50, 100], "featureSubsetStrategy": ["0.3", "0.5"]},
     "Gradient Boosting": {"maxIter": [50, 100, 200], "stepSize": [0.02, 0.05, 0.1], "maxDepth": [2, 3, 4], "minInstancesPerNode": [30, 80]},

@@ -15,6 +15,7 @@ from orderlens.functions import rate, ratio
 from orderlens.operators.blocks import percentiles
 from orderlens.plans.measures import evaluate
 
+# The columns of the correlation chart.
 CORR_COLUMNS = (
     "FinalAmount", "FoodCost", "DeliveryFee", "Discount", "DeliveryTimeMinutes", "TrafficScore", "RainImpact", "Rainfall", "Temperature",
     "BasketSize", "DistanceProxyKm", "DeliveryEfficiency", "PartnerRating", "RestaurantRating", "CustomerTenure", "PeakHour", "WeekendOrder",
@@ -286,7 +287,8 @@ def chart_box_stats(b: DataFrame) -> DataFrame:
     c = completed(b)
     return union([box_stats(c, "VehicleType", "DeliveryTimeMinutes", "time_by_vehicle", True),
                   box_stats(c, "Membership", "FinalAmount", "amount_by_membership", False),
-                  box_stats(c, "RainImpact", "DeliveryTimeMinutes", "time_by_rain", True)])
+                  box_stats(c, "RainImpact", "DeliveryTimeMinutes", "time_by_rain", True),
+                  box_stats(c, "RCity", "DeliveryTimeMinutes", "time_by_city", True)])
 
 
 def letter_values(b: DataFrame, top: int = 8) -> DataFrame:
@@ -424,7 +426,9 @@ def dash_executive(s) -> DataFrame:
     month = evaluate(s, ["Total Revenue"], ["dim_date.MonthStart"]).filter("MonthStart is not null")
     city = evaluate(s, ["Total Revenue"], ["dim_city.City"]).filter("City is not null").orderBy(F.desc("Total Revenue"), "City").limit(8)
     status = evaluate(s, ["Total Orders"], ["fact_orders.OrderStatus"])
+    active = s["dim_customer"].agg(F.count_if(F.col("DaysSinceLastOrder") <= 60).alias("value"))
     return union([
+        _card_rows(cards({"Active customers (60d)": active})),
         top.select(F.lit("card").alias("panel"), "label", "value"), _panel(month, "month", "MonthStart", "Total Revenue", 2),
         _panel(city, "city", "City", "Total Revenue", 2), _panel(status, "status", "OrderStatus", "Total Orders")])
 
@@ -445,7 +449,8 @@ def dash_customer(s) -> DataFrame:
         _panel(c.groupBy("CustomerType").agg(F.count(F.lit(1)).alias("n")), "type", "CustomerType", "n"),
         _panel(c.groupBy("CLVBand").agg(F.count(F.lit(1)).alias("n")), "clv_band", "CLVBand", "n"),
         _panel(quarter.select("q", F.sum("n").over(w).alias("n")), "registrations_to_quarter", "q", "n"),
-        _panel(month, "new_by_month", "m", "n")])
+        _panel(month, "new_by_month", "m", "n"),
+        _panel(histogram(on, "CLV", "clv"), "clv_histogram", "bin", "n")])
 
 
 def dash_restaurant(s, score: DataFrame) -> DataFrame:

@@ -42,7 +42,7 @@ def _r2() -> Column:
     return F.lit(1.0) - F.try_divide(F.sum(r * r), total)
 
 
-# name -> (home table, expression)
+# The names of the measures. name -> (home table, expression)
 MEASURES = {
     "Total Orders": ("fact_orders", n_rows),
     "Completed Orders": ("fact_orders", n_done),

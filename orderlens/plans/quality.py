@@ -34,6 +34,7 @@ RANGES = (
     ("promotions", "promotions EndDate not before StartDate", "EndDate >= StartDate"),
 )
 # the declared constraints; here a NULL passes a range rule, as in SQL
+# The constraints of the relational schema.
 CONSTRAINTS = (
     ("cities", "City IS NOT NULL"), ("cities", "Population > 0"), ("customers", "Name IS NOT NULL"),
     ("customers", "City IS NOT NULL"), ("customers", "RegistrationDate IS NOT NULL"),

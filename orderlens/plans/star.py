@@ -11,6 +11,7 @@ from orderlens.constants import CLV_EDGES, CLV_LABELS
 from orderlens.operators.blocks import row_numbers, sort_blocks
 from orderlens.session import materialise
 
+# The columns of the order fact table.
 FACT_COLUMNS = (
     "OrderID", "OrderDate", "OrderTime", "hour", "CustomerID", "RestaurantID", "DeliveryPartnerID", "RCity", "CouponCode", "OrderStatus",
     "PaymentMethod", "PaymentStatus", "FoodCost", "DeliveryFee", "Discount", "GST", "FinalAmount", "DeliveryTimeMinutes", "BasketSize",

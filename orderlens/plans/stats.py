@@ -256,6 +256,7 @@ def _entry(test: str, g, v: str, when: Column | None = None) -> Column:
     return e if when is None else F.when(when, e)
 
 
+# What each test compares.
 CANCEL = {"cuisine": "Cuisine", "restaurant_city": "RCity", "weather": "WeatherCondition", "payment_method": "PaymentMethod", "hour": "hour",
           "weekend": "WeekendOrder", "membership": "Membership", "has_coupon": "HasCoupon"}
 LATE_BY = {"restaurant_city": "RCity", "traffic": "TrafficScore", "rain": "RainImpact", "vehicle": "VehicleType", "peak_hour": "PeakHour", "weekend": "WeekendOrder"}
