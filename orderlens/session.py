@@ -63,6 +63,12 @@ def discard(spark: SparkSession, path: str) -> None:
     _file_system(spark, path).delete(_path(spark, path), True)
 
 
+def input_version(spark: SparkSession, folder: str) -> str:
+    """Changes when a file or folder directly below does: names, lengths and times of change."""
+    found = _file_system(spark, folder).listStatus(_path(spark, folder))
+    return "|".join(sorted(f"{f.getPath().getName()},{f.getLen()},{f.getModificationTime()}" for f in found))
+
+
 def _path(spark: SparkSession, path: str):
     return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
 

@@ -13,7 +13,7 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderlens.session import materialise
+from orderlens.session import input_version, materialise
 
 PHYSICAL = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -330,7 +330,7 @@ def with_tables(text: str, dialect: str, physical: dict[str, str], extra: dict[s
     return head + text
 
 
-_layer: dict[tuple[str, str, str], DataFrame] = {}
+_layer: dict[tuple[str, ...], DataFrame] = {}
 
 
 class SampleTables:
@@ -339,14 +339,14 @@ class SampleTables:
 
     def __init__(self, spark: SparkSession, sf_dir: str, prefix: str = "t_"):
         self.spark, self.prefix = spark, prefix
-        self.sf_dir = sf_dir
+        self.sf_dir, self.version = sf_dir, input_version(spark, sf_dir)
         self.physical = {n: f"parquet.`{sf_dir}/{n}.parquet`" for n in PHYSICAL}
 
     def build(self, name: str) -> DataFrame:
         return self.spark.sql(with_tables(f"SELECT * FROM {self.prefix}{name}", "spark", self.physical))
 
     def __getitem__(self, name: str) -> DataFrame:
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, self.prefix + name)
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, self.version, self.prefix + name)
         if key not in _layer:
             _layer[key] = materialise(self.build(name))
         return _layer[key]

@@ -9,28 +9,29 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderlens.ml import models
 from orderlens.plans import features, star
-from orderlens.session import materialise, tune
+from orderlens.session import input_version, materialise, tune
 from orderlens.sources.sample import SampleTables, clean_tables
 
-_stored: dict[tuple[str, str, str], DataFrame] = {}
-_kept: dict[tuple[str, str, str], object] = {}
+_stored: dict[tuple[str, ...], DataFrame] = {}
+_kept: dict[tuple[str, ...], object] = {}
 
 
 class Store:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = tune(spark), sf_dir
         self.t: SampleTables = clean_tables(spark, sf_dir)
+        self._version = input_version(spark, sf_dir)  # changed input is built anew
         self._star: dict[str, DataFrame] | None = None
 
     def _once(self, name: str, build) -> DataFrame:
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, self._version, name)
         if key not in _stored:
             _stored[key] = materialise(build())
         return _stored[key]
 
     def keep(self, name: str, build):
         """A driver-side object (a task, fitted models), built once per application."""
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, self._version, name)
         if key not in _kept:
             _kept[key] = build()
         return _kept[key]
