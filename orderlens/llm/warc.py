@@ -92,7 +92,7 @@ def _header(row: dict) -> tuple[str, str]:
     kind = "revisit" if revisit else "response" if first else "continuation"
     fields = [("WARC-Type", kind), ("WARC-Record-ID", name), ("WARC-Date", "1970-01-01T00:00:00Z")]
     if first:
-        fields += [("WARC-Target-URI", quote(row["url"], safe="%/:=&?~#+!$,;'@()*[]"))] * (row["url"] is not None)
+        fields += [("WARC-Target-URI", quote(row["url"] or "", safe="%/:=&?~#+!$,;'@()*[]"))] * (row["url"] is not None)
         fields += [("WARC-Payload-Digest", f"sha1:{digest}"), ("X-Payload-Length", row["bytes"])]
         fields += [("X-Page-ID", row["page_id"])] * (row["page_id"] is not None)
         fields += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("X-Refers-To-Page", row["refers_to"])] * revisit
@@ -116,27 +116,30 @@ def write_archives(chunks: DataFrame, path: str) -> None:
 
 
 class _Reader:
-    """Records from a stream of bytes that was cut at empty lines; yields a page's row when its payload is complete."""
+    """Records from a stream of bytes that was cut at empty lines; yields a page's row when its payload is complete.
+
+    A payload that ends in a line end makes its own empty line with the one behind it, so a cut may fall up to two bytes
+    early, and the rest of the end then stands before the next header."""
 
     def __init__(self):
-        self.buffer, self.parts, self.left, self.fields, self.page = b"", [], None, {}, None
+        self.left, self.fields, self.page = None, {}, None
 
     def feed(self, line: bytes) -> Iterator[tuple]:
-        """One line without its end (the end is given back to the stream)."""
+        """One line without its end, which is given back to the stream."""
         end = END.encode()
-        if self.left is None:
-            head, *rest = line.lstrip(b"\r\n").split(b"\r\n")
-            self.fields = dict(x.decode().split(": ", 1) for x in rest if b": " in x)
-            self.left = int(self.fields["Content-Length"]) + len(end)
-            self._open()
-            return
         data = line + end
-        use = data[: self.left]
-        self._update(use[: max(0, self.left - len(end))])
-        self.left -= len(use)
-        if self.left == 0:
+        if self.left is not None:
+            use, data = data[: self.left], data[self.left :]
+            self._update(use[: max(0, self.left - len(end))])
+            self.left -= len(use)
+            if self.left:
+                return
             self.left = None
             yield from self._close()
+        if data:
+            self.fields = dict(x.decode().split(": ", 1) for x in data[: -len(end)].split(b"\r\n")[1:])
+            self.left = int(self.fields["Content-Length"]) + len(end)
+            self._open()
 
     def _open(self) -> None:
         f = self.fields
