@@ -14,7 +14,7 @@ from orderlens.session import delete_at_end, materialise, new_folder, tune
 __all__ = ["batches", "column_names", "delete_at_end", "materialise", "mix64", "new_folder", "ready", "string_hashes", "table"]
 
 #: rows and bytes in one Arrow batch; long texts end a batch early
-BATCH_ROWS, BATCH_BYTES = 2000, 32 << 20
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 
 
 def ready(spark: SparkSession) -> SparkSession:
@@ -55,7 +55,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def string_hashes(words: list[bytes], cache: dict[bytes, int], limit: int = 1_000_000) -> np.ndarray:
+def string_hashes(words: list[bytes], cache: dict[bytes, int], limit: int = 100_000) -> np.ndarray:
     """64-bit hashes of the words; the cache only saves time and is emptied when full."""
     import xxhash
 

@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from orderlens.llm.common import column_names, materialise, text_bytes
 
 BUCKETS, TEMPER, SHRINK, SMOOTH = 4096, 200.0, 30.0, 0.001
-CACHE_WORDS = 500_000
+CACHE_WORDS = 100_000
 
 _forms: dict[bytes, int] = {}
 
