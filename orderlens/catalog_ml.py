@@ -97,7 +97,7 @@ def _chosen(s, which):
 def _model_rows(s, which):
     """The comparison with all its scores; for delivery times also the leakage demonstration."""
     rows = _comparison(s, which)[0].withColumn("task", F.lit(which))
-    return union([rows, ml.leakage_demo(s.delivery).withColumn("task", F.lit(which))]) if which == "delivery" else rows
+    return ml.union([rows, ml.leakage_demo(s.delivery).withColumn("task", F.lit(which))]) if which == "delivery" else rows
 
 
 def _importance(s, which):
@@ -161,7 +161,7 @@ QUERIES = {
     "cross_validate": _cv,
     "random_search": _random_search,
     "grid_search": _grid_search,
-    "model_comparison": lambda s: union([_model_rows(s, w) for w in ("delivery", "churn")]),
+    "model_comparison": lambda s: ml.union([_model_rows(s, w) for w in ("delivery", "churn")]),
     "select_by_cv": _selected,
     "leakage_demo": lambda s: ml.leakage_demo(s.delivery),
     "impurity_importance": lambda s: ml.impurity_importance(s.delivery, s.fitted("delivery", "Random Forest")),
