@@ -245,6 +245,26 @@ def test_quality_parts_held_out_rows_and_keeps_good_ones(spark, rng):
     assert got[1000].n_grams == 0 and got[1000].log_weight == 0.0
 
 
+def test_quality_rejects_toxic_documents_and_keeps_clean_ones_beside_them(spark, rng):
+    insults = ["oafish", "wretch", "numbskull", "vermin"]
+
+    def text(i):
+        given = words(rng, 2000 if i % 3 == 0 else 80, 3000).split()
+        if i % 5 == 0:  # a passage, also in long documents
+            for w in rng.sample(insults, 2):
+                given.insert(rng.randrange(len(given)), rng.choice([w, w.capitalize() + ",", w + "."]))
+        return " ".join(given)
+
+    docs = [(i, f"{words(rng, 20)} | ".replace(" ", " | ") if i % 7 == 1 and i % 5 else text(i)) for i in range(600)] + [(1000, None)]
+    labels = frame(spark, [(i, int(not (i % 7 == 1 and i % 5)), int(i % 5 == 0)) for i in range(0, 300)] + [(1000, 1, None)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in quality.resample(frame(spark, docs), labels).collect()}
+    assert len(got) == 601
+    assert not [i for i in range(0, 600, 5) if got[i].kept]
+    clean = [i for i in range(600) if i % 5 and i % 7 != 1]
+    assert all(got[i].draw is not None for i in clean) and sum(got[i].kept for i in clean) >= 0.98 * len(clean)
+    assert not any(got[i].kept for i in range(600) if i % 7 == 1 and i % 5)
+
+
 def test_quality_without_labels_keeps_all(spark):
     none = frame(spark, [], "doc_id long, quality int, toxic int")
     docs = frame(spark, [(1, "a", 5), (1, "a", 6), (2, None, 7)], "doc_id long, text string, kept int")
