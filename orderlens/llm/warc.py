@@ -119,7 +119,7 @@ class _Reader:
     """Records from a stream of bytes that was cut at empty lines; yields a page's row when its payload is complete.
 
     A payload that ends in a line end makes its own empty line with the one behind it, so a cut may fall up to two bytes
-    early, and the rest of the end then stands before the next header."""
+    early, and the rest of the end then stands before the next header, or alone as the last line of a file."""
 
     def __init__(self):
         self.left, self.fields, self.page = None, {}, None
@@ -136,6 +136,8 @@ class _Reader:
                 return
             self.left = None
             yield from self._close()
+            if data == end:  # the rest of the last record's end, and the end given back that the file does not have
+                return
         if data:
             self.fields = dict(x.decode().split(": ", 1) for x in data[: -len(end)].split(b"\r\n")[1:])
             self.left = int(self.fields["Content-Length"]) + len(end)

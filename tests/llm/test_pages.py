@@ -69,6 +69,20 @@ def test_archives_come_back_as_they_were(spark, monkeypatch):
     assert len(last) == 43 and last[-1].last and last[-1].so_far == last[0].sha1 and all(len(r.data) <= 700 for r in last)
 
 
+@pytest.mark.parametrize("parts", [1, 3])
+@pytest.mark.parametrize("tail", ["\r\n", "\r\n\r\n", "\r\n\r\n\r\n", "\r", "\n", "\r\n\r", ""])
+def test_archives_whose_last_payload_ends_in_line_ends(spark, parts, tail):
+    """Each file's last record is a response whose payload ends in the tail."""
+    pages = [(i, "u", f"page {i}{tail}") for i in range(parts)] + [(10, "u", tail)] * (parts > 1)
+    path = new_folder(spark)
+    for size in (1 << 20, 6):
+        for i, page in enumerate(pages):
+            table = frame(spark, [page], "page_id long, url string, html string", 1)
+            warc.write_archives(warc.chunk_table(warc.plan_records(table), chunk_chars=size), f"{path}/{size}/{i}")
+        got = warc.read_archives(spark, f"{path}/{size}/*").collect()
+        assert brute.as_counts(got) == brute.as_counts((i, len(x), hashlib.sha1(x.encode()).hexdigest(), "response", None) for i, _, x in pages)
+
+
 def test_archives_of_nothing(spark):
     path = new_folder(spark)
     warc.write_archives(warc.chunk_table(warc.plan_records(frame(spark, [], "page_id long, url string, html string"))), path)
