@@ -4,7 +4,8 @@ Each stage works on all rows that the one before kept and takes effect: what it
 the columns of documents; the last returns the pieces of the packed sequences.
 
 Cases: null and empty texts pass every filter and are packed as their end id. A document that loses every line to other
-documents goes; one that was empty before stays. Rows that repeat an id and its text are one document for stage three.
+documents goes; one that was empty before stays. Passages are lines of over 50 words; from two documents on they stay in
+the first only. That is done behind stage three: copies are gone by then, so that a passage's first document stays. Rows that repeat an id and its text are one document for stage three.
 """
 
 from __future__ import annotations
@@ -22,6 +23,9 @@ ORACLE_SQL = None
 #: rows (16 bytes each) that may be broadcast against the documents
 BROADCAST_ROWS = 1_000_000
 
+#: a line of so many words is a passage, which two documents do not share by chance
+PASSAGE_WORDS = 51
+
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Importance resampling; documents that are not drawn go."""
@@ -29,10 +33,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality.resample(docs, table(spark, sf_dir, "labels")).where("kept").select(docs.columns)
 
 
-def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines of ten or more documents stay in the first of them only; a document that has nothing left goes."""
-    ready(spark)
-    done = lines.drop_repeated_lines(docs, min_docs=10, min_chars=1, keep_first=True)
+def _without_repeated(docs: DataFrame, min_docs: int, min_words: int = 0) -> DataFrame:
+    done = lines.drop_repeated_lines(docs, min_docs=min_docs, min_chars=1, keep_first=True, min_words=min_words)
     done = done.where((F.col("n_dropped") == 0) | F.col("kept").rlike(r"[^\x20\x09-\x0D]"))
     out = done.withColumnRenamed("kept", "text")
     if "n_chars" in docs.columns:
@@ -40,18 +42,25 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return out.select(docs.columns)
 
 
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines of ten or more documents stay in the first of them only; a document that has nothing left goes."""
+    ready(spark)
+    return _without_repeated(docs, min_docs=10)
+
+
 def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
     key = column_names(docs, ["text_key"])["text_key"]
     return docs.withColumn(key, neardup.text_hash("text")), key
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Five-word shingles, similarity of 0.8: the document of the smallest id stays of each group."""
+    """Five-word shingles, similarity of 0.8: the document of the smallest id stays of each group. Then passages that
+    several of the documents left share stay in the first of them."""
     ready(spark)
     stay = neardup.near_duplicates(docs, k=5, percent=80).where("first_row").select(F.col("doc_id").alias("stay_id"), F.col("text_hash").alias("stay_text")).distinct()
     given, key = _keyed(docs)
     kept = given.join(stay, given["doc_id"].eqNullSafe(stay["stay_id"]) & (given[key] == stay["stay_text"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", key]).select(docs.columns)
+    return _without_repeated(materialise(kept.dropDuplicates(["doc_id", key]).select(docs.columns)), min_docs=2, min_words=PASSAGE_WORDS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ their shards: the distinct hashes of a bucket of documents go to the shards, spl
 over several copies of a shard, and what they find goes back to the bucket.
 
 Cases: null text is one empty line, as is empty text. An empty key is never counted
-(a key has at least ``min_chars`` code points). Each row is a document, repeated rows
+(a key has at least ``min_chars`` code points and ``min_words`` words). Each row is a document, repeated rows
 too. Columns of the input other than the two named ones are carried as they are.
 """
 
@@ -37,21 +37,24 @@ SHARD_KEYS = 200_000
 SHARD = "shard int, n long, seed long, levels array<long>, bits binary, prints binary, counts binary, firsts binary"
 
 
-def line_keys(text: bytes, min_chars: int) -> tuple[list[bytes], list[bytes]]:
+def line_keys(text: bytes, min_chars: int, min_words: int = 0) -> tuple[list[bytes], list[bytes]]:
     """The lines and, for each, 16 bytes of its key, empty for a key that is too short."""
     lines = text.split(b"\n")
     digest, keys = xxhash.xxh3_128_digest, [x.strip(BLANKS) for x in text.lower().split(b"\n")]
+    if min_words:  # a word and the blank behind it take two bytes
+        keys = [k if len(k) >= 2 * min_words - 1 and len(k.split()) >= min_words else b"" for k in keys]
+        min_chars = max(min_chars, 1)
     if min_chars <= 1:
         return lines, [digest(k) if len(k) >= min_chars else b"" for k in keys]
     return lines, [digest(k) if len(k) >= min_chars and len(k.decode()) >= min_chars else b"" for k in keys]
 
 
-def _count_batch(part: Iterator[pa.RecordBatch], min_chars: int) -> Iterator[pa.RecordBatch]:
+def _count_batch(part: Iterator[pa.RecordBatch], min_chars: int, min_words: int) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("n", pa.int64()), ("first", pa.int64())])
     for batch in part:
         found: dict[bytes, list] = {}
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            for key in set(line_keys(text, min_chars)[1]):
+            for key in set(line_keys(text, min_chars, min_words)[1]):
                 if not key:
                     continue
                 seen = found.setdefault(key, [0, None])
@@ -66,10 +69,10 @@ def _count_batch(part: Iterator[pa.RecordBatch], min_chars: int) -> Iterator[pa.
             )
 
 
-def line_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 1) -> DataFrame:
+def line_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 1, min_words: int = 0) -> DataFrame:
     """(h1, h2, n, first): documents with each line; counted per batch, then per task, before the exchange."""
     pairs = docs.select(F.col(id_col).cast("long").alias("d"), text_bytes(text_col).alias("t"))
-    each = pairs.mapInArrow(partial(_count_batch, min_chars=min_chars), "h1 long, h2 long, n long, first long")
+    each = pairs.mapInArrow(partial(_count_batch, min_chars=min_chars, min_words=min_words), "h1 long, h2 long, n long, first long")
     return each.groupBy("h1", "h2").agg(F.sum("n").alias("n"), F.min("first").alias("first"))
 
 
@@ -160,9 +163,9 @@ def build_shards(counts: DataFrame, min_docs: int = 1) -> tuple[DataFrame, int,
     return shards, n, size
 
 
-def _split(doc, text: bytes, min_chars: int, gone) -> tuple[int, int, str]:
+def _split(doc, text: bytes, min_chars: int, min_words: int, gone) -> tuple[int, int, str]:
     """Lines, lines dropped, what stays. gone(doc, keys) says which keys lose their lines."""
-    lines, keys = line_keys(text, min_chars)
+    lines, keys = line_keys(text, min_chars, min_words)
     drop = gone(doc, keys)
     return len(lines), sum(drop), b"\n".join([x for x, d in zip(lines, drop, strict=True) if not d]).decode() if any(drop) else text.decode()
 
@@ -182,13 +185,13 @@ def _probe_batch(keys: list[bytes], shards: dict[int, Shard], n: int) -> dict[by
     return out
 
 
-def _result(batch: pa.RecordBatch, id_name: str, text_name: str, held: dict[bytes, int], min_chars: int, keep_first: bool) -> pa.RecordBatch:
+def _result(batch: pa.RecordBatch, id_name: str, text_name: str, held: dict[bytes, int], min_chars: int, min_words: int, keep_first: bool) -> pa.RecordBatch:
     def gone(doc, keys):
         return [k in held and not (keep_first and doc is not None and held[k] == doc) for k in keys]
 
     docs = batch.column(batch.schema.get_field_index(id_name)).to_pylist()
     texts = batch.column(batch.schema.get_field_index(text_name)).to_pylist()
-    n, dropped, kept = zip(*(_split(d, t or b"", min_chars, gone) for d, t in zip(docs, texts, strict=True)), strict=True)
+    n, dropped, kept = zip(*(_split(d, t or b"", min_chars, min_words, gone) for d, t in zip(docs, texts, strict=True)), strict=True)
     rest = [batch.column(i) for i, f in enumerate(batch.schema) if f.name != text_name]
     return pa.RecordBatch.from_arrays(
         [*rest, pa.array(n, pa.int64()), pa.array(dropped, pa.int64()), pa.array(kept, pa.string())],
@@ -196,20 +199,20 @@ def _result(batch: pa.RecordBatch, id_name: str, text_name: str, held: dict[byte
     )
 
 
-def _apply_local(part: Iterator[pa.RecordBatch], id_name, text_name, rows, n, min_chars, keep_first) -> Iterator[pa.RecordBatch]:
+def _apply_local(part: Iterator[pa.RecordBatch], id_name, text_name, rows, n, min_chars, min_words, keep_first) -> Iterator[pa.RecordBatch]:
     shards = {r["shard"]: Shard(r) for r in rows}
     for batch in part:
         if batch.num_rows:
             texts = batch.column(batch.schema.get_field_index(text_name)).to_pylist()
-            held = _probe_batch([k for t in texts for k in line_keys(t or b"", min_chars)[1]], shards, n)
-            yield _result(batch, id_name, text_name, held, min_chars, keep_first)
+            held = _probe_batch([k for t in texts for k in line_keys(t or b"", min_chars, min_words)[1]], shards, n)
+            yield _result(batch, id_name, text_name, held, min_chars, min_words, keep_first)
 
 
-def _bucket_keys(part: Iterator[pa.RecordBatch], bucket: str, text_name: str, min_chars: int) -> Iterator[pa.RecordBatch]:
+def _bucket_keys(part: Iterator[pa.RecordBatch], bucket: str, text_name: str, min_chars: int, min_words: int) -> Iterator[pa.RecordBatch]:
     for batch in part:
         found = set()
         for b, t in zip(batch.column(batch.schema.get_field_index(bucket)).to_pylist(), batch.column(batch.schema.get_field_index(text_name)).to_pylist(), strict=True):
-            found.update((b, k) for k in line_keys(t or b"", min_chars)[1] if k)
+            found.update((b, k) for k in line_keys(t or b"", min_chars, min_words)[1] if k)
         if found:
             found = list(found)
             h = np.frombuffer(b"".join(k for _, k in found), "<i8").reshape(-1, 2)
@@ -225,20 +228,22 @@ def _ask(probes: pd.DataFrame, shard: pd.DataFrame) -> pd.DataFrame:
     return out
 
 
-def _apply_bucket(docs: pa.Table, hits: pa.Table, id_name, text_name, bucket, min_chars, keep_first) -> pa.Table:
+def _apply_bucket(docs: pa.Table, hits: pa.Table, id_name, text_name, bucket, min_chars, min_words, keep_first) -> pa.Table:
     h = np.column_stack([hits.column("h1").to_numpy(), hits.column("h2").to_numpy()]).astype("<i8").tobytes()
     held = {h[16 * i : 16 * i + 16]: f for i, f in enumerate(hits.column("first").to_pylist())}
-    done = [_result(b, id_name, text_name, held, min_chars, keep_first) for b in docs.drop_columns([bucket]).to_batches() if b.num_rows]
+    done = [_result(b, id_name, text_name, held, min_chars, min_words, keep_first) for b in docs.drop_columns([bucket]).to_batches() if b.num_rows]
     return pa.Table.from_batches(done)
 
 
 def drop_repeated_lines(
     docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_first: bool = False, id_col: str = "doc_id", text_col: str = "text",
-    broadcast_bytes: int = 32 << 20, bucket_bytes: int = 16 << 20,
+    broadcast_bytes: int = 32 << 20, bucket_bytes: int = 16 << 20, min_words: int = 0,
 ) -> DataFrame:
     """The input without its text column, and n_lines, n_dropped and kept, the text that stays. Lines found in at
-    least min_docs rows go everywhere, or, with keep_first, everywhere but in the document of the smallest id."""
-    shards, n, size = build_shards(line_counts(docs, id_col, text_col, min_chars), min_docs)
+    least min_docs rows go everywhere, or, with keep_first, everywhere but in the document of the smallest id. With min_words, lines of fewer words stay, and so do those that only rows
+    without an id hold."""
+    counts = line_counts(docs, id_col, text_col, min_chars, min_words)
+    shards, n, size = build_shards(counts.where("first is not null") if min_words else counts, min_docs)
     names = column_names(docs, ["n_lines", "n_dropped", "kept", "bucket", "text_utf8"])
     if any(names[k] != k for k in ("n_lines", "n_dropped", "kept")):
         docs = docs.drop(*(k for k in ("n_lines", "n_dropped", "kept") if k != text_col))
@@ -247,14 +252,14 @@ def drop_repeated_lines(
     out = T.StructType([*(f for f in given.schema if f.name != text), T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType()), T.StructField("kept", T.StringType())])
     if size <= broadcast_bytes:
         rows = [r.asDict() for r in shards.collect()]  # at most broadcast_bytes
-        return given.mapInArrow(partial(_apply_local, id_name=id_col, text_name=text, rows=rows, n=n, min_chars=min_chars, keep_first=keep_first), out)
+        return given.mapInArrow(partial(_apply_local, id_name=id_col, text_name=text, rows=rows, n=n, min_chars=min_chars, min_words=min_words, keep_first=keep_first), out)
     total = given.select(F.sum(F.length(text))).first()[0] or 0
     buckets, b = max(1, math.ceil(total / bucket_bytes)), names["bucket"]
     given = given.withColumn(b, F.pmod(F.xxhash64(F.col(id_col), F.col(text)), F.lit(buckets)))
-    probes = given.select(b, text).mapInArrow(partial(_bucket_keys, bucket=b, text_name=text, min_chars=min_chars), "b long, h1 long, h2 long").distinct()
+    probes = given.select(b, text).mapInArrow(partial(_bucket_keys, bucket=b, text_name=text, min_chars=min_chars, min_words=min_words), "b long, h1 long, h2 long").distinct()
     copies = max(1, math.ceil(buckets * bucket_bytes / (64 * SHARD_KEYS * n)))
     probes = probes.withColumn("shard", _shard_of(n)).withColumn("copy", F.pmod("b", F.lit(copies)))
     copied = shards.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(copies - 1).cast("long"))))
     hits = probes.groupBy("shard", "copy").cogroup(copied.groupBy("shard", "copy")).applyInPandas(_ask, "b long, h1 long, h2 long, first long")
-    apply = partial(_apply_bucket, id_name=id_col, text_name=text, bucket=b, min_chars=min_chars, keep_first=keep_first)
+    apply = partial(_apply_bucket, id_name=id_col, text_name=text, bucket=b, min_chars=min_chars, min_words=min_words, keep_first=keep_first)
     return given.groupBy(b).cogroup(hits.groupBy("b")).applyInArrow(lambda left, right: apply(left, right), out)

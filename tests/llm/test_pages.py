@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from orderlens.llm import main_text, topk, urls, warc
+from orderlens.llm import lines, main_text, topk, urls, warc
 from orderlens.llm.common import new_folder, ready
 from tests.llm import brute
 from tests.llm.test_texts import frame, words
@@ -196,3 +196,26 @@ def test_pipeline_stages_match_plain_versions(spark, tmp_path):
         pieces[r.doc_id] = pieces.get(r.doc_id, 0) + r.length
     assert pieces.keys() == clean
     assert brute.as_counts(pipeline.run(spark, str(tmp_path)).select("doc_id", "start", "length", "ids_crc32").collect()) == brute.as_counts((r.doc_id, r.start, r.length, r.ids_crc32) for r in seen[4])
+
+
+def test_passages_of_a_few_documents_stay_in_the_first(spark, tmp_path):
+    """Documents that are not alike share a line of 51 words, one of 50 words, or nothing but the passage."""
+    rng = random.Random(21)
+    passage, shorter, lone = words(rng, 51, 3000), words(rng, 50, 3000), words(rng, 60, 3000)
+    own = {i: words(rng, 150, 3000) for i in range(8)}
+    docs = [(i, f"{own[i]}\n{passage.upper() if i == 4 else passage}") for i in (3, 4, 5)]
+    docs += [(i, f"{own[i]}\n{shorter}") for i in (6, 7)] + [(0, own[0]), (8, passage), (9, None), (None, lone + "\na"), (None, lone + "\nb " + own[1])]
+    given = frame(spark, [(d, t, "en", len(t or "")) for d, t in docs], "doc_id long, text string, lang string, n_chars long")
+    for _, stage in pipeline.STAGES[1:3]:
+        given = stage(spark, given, str(tmp_path))
+    got = given.collect()
+    expected = [(i, f"{own[i]}\n{passage}" if i == 3 else own[i]) for i in (3, 4, 5)] + docs[3:6] + [(9, "")] + docs[-2:]
+    assert brute.as_counts((r.doc_id, r.text or "") for r in got) == brute.as_counts(expected)
+    assert all(r.n_chars == len(r.text or "") for r in got)
+
+
+@pytest.mark.parametrize("limit", [32 << 20, 0])
+def test_only_lines_of_enough_words_are_dropped(spark, limit):
+    rows = [(1, "a b c\nd e\n\n A B  c"), (2, "A b C\nd e\n"), (3, "x y\n\na b c"), (None, "q r s"), (None, "q r s")]
+    got = lines.drop_repeated_lines(frame(spark, rows), min_docs=2, min_words=3, keep_first=True, broadcast_bytes=limit)
+    assert brute.as_counts((r.doc_id, r.kept) for r in got.collect()) == brute.as_counts([rows[0], (2, "d e\n"), (3, "x y\n"), *rows[3:]])
