@@ -1,10 +1,11 @@
 """Secrets in texts: fixed patterns, and windows of high Shannon entropy.
 
 Base patterns find assignments, access keys and hexadecimal runs. The entropy scan takes runs of token characters that no
-base span covers and slides a window over them once for each character class. Entering and leaving characters change
+base span covers, or the parts of a run outside of base spans, and slides a window over them once for each character class. Entering and leaving characters change
 the counts, and with them the sum of c log c, so each step costs the same. Windows of a class whose characters come
 from the kinds the class asks for and whose entropy reaches the class's limit join to spans. Runs that an allow-list
-pattern matches are let go: addresses, identifiers of fixed form, placeholders.
+pattern matches are let go: identifiers of fixed form, placeholders, and runs within a mail address, a host name or the
+path behind a host. What stands between a scheme and the @ of an address is a user and a password, and is scanned.
 
 Offsets are code points, end exclusive. Cases: null text counts as empty and has no spans; rows of equal ids are
 scanned each by itself.
@@ -15,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -40,6 +42,10 @@ ALLOW = (
     re.compile(r"[0-9/_=+-]+"),  # numbers, dates, rules
     re.compile(r"(?:[a-z]+[-_/])+[a-z]*[0-9]{0,4}"),  # words in a path or a name
 )
+# Addresses by their whole form. Host names without a scheme are in lower case, and their first label is scanned.
+URL = re.compile(r"""://([^\s/?#@:]{0,512}:(?!\d{1,5}[/?#])[^\s@]{0,512}@|[^\s/?#@]{1,512}@)?([^\s/?#@"'<>]+(?:/[^\s?#"'<>]*)?)""")
+MAIL = re.compile(r"(?<![A-Za-z0-9._%+=/-])[A-Za-z0-9._%+=/-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?![A-Za-z0-9_+=-])")
+HOST = re.compile(r"(?<![A-Za-z0-9._@-])[a-z0-9-]{1,63}\.((?:[a-z0-9-]{1,63}\.)*[a-z]{2,6}(?![A-Za-z0-9_+=-])(?::\d{1,5})?(?:/[^\s?#\"'<>]*)?)")
 _HEX_BYTES = bytes(1 if chr(c) in "0123456789abcdef" else 0 for c in range(256))
 _RUN_BYTES = bytes(1 if chr(c).isascii() and (chr(c).isalnum() or chr(c) in "+/_=-") else 0 for c in range(256))
 _HEX_RUN, _TOKEN_RUN = b"\x01" * 16, b"\x01" * 20
@@ -100,30 +106,70 @@ def entropy_windows(run: str, window: int, alphabet: frozenset, needs: tuple[str
         yield span
 
 
+def address_spans(text: str) -> list[tuple[int, int]]:
+    """Hosts with their paths and mail addresses; never the user and password of an address."""
+    found, users = [], []
+    for m in URL.finditer(text):
+        found += [(m.start(), m.start() + 3), m.span(2)]
+        if m.group(1):
+            users.append(m.span(1))
+    if "@" in text:
+        starts = [a for a, _ in users]
+        for m in MAIL.finditer(text):
+            at = bisect_right(starts, m.end() - 1) - 1
+            if at < 0 or users[at][1] <= m.start():
+                found.append(m.span())
+    found += [m.span(1) for m in HOST.finditer(text)]
+    open_ = _joined(users)
+    return [part for a, b in found for part in _outside(a, b, open_)]
+
+
+def _outside(start: int, end: int, closed: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """The parts of start..end that none of the sorted, disjoint spans covers."""
+    for a, b in closed[max(0, bisect_right(closed, (start, start)) - 1) :]:
+        if a >= end:
+            break
+        if b > start:
+            if a > start:
+                yield start, a
+            start = b
+    if start < end:
+        yield start, end
+
+
+def _joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    merged: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if merged and a <= merged[-1][1]:
+            merged[-1] = merged[-1][0], max(b, merged[-1][1])
+        else:
+            merged.append((a, b))
+    return merged
+
+
 def entropy_spans(text: str, raw: bytes, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     if _TOKEN_RUN not in raw.translate(_RUN_BYTES):
         return []
-    found = []
+    found: list[tuple[int, int, int]] = []
+    closed = None
     for m in RUN.finditer(text):
         run = m.group()
         if not any(c.isdigit() for c in run) or any(p.fullmatch(run) for p in ALLOW):
             continue
-        before = text[max(0, m.start() - 1) : m.start()]
-        if before in ("@", ".") or (before == ":" and run.startswith("//")) or text[m.end() : m.end() + 1] == "@":
-            continue  # part of an address
-        if any(a < m.end() and m.start() < b for a, _, b in base):
-            continue  # a base span tells of it
-        places = sorted(p for rule in CLASSES.values() for p in entropy_windows(run, *rule))
-        merged: list[list[int]] = []
-        for a, b in places:
-            if merged and a <= merged[-1][1]:
-                merged[-1][1] = max(b, merged[-1][1])
-            else:
-                merged.append([a, b])
-        found += [(m.start() + a, 3, m.start() + b) for a, b in merged]
+        if closed is None:
+            closed = _joined([(a, b) for a, _, b in base] + address_spans(text))
+        for a, b in _outside(m.start(), m.end(), closed):
+            part = text[a:b]
+            if b - a >= 20 and any(c.isdigit() for c in part) and not any(p.fullmatch(part) for p in ALLOW):
+                found += _windows(part, a)
     return found
 
 
+def _windows(run: str, start: int) -> list[tuple[int, int, int]]:
+    places = _joined([p for rule in CLASSES.values() for p in entropy_windows(run, *rule)])
+    return [(start + a, 3, start + b) for a, b in places]
+
+
 def _listed(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in sorted(spans))
 

@@ -307,6 +307,21 @@ def test_entropy_finds_random_strings_and_spares_allowed_ones(spark):
     assert got == {1: f"entropy:4:{4 + len(key)}", 2: "", 3: "", 4: "", 5: "", 6: ""}
 
 
+def test_entropy_scans_passwords_tokens_and_what_base_spans_leave(spark):
+    key, other = "kQ9zT3xWv7Lm2RbY5sJd8HfN1pGc4", "Zr4Kq8VnX2wPt6LsB9yMc3HdJ7gF5"
+    texts = {
+        f"postgres://admin:{key}@db.example.com/main": [key], f"https://{key}@example.com/x": [key], f"amqp://u:{key}@host": [key],
+        f"head.{key}.{other}": [key, other], f"see {key}.{other}.": [key, other], f"end of text.{key}": [key], f"@{key}": [key], f"u@{key}": [key],
+        f"{key}0123456789abcdef{other}": [key, other],
+        f"{key}@example.com": [], f"mail joe@{key}.example.com now": [], f"https://www.example.com/a/{key}": [], f"www.example.com/a/{key}": [], f"http://host:8080/{key}": [],
+    }
+    got = {r.doc_id: r.spans for r in secrets.find_secrets(frame(spark, list(enumerate(texts)))).collect()}
+    for i, (text, keys) in enumerate(texts.items()):
+        places = [x.split(":") for x in got[i].split(",") if x.startswith("entropy")]
+        found = [text[int(a) : int(b)] for _, a, b in places]
+        assert len(found) == len(keys) and all(f in k and len(f) >= len(k) - 2 for f, k in zip(found, keys, strict=True)), (text, found)
+
+
 def test_incremental_entropy_equals_direct_count():
     import math
     from collections import Counter
