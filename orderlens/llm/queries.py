@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import decontam, lines, main_text, neardup, packing, quality, secrets, topk, urls, warc
+from orderlens.llm import decontam, divergence, lines, main_text, neardup, oracles, packing, pivots, quality, secrets, topk, urls, warc
 from orderlens.llm.common import delete_at_end, new_folder, table
 
 
@@ -63,9 +63,19 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = pivots.compress(table(spark, sf_dir, "embeddings"), parts=4, entries=256, rounds=4, scale=1024)
+    return pivots.with_label_errors(codes).select("vec_id", "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"), min_docs=30, top=50)
+
+
 def queries() -> dict:
     every = (
         op1_packing, op2_decontamination, op3_url_filter, op4_warc, op5_line_dedup, op6_secrets, op7_quality, op8_near_dedup, op9_top_k, op10_main_text,
+        op11_vector_codes, op12_source_divergence,
     )
     return {f.__name__: f for f in every}
 
@@ -164,8 +174,10 @@ with v as (
 ), r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
 select query_id, rank::int as rank, vec_id, score from r where rank <= 5
 """,
+    "op11_vector_codes": oracles.vector_codes(),
+    "op12_source_divergence": oracles.source_divergence(),
 }
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(SQL)
\ No newline at end of file
+    return dict(SQL)
