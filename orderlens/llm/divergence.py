@@ -1,10 +1,10 @@
 """How the sources of a language differ in their words: single-pass in-memory indexing, then pair corrections.
 
 **Index.** A task reads its documents once and keeps postings in memory: for each language the documents of each term,
-for each (language, source) the occurrences. When the block is full it is spilled as a run: rows sorted by shard, language
-and term. Runs are merged by a heap, hash shard by hash shard, runs of neighbouring numbers first, so that a term that
-every run holds meets only ``FAN`` rows at a time in a task. What comes out is one row for each kept term with its
-counts by source, in many shards; shards follow from the number of postings in the runs.
+for each (language, source) the occurrences. When the block is full it is spilled as a run: its terms are sorted by
+hash shard, language and term, and each shard's part travels as one packed row. Runs are merged by a heap, shard by
+shard. Where more tasks than ``FAN`` wrote runs, neighbouring ones are merged first and their shards are split further,
+so that a merge never holds much more than a block. What comes out is one row for each kept term with its counts by source.
 
 **Corrections.** A source that lacks a term gives it the same share, whatever the term, so the difference of two sources
 is V times the difference of these two base shares, plus a correction for each term that one of both holds. Shards of the
@@ -20,13 +20,14 @@ language; where a language keeps no term, its pair values are 0. Rows that repea
 from __future__ import annotations
 
 import heapq
-from collections import Counter, defaultdict
+import json
+from collections import defaultdict
 from collections.abc import Iterator
-from itertools import groupby
-from operator import itemgetter
+from itertools import chain, count, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -34,14 +35,12 @@ from pyspark.sql import functions as F
 
 from orderlens.llm.common import materialise, text_bytes
 
-#: entries (terms by group) of a block in memory, and bytes of its very long texts
-BLOCK_ENTRIES, BLOCK_BYTES = 300_000, 48 << 20
-#: bytes of one text looked at at a time; a text beyond it is a very long one
+#: terms and postings of a block in memory
+BLOCK_TERMS, BLOCK_POSTINGS = 400_000, 2_000_000
+#: bytes of one text looked at at a time
 PIECE = 1 << 20
-#: hash shards of a run, and postings that one merging task holds
-SHARDS, SHARD_POSTINGS = 4096, 1_000_000
-#: tasks whose runs are merged in one step
-FAN = 64
+#: hash shards of a run, and tasks whose runs are merged in one step
+SHARDS, FAN = 64, 64
 #: numbers of one matrix in the pass of corrections
 MATRIX = 2_000_000
 #: terms of a group in the report
@@ -51,11 +50,10 @@ SMOOTH, SCALE = 5, 1_000_000_000
 # A-Z become a-z, every other ASCII character but a-z becomes a space; bytes beyond ASCII are parts of terms
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
 
-_RUN_SCHEMA = pa.schema([
-    ("shard", pa.int32()), ("run", pa.int64()), ("lang", pa.string()), ("term", pa.string()), ("docs", pa.int64()),
-    ("sources", pa.list_(pa.string())), ("counts", pa.list_(pa.int64())),
-])
-RUN = "shard int, run long, lang string, term string, docs long, sources array<string>, counts array<long>"
+RUN = "shard int, run long, payload binary"
+_RUN_SCHEMA = pa.schema([("shard", pa.int32()), ("run", pa.int64()), ("payload", pa.binary())])
+INDEX = "shard int, lang string, term string, docs long, sources array<string>, counts array<long>"
+_INDEX_SCHEMA = pa.schema([("shard", pa.int32()), ("lang", pa.string()), ("term", pa.string()), ("docs", pa.int64()), ("sources", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
 _PART_SCHEMA = pa.schema([("lang", pa.string()), ("part", pa.string()), ("source", pa.string()), ("item", pa.string()), ("value", pa.int64()), ("one_sided", pa.int64())])
 PART = "lang string, part string, source string, item string, value long, one_sided long"
 
@@ -68,101 +66,203 @@ def _turned(rows: list[tuple], width: int) -> list:
     return list(zip(*rows, strict=True)) or [()] * width
 
 
-def _pieces(raw: bytes) -> Iterator[list[bytes]]:
-    """Terms of a text, a megabyte at a time, never cut inside a term."""
-    folded = raw.translate(_FOLD)
-    at = 0
-    while at < len(folded):
-        end = at + PIECE
-        if end < len(folded):
-            end = folded.find(b" ", end)
-            end = len(folded) if end < 0 else end
-        yield folded[at:end].split()
-        at = max(end, at + 1)
+def _summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys with the sums of their values."""
+    order = np.argsort(keys, kind="stable")
+    keys, values = keys[order], values[order]
+    first = np.flatnonzero(np.diff(keys, prepend=keys[:1] - 1))
+    return (keys[first], np.add.reduceat(values, first)) if len(keys) else (keys, values)
+
+
+class Run:
+    """Sorted keys (language, a zero byte, term) with their documents and their postings: source numbers and counts."""
+
+    def __init__(self, keys: list[bytes], docs: np.ndarray, starts: np.ndarray, codes: np.ndarray, counts: np.ndarray, sources: list[str]):
+        self.keys, self.docs, self.starts, self.codes, self.counts, self.sources = keys, docs, starts, codes, counts, sources
+
+    def part(self, start: int, end: int) -> bytes:
+        a, b = self.starts[start], self.starts[end]
+        lists = pa.array(self.starts[start : end + 1] - a, pa.int32())
+        codes = pa.ListArray.from_arrays(lists, pa.array(self.codes[a:b], pa.int32()))
+        counts = pa.ListArray.from_arrays(lists, pa.array(self.counts[a:b], pa.int64()))
+        batch = pa.record_batch([pa.array(self.keys[start:end], pa.binary()), pa.array(self.docs[start:end]), codes, counts], names=["key", "docs", "codes", "counts"])
+        sink = pa.BufferOutputStream()
+        schema = batch.schema.with_metadata({"sources": json.dumps(self.sources)})
+        with pa.ipc.new_stream(sink, schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_batch(batch.replace_schema_metadata(schema.metadata))
+        return sink.getvalue().to_pybytes()
+
+    @staticmethod
+    def read(payload: bytes) -> Run:
+        table = pa.ipc.open_stream(payload).read_all()
+        (batch,) = table.combine_chunks().to_batches() or [pa.RecordBatch.from_pylist([], schema=table.schema)]
+        key, docs, codes, counts = batch.columns
+        return Run(key.to_pylist(), np.asarray(docs), np.asarray(codes.offsets, np.int64), np.asarray(codes.values), np.asarray(counts.values), json.loads(table.schema.metadata[b"sources"]))
+
+    def split(self, shards: int) -> Iterator[tuple[int, bytes]]:
+        """Its parts by hash shard; the order of keys stays."""
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, self.keys), np.uint64, len(self.keys)) % np.uint64(shards)
+        order = np.argsort(hashes, kind="stable")
+        moved = self.taken(order)
+        ends = np.searchsorted(hashes[order], np.arange(shards + 1, dtype=np.uint64))
+        for shard in np.flatnonzero(np.diff(ends)).tolist():
+            yield shard, moved.part(int(ends[shard]), int(ends[shard + 1]))
+
+    def taken(self, order: np.ndarray) -> Run:
+        lengths = np.diff(self.starts)[order]
+        starts = np.concatenate([[0], np.cumsum(lengths)])
+        at = np.repeat(self.starts[:-1][order] - starts[:-1], lengths) + np.arange(starts[-1])
+        keys = self.keys
+        return Run([keys[i] for i in order.tolist()], self.docs[order], starts, self.codes[at], self.counts[at], self.sources)
+
+
+class _Language:
+    def __init__(self) -> None:
+        self.ids: dict[bytes, int] = defaultdict(count().__next__)
+        self.docs: list[np.ndarray] = []
+        self.postings: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def add(self, ids: list[int], lengths: list[int], sources: list[int]) -> None:
+        """Texts by their term numbers, one after the other."""
+        if not ids:
+            return
+        terms = np.array(ids, np.int64)
+        doc = np.repeat(np.arange(len(lengths)), lengths)
+        seen, n = np.unique(doc << 32 | terms, return_counts=True)
+        self.docs.append(seen & 0xFFFFFFFF)
+        keys = np.asarray(sources, np.int64)[seen >> 32] << 32 | seen & 0xFFFFFFFF
+        self.postings.append(_summed(keys, n))
+
+    def add_long(self, pieces: Iterator[list[bytes]], source: int) -> None:
+        found = [np.unique(np.fromiter(map(self.ids.__getitem__, p), np.int64, len(p)), return_counts=True) for p in pieces]
+        terms, n = _summed(np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]))
+        self.docs.append(terms)
+        self.postings.append((source << 32 | terms, n))
 
 
 class Block:
     """Postings in memory."""
 
     def __init__(self) -> None:
-        self.docs: dict[str, Counter] = defaultdict(Counter)
-        self.counts: dict[tuple[str, str], Counter] = defaultdict(Counter)
-        self.entries = self.long_bytes = 0
-
-    def add(self, lang: str, source: str, raw: bytes) -> None:
-        counts = self.counts[lang, source]
-        before = len(counts)
-        seen: set[bytes] = set()
-        for terms in _pieces(raw):
-            counts.update(terms)
-            seen.update(terms)
-        self.docs[lang].update(seen)
-        self.entries += len(counts) - before
-        if len(raw) > PIECE:
-            self.long_bytes += len(raw)
+        self.langs: dict[str, _Language] = defaultdict(_Language)
+        self.sources: dict[str, int] = defaultdict(count().__next__)
+        self.groups: set[tuple[str, str]] = set()
+
+    def add(self, rows: list[tuple[str, str, bytes]]) -> None:
+        short: dict[str, tuple[list, list, list]] = defaultdict(lambda: ([], [], []))
+        for lang, source, raw in rows:
+            self.groups.add((lang, source))
+            language, number = self.langs[lang], self.sources[source]
+            if len(raw) > PIECE:
+                language.add_long(_pieces(raw), number)
+                continue
+            ids, lengths, sources = short[lang]
+            before = len(ids)
+            ids.extend(map(language.ids.__getitem__, raw.translate(_FOLD).split()))
+            lengths.append(len(ids) - before)
+            sources.append(number)
+        for lang, texts in short.items():
+            self.langs[lang].add(*texts)
 
     def full(self) -> bool:
-        return self.entries > BLOCK_ENTRIES or self.long_bytes > BLOCK_BYTES
+        every = self.langs.values()
+        return sum(len(x.ids) for x in every) > BLOCK_TERMS or sum(len(p[0]) for x in every for p in x.postings) > BLOCK_POSTINGS
+
+    def run(self) -> Run:
+        """The block in the order of its keys. The term '' lists the groups, with or without terms."""
+        none = np.zeros(0, np.int64)
+        keys: list[bytes] = []
+        docs, term_of, codes, counts = [none], [none], [none], [none]
+        for lang, source in self.groups:
+            term_of.append(np.array([len(keys)]))
+            codes.append(np.array([self.sources[source]]))
+            counts.append(np.zeros(1, np.int64))
+            keys.append(lang.encode() + b"\0")
+            docs.append(np.zeros(1, np.int64))
+        for lang, language in self.langs.items():
+            first, head = len(keys), lang.encode() + b"\0"
+            keys.extend(head + t for t in language.ids)
+            docs.append(np.bincount(np.concatenate([none, *language.docs]), minlength=len(language.ids)).astype(np.int64))
+            at, n = _summed(np.concatenate([none, *(p[0] for p in language.postings)]), np.concatenate([none, *(p[1] for p in language.postings)]))
+            term_of.append((at & 0xFFFFFFFF) + first)
+            codes.append(at >> 32)
+            counts.append(n)
+        term, order = np.concatenate(term_of), np.asarray(pc.sort_indices(pa.array(keys, pa.large_binary())), np.int64)
+        by_term = np.argsort(term, kind="stable")
+        starts = np.searchsorted(term[by_term], np.arange(len(keys) + 1))
+        return Run(keys, np.concatenate(docs), starts, np.concatenate(codes)[by_term], np.concatenate(counts)[by_term], list(self.sources)).taken(order)
 
-    def run(self, number: int) -> Iterator[pa.RecordBatch]:
-        """Rows in the order of shard, language and term. The term '' lists the groups, with or without terms."""
-        postings: dict[tuple[str, bytes], tuple[list[str], list[int]]] = {}
-        for (lang, source), counts in self.counts.items():
-            for term, n in [(b"", 0), *counts.items()]:
-                sources, numbers = postings.setdefault((lang, term), ([], []))
-                sources.append(source)
-                numbers.append(n)
-        keys = sorted((_shard(lang, term), lang, term) for lang, term in postings)
-        for start in range(0, len(keys), 20_000):
-            part = keys[start : start + 20_000]
-            held = [postings[lang, term] for _, lang, term in part]
-            rows = [(shard, number, lang, term.decode(), self.docs[lang][term], *h) for (shard, lang, term), h in zip(part, held, strict=True)]
-            yield from _table(_turned(rows, 7), _RUN_SCHEMA).to_batches()
 
+def _pieces(raw: bytes) -> Iterator[list[bytes]]:
+    """Terms of a text, a megabyte at a time, never cut inside a term."""
+    folded, at = raw.translate(_FOLD), 0
+    while at < len(folded):
+        end = folded.find(b" ", at + PIECE) if at + PIECE < len(folded) else -1
+        end = len(folded) if end < 0 else end
+        yield folded[at:end].split()
+        at = end + 1
 
-def _shard(lang: str, term: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(term, xxhash.xxh32_intdigest(lang.encode())) % SHARDS
+
+def _packed(parts: Iterator[tuple[int, bytes]], number: int) -> Iterator[pa.RecordBatch]:
+    for shard, payload in parts:
+        yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([number], pa.int64()), pa.array([payload], pa.binary())], schema=_RUN_SCHEMA)
 
 
 def _index(part: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     number, block = TaskContext.get().partitionId() << 20, Block()
     for b in part:
-        for lang, source, raw in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            block.add(lang, source, raw)
-            if block.full():
-                yield from block.run(number)
-                number, block = number + 1, Block()
-    yield from block.run(number)
-
-
-def _run_rows(run: pa.Table) -> Iterator[tuple]:
-    for b in run.select(["lang", "term", "docs", "sources", "counts"]).to_batches(max_chunksize=5_000):
-        yield from zip(*(c.to_pylist() for c in b.columns), strict=True)
-
+        block.add(list(zip(*(c.to_pylist() for c in b.columns), strict=True)))
+        if block.full():
+            yield from _packed(block.run().split(SHARDS), number)
+            number, block = number + 1, Block()
+    if block.groups:
+        yield from _packed(block.run().split(SHARDS), number)
+
+
+def merge_runs(runs: list[Run], min_docs: int) -> Run:
+    """One run of all; keys of fewer documents go, but for those that list groups."""
+    firsts = np.concatenate([[0], np.cumsum([len(r.keys) for r in runs])])
+    merged = heapq.merge(*(zip(r.keys, range(a, a + len(r.keys))) for r, a in zip(runs, firsts.tolist(), strict=False)))
+    keys: list[bytes] = []
+    starts: list[int] = []
+    last, order = None, []
+    for key, at in merged:
+        if key != last:
+            last = key
+            keys.append(key)
+            starts.append(len(order))
+        order.append(at)
+    sources = list(dict.fromkeys(chain.from_iterable(r.sources for r in runs)))
+    number = {s: i for i, s in enumerate(sources)}
+    codes = np.concatenate([np.array([number[s] for s in r.sources], np.int64)[r.codes] for r in runs])
+    ends = np.concatenate([[0], *(r.starts[1:] + a for r, a in zip(runs, np.cumsum([0, *(len(r.codes) for r in runs)])[:-1], strict=True))])
+    together = Run([], np.concatenate([r.docs for r in runs]), ends, codes, np.concatenate([r.counts for r in runs]), sources)
+    begin, placed = np.array(starts, np.int64), np.array(order, np.int64)
+    docs = np.add.reduceat(together.docs[placed], begin) if len(keys) else together.docs
+    stays = (docs >= min_docs) | np.fromiter((k.endswith(b"\0") for k in keys), bool, len(keys))
+    which = np.repeat(np.cumsum(stays) - 1, np.diff([*starts, len(placed)]))[np.repeat(stays, np.diff([*starts, len(placed)]))]
+    placed = placed[np.repeat(stays, np.diff([*starts, len(placed)]))]
+    lengths = np.diff(together.starts)[placed]
+    at = np.repeat(together.starts[:-1][placed] - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(lengths.sum())
+    pairs, counts = _summed(np.repeat(which, lengths) << 32 | together.codes[at], together.counts[at])
+    kept = [k for k, stay in zip(keys, stays.tolist(), strict=True) if stay]
+    return Run(kept, docs[stays], np.searchsorted(pairs >> 32, np.arange(len(kept) + 1)), pairs & 0xFFFFFFFF, counts, sources)
+
+
+def _merged(min_docs: int, shards: int | None):
+    """Merges the packed runs of a shard: into the index, or into runs of finer shards."""
 
-def merge_runs(runs: list[Iterator[tuple]]) -> Iterator[tuple]:
-    """One row for each (language, term) of runs that are sorted by it."""
-    for _, same in groupby(heapq.merge(*runs, key=itemgetter(0, 1)), key=itemgetter(0, 1)):
-        first, *others = same
-        if others:
-            total = dict(zip(first[3], first[4], strict=True))
-            for r in others:
-                for source, n in zip(r[3], r[4], strict=True):
-                    total[source] = total.get(source, 0) + n
-            first = (first[0], first[1], first[2] + sum(r[2] for r in others), list(total), list(total.values()))
-        yield first
-
-
-def _merge(min_docs: int):
     def merge(table: pa.Table) -> pa.Table:
-        # the exchange delivers the runs in pieces: each is put back into its order
-        table = table.sort_by([(c, "ascending") for c in ("run", "lang", "term")])
-        runs = np.asarray(table.column("run").combine_chunks())
-        starts = [*np.flatnonzero(np.diff(runs, prepend=runs[0] - 1)).tolist(), len(runs)]
-        merged = merge_runs([_run_rows(table.slice(a, b - a)) for a, b in zip(starts, starts[1:], strict=False)])
-        rows = [r for r in merged if r[2] >= min_docs or not r[1]]
-        number = int(runs[0]) >> 20
-        return _table([[table.column("shard")[0].as_py()] * len(rows), [number // FAN << 20] * len(rows), *_turned(rows, 5)], _RUN_SCHEMA)
+        run = merge_runs([Run.read(p) for p in table.column("payload").to_pylist()], min_docs)
+        if shards:
+            number = (min(table.column("run").to_pylist()) >> 20) // FAN << 20
+            return _table(_turned([(s, number, p) for s, p in run.split(shards)], 3), _RUN_SCHEMA)
+        cut = [k.rpartition(b"\0") for k in run.keys]
+        at = run.starts.tolist()
+        names = [[run.sources[c] for c in run.codes[a:b]] for a, b in zip(at, at[1:])]
+        counts = [run.counts[a:b].tolist() for a, b in zip(at, at[1:])]
+        columns = [repeat(table.column("shard")[0].as_py(), len(cut)), [c[0].decode() for c in cut], [c[2].decode() for c in cut], run.docs.tolist(), names, counts]
+        return _table([list(c) for c in columns], _INDEX_SCHEMA)
 
     return merge
 
@@ -172,19 +272,15 @@ def frequencies(docs: DataFrame, min_docs: int, lang_col: str = "lang", source_c
     none = F.lit("")
     read = docs.select(F.coalesce(F.col(lang_col).cast("string"), none).alias("lang"), F.coalesce(F.col(source_col).cast("string"), none).alias("source"), text_bytes(text_col).alias("text"))
     runs = materialise(read.mapInArrow(_index, RUN))
+    shards = SHARDS
     while True:
-        postings, last = runs.agg(F.coalesce(F.sum(F.size("sources")), F.lit(0)), F.coalesce(F.max("run"), F.lit(0))).first()
+        last = runs.agg(F.coalesce(F.max("run"), F.lit(0))).first()[0]
         groups = (last >> 20) // FAN + 1
-        shards = max(1, min(SHARDS, postings // groups // SHARD_POSTINGS))
-        sharded = runs.withColumn("shard", (F.col("shard") % shards).cast("int")).withColumn("group", F.floor(F.shiftright("run", 20) / FAN))
-        merged = sharded.groupBy("shard", "group").applyInArrow(_grouped(_merge(min_docs if groups == 1 else 0)), RUN)
-        runs = materialise(merged)
         if groups == 1:
-            return runs.drop("run")
-
-
-def _grouped(merge):
-    return lambda table: merge(table.drop_columns(["group"]))
+            return materialise(runs.groupBy("shard").applyInArrow(_merged(min_docs, None), INDEX))
+        shards *= min(FAN, groups)
+        near = runs.withColumn("group", F.floor(F.shiftright("run", 20) / FAN))
+        runs = materialise(near.groupBy("shard", "group").applyInArrow(_merged(0, shards), RUN))
 
 
 def share(count: np.ndarray, total: np.ndarray | int) -> np.ndarray:

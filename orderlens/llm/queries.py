@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import decontam, divergence, lines, main_text, neardup, oracles, packing, pivots, quality, secrets, topk, urls, warc
+from orderlens.llm import decontam, divergence, lines, main_text, neardup, oracles, packing, pivots, private, quality, secrets, topk, urls, warc
 from orderlens.llm.common import delete_at_end, new_folder, table
 
 
@@ -72,10 +72,14 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"), min_docs=30, top=50)
 
 
+def op13_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private.find_private(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     every = (
         op1_packing, op2_decontamination, op3_url_filter, op4_warc, op5_line_dedup, op6_secrets, op7_quality, op8_near_dedup, op9_top_k, op10_main_text,
-        op11_vector_codes, op12_source_divergence,
+        op11_vector_codes, op12_source_divergence, op13_private_data,
     )
     return {f.__name__: f for f in every}
 
