@@ -22,6 +22,8 @@ document of its own, repeated ids too. An empty table gives no rows.
 from __future__ import annotations
 
 import bisect
+import re
+import struct
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -39,38 +41,68 @@ HALVE_ABOVE = 0.005
 CACHE_WORDS = 700_000
 _MARKS = b".,;:!?"
 
-_known: dict[str, dict] = {}
+_known: dict[str, Words] = {}
+
+
+def _byte_letters() -> dict[int, int]:
+    """The public byte-level alphabet: printable bytes stand for themselves, the others follow from 256 on in order."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: 256 + i for i, b in enumerate(others)}
+
+
+_LETTERS = _byte_letters()
+#: words of lower-case letters that no normalisation changes and no rule of the vocabulary splits
+_PLAIN = re.compile("[a-zß-öø-ÿ]+")
 
 
 class Words(dict):
     """Ids of words, as little-endian 32-bit words, that this worker has met. A word that marks follow is that word and
-    the marks: the vocabulary splits there."""
+    the marks: the vocabulary splits there. Plain words go to the vocabulary's merges directly. When the table is full
+    it becomes the older generation, from which words that are met again return."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, limit: int = CACHE_WORDS):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.limit, self.older, self.misses = Tokenizer.from_file(path), limit, {}, 0
+        self.merge = self.tokenizer.model.tokenize
 
     def __missing__(self, word: bytes) -> bytes:
-        core = word.rstrip(_MARKS)
-        if core != word and core and 97 <= core[-1] <= 122:
-            ids = self[core] + self[word[len(core) :]]
-        else:
-            ids = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+        ids = self.older.get(word)
+        if ids is None:
+            core = word.rstrip(_MARKS)
+            if core != word and core and 97 <= core[-1] <= 122:
+                ids = self[core] + self[word[len(core) :]]
+            else:
+                ids = self._encoded(word)
         self[word] = ids
         return ids
 
+    def _encoded(self, word: bytes) -> bytes:
+        self.misses += 1
+        text = word.decode()
+        if _PLAIN.fullmatch(text):
+            found = [t.id for t in self.merge(text if text.isascii() else word.decode("latin-1").translate(_LETTERS))]
+        else:
+            found = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(found)}I", *found)
+
+    def turn(self) -> None:
+        """A new generation, where this one is full."""
+        if len(self) > self.limit:
+            self.older = dict(self)
+            self.clear()
+
 
 def token_bytes(texts: list[bytes], path: str) -> list[bytes]:
     """The ids of each text (UTF-8). The vocabulary is one of lower case and never merges across blanks, so what stands
     between blanks and line ends is tokenised once and looked up afterwards; texts that may hold a special token keep their case."""
     known = _known.get(path) or _known.setdefault(path, Words(path))
-    if len(known) > CACHE_WORDS:
-        known.clear()
+    known.turn()
     known[b""] = b""
     get = known.__getitem__
     return [b"".join(map(get, (t if b"<|" in t else t.lower()).replace(b"\n", b" ").split(b" "))) for t in texts]
