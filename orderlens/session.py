@@ -50,7 +50,15 @@ def materialise(df: DataFrame, path: str | None = None) -> DataFrame:
     path = path or new_folder(spark)
     delete_at_end(spark, path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.stored_at = path
+    return stored
+
+
+def release(*stored: DataFrame) -> None:
+    """Remove the folders of materialised tables that nothing reads any more."""
+    for df in stored:
+        discard(df.sparkSession, df.stored_at)
 
 
 def delete_at_end(spark: SparkSession, path: str) -> None:
