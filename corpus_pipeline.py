@@ -53,24 +53,44 @@ def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
     return docs.withColumn(key, neardup.text_hash("text")), key
 
 
+def _few(rows: DataFrame) -> DataFrame:
+    """A stored table of ids, to be broadcast if it is small."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
+def _is(docs: DataFrame, key: str, rows: DataFrame):
+    return docs["doc_id"].eqNullSafe(rows["row_id"]) & (docs[key] == rows["row_text"])
+
+
+def _representatives(docs: DataFrame) -> DataFrame:
+    """One row of each group of near-duplicates. What travels are the ids and text hashes of rows that go; only ids and
+    texts that stand in several rows are looked at again."""
+    found = neardup.near_duplicates(docs, k=5, percent=80)
+    per = found.groupBy(F.col("doc_id").alias("row_id"), F.col("text_hash").alias("row_text")).agg(F.max("first_row").alias("stays"), F.count(F.lit(1)).alias("times"))
+    marked = materialise(per.where("not stays or times > 1"))
+    repeated = marked.where("stays")
+    given, key = _keyed(docs)
+    kept = given.join(_few(marked), _is(given, key, marked), "left_anti").select(docs.columns)
+    if repeated.isEmpty():
+        return kept
+    again = given.join(_few(repeated), _is(given, key, repeated), "left_semi").dropDuplicates(["doc_id", key]).select(docs.columns)
+    return kept.unionByName(again)
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Five-word shingles, similarity of 0.8: the document of the smallest id stays of each group. Then passages that
     several of the documents left share stay in the first of them."""
     ready(spark)
-    stay = neardup.near_duplicates(docs, k=5, percent=80).where("first_row").select(F.col("doc_id").alias("stay_id"), F.col("text_hash").alias("stay_text")).distinct()
-    given, key = _keyed(docs)
-    kept = given.join(stay, given["doc_id"].eqNullSafe(stay["stay_id"]) & (given[key] == stay["stay_text"]), "left_semi")
-    return _without_repeated(materialise(kept.dropDuplicates(["doc_id", key]).select(docs.columns)), min_docs=2, min_words=PASSAGE_WORDS)
+    return _without_repeated(_representatives(docs), min_docs=2, min_words=PASSAGE_WORDS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold ten consecutive words of a benchmark item go."""
     ready(spark)
     found = decontam.contamination(docs, table(spark, sf_dir, "benchmark"), width=10).where("contaminated")
-    bad = materialise(found.select(F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_text")).distinct())
-    few = F.broadcast(bad) if bad.count() <= BROADCAST_ROWS else bad
+    bad = materialise(found.select(F.col("doc_id").alias("row_id"), F.col("text_hash").alias("row_text")).distinct())
     given, key = _keyed(docs)
-    return given.join(few, given["doc_id"].eqNullSafe(few["bad_id"]) & (given[key] == few["bad_text"]), "left_anti").select(docs.columns)
+    return given.join(_few(bad), _is(given, key, bad), "left_anti").select(docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
