@@ -9,9 +9,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.session import delete_at_end, materialise, new_folder, tune
+from orderlens.session import delete_at_end, materialise, new_folder, release, tune
 
-__all__ = ["batches", "column_names", "delete_at_end", "materialise", "mix64", "new_folder", "ready", "string_hashes", "table"]
+__all__ = ["batches", "column_names", "delete_at_end", "materialise", "mix64", "new_folder", "ready", "release", "string_hashes", "table"]
 
 #: rows and bytes in one Arrow batch; long texts end a batch early
 BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20

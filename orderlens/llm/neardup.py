@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import materialise, mix64, string_hashes, text_bytes
+from orderlens.llm.common import materialise, mix64, release, string_hashes, text_bytes
 
 SAMPLES, BINS, SKETCH_WORDS, SIGMAS, MISS = 128, 2048, 32, 5.0, 1e-6
 BLOCK = 256
@@ -205,13 +205,17 @@ def _sets_of(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int) -> Dat
     texts = docs.withColumn("text_hash", text_hash("text")).withColumnRenamed("doc_id", "d")
     held = texts.join(_hinted(wanted), (texts["text_hash"] == wanted["text_hash"]) & texts["d"].eqNullSafe(wanted["doc_id"]))
     held = held.select("node", text_bytes("text").alias("t")).mapInArrow(partial(_sets, k=k), "node long, shingles binary")
-    return materialise(held.groupBy("node").agg(F.first("shingles").alias("shingles")))  # a row may be there twice
+    sets = materialise(held.groupBy("node").agg(F.first("shingles").alias("shingles")))  # a row may be there twice
+    release(wanted)
+    return sets
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (stored) whose full sets reach the threshold."""
+    """The pairs (stored) whose full sets reach the threshold; the sets are released."""
     both = pairs.join(_side(sets, "b", ["shingles"]), "b").join(_side(sets, "a", ["shingles"]), "a")
-    return materialise(both.select("a", "b", "a_shingles", "b_shingles").mapInArrow(partial(_confirm, percent=percent), "a long, b long"))
+    confirmed = materialise(both.select("a", "b", "a_shingles", "b_shingles").mapInArrow(partial(_confirm, percent=percent), "a long, b long"))
+    release(sets)
+    return confirmed
 
 
 def _is_stars(edges: DataFrame) -> bool:
@@ -325,7 +329,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     rest = materialise(_residual(held, nodes, _hinted(labels), percent).join(likely, ["a", "b"], "left_anti"))
     if not rest.isEmpty():
         labels = _merged(labels, _confirmed(rest, _sets_of(rest, nodes, docs, k), percent))
-    return _result(signed, nodes.select("set1", "set2", "node", "low", "low_rid"), _hinted(labels))
+    result = materialise(_result(signed, nodes.select("set1", "set2", "node", "low", "low_rid"), _hinted(labels)))
+    release(signed, nodes, held, likely, rest)
+    return result
 
 
 def _result(signed: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
