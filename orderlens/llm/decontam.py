@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import materialise, text_bytes
+from orderlens.llm.common import materialise, release, text_bytes
 
 #: a word: digits, lower-case letters and everything beyond ASCII, after A-Z became lower case (on UTF-8 bytes)
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -205,13 +205,9 @@ def _searcher(windows: list, rank: dict[int, int], within: int | None):
     return search
 
 
-def _blocks(items: DataFrame, width: int, block_words: int, id_col: str, text_col: str):
-    parts = materialise(test_parts(items, width, id_col, text_col))
-    total = parts.select(F.sum(F.size("words"))).first()[0] or 0
-    blocks = max(1, math.ceil(total / block_words))
-    for b in range(blocks):
-        rows = parts.where(F.pmod(F.xxhash64("item", "words"), F.lit(blocks)) == b).collect()  # about block_words words
-        yield windows_of([(r["item"], r["words"]) for r in rows], width)
+def _block_windows(parts: DataFrame, block: int, blocks: int, width: int) -> tuple[dict[bytes, int], dict[tuple, set]]:
+    rows = parts.where(F.pmod(F.xxhash64("item", "words"), F.lit(blocks)) == block).collect()  # about block_words words
+    return windows_of([(r["item"], r["words"]) for r in rows], width)
 
 
 def find_occurrences(
@@ -221,14 +217,27 @@ def find_occurrences(
     """One row per document and block: rid, doc, text_hash, n_words, spans (start, end, start, end ... of words inside occurrences,
     merged, ascending) and items (ids as strings). With ``within``, proximity matches of the windows' terms instead of
     exact phrases; the spans are then the anchors."""
-    docs, found = docs.select(F.col(id_col), F.col(text_col)), []
-    for terms, windows in _blocks(items.select(F.col(item_col), F.col(item_text)), width, block_words, item_col, item_text):
-        index = build_index(docs, terms, width, id_col, text_col)
-        counts = index.where(F.col("kind") == TERM).groupBy("term").agg(F.sum("count").alias("n")).orderBy("n", "term").collect()  # the block's terms
-        rank = {r["term"]: i for i, r in enumerate(counts)}
-        known = [(phrase, sorted(map(str, ids))) for phrase, ids in windows.items() if all(t in rank for t in phrase)]
-        found.append(index.groupBy("segment").applyInPandas(_searcher(known, rank, within), "rid long, doc long, text_hash long, n_words long, spans array<long>, items array<string>"))
-    return reduce(DataFrame.unionByName, found)
+    docs = docs.select(F.col(id_col), F.col(text_col))
+    parts = materialise(test_parts(items.select(F.col(item_col), F.col(item_text)), width, item_col, item_text))
+    total = parts.select(F.sum(F.size("words"))).first()[0] or 0
+    blocks = max(1, math.ceil(total / block_words))
+    return reduce(DataFrame.unionByName, [_block_spans(docs, parts, b, blocks, width, within, id_col, text_col) for b in range(blocks)])
+
+
+def _block_spans(docs: DataFrame, parts: DataFrame, block: int, blocks: int, width: int, within: int | None, id_col: str, text_col: str) -> DataFrame:
+    """What one block of test items finds. Of several blocks each is stored before the next is read, so that the driver
+    holds the windows of one."""
+    terms, windows = _block_windows(parts, block, blocks, width)
+    index = build_index(docs, terms, width, id_col, text_col)
+    counts = index.where(F.col("kind") == TERM).groupBy("term").agg(F.sum("count").alias("n")).orderBy("n", "term").collect()  # the block's terms
+    rank = {r["term"]: i for i, r in enumerate(counts)}
+    known = [(phrase, sorted(map(str, ids))) for phrase, ids in windows.items() if all(t in rank for t in phrase)]
+    spans = index.groupBy("segment").applyInPandas(_searcher(known, rank, within), "rid long, doc long, text_hash long, n_words long, spans array<long>, items array<string>")
+    if blocks == 1:
+        return spans
+    stored = materialise(spans)
+    release(index)
+    return stored
 
 
 def _judge(part: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,11 +1,13 @@
 """Repeated lines, found through sharded minimal perfect hashes.
 
-The distinct line hashes that occur in enough documents are dealt into shards.
+The distinct hashes of lines that more than one document holds are dealt into shards.
 Each shard gets a minimal perfect hash (levels of collision-free bits, as in the
 published bit-array constructions) that indexes flat arrays: a 64-bit fingerprint,
-the number of documents and the smallest document id. Documents probe the arrays;
-no line is joined with another. A line is known by 128 bits: 64 find its place, 64
-are the fingerprint.
+the number of documents (32 bits, larger numbers held at the largest) and the smallest
+document id. Documents probe the arrays, and the count found there decides; no line
+is joined with another. A line is known by 128 bits: 64 find its place, 64 are the
+fingerprint. A line of one document needs no place where two are asked for: a probe
+that finds nothing says the same.
 
 Arrays of at most ``broadcast_bytes`` travel to every task. Larger ones stay in
 their shards: the distinct hashes of a bucket of documents go to the shards, split
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlens.llm.common import column_names, materialise, mix64, text_bytes
+from orderlens.llm.common import column_names, materialise, mix64, release, text_bytes
 
 BLANKS = b" \t\n\x0b\x0c\r"
 SHARD_KEYS = 200_000
@@ -122,18 +124,19 @@ def _mixed(h1: np.ndarray, h2: np.ndarray, seed: int) -> np.ndarray:
 class Shard:
     def __init__(self, row):
         self.seed, self.hash = row["seed"], PerfectHash(list(row["levels"]), np.frombuffer(row["bits"], np.uint64))
-        self.prints, self.counts, self.firsts = (np.frombuffer(row[k], np.int64) for k in ("prints", "counts", "firsts"))
+        self.prints, self.counts, self.firsts = (np.frombuffer(row[k], t) for k, t in ARRAYS.items())
 
-    def probe(self, h1: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """found, count, first for each hash."""
+    def probe(self, h1: np.ndarray, h2: np.ndarray, min_docs: int) -> tuple[np.ndarray, np.ndarray]:
+        """Whether at least min_docs documents hold the line, and the first of them, for each hash."""
         at = self.hash.place(_mixed(h1, h2, self.seed))
         found = at >= 0
-        found[found] = self.prints[at[found]] == h2[found]
-        at = np.where(found, at, 0)
-        return found, self.counts[at], self.firsts[at]
+        found[found] = (self.prints[at[found]] == h2[found]) & (self.counts[at[found]] >= min_docs)
+        return found, self.firsts[np.where(found, at, 0)]
 
 
 NO_ID = np.iinfo(np.int64).min
+MOST = np.iinfo(np.uint32).max
+ARRAYS = {"prints": np.int64, "counts": np.uint32, "firsts": np.int64}
 
 
 def _build(rows: pd.DataFrame) -> pd.DataFrame:
@@ -142,9 +145,9 @@ def _build(rows: pd.DataFrame) -> pd.DataFrame:
         seed += 1
     ph = PerfectHash.build(keys)
     at, arrays = ph.place(keys), {}
-    for name in ("prints", "counts", "firsts"):
-        arrays[name] = np.zeros(len(rows), np.int64)
-    arrays["prints"][at], arrays["counts"][at], arrays["firsts"][at] = h2, rows["n"], rows["first"]
+    for name, kind in ARRAYS.items():
+        arrays[name] = np.zeros(len(rows), kind)
+    arrays["prints"][at], arrays["counts"][at], arrays["firsts"][at] = h2, np.minimum(rows["n"], MOST), rows["first"]
     flat = {k: v.tobytes() for k, v in arrays.items()}
     return pd.DataFrame([{"shard": rows["shard"].iloc[0], "n": len(rows), "seed": seed, "levels": ph.levels, "bits": ph.words.tobytes(), **flat}])
 
@@ -153,13 +156,13 @@ def _shard_of(n: int):
     return F.pmod(F.col("h1"), F.lit(n)).cast("int")
 
 
-def build_shards(counts: DataFrame, min_docs: int = 1) -> tuple[DataFrame, int, int]:
-    """The stored shards, their number and their bytes. Lines of fewer documents need no place: a probe that finds
-    nothing says the same."""
-    keep = materialise(counts.where(F.col("n") >= min_docs).withColumn("first", F.coalesce("first", F.lit(NO_ID))))
+def build_shards(counts: DataFrame, least: int = 1) -> tuple[DataFrame, int, int]:
+    """The stored shards over the lines of ``least`` documents, their number and their bytes."""
+    keep = materialise(counts.where(F.col("n") >= least).withColumn("first", F.coalesce("first", F.lit(NO_ID))))
     n = max(1, math.ceil(keep.count() / SHARD_KEYS))
     shards = materialise(keep.withColumn("shard", _shard_of(n)).groupBy("shard").applyInPandas(_build, SHARD))
-    size = shards.select(F.sum(F.length("bits") + F.length("prints") * 3)).first()[0] or 0
+    release(keep)
+    size = shards.select(F.sum(F.length("bits") + F.length("prints") + F.length("counts") + F.length("firsts"))).first()[0] or 0
     return shards, n, size
 
 
@@ -170,8 +173,8 @@ def _split(doc, text: bytes, min_chars: int, min_words: int, gone) -> tuple[int,
     return len(lines), sum(drop), b"\n".join([x for x, d in zip(lines, drop, strict=True) if not d]).decode() if any(drop) else text.decode()
 
 
-def _probe_batch(keys: list[bytes], shards: dict[int, Shard], n: int) -> dict[bytes, int]:
-    """The first document of each key that the arrays hold."""
+def _probe_batch(keys: list[bytes], shards: dict[int, Shard], n: int, min_docs: int) -> dict[bytes, int]:
+    """The first document of each key that the arrays count in enough documents."""
     unique = list({k for k in keys if k})
     if not unique or not shards:
         return {}
@@ -180,7 +183,7 @@ def _probe_batch(keys: list[bytes], shards: dict[int, Shard], n: int) -> dict[by
     for s in np.unique(shard):
         if int(s) in shards:
             at = np.flatnonzero(shard == s)
-            found, _, first = shards[int(s)].probe(np.ascontiguousarray(h[at, 0]), np.ascontiguousarray(h[at, 1]))
+            found, first = shards[int(s)].probe(np.ascontiguousarray(h[at, 0]), np.ascontiguousarray(h[at, 1]), min_docs)
             out.update((unique[i], f) for i, f in zip(at[found].tolist(), first[found].tolist(), strict=True))
     return out
 
@@ -199,12 +202,12 @@ def _result(batch: pa.RecordBatch, id_name: str, text_name: str, held: dict[byte
     )
 
 
-def _apply_local(part: Iterator[pa.RecordBatch], id_name, text_name, rows, n, min_chars, min_words, keep_first) -> Iterator[pa.RecordBatch]:
+def _apply_local(part: Iterator[pa.RecordBatch], id_name, text_name, rows, n, min_docs, min_chars, min_words, keep_first) -> Iterator[pa.RecordBatch]:
     shards = {r["shard"]: Shard(r) for r in rows}
     for batch in part:
         if batch.num_rows:
             texts = batch.column(batch.schema.get_field_index(text_name)).to_pylist()
-            held = _probe_batch([k for t in texts for k in line_keys(t or b"", min_chars, min_words)[1]], shards, n)
+            held = _probe_batch([k for t in texts for k in line_keys(t or b"", min_chars, min_words)[1]], shards, n, min_docs)
             yield _result(batch, id_name, text_name, held, min_chars, min_words, keep_first)
 
 
@@ -219,10 +222,10 @@ def _bucket_keys(part: Iterator[pa.RecordBatch], bucket: str, text_name: str, mi
             yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in found], pa.int64()), pa.array(h[:, 0]), pa.array(h[:, 1])], names=["b", "h1", "h2"])
 
 
-def _ask(probes: pd.DataFrame, shard: pd.DataFrame) -> pd.DataFrame:
+def _ask(probes: pd.DataFrame, shard: pd.DataFrame, min_docs: int) -> pd.DataFrame:
     if probes.empty or shard.empty:
         return pd.DataFrame({"b": pd.Series(dtype="int64"), "h1": pd.Series(dtype="int64"), "h2": pd.Series(dtype="int64"), "first": pd.Series(dtype="int64")})
-    found, _, first = Shard(shard.iloc[0]).probe(probes["h1"].to_numpy(np.int64), probes["h2"].to_numpy(np.int64))
+    found, first = Shard(shard.iloc[0]).probe(probes["h1"].to_numpy(np.int64), probes["h2"].to_numpy(np.int64), min_docs)
     out = probes.loc[found, ["b", "h1", "h2"]].copy()
     out["first"] = first[found]
     return out
@@ -243,7 +246,7 @@ def drop_repeated_lines(
     least min_docs rows go everywhere, or, with keep_first, everywhere but in the document of the smallest id. With min_words, lines of fewer words stay, and so do those that only rows
     without an id hold."""
     counts = line_counts(docs, id_col, text_col, min_chars, min_words)
-    shards, n, size = build_shards(counts.where("first is not null") if min_words else counts, min_docs)
+    shards, n, size = build_shards(counts.where("first is not null") if min_words else counts, min(2, min_docs))
     names = column_names(docs, ["n_lines", "n_dropped", "kept", "bucket", "text_utf8"])
     if any(names[k] != k for k in ("n_lines", "n_dropped", "kept")):
         docs = docs.drop(*(k for k in ("n_lines", "n_dropped", "kept") if k != text_col))
@@ -252,7 +255,7 @@ def drop_repeated_lines(
     out = T.StructType([*(f for f in given.schema if f.name != text), T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType()), T.StructField("kept", T.StringType())])
     if size <= broadcast_bytes:
         rows = [r.asDict() for r in shards.collect()]  # at most broadcast_bytes
-        return given.mapInArrow(partial(_apply_local, id_name=id_col, text_name=text, rows=rows, n=n, min_chars=min_chars, min_words=min_words, keep_first=keep_first), out)
+        return given.mapInArrow(partial(_apply_local, id_name=id_col, text_name=text, rows=rows, n=n, min_docs=min_docs, min_chars=min_chars, min_words=min_words, keep_first=keep_first), out)
     total = given.select(F.sum(F.length(text))).first()[0] or 0
     buckets, b = max(1, math.ceil(total / bucket_bytes)), names["bucket"]
     given = given.withColumn(b, F.pmod(F.xxhash64(F.col(id_col), F.col(text)), F.lit(buckets)))
@@ -260,6 +263,6 @@ def drop_repeated_lines(
     copies = max(1, math.ceil(buckets * bucket_bytes / (64 * SHARD_KEYS * n)))
     probes = probes.withColumn("shard", _shard_of(n)).withColumn("copy", F.pmod("b", F.lit(copies)))
     copied = shards.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(copies - 1).cast("long"))))
-    hits = probes.groupBy("shard", "copy").cogroup(copied.groupBy("shard", "copy")).applyInPandas(_ask, "b long, h1 long, h2 long, first long")
+    hits = probes.groupBy("shard", "copy").cogroup(copied.groupBy("shard", "copy")).applyInPandas(lambda left, right: _ask(left, right, min_docs), "b long, h1 long, h2 long, first long")
     apply = partial(_apply_bucket, id_name=id_col, text_name=text, bucket=b, min_chars=min_chars, min_words=min_words, keep_first=keep_first)
     return given.groupBy(b).cogroup(hits.groupBy("b")).applyInArrow(lambda left, right: apply(left, right), out)

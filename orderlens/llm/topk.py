@@ -107,6 +107,27 @@ def _keep(df: DataFrame, group: list[str], k: int) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+class Block(dict):
+    """By vector length: numbers, ids and scaled components of some queries."""
+
+
+def _read_block(asked: DataFrame, block: int, blocks: int, scale: float) -> Block:
+    rows = asked.where(F.pmod(F.xxhash64("number"), F.lit(blocks)) == block).toArrow()  # about block_bytes
+    held = Block()
+    if rows.num_rows:
+        numbers, ids = (np.asarray(rows.column(c), np.int64) for c in ("number", "id"))
+        held.update((n, (numbers[at], ids[at], m)) for n, (at, m) in _matrix(rows.column("v").combine_chunks(), scale).items())
+    return held
+
+
+def _block_lists(every: DataFrame, asked: DataFrame, block: int, blocks: int, k: int, scale: float) -> DataFrame:
+    """The lists of one block of queries. Of several blocks each is stored before the next is read, so that the driver
+    holds one."""
+    search = _search(_read_block(asked, block, blocks, scale), k, scale)
+    lists = every.mapInArrow(search, "query long, query_id long, vec_id long, score long, task long")
+    return lists if blocks == 1 else materialise(lists)
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0, block_bytes: int = 64 << 20, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score) for each row that is_query names, against all rows."""
     sound = vectors.where(F.col(id_col).isNotNull() & _valid(vec_col))
@@ -114,15 +135,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0
     asked = sound.where(is_query).select(F.monotonically_increasing_id().alias("number"), F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
     asked = materialise(asked)
     size = asked.select(F.sum(F.size("v") * 8 + 16)).first()[0] or 0
-    blocks, parts = max(1, math.ceil(size / block_bytes)), []
-    for b in range(blocks):
-        rows = asked.where(F.pmod(F.xxhash64("number"), F.lit(blocks)) == b).toArrow()  # about block_bytes
-        held = {}
-        if rows.num_rows:
-            column = rows.column("v").combine_chunks()
-            numbers, ids = (np.asarray(rows.column(c), np.int64) for c in ("number", "id"))
-            held = {n: (numbers[at], ids[at], m) for n, (at, m) in _matrix(column, scale).items()}
-        parts.append(every.mapInArrow(_search(held, k, scale), "query long, query_id long, vec_id long, score long, task long"))
-    lists = reduce(DataFrame.unionByName, parts)
+    blocks = max(1, math.ceil(size / block_bytes))
+    lists = reduce(DataFrame.unionByName, [_block_lists(every, asked, b, blocks, k, scale) for b in range(blocks)])
     merged = _keep(lists.withColumn("task", F.floor(F.col("task") / FAN)), ["query", "task"], k).drop("rank")
     return _keep(merged, ["query"], k).select("query_id", "rank", "vec_id", "score")

@@ -92,6 +92,26 @@ def test_archives_of_nothing(spark):
 # --- top-k ---
 
 
+def test_top_k_holds_one_block_of_queries(spark, monkeypatch):
+    import gc
+    import weakref
+
+    alive, read = [], topk._read_block
+
+    def watched(*args):
+        gc.collect()
+        assert not [r for r in alive if r() is not None]
+        block = read(*args)
+        alive.append(weakref.ref(block))
+        return block
+
+    monkeypatch.setattr(topk, "_read_block", watched)
+    rows = [(i, [float(i % 7), float(i % 11)]) for i in range(100)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert topk.top_k(df, F.col("vec_id") % 2 == 0, block_bytes=400).count() == 250
+    assert len(alive) >= 4
+
+
 @pytest.mark.parametrize("block_bytes", [64 << 20, 2000])
 def test_top_k_matches_all_products(spark, block_bytes):
     rng = random.Random(6)

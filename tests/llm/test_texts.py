@@ -81,6 +81,31 @@ def phrase_tables(rng):
     return docs, items
 
 
+def test_contamination_holds_one_block_of_windows(spark, rng, monkeypatch):
+    import gc
+    import weakref
+
+    class Windows(dict):
+        pass
+
+    alive, made = [], decontam.windows_of
+
+    def watched(*args):
+        gc.collect()
+        assert not [r for r in alive if r() is not None]
+        terms, windows = made(*args)
+        windows = Windows(windows)
+        alive.append(weakref.ref(windows))
+        return terms, windows
+
+    monkeypatch.setattr(decontam, "windows_of", watched)
+    items = [(i, words(rng, 30)) for i in range(20)]
+    docs = [(i, f"{words(rng, 20)} {items[i % 20][1]} end") for i in range(30)]
+    found = decontam.contamination(frame(spark, docs), frame(spark, items, "item_id long, text string"), width=10, block_words=130)
+    assert {r["n_hit"] for r in found.collect()} == {30}
+    assert len(alive) >= 4
+
+
 @pytest.mark.parametrize("block_words", [500_000, 300])
 def test_phrases_match_plain_version_in_one_and_many_blocks(spark, rng, block_words):
     docs, items = phrase_tables(rng)
