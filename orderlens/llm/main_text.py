@@ -8,8 +8,14 @@ Tag scores are learned from labelled pages: pages whose markup names the article
 A tag costs the more words, the more surely it stands outside of articles. At most
 ``max_labelled`` such pages, taken by the hash of their id, are read for it; every page is extracted.
 
-Cases: null and empty html, and pages without words, give an empty text. Unclosed elements end with their parent, an
-unclosed comment, script or style with the page. Rows of equal ids are extracted each by itself.
+What marks boilerplate is an element's name, or a class, id or role all of whose words are marks or say nothing of a
+role (``sidebar-left``; not ``no-sidebar``, ``comments-open``, ``search-history``). A class never marks an article or main
+element, nor an element with over nine tenths of the words of the page.
+
+Cases: null and empty html, and pages without words, give an empty text. Unclosed elements end with their parent, a
+marked paragraph, item or cell with its next sibling, an unclosed comment, script or style with the page. A < that
+begins no tag is text. Rows of equal ids are extracted each by itself. Tags beyond the ``max_tags`` most frequent ones of
+the labelled pages, and those never seen there, have the default cost.
 """
 
 from __future__ import annotations
@@ -26,7 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Elements by their role, and the words in class, id and role that mark boilerplate.
-SILENT = ("script", "style", "template", "noscript", "iframe", "textarea", "select", "svg", "math", "object", "title")
+RAW = frozenset(("script", "style", "noscript", "iframe", "textarea", "title"))  # without an end they reach to the end of the page
+SILENT = RAW | {"template", "select", "svg", "object"}
 BOILERPLATE = frozenset(("nav", "footer", "aside", "form", "button", "menu", "dialog"))
 MARKED = frozenset((
     "ad", "ads", "advert", "advertisement", "adverts", "alert", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "complementary", "consent", "contentinfo", "cookie", "cookies", "copyright",
@@ -37,76 +44,197 @@ MARKED = frozenset((
 HARD = frozenset(("ad", "ads", "advert", "advertisement", "adverts", "comment", "comments", "discussion", "disqus", "promo", "recommended", "related", "replies", "reply", "sponsor", "sponsored"))
 #: beginnings of words that mark like the words above; the first three hold for articles inside too
 STEMS = ("comment", "advert", "sponsor", "sidebar", "cookie", "newsletter", "breadcrumb", "subscri")
+#: words that say nothing of an element's role: with one of them beside it a mark still marks, with any other it does not
+GENERIC = frozenset((
+    "area", "article", "articles", "bar", "block", "blocks", "blog", "body", "bottom", "box", "boxes", "btn", "button", "buttons", "col", "column", "component", "container", "desktop", "entry", "fixed", "form", "global",
+    "group", "hero", "holder", "icon", "icons", "inner", "item", "items", "js", "label", "left", "link", "links", "list", "lower", "main", "mobile", "module", "more", "news", "outer", "page", "panel", "policy", "post",
+    "posts", "primary", "region", "right", "row", "secondary", "section", "site", "slot", "space", "spot", "sticky", "stories", "story", "text", "thread", "title", "top", "unit", "upper", "us", "user", "view", "wrap", "wrapper", "zone",
+))
 INLINE = frozenset((
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "input", "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong",
-    "sub", "sup", "time", "tt", "u", "var", "wbr",
+    "sub", "sup", "time", "tt", "u", "var", "wbr", "math", "mi", "mn", "mo", "mrow", "msup", "msub", "mfrac", "mtext",
 ))
 VOID = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"))
-LOOSE = frozenset(("p", "li", "dt", "dd", "tr", "td", "th", "option", "thead", "tbody", "tfoot", "html", "body"))  # often left unclosed: never on the stack
+#: often left unclosed: on the stack only if they are marked, and what else than an end tag ends them
+LOOSE = {
+    "p": None, "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "tbody", "tfoot"), "td": ("td", "th", "tr"), "th": ("td", "th", "tr"), "option": ("option",),
+    "thead": ("tbody", "tfoot"), "tbody": ("tbody", "tfoot"), "tfoot": ("tbody",), "html": (), "body": (),
+}
 CONTENT = frozenset(("article", "main"))
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<silent>" + "|".join(SILENT) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=silent)\s*>|\Z)|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>",
-    re.S | re.I,
-)
-ATTRIBUTE = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+NAME = re.compile(r"[a-zA-Z][a-zA-Z0-9:-]*")
+STOP = re.compile("[>\"']")
+ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]*))?""")
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")  # words, those written together in mixed case too
 SPACE = re.compile(r"\s+")
+HIDDEN = re.compile(r"display\s*:\s*none", re.I)
 
 #: the cost, in words, of tags that were never seen, the largest cost, and the largest within an article
 DEFAULT_COST, LARGEST_COST, INSIDE_COST = 2.0, 60.0, 0.3
+#: an element with a larger share of the words of a page is no boilerplate, whatever its class says
+MOST_WORDS = 0.9
+
+
+def _marks(value: str) -> set[str]:
+    """The marks of a class, id or role: all words of one of its names are marks or say nothing, and one is a mark."""
+    found: set[str] = set()
+    for name in value.split():
+        parts = [p.lower() for p in PART.findall(name)]
+        marks = {p for p in parts if p in MARKED} | {"comment" if p.startswith(STEMS[:3]) else "sidebar" for p in parts if p.startswith(STEMS) and p != "commentary"}
+        if marks and all(p in MARKED or p in GENERIC or p.startswith(STEMS) for p in parts):
+            found |= marks
+    return found
 
 
 def _marked(name: str, rest: str, in_content: bool) -> tuple[bool, bool]:
-    """Whether the element is boilerplate by its name or attributes: for all in it, and for all but articles in it."""
-    if name in ("html", "body"):
-        return False, False
-    if name in BOILERPLATE or (name == "header" and not in_content):
-        return True, False
+    """Whether the element is boilerplate by its attributes: for all in it, and for all but articles in it."""
     hard = soft = False
     for key, value in ATTRIBUTE.findall(rest) if rest else ():
         key, value = key.lower(), value.strip("\"'")
-        if key == "hidden" or (key == "aria-hidden" and value.lower() == "true") or (key == "style" and re.search(r"display\s*:\s*none", value, re.I)):
+        if key == "hidden" or (key == "aria-hidden" and value.lower() == "true") or (key == "style" and HIDDEN.search(value)):
             hard = True
-        elif key in ("class", "id", "role"):
-            parts = {p.lower() for p in PART.findall(value)}
-            words = MARKED.intersection(parts)
-            words |= {"comment" if p.startswith(STEMS[:3]) else "sidebar" for p in parts if p.startswith(STEMS) and p != "commentary"}
+        elif key in ("class", "id", "role") and name not in CONTENT:
+            words = _marks(value)
             hard |= bool(words & HARD)
             soft |= bool(words - HARD - {"header", "masthead"} if in_content else words - HARD)
-    return hard, soft and name not in CONTENT
+    return hard, soft
+
+
+class Tags:
+    """Tags of a page from left to right: (start, end, name, closes, attributes). Each look ahead either consumes what it
+    passed or is made once for a page, so the time is linear. A < that begins no tag is text."""
+
+    def __init__(self, page: str):
+        self.page, self.quotes = page, True
+        self.last = {q: page.rfind(q) for q in "\"'"}
+        self.last_end = page.rfind(">")
+        self.endless: set[str] = set()
+
+    def __iter__(self) -> Iterator[tuple[int, int, str, bool, str]]:
+        page, at = self.page, 0
+        while (at := page.find("<", at)) >= 0:
+            if page.startswith("<!--", at):
+                end = page.find("-->", at + 4)
+                end = len(page) if end < 0 else end + 3
+                yield at, end, "", False, ""
+                at = end
+                continue
+            if at > self.last_end:
+                return
+            closes = page.startswith("/", at + 1)
+            named = NAME.match(page, at + 1 + closes)
+            if named is None:
+                if page[at + 1 : at + 2] not in ("!", "?", "/"):
+                    at += 1
+                    continue
+                end = page.find(">", at) + 1
+                yield at, end, "", False, ""
+                at = end
+                continue
+            name, end = named.group().lower(), self._end(named.end())
+            rest, start = page[named.end() : end - 1], at
+            at = end
+            if name not in SILENT or closes:
+                yield start, end, name, closes, rest
+            elif not (name in ("svg", "object") and rest.endswith("/")):
+                at = self._after(name, end)
+                yield start, at, "", False, ""
+
+    def _end(self, at: int) -> int:
+        """Behind the > of a tag; a > within quotes does not count, unless the quotes leave none."""
+        first = self.page.find(">", at) + 1
+        while self.quotes and (stop := STOP.search(self.page, at)):
+            if stop.group() == ">":
+                return stop.end()
+            if stop.start() >= self.last[stop.group()]:
+                break
+            at = self.page.find(stop.group(), stop.end()) + 1
+        self.quotes = False  # once quotes do not add up, they are not trusted any more
+        return first
+
+    def _after(self, name: str, at: int) -> int:
+        """Behind the end tag of an element whose content is no text of the page."""
+        if name not in self.endless:
+            closing = re.compile(f"</{name}\\s*>", re.I).search(self.page, at)
+            if closing:
+                return closing.end()
+            self.endless.add(name)
+        return len(self.page) if name in RAW else at
 
 
 def parse(page: str) -> list[tuple[str | None, str, bool, bool]]:
     """(tag, text, in boilerplate, in content element); a tag is its name, with / in front where it closes, None for text."""
-    out, stack, at = [], [], 0  # stack: (name, hard marks, soft marks, content elements) that held outside of the element
-    hard = soft = inside = 0
+    tokens: list[tuple[str | None, str]] = []
+    words = [0]  # before each token
+    opened: list[tuple[int, str, bool, bool, bool]] = []  # first token, name, marks; in the order of opening
+    closed: dict[int, int] = {}  # element -> the token behind it
+    stack: list[int] = []
+    on_stack: Counter = Counter()
+    inside = at = 0
+
+    def add(tag: str | None, text: str = ""):
+        tokens.append((tag, text))
+        words.append(words[-1] + (len(text.split()) if tag is None else 0))
 
     def text(piece: str):
         if piece:
-            out.append((None, " " if piece.isspace() else html.unescape(piece), hard + soft > 0, inside > 0))
-
-    for m in TOKEN.finditer(page):
-        text(page[at : m.start()])
-        at = m.end()
-        name = (m["name"] or "").lower()
+            add(None, " " if piece.isspace() else html.unescape(piece))
+
+    def pop() -> str:
+        nonlocal inside
+        element = stack.pop()
+        closed[element] = len(tokens)
+        name = opened[element][1]
+        on_stack[name] -= 1
+        inside -= name in CONTENT
+        return name
+
+    for start, end, name, closes, rest in Tags(page):
+        text(page[at:start])
+        at = end
         if not name:
             continue
-        if m["close"]:
-            if name not in LOOSE and any(s[0] == name for s in stack):
-                while stack:
-                    n, hard, soft, inside = stack.pop()
-                    if n == name:
-                        break
-            out.append(("/" + name, "", hard + soft > 0, inside > 0))
+        if closes:
+            if on_stack[name]:
+                while pop() != name:
+                    pass
+            add("/" + name)
             continue
-        if name not in VOID and name not in LOOSE and not m["rest"].endswith("/"):
-            is_hard, is_soft = _marked(name, m["rest"], inside > 0)
-            if name not in INLINE or is_hard or is_soft:
-                stack.append((name, hard, soft, inside))
-                hard, soft, inside = hard + is_hard, (0 if name in CONTENT else soft) + is_soft, inside + (name in CONTENT)
-        out.append((name, "", hard + soft > 0, inside > 0))
+        while stack and (top := opened[stack[-1]][1]) in LOOSE and (name in LOOSE[top] if LOOSE[top] is not None else name not in INLINE):
+            pop()
+        if name not in VOID and not rest.endswith("/") and name not in ("html", "body"):
+            by_name = name in BOILERPLATE or (name == "header" and inside == 0)
+            hard, soft = _marked(name, rest, inside > 0)
+            if by_name or hard or soft or not (name in INLINE or name in LOOSE):
+                stack.append(len(opened))
+                opened.append((len(tokens), name, by_name, hard, soft))
+                on_stack[name] += 1
+                inside += name in CONTENT
+        add(name)
     text(page[at:])
+    while stack:
+        pop()
+    return _placed(tokens, words, opened, closed)
+
+
+def _placed(tokens: list, words: list[int], opened: list, closed: dict[int, int]) -> list[tuple[str | None, str, bool, bool]]:
+    """The tokens with what holds for them; marks on an element with most of the words are void."""
+    out, stack, ends = [], [], []
+    hard = soft = inside = following = 0
+    for i, (tag, text) in enumerate(tokens):
+        while ends and ends[-1] <= i:
+            ends.pop()
+            hard, soft, inside = stack.pop()
+        while following < len(opened) and opened[following][0] == i:
+            _, name, by_name, is_hard, is_soft = opened[following]
+            end = closed[following]
+            if words[end] - words[i] > MOST_WORDS * words[-1]:
+                by_name, is_hard, is_soft = by_name and name != "form", False, False
+            stack.append((hard, soft, inside))
+            ends.append(end)
+            hard, soft, inside = hard + (by_name or is_hard), (0 if name in CONTENT else soft) + is_soft, inside + (name in CONTENT)
+            following += 1
+        out.append((tag, text, hard + soft > 0, inside > 0))
     return out
 
 

@@ -239,3 +239,97 @@ def test_only_lines_of_enough_words_are_dropped(spark, limit):
     rows = [(1, "a b c\nd e\n\n A B  c"), (2, "A b C\nd e\n"), (3, "x y\n\na b c"), (None, "q r s"), (None, "q r s")]
     got = lines.drop_repeated_lines(frame(spark, rows), min_docs=2, min_words=3, keep_first=True, broadcast_bytes=limit)
     assert brute.as_counts((r.doc_id, r.kept) for r in got.collect()) == brute.as_counts([rows[0], (2, "d e\n"), (3, "x y\n"), *rows[3:]])
+
+
+# --- main text: marks, long pages, a plain parser ---
+
+WORDS40 = " ".join(f"word{i}" for i in range(40))
+
+
+@pytest.mark.parametrize("tag", [
+    '<article class="post comments-open">', '<article class="post has-promo">', '<div class="content no-sidebar">', '<div class="page with-sidebar">',
+    '<div data-id="main-menu-1">', '<article data-role="related">', '<div class="comments">', '<form id="all">',
+])
+def test_marks_do_not_lose_articles(tag):
+    name = tag[1:].split()[0]
+    assert main_text.main_text(f"<html><body>{tag}<p>{WORDS40}</p></{name}></body></html>", {}) == WORDS40
+
+
+@pytest.mark.parametrize("part", [
+    '<p class="advert">buy now</p>', '<p class="cookie-notice">we use cookies', '<div class="sidebar-left">side</div>', '<div id="post-comments"><p>nice</p></div>',
+    '<ul><li class="share">share it</ul>', "<div hidden>gone</div>", '<div role="navigation">go</div>', '<table><tr><td class="ad">buy</table>',
+])
+def test_marked_parts_go(part):
+    assert main_text.main_text(f"<article><p>{WORDS40}</p>{part}<p>end {WORDS40}</p></article>", {}) == f"{WORDS40}\nend {WORDS40}"
+
+
+def test_marks_end_with_the_next_sibling_and_other_names_stay():
+    page = f'<article><p>{WORDS40}</p><ul><li class="share">share it<li>kept</ul><section id="search-history"><p>old {WORDS40}</p></section></article>'
+    assert main_text.main_text(page, {}) == f"{WORDS40}\nkept\nold {WORDS40}"
+
+
+@pytest.mark.parametrize("page", [
+    "<script " * 125_000, "<script>" * 125_000, "x <y " * 200_000, '<a "' * 250_000, '<a x="> y" ' * 90_000, "<svg>" * 200_000, "<!--" * 250_000, "<p class=ad>x" * 70_000,
+    "<div>" * 100_000 + "</p></b>" * 50_000, "<a" + " " * 1_000_000 + ">", "<" * 1_000_000,
+])
+def test_long_pages_take_linear_time(page):
+    import time
+
+    start = time.time()
+    main_text.main_text(page, {})
+    assert time.time() - start < 10  # some 2 seconds; quadratic time would be minutes
+
+
+def plain_tags(page):
+    """Names of tags as the public HTML parser of the standard library sees them, without silent elements."""
+    from html.parser import HTMLParser
+
+    found, silent = [], []
+
+    class Parser(HTMLParser):
+        def handle_starttag(self, tag, attrs):
+            if silent:
+                return
+            if tag in main_text.SILENT:
+                silent.append(tag)
+            else:
+                found.append(tag)
+
+        def handle_startendtag(self, tag, attrs):
+            if not silent and tag not in main_text.SILENT:
+                found.append(tag)
+
+        def handle_endtag(self, tag):
+            if silent:
+                if silent[-1] == tag:
+                    silent.pop()
+            else:
+                found.append("/" + tag)
+
+        def handle_data(self, data):
+            if not silent and data:
+                if found and isinstance(found[-1], tuple):
+                    found[-1] = (found[-1][0] + data,)
+                else:
+                    found.append((data,))
+
+    p = Parser(convert_charrefs=True)
+    p.feed(page)
+    p.close()
+    return found
+
+
+def test_tags_match_a_plain_parser():
+    rng = random.Random(12)
+    parts = ["<p>", "</p>", "<div class='a > b'>", "</div>", '<a href="x?a=1&amp;b=<2>">', "</a>", "text &amp; more ", "<!-- <p> -->", "<br/>", "<script>if (a<b) '<p>'</script>", "<style>p > a {}</style>", "<ul><li>", "</ul>", "<IMG alt='>'>", "one ", "<!DOCTYPE html>"]
+    for _ in range(300):
+        page = "".join(rng.choice(parts) for _ in range(rng.randrange(1, 25)))
+        got = []
+        for tag, text, *_ in main_text.parse(page):
+            if tag is not None:
+                got.append(tag)
+            elif got and isinstance(got[-1], tuple):
+                got[-1] = (got[-1][0] + text,)
+            else:
+                got.append((text,))
+        assert got == plain_tags(page), page
