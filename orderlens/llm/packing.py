@@ -38,7 +38,7 @@ from orderlens.llm.common import materialise, text_bytes
 
 GAP = 0.0005
 HALVE_ABOVE = 0.005
-CACHE_WORDS = 700_000
+CACHE_WORDS = 300_000
 _MARKS = b".,;:!?"
 
 _known: dict[str, Words] = {}
