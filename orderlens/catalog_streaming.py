@@ -10,44 +10,48 @@ from orderlens.session import delete_at_end, new_folder, tune
 from orderlens.sources.sample import clean_tables
 from orderlens.streaming import jobs
 
-FILES = 4  # the feed comes in two batches
-
-
 def _landed(spark, d):
-    """The orders as files in a folder, as a feed would leave them."""
+    """The orders as two files in a folder, as a feed would leave them. The first holds an early version of most of them,
+    with another status, amount, time and restaurant, and some orders that are only corrected later; the second the last
+    version of every order, and some early versions again."""
     t, folder = clean_tables(tune(spark), d), new_folder(spark)
     delete_at_end(spark, folder)
-    # dealt by the hash of the id, so that every file, and with it every batch, holds orders of all dates
-    whole_numbers("orders", t["orders"].select(*COLUMNS["orders"])).repartition(FILES, "OrderID").write.parquet(folder)
-    return t, folder
+    last = whole_numbers("orders", t["orders"].select(*COLUMNS["orders"])).withColumn("Version", F.lit(2).cast("long"))
+    early = last.where("OrderID % 3 > 0").withColumns({
+        "OrderStatus": F.lit("Placed"), "FinalAmount": F.col("FinalAmount") + F.col("OrderID") % 7, "DeliveryTimeMinutes": F.lit(None).cast(last.schema["DeliveryTimeMinutes"].dataType),
+        "RestaurantID": F.when(F.col("OrderID") % 5 == 0, F.lit(-1)).otherwise(F.col("RestaurantID")), "Version": F.lit(1).cast("long")})
+    early.coalesce(1).write.mode("append").parquet(folder)
+    last.unionByName(early.where("OrderID % 4 = 0")).coalesce(1).write.mode("append").parquet(folder)
+    return t, folder, last.schema
 
 
-def _run(spark, updates, key):
+def _run(spark, signed, sums):
     out, checkpoint = new_folder(spark), new_folder(spark)
     delete_at_end(spark, out)
     delete_at_end(spark, checkpoint)
-    jobs.run(updates, out, checkpoint)
-    return jobs.latest(spark, out, key, updates.schema)
+    jobs.run(signed, sums, out, checkpoint)
+    return out
 
 
 def customer_counter(spark, d):
-    t, folder = _landed(spark, d)
-    counts = _run(spark, jobs.customer_counts(jobs.order_stream(spark, folder, files_per_batch=FILES // 2)), "CustomerID")
-    return jobs.current_totals(t["customers"], counts)
+    t, folder, schema = _landed(spark, d)
+    out = _run(spark, jobs.customer_changes(jobs.order_stream(spark, folder, schema, files_per_batch=1), version="Version"), jobs.customer_sums)
+    return jobs.current_totals(t["customers"], jobs.totals(spark, out, "CustomerID"))
 
 
 def city_kpi(spark, d):
-    t, folder = _landed(spark, d)
-    kpis = _run(spark, jobs.city_kpis(jobs.order_stream(spark, folder, files_per_batch=FILES // 2), t["restaurants"]), "City")
-    return rounded(kpis, {"TotalRevenue": 2, "AvgDeliveryTime": 6})
+    t, folder, schema = _landed(spark, d)
+    out = _run(spark, jobs.city_changes(jobs.order_stream(spark, folder, schema, files_per_batch=1), t["restaurants"], version="Version"), jobs.city_sums)
+    return rounded(jobs.city_kpis(spark, out), {"TotalRevenue": 2, "AvgDeliveryTime": 6})
 
 
 def event_counts(spark, d):
     """Distinct events per user from the raw event files."""
     schema = spark.read.parquet(f"{d}/events.parquet").schema
     stream = tune(spark).readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
-    seen = stream.dropDuplicates(["event_id"])
-    return _run(spark, seen.groupBy("user_id").agg(F.count(F.lit(1)).alias("n")), "user_id")
+    signed = jobs.changes(stream, {"CustomerID": F.col("user_id").cast("long")}, key="event_id")
+    out = _run(spark, signed, jobs.customer_sums)
+    return jobs.totals(spark, out, "CustomerID").select(F.col("CustomerID").cast(schema["user_id"].dataType).alias("user_id"), F.col("NewOrders").alias("n"))
 
 
 def queries() -> dict:

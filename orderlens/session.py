@@ -71,6 +71,15 @@ def discard(spark: SparkSession, path: str) -> None:
     _file_system(spark, path).delete(_path(spark, path), True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    return _file_system(spark, path).exists(_path(spark, path))
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder; none where it is not there."""
+    return sorted(f.getPath().getName() for f in _file_system(spark, path).listStatus(_path(spark, path))) if exists(spark, path) else []
+
+
 def input_version(spark: SparkSession, folder: str) -> str:
     """Changes when a file or folder directly below does: names, lengths and times of change."""
     found = _file_system(spark, folder).listStatus(_path(spark, folder))

@@ -1,18 +1,30 @@
-"""Totals kept up to date from a stream of orders.
+"""Totals kept up to date from a stream of orders, also when an order changes.
 
-Each micro-batch writes the totals it changed to its own folder, named by the
-batch number: a replayed batch overwrites its folder, so the result is the same
-after a restart. The current totals are the latest value per key."""
+State holds the last version of each order, on disk. A version that is newer than the one held takes its place: what the
+old one had added is taken back and the new one added, as two signed rows. An older or equal version, sent again or late,
+changes nothing. Each micro-batch adds its signed rows up by key and writes the sums to its own folder, named by the
+batch number: a replayed batch overwrites its folder, so the result is the same after a restart. The current totals are the
+sums over all folders; they never depend on how the input was cut into batches.
+
+Amounts are added up as decimals, so that taking back leaves nothing behind."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from orderlens.session import discard, materialise
+from orderlens.session import children, discard, exists
 from orderlens.sources.schemas import CLEAN
 
+MONEY = "decimal(28,4)"
+DISK_STATE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_CONF = "spark.sql.streaming.stateStore.providerClass"
+
 
 def order_stream(spark: SparkSession, folder: str, schema: StructType | None = None, files_per_batch: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(schema or CLEAN["orders"])
@@ -21,33 +33,73 @@ def order_stream(spark: SparkSession, folder: str, schema: StructType | None = N
     return reader.parquet(folder)
 
 
-def distinct_orders(orders: DataFrame) -> DataFrame:
-    """An order delivered twice counts once, however late it comes. The ids seen are kept for good, so a long-running
-    stream should keep its state in a store on disk (``use_disk_state``)."""
-    return orders.dropDuplicates(["OrderID"])
+def changes(orders: DataFrame, values: dict[str, Column], key: str = "OrderID", version: str | None = None) -> DataFrame:
+    """Signed rows (sign, values): each new version of an order adds its own and takes back those of the one before.
 
+    ``values``: what a version adds to, by name; an order whose values are all NULL adds nothing. ``version`` is a whole
+    number that grows with each change; without it the first version is kept. Rows without a key or a version are left
+    out."""
+    number = F.col(version).cast("long") if version else F.lit(0).cast("long")
+    rows = orders.select(F.col(key).cast("long").alias("_key"), number.alias("_version"), *[c.alias(n) for n, c in values.items()])
+    rows = rows.where("_key is not null and _version is not null")
+    held = T.StructType([rows.schema["_version"], *[rows.schema[n] for n in values]])
+    names = list(values)
+    kinds = [int if isinstance(f.dataType, T.LongType) else str for f in held.fields[1:]]
 
-def use_disk_state(spark: SparkSession) -> None:
-    """Keep state in RocksDB and not on the heap; before a query's first start."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    def follow(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        old = state.get if state.exists else None
+        new = old
+        for batch in batches:
+            for row in batch[["_version", *names]].itertuples(index=False):
+                if new is None or row[0] > new[0]:
+                    new = (int(row[0]), *(None if pd.isna(v) else kind(v) for v, kind in zip(row[1:], kinds, strict=True)))
+        if new is not old:
+            state.update(new)
+            signed = [(1, *new[1:])] + ([(-1, *old[1:])] if old is not None else [])
+            yield pd.DataFrame(signed, columns=["sign", *names], dtype=object)
 
+    out = T.StructType([T.StructField("sign", T.LongType()), *held.fields[1:]])
+    return rows.groupBy("_key").applyInPandasWithState(follow, out, held, "append", GroupStateTimeout.NoTimeout)
 
-def customer_counts(orders: DataFrame) -> DataFrame:
-    return distinct_orders(orders).groupBy("CustomerID").agg(F.count(F.lit(1)).alias("NewOrders"))
 
+def customer_changes(orders: DataFrame, version: str | None = None) -> DataFrame:
+    return changes(orders, {"CustomerID": F.col("CustomerID").cast("long")}, version=version)
 
-def city_kpis(orders: DataFrame, restaurants: DataFrame) -> DataFrame:
+
+def city_changes(orders: DataFrame, restaurants: DataFrame, version: str | None = None) -> DataFrame:
+    """An order of an unknown restaurant has no city; it counts from the version on that has one."""
     cities = restaurants.select("RestaurantID", "City")
-    return distinct_orders(orders).join(cities, "RestaurantID").groupBy("City").agg(
-        F.count(F.lit(1)).alias("TotalOrders"), F.sum("FinalAmount").alias("TotalRevenue"), F.avg("DeliveryTimeMinutes").alias("AvgDeliveryTime"))
+    values = {"City": F.col("City"), "FinalAmount": F.col("FinalAmount").cast(MONEY).cast("string"), "Minutes": F.col("DeliveryTimeMinutes").cast("long").cast("string")}
+    return changes(orders.join(cities, "RestaurantID", "left"), values, version=version)
+
+
+SIGN = "sign"
+
+
+def customer_sums(signed: DataFrame) -> DataFrame:
+    return signed.where("CustomerID is not null").groupBy("CustomerID").agg(F.sum(SIGN).alias("NewOrders"))
+
+
+def city_sums(signed: DataFrame) -> DataFrame:
+    minutes = F.col("Minutes").cast("long")
+    return signed.where("City is not null").groupBy("City").agg(
+        F.sum(SIGN).alias("TotalOrders"), F.sum(F.col(SIGN).cast(MONEY) * F.col("FinalAmount").cast(MONEY)).cast(MONEY).alias("Revenue"),
+        F.sum(F.col(SIGN) * minutes).alias("Minutes"), F.sum(F.when(minutes.isNotNull(), F.col(SIGN))).alias("Timed"))
+
 
+SUM_SCHEMAS = {
+    "CustomerID": "CustomerID long, NewOrders long",
+    "City": f"City string, TotalOrders long, Revenue {MONEY}, Minutes long, Timed long",
+}
 
-def run(updates: DataFrame, out: str, checkpoint: str, continuous: bool = False):
-    """Start the query; without ``continuous`` it ends when the input is used up."""
+
+def run(signed: DataFrame, sums, out: str, checkpoint: str, continuous: bool = False):
+    """Start the query, with its state on disk; without ``continuous`` it ends when the input is used up."""
     def store(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        sums(batch).write.mode("overwrite").parquet(f"{out}/batches/batch={number}")
 
-    writer = updates.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(store)
+    signed.sparkSession.conf.set(STATE_CONF, DISK_STATE)
+    writer = signed.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(store)
     if continuous:
         return writer.start()
     query = writer.trigger(availableNow=True).start()
@@ -55,27 +107,49 @@ def run(updates: DataFrame, out: str, checkpoint: str, continuous: bool = False)
     return query
 
 
-def compact(spark: SparkSession, out: str, key: str, schema: StructType, number: int) -> None:
-    """Merge the batch folders up to ``number`` into that one, so that reading does not grow with the life of the stream.
-    For use between runs."""
-    full = StructType([*schema.fields]).add("batch", "long")
-    rows = spark.read.schema(full).parquet(out).where(F.col("batch") <= number)
-    old = [r[0] for r in rows.select("batch").distinct().collect()]  # one number per batch folder
-    values = [f.name for f in schema.fields if f.name != key]
-    merged = rows.groupBy(key).agg(F.max_by(F.struct(*values), "batch").alias("v")).select(key, "v.*")
-    # written aside first: a crash before the end leaves the old folders, and values of equal batches agree
-    materialise(merged).write.mode("overwrite").parquet(f"{out}/batch={number}")
-    for b in old:
-        if b != number:
-            discard(spark, f"{out}/batch={b}")
-
-
-def latest(spark: SparkSession, out: str, key: str, schema: StructType) -> DataFrame:
-    """The last stored value per key."""
-    full = StructType([*schema.fields]).add("batch", "long")
-    rows = spark.read.schema(full).parquet(out)
-    values = [f.name for f in schema.fields if f.name != key]
-    return rows.groupBy(key).agg(F.max_by(F.struct(*values), "batch").alias("v")).select(key, "v.*")
+def _added(rows: DataFrame, key: str) -> DataFrame:
+    sums = [F.sum(c).cast(t).alias(c) for c, t in rows.dtypes if c not in (key, "batch")]
+    return rows.groupBy(key).agg(*sums)
+
+
+def _compacted(spark: SparkSession, out: str) -> int:
+    """The last batch that complete compacted sums hold, or -1."""
+    done = [int(n.removeprefix("upto=")) for n in children(spark, f"{out}/compacted") if exists(spark, f"{out}/compacted/{n}/_SUCCESS")]
+    return max(done, default=-1)
+
+
+def _stored(spark: SparkSession, out: str, key: str) -> DataFrame:
+    """The compacted sums and those of the batches behind them."""
+    upto = _compacted(spark, out)
+    new = [n for n in children(spark, f"{out}/batches") if int(n.removeprefix("batch=")) > upto]
+    folders = [f"{out}/batches/{n}" for n in new] + ([f"{out}/compacted/upto={upto}"] if upto >= 0 else [])
+    return spark.read.schema(SUM_SCHEMAS[key]).parquet(*folders) if folders else spark.createDataFrame([], SUM_SCHEMAS[key])
+
+
+def compact(spark: SparkSession, out: str, key: str, number: int) -> None:
+    """Add all batches up to ``number``, the last one, up into one folder, so that reading does not grow with the life of
+    the stream. For use between runs. The new sums count from the moment they are complete; what they hold goes after
+    that, and a folder that a crash leaves behind is not read any more."""
+    upto = _compacted(spark, out)
+    if number <= upto:
+        return
+    batches = [n for n in children(spark, f"{out}/batches") if int(n.removeprefix("batch=")) <= number]
+    _added(_stored(spark, out, key), key).write.mode("overwrite").parquet(f"{out}/compacted/upto={number}")
+    for n in batches:
+        discard(spark, f"{out}/batches/{n}")
+    if upto >= 0:
+        discard(spark, f"{out}/compacted/upto={upto}")
+
+
+def totals(spark: SparkSession, out: str, key: str) -> DataFrame:
+    """The sums over all batches; a key that nothing counts for any more has none."""
+    counted = {"CustomerID": "NewOrders", "City": "TotalOrders"}[key]
+    return _added(_stored(spark, out, key), key).where(F.col(counted) != 0)
+
+
+def city_kpis(spark: SparkSession, out: str) -> DataFrame:
+    return totals(spark, out, "City").select(
+        "City", "TotalOrders", F.col("Revenue").cast("double").alias("TotalRevenue"), F.try_divide(F.col("Minutes"), F.col("Timed")).alias("AvgDeliveryTime"))
 
 
 def current_totals(customers: DataFrame, counts: DataFrame) -> DataFrame:

@@ -29,12 +29,11 @@ def test_stream_keeps_orders_that_come_out_of_time_order(spark):
         at = dt.date(2024, 1, 1) + dt.timedelta(days=day)
         row = (i, 7, 1, 1, at, "10:00:00", 30, 100.0, 20.0, 0.0, None, 5.0, 125.0, "Delivered", "Card")
         spark.createDataFrame([row, (0, *row[1:])], CLEAN["orders"]).coalesce(1).write.mode("append").parquet(folder)
-    counts = jobs.customer_counts(jobs.order_stream(spark, folder, files_per_batch=1))
-    jobs.run(counts, out, checkpoint)
-    assert [r.NewOrders for r in jobs.latest(spark, out, "CustomerID", counts.schema).collect()] == [4]
-    jobs.compact(spark, out, "CustomerID", counts.schema, number=3)
-    assert os.listdir(out) == ["batch=3"]
-    assert [r.NewOrders for r in jobs.latest(spark, out, "CustomerID", counts.schema).collect()] == [4]
+    jobs.run(jobs.customer_changes(jobs.order_stream(spark, folder, files_per_batch=1)), jobs.customer_sums, out, checkpoint)
+    assert [r.NewOrders for r in jobs.totals(spark, out, "CustomerID").collect()] == [4]
+    jobs.compact(spark, out, "CustomerID", number=3)
+    assert os.listdir(f"{out}/batches") == [] and os.listdir(f"{out}/compacted") == ["upto=3"]
+    assert [r.NewOrders for r in jobs.totals(spark, out, "CustomerID").collect()] == [4]
 
 
 def test_rows_of_many_files_keep_their_order(spark):

@@ -5,6 +5,7 @@ import os
 import duckdb
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 import __spark_entry__ as entry
 from orderlens.ml import prep
@@ -55,15 +56,42 @@ def test_stream_counts_each_order_once_over_batches(spark):
     second = [_order(2, 7, 0), _order(4, 7, 1), _order(5, 8, 1)]  # order 2 is sent again
     for rows in (first, second):
         spark.createDataFrame(rows, CLEAN["orders"]).coalesce(1).write.mode("append").parquet(folder)
-        counts = jobs.customer_counts(jobs.order_stream(spark, folder, files_per_batch=1))
-        jobs.run(counts, out, checkpoint)
-    got = {r.CustomerID: r.NewOrders for r in jobs.latest(spark, out, "CustomerID", counts.schema).collect()}
+        jobs.run(jobs.customer_changes(jobs.order_stream(spark, folder, files_per_batch=1)), jobs.customer_sums, out, checkpoint)  # a restart each time
+    got = {r.CustomerID: r.NewOrders for r in jobs.totals(spark, out, "CustomerID").collect()}
     assert got == {7: 3, 8: 2}
     people = spark.createDataFrame([(7, 10), (9, 4)], "CustomerID long, TotalOrders long")
-    totals = {r.CustomerID: r.TotalOrders for r in jobs.current_totals(people, jobs.latest(spark, out, "CustomerID", counts.schema)).collect()}
+    totals = {r.CustomerID: r.TotalOrders for r in jobs.current_totals(people, jobs.totals(spark, out, "CustomerID")).collect()}
     assert totals == {7: 13, 9: 4}
 
 
+def test_stream_totals_follow_changed_orders_over_restarts(spark):
+    schema = StructType([*CLEAN["orders"].fields, StructField("Version", LongType())])
+    folder, out, checkpoint = new_folder(spark), new_folder(spark), new_folder(spark)
+    cities = spark.createDataFrame([(1, "A"), (2, "B")], "RestaurantID long, City string")
+
+    def row(i, version, restaurant=1, amount=10.1, minutes=30):
+        r = list(_order(i, 7, 0, minutes))
+        r[2], r[12] = restaurant, amount
+        return (*r, version)
+
+    spark.conf.unset(jobs.STATE_CONF)
+    batches = [
+        [row(1, 1), row(2, 1, 2, 5.0), row(3, 1, 9)],  # restaurant 9 is unknown
+        [row(1, 2, 2, 20.2, 50), row(2, 1, 1, 99.0), row(3, 3, 1, 1.0, None), row(3, 2, 2, 7.0)],  # order 1 moves, a repeat of version 1 is ignored
+        [row(3, 1, 2), row(2, 5, 9)],  # a late version is ignored; order 2 has no city any more
+    ]
+    want = [{"A": (1, 10.1, 30.0), "B": (1, 5.0, 30.0)}, {"A": (1, 1.0, None), "B": (2, 25.2, 40.0)}, {"A": (1, 1.0, None), "B": (1, 20.2, 50.0)}]
+    for rows, totals in zip(batches, want, strict=True):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+        query = jobs.run(jobs.city_changes(jobs.order_stream(spark, folder, schema, files_per_batch=1), cities, "Version"), jobs.city_sums, out, checkpoint)
+        assert {r.City: (r.TotalOrders, r.TotalRevenue, r.AvgDeliveryTime) for r in jobs.city_kpis(spark, out).collect()} == totals
+        assert any("rocksdb" in k.lower() for p in query.recentProgress for op in p["stateOperators"] for k in op["customMetrics"])
+    assert spark.conf.get(jobs.STATE_CONF) == jobs.DISK_STATE
+    jobs.compact(spark, out, "City", number=2)
+    assert os.listdir(f"{out}/batches") == [] and os.listdir(f"{out}/compacted") == ["upto=2"]
+    assert {r.City: (r.TotalOrders, r.TotalRevenue, r.AvgDeliveryTime) for r in jobs.city_kpis(spark, out).collect()} == want[-1]
+
+
 def test_read_raw_text(spark):
     folder = new_folder(spark)
     os.makedirs(folder)
