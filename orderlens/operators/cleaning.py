@@ -92,10 +92,12 @@ def canonical_city(df: DataFrame, cities: DataFrame, col: str = "City") -> DataF
 
 
 # ------------------------------------------------------------- imputation
-def impute_group_median(df: DataFrame, value: str, by: str, then_global: bool = False, bounded: bool = False) -> DataFrame:
+def impute_group_median(df: DataFrame, value: str, by: str, then_global: bool = False, bounded: bool = False, medians: DataFrame | None = None) -> DataFrame:
     """Fill by the exact group median. ``bounded`` says the column has few distinct
-    values, so a plain aggregate of value counts stays small."""
-    if bounded:
+    values, so a plain aggregate of value counts stays small; ``medians`` (group, _med) are known ones."""
+    if medians is not None:
+        med = medians
+    elif bounded:
         med = df.groupBy(by).agg(F.median(value).alias("_med"))
     else:
         med = percentiles(df, [by], value, {"_med": 0.5})

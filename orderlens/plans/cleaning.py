@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from orderlens.functions.dates import parse_mixed_dates
 from orderlens.functions.text import clean_text, digits_or_null, title_case, to_number, truncate_time, upper_code
 from orderlens.operators import cleaning as op
+from orderlens.operators import selection
 
 
 class Job:
@@ -288,12 +289,13 @@ class Cleaner:
         j.text("WeatherCondition")
         j.absolute("Humidity")
         j.set(Humidity=F.least(F.col("Humidity"), F.lit(100.0)))
-        high = op.upper_percentile(j.df, "Rainfall", 0.99)  # before the gaps are filled
+        # all of them before the gaps are filled
+        limits = selection.percentiles(j.df, {"Rainfall": [0.5, 0.99], "Temperature": [0.995]}, [["WeatherCondition"], []])
         j.missing("Rainfall", "condition median")
-        j.df = op.impute_group_median(j.df, "Rainfall", "WeatherCondition")
-        j.df = op.cap_percentile(j.df, "Rainfall", 0.99, high)
+        j.df = op.impute_group_median(j.df, "Rainfall", "WeatherCondition", medians=limits.table(["WeatherCondition"], {"_med": ("Rainfall", 0.5)}))
+        j.df = op.cap_percentile(j.df, "Rainfall", 0.99, limits.scalar("Rainfall", 0.99))
         j.note("extreme outlier", "Rainfall", "capped at P99", F.col("Rainfall_outlier"))
-        j.df = op.cap_percentile(j.df, "Temperature", 0.995)
+        j.df = op.cap_percentile(j.df, "Temperature", 0.995, limits.scalar("Temperature", 0.995))
         j.note("extreme outlier", "Temperature", "capped at P99.5", F.col("Temperature_outlier"))
         return j
 

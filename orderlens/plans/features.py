@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from orderlens.constants import CANCELLED, CHURN_HORIZON_DAYS, LATE, TRAFFIC_SCORE
 from orderlens.functions import haversine_km, is_completed, minute_of_day, rate, ratio
-from orderlens.operators.blocks import percentiles, ranks
+from orderlens.operators.blocks import ranks
 from orderlens.operators.cleaning import row_mean
+from orderlens.operators.selection import percentiles
 from orderlens.session import materialise
 
 READINGS = ("Rainfall", "Temperature", "Humidity", "TrafficScore", "AverageSpeed")
@@ -118,15 +119,11 @@ def conditions(slots: DataFrame, t) -> DataFrame:
     out = s.withColumns({
         "HasWeather": F.col("Rainfall").isNotNull().cast("int"), "HasTraffic": F.col("TrafficScore").isNotNull().cast("int"),
         "WeatherCondition": F.coalesce("WeatherCondition", F.lit("Unknown"))})
-    # daily means of a city have at most one value per day and scores four values,
-    # so a per-city map of counts stays small; speeds and all whole-table medians go through ordered blocks
-    small = [c for c in READINGS if c != "AverageSpeed"]
-    aggs = [F.percentile(c, 0.5, F.col("n_orders")) for c in small]
-    city = s.groupBy("RCity").agg(*[a.alias(f"c_{c}") for a, c in zip(aggs, small)])
-    city = city.join(percentiles(s, ["RCity"], "AverageSpeed", {"c_AverageSpeed": 0.5}, weight="n_orders"), "RCity", "left")
-    whole = {c: percentiles(s, [], c, {"m": 0.5}, weight="n_orders").scalar() for c in READINGS}
+    medians = percentiles(s, {c: [0.5] for c in READINGS}, [["RCity"], []], weight="n_orders")
+    city = medians.table(["RCity"], {f"c_{c}": (c, 0.5) for c in READINGS})
+    whole = medians.table([], {f"w_{c}": (c, 0.5) for c in READINGS})
     return out.join(city, "RCity", "left").withColumns(
-        {c: F.coalesce(F.col(c), F.col(f"c_{c}"), whole[c]) for c in READINGS}
+        {c: F.coalesce(F.col(c), F.col(f"c_{c}"), whole.select(f"w_{c}").scalar()) for c in READINGS}
     ).drop(*[f"c_{c}" for c in READINGS])
 
 
@@ -253,7 +250,8 @@ def churn_table(base: DataFrame, t, horizon_days: int = CHURN_HORIZON_DAYS, cuto
     at = F.lit(cutoff).cast("date") if cutoff else F.date_sub(last_day(base), horizon_days)
     f = materialise(churn_features(base, at, horizon_days).withColumn("AvgGapDays", gap_days()).withColumn("_at", at))
     people = t["customers"].select("CustomerID", "RegistrationDate", "Age", "Membership", "PreferredCuisine")
-    fills = {c: percentiles(f, [], c, {"m": 0.5}).scalar() for c in ("AvgRating", "AvgDeliveryTime")}
+    medians = percentiles(f, {"AvgRating": [0.5], "AvgDeliveryTime": [0.5]}, [[]])
+    fills = {c: medians.scalar(c, 0.5) for c in ("AvgRating", "AvgDeliveryTime")}
     return (
         f.join(people, "CustomerID", "left")
         .withColumns({c: F.coalesce(F.col(c), m) for c, m in fills.items()})

@@ -78,3 +78,33 @@ def test_percentiles_even_count_nulls_and_weights(spark):
     assert bl.percentiles(df, [], "v", {"m": 0.5}).first().m == 2.0
     assert bl.percentiles(df, [], "v", {"m": 0.75}, weight="w").first().m == pytest.approx(np.percentile([1, 2, 2, 2, 10, 10], 75))
     assert bl.percentiles(df.filter("v is null"), [], "v", {"m": 0.5}).first().m is None
+
+
+@pytest.mark.parametrize(("few", "bins"), [(10_000, 1024), (3, 4)])
+@pytest.mark.parametrize("weight", [None, "w"])
+def test_selected_percentiles_match_numpy(spark, few, bins, weight):
+    from orderlens.operators import selection
+
+    rng = np.random.default_rng(4)
+    rows = [("hot" if i % 3 else f"g{i % 7}", float(rng.normal()) * 10 ** int(rng.integers(0, 9)), float(i % 5), int(rng.integers(0, 4))) for i in range(400)]
+    rows += [(None, 1.0, None, 1), ("one", 5.0, 2.0, 1), ("empty", None, None, 1)]
+    df = spark.createDataFrame(rows, "g string, x double, y double, w int").repartition(3)
+    points = {"x": [0.0, 0.25, 0.5, 0.99, 1.0], "y": [0.5]}
+    got = selection.percentiles(df, points, [["g"], []], weight=weight, few=few, bins=bins)
+    for group in ([], ["g"]):
+        table = got.table(group, {f"{c}_{p}": (c, p) for c, ps in points.items() for p in ps}).collect()
+        for r in table:
+            for i, c in ((1, "x"), (2, "y")):
+                values = [row[i] for row in rows if (not group or row[0] == r["g"]) and row[i] is not None for _ in range(row[3] if weight else 1)]
+                for p in points[c]:
+                    want = float(np.percentile(values, p * 100)) if values else None
+                    assert r[f"{c}_{p}"] == (want if want is None else pytest.approx(want, rel=1e-12, abs=1e-12)), (group, r, c, p)
+        assert len(table) == (1 if not group else len({row[0] for row in rows if row[1] is not None and (row[3] if weight else 1)} | {row[0] for row in rows if row[2] is not None and (row[3] if weight else 1)}))
+
+
+def test_selected_percentiles_of_an_empty_table(spark):
+    from orderlens.operators import selection
+
+    got = selection.percentiles(spark.createDataFrame([], "g string, x double"), {"x": [0.5]}, [["g"], []])
+    assert got.table(["g"], {"m": ("x", 0.5)}).count() == 0
+    assert got.table([], {"m": ("x", 0.5)}).first()["m"] is None
