@@ -136,10 +136,13 @@ SQL = {
  (SELECT nullif(count(DISTINCT CustomerID), 0) FROM c_fact f WHERE f.OrderDate BETWEEN j.e - 59 AND j.e) AS "Active Customers" FROM j""",
     "evaluate_months": f"""WITH f AS (SELECT c.* FROM c_fact c JOIN c_dimcust d ON d.CustomerID = c.CustomerID WHERE d.Membership IN ('BUILDING', 'MACHINERY')),
  m AS (SELECT MonthStart, max(Date) AS e FROM c_date GROUP BY 1), s AS (SELECT DISTINCT MonthStart FROM c_date WHERE Date BETWEEN DATE '1996-01-01' AND DATE '1997-12-31'),
- v AS (SELECT City, CAST(date_trunc('month', OrderDate) AS DATE) AS k, {REV} AS r FROM f GROUP BY 1, 2)
- SELECT v.City, s.MonthStart, {rnd('v.r', 2)} AS "Total Revenue", {rnd('p.r', 2)} AS "Revenue PM", {r6('(v.r - p.r) / p.r')} AS "Revenue MoM %",
- (SELECT nullif(count(DISTINCT CustomerID), 0) FROM f WHERE f.City = v.City AND f.OrderDate BETWEEN m.e - 59 AND m.e) AS "Active Customers"
- FROM v JOIN s ON s.MonthStart = v.k JOIN m ON m.MonthStart = v.k LEFT JOIN v p ON p.City = v.City AND p.k = CAST(v.k - INTERVAL 1 MONTH AS DATE)""",
+ v AS (SELECT City, CAST(date_trunc('month', OrderDate) AS DATE) AS k, {REV} AS r FROM f GROUP BY 1, 2),
+ g AS (SELECT DISTINCT City FROM f), x AS (
+ SELECT g.City, s.MonthStart, v.r, p.r AS pr, v.City IS NOT NULL AS sold, (SELECT nullif(count(DISTINCT CustomerID), 0) FROM f WHERE f.City IS NOT DISTINCT FROM g.City AND f.OrderDate BETWEEN m.e - 59 AND m.e) AS a
+ FROM g CROSS JOIN s JOIN m ON m.MonthStart = s.MonthStart LEFT JOIN v ON v.City IS NOT DISTINCT FROM g.City AND v.k = s.MonthStart LEFT JOIN v p ON p.City IS NOT DISTINCT FROM g.City AND p.k = CAST(s.MonthStart - INTERVAL 1 MONTH AS DATE))
+ SELECT City, MonthStart, {rnd('r', 2)} AS "Total Revenue", {rnd('pr', 2)} AS "Revenue PM", {r6('(r - pr) / pr')} AS "Revenue MoM %", a AS "Active Customers" FROM x WHERE r IS NOT NULL OR pr IS NOT NULL OR a IS NOT NULL""",
+    "active_customers_by_date": """WITH d AS (SELECT DISTINCT Date FROM c_date WHERE Date BETWEEN DATE '1996-01-01' AND DATE '1997-12-31'), f AS (SELECT DISTINCT City, CustomerID, OrderDate FROM c_fact)
+ SELECT f.City, d.Date, count(DISTINCT f.CustomerID) AS "Active Customers" FROM d JOIN f ON f.OrderDate BETWEEN d.Date - 59 AND d.Date GROUP BY ALL""",
     "evaluate_chain": f"""SELECT b.Cuisine, {r6('avg(abs(p.Residual))')} AS "Delivery MAE", {r6('avg(p.Actual)')} AS "Avg Actual" FROM c_pred p JOIN c_base b ON b.OrderID = p.OrderID
  WHERE b.Membership = 'BUILDING' GROUP BY 1""",
     "measures_revenue_30d": f"""SELECT d.Date, {r6('avg(v.r) OVER (ORDER BY d.Date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)')} AS "Revenue 30d Avg" FROM c_date d
@@ -157,7 +160,7 @@ SQL = {
  FROM c_fact f JOIN t_delivery_partners p ON p.DeliveryPartnerID = f.DeliveryPartnerID GROUP BY 1, 2""",
     "measures_impact": f"""SELECT TrafficScore, RainImpact, {r6(AVGT)} AS "Traffic Impact" FROM c_fact GROUP BY 1, 2""",
     "measures_sales": f"""SELECT strftime(OrderDate, '%Y-%m') AS YearMonth, {rnd(DISC, 2)} AS "Total Discount", {r6('avg(HasCoupon)')} AS "Coupon Usage %", {r6(f'{DISC} / ({REV} + {DISC})')} AS "Discount % of Revenue" FROM c_fact GROUP BY 1""",
-    "measures_ml": f"""SELECT {r6('avg(abs(Residual))')} AS "Delivery MAE", {r6('sqrt(avg(Residual * Residual))')} AS "Delivery RMSE",
+    "measures_ml_by_key": f"""SELECT {r6('avg(abs(Residual))')} AS "Delivery MAE", {r6('sqrt(avg(Residual * Residual))')} AS "Delivery RMSE",
  {r6('1 - sum(Residual * Residual) / (var_pop(Actual) * count(*))')} AS "Delivery R2", {r6('avg(Predicted)')} AS "Avg Predicted", {r6('avg(Actual)')} AS "Avg Actual",
  (SELECT count(*) FROM c_cscores WHERE Split = 'test') AS "Test Customers", (SELECT count(*) FROM c_cscores WHERE Split = 'test' AND RiskSegment = 'High') AS "High-risk Customers",
  (SELECT {r6('avg(Churn)')} FROM c_cscores WHERE Split = 'test') AS "Actual Churn % (test)" FROM c_pred""",
@@ -255,7 +258,7 @@ SQL = {
         f"""SELECT 'average_30', CAST(OrderDate AS VARCHAR), CASE WHEN rn >= 30 THEN {rnd('a', 4)} END FROM (SELECT OrderDate, row_number() OVER (ORDER BY OrderDate) AS rn,
  avg(r) OVER (ORDER BY OrderDate ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS a FROM (SELECT OrderDate, sum(FinalAmount) AS r FROM c_done GROUP BY 1))""",
         panel("campaign", "c_fact f JOIN t_promotions p ON p.CouponCode = f.CouponCode", "p.CampaignName", DISC, 2, "ORDER BY value DESC, label LIMIT 8"), panel("payment", "c_fact", "PaymentMethod", "count(*)")]),
-    "dash_ml": " UNION ALL ".join([
+    "dash_ml_by_key": " UNION ALL ".join([
         panel("residual_mean", "c_pred", "CAST(floor(Predicted / 10) * 10 AS INT)", "avg(Residual)"), panel("residual_n", "c_pred", "CAST(floor(Predicted / 10) * 10 AS INT)", "count(*)"),
         panel("risk_customers", "c_cscores WHERE Split = 'test'", "RiskSegment", "count(*)"), panel("risk_churn_rate", "c_cscores WHERE Split = 'test'", "RiskSegment", "avg(Churn)")]),
 }

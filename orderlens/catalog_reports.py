@@ -98,8 +98,7 @@ def _ml_star(s):
     return {**s.star, "ml_delivery_predictions": sample_predictions(s.base), "ml_churn_scores": scores}
 
 
-def _ml_measures(s):
-    star = _ml_star(s)
+def ml_measures(star):
     a = m.evaluate(star, ["Delivery MAE", "Delivery RMSE", "Delivery R2", "Avg Predicted", "Avg Actual"])
     b = m.evaluate(star, ["Test Customers", "High-risk Customers", "Actual Churn % (test)"])
     out = a
@@ -148,6 +147,7 @@ QUERIES = {
     "export_star_schema": _export_star,
     "evaluate_measures": _evaluate,
     "evaluate_months": _months,
+    "active_customers_by_date": lambda s: m.active_customers(s.star, ["dim_city.City"], {"dim_date.Date": ("1996-01-01", "1997-12-31")}),
     "evaluate_chain": _items_by_city,
     "measures_kpi": _measures_kpi,
     "measures_time": lambda s: r6(m.measures_time(s.star)),
@@ -159,7 +159,7 @@ QUERIES = {
     "measures_delivery": _delivery_measures,
     "measures_impact": _impact,
     "measures_sales": _sales_measures,
-    "measures_ml": _ml_measures,
+    "measures_ml_by_key": lambda s: ml_measures(_ml_star(s)),
     "kpi_headline": lambda s: r6(k.kpi_headline(s.base)),
     "kpi_argmax": lambda s: k.kpi_argmax(s.base),
     "kpi_breakdowns": lambda s: k.kpi_breakdowns(s.base),
@@ -199,7 +199,7 @@ QUERIES = {
     "dash_delivery": lambda s: k.dash_delivery(s.star),
     "dash_partner_leaderboard": lambda s: k.partner_leaderboard(s.star),
     "dash_sales": lambda s: k.dash_sales(s.star),
-    "dash_ml": lambda s: k.dash_ml(sample_predictions(s.base), with_segments(sample_scores(s.churn))),
+    "dash_ml_by_key": lambda s: k.dash_ml(sample_predictions(s.base), with_segments(sample_scores(s.churn))),
 }
 
 

@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 
 from orderlens.constants import NOT_DELIVERED
 from orderlens.functions import rate, ratio
+from orderlens.operators import selection
 from orderlens.operators.blocks import percentiles
 from orderlens.plans.measures import evaluate
+from orderlens.session import materialise
 
 # The columns of the correlation chart.
 CORR_COLUMNS = (
@@ -269,26 +271,28 @@ def chart_histogram(b: DataFrame, customers: DataFrame) -> DataFrame:
                   histogram(customers.filter("Orders > 0"), "CLV", "clv")])
 
 
-def box_stats(d: DataFrame, key: str, col: str, chart: str, bounded: bool) -> DataFrame:
-    """Quartiles and the outermost values within 1.5 interquartile ranges."""
-    v = d.select(F.col(key).cast("string").alias("label"), F.col(col).cast("double").alias("v")).filter("v is not null and label is not null")
-    points = {"q1": 0.25, "median": 0.5, "q3": 0.75}
-    if bounded:
-        q = v.groupBy("label").agg(*[F.percentile("v", p).alias(k) for k, p in points.items()])
-    else:
-        q = percentiles(v, ["label"], "v", points)
+# Chart, group and value of each box plot
+BOXES = {
+    "time_by_vehicle": ("VehicleType", "DeliveryTimeMinutes"), "amount_by_membership": ("Membership", "FinalAmount"),
+    "time_by_rain": ("RainImpact", "DeliveryTimeMinutes"), "time_by_city": ("RCity", "DeliveryTimeMinutes"),
+}
+
+
+def box_stats(d: DataFrame, boxes: dict[str, tuple[str, str]]) -> DataFrame:
+    """Quartiles and the outermost values within 1.5 interquartile ranges; all charts from one stack of values."""
+    entries = [F.struct(F.lit(chart).alias("chart"), F.col(key).cast("string").alias("label"), F.col(col).cast("double").alias("v")) for chart, (key, col) in boxes.items()]
+    v = d.select(F.explode(F.array(*entries)).alias("e")).select("e.*").where("v is not null and label is not null")
+    v = materialise(v.groupBy("chart", "label", "v").agg(F.count(F.lit(1)).alias("n")))
+    by = ["chart", "label"]
+    q = selection.percentiles(v, {"v": [0.25, 0.5, 0.75]}, [by], weight="n").table(by, {"q1": ("v", 0.25), "median": ("v", 0.5), "q3": ("v", 0.75)})
     reach = (F.col("q3") - F.col("q1")) * 1.5
-    inside = v.join(q, "label").filter(F.col("v").between(F.col("q1") - reach, F.col("q3") + reach))
-    ends = inside.groupBy("label").agg(F.min("v").alias("low"), F.max("v").alias("high"))
-    return q.join(ends, "label").select(F.lit(chart).alias("chart"), "label", *[F.round(c, 6).alias(c) for c in ("low", "q1", "median", "q3", "high")])
+    inside = v.join(q, by).where(F.col("v").between(F.col("q1") - reach, F.col("q3") + reach))
+    ends = inside.groupBy(*by).agg(F.min("v").alias("low"), F.max("v").alias("high"))
+    return q.join(ends, by).select(*by, *[F.round(c, 6).alias(c) for c in ("low", "q1", "median", "q3", "high")])
 
 
 def chart_box_stats(b: DataFrame) -> DataFrame:
-    c = completed(b)
-    return union([box_stats(c, "VehicleType", "DeliveryTimeMinutes", "time_by_vehicle", True),
-                  box_stats(c, "Membership", "FinalAmount", "amount_by_membership", False),
-                  box_stats(c, "RainImpact", "DeliveryTimeMinutes", "time_by_rain", True),
-                  box_stats(c, "RCity", "DeliveryTimeMinutes", "time_by_city", True)])
+    return box_stats(completed(b), BOXES)
 
 
 def letter_values(b: DataFrame, top: int = 8) -> DataFrame:
@@ -516,3 +520,23 @@ def dash_ml(predictions: DataFrame, scores: DataFrame) -> DataFrame:
     risk = scores.filter("Split = 'test'").groupBy("RiskSegment").agg(F.count(F.lit(1)).alias("n"), F.avg("Churn").alias("rate"))
     return union([_panel(r, "residual_mean", "k", "mean"), _panel(r, "residual_n", "k", "n"),
                   _panel(risk, "risk_customers", "RiskSegment", "n"), _panel(risk, "risk_churn_rate", "RiskSegment", "rate")])
+
+
+def dash_models(tables: dict[str, DataFrame], bins: int = 10) -> DataFrame:
+    """The model page over the six model tables: cards of the chosen models, importances, predicted against actual by
+    decade, residuals and risk segments."""
+    def chosen(rows: DataFrame, cv: str) -> DataFrame:
+        return rows.where("Stage in ('default', 'tuned')").orderBy(F.desc(cv), "Model").limit(1)
+
+    delivery, churn = chosen(tables["ml_model_comparison_delivery"], "CV_R2_mean"), chosen(tables["ml_model_comparison_churn"], "CV_AUC")
+    shown = {
+        "Delivery model test R2": delivery.select("R2"), "Delivery RMSE (min)": delivery.select("RMSE"), "Delivery MAE (min)": delivery.select("MAE"),
+        "Churn model test AUC": churn.select("ROC_AUC"), "Churn F1": churn.select("F1"),
+    }
+    predictions = tables["ml_delivery_predictions"]
+    by = predictions.groupBy((F.floor(F.col("Predicted") / bins) * bins).cast("int").alias("k")).agg(F.avg("Actual").alias("actual"), F.avg("Predicted").alias("predicted"))
+    parts = [_card_rows(cards(shown)), _panel(by, "actual_by_predicted", "k", "actual"), _panel(by, "mean_predicted", "k", "predicted")]
+    for which, value in (("delivery", "permutation_mse_increase"), ("churn", "auc_drop_when_shuffled")):
+        top = tables[f"ml_{which}_feature_importance"].orderBy(F.desc(value), "feature").limit(8)
+        parts.append(_panel(top, f"importance_{which}", "feature", value))
+    return union([*parts, dash_ml(predictions, tables["ml_churn_scores"])])

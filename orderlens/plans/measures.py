@@ -149,39 +149,79 @@ def evaluate(star, measures: list[str], by: list[str] = (), filters: dict | None
     return df.groupBy(*keys).agg(*[MEASURES[m][1]().alias(m) for m in measures])
 
 
+def _facts(star, by: list[str], filters: dict) -> tuple[DataFrame, list[str]]:
+    """Orders in the context of the groups and filters: the groups, OrderDate, CustomerID and revenue."""
+    df = _filtered(_context(star, "fact_orders", list(dict.fromkeys([*by, *filters])), False), filters)
+    keys = [_split(c)[1] for c in by]
+    columns = [F.col(f"`{c}`").alias(k) for c, k in zip(by, keys, strict=True)]
+    return df.select(*columns, "OrderDate", "CustomerID", F.when(done(), F.col("FinalAmount")).alias("_r")), keys
+
+
+def active_intervals(orders: DataFrame, keys: list[str], days: int) -> DataFrame:
+    """(keys, Date, change): where the number of active customers changes. A customer is active from each order for
+    ``days`` days; overlapping days are one interval, so only the order dates next to a gap make events. The window holds
+    the distinct dates of one customer, at most the days of the calendar."""
+    dates = orders.where("OrderDate is not null and CustomerID is not null").select(*keys, "CustomerID", "OrderDate").distinct()
+    w = Window.partitionBy(*keys, "CustomerID").orderBy("OrderDate")
+    seen = dates.withColumns({"_before": F.lag("OrderDate").over(w), "_after": F.lead("OrderDate").over(w)})
+    end = F.date_add("OrderDate", days)
+    begins = F.col("_before").isNull() | (F.date_add("_before", days) < F.col("OrderDate"))
+    ends = F.col("_after").isNull() | (F.col("_after") > end)
+    event = F.array_compact(F.array(
+        F.when(begins, F.struct(F.col("OrderDate").alias("Date"), F.lit(1).alias("change"))), F.when(ends, F.struct(end.alias("Date"), F.lit(-1).alias("change")))))
+    events = seen.select(*keys, F.explode(event).alias("e")).select(*keys, "e.*")
+    return events.groupBy(*keys, "Date").agg(F.sum("change").alias("change"))
+
+
+def _running(changes: DataFrame, keys: list[str], dates: DataFrame) -> DataFrame:
+    """(keys, Date, Active Customers) for every date and group with a customer active then. What changed before the
+    first date counts at it, so a calendar that begins late loses nothing."""
+    calendar = dates.agg(F.array_sort(F.collect_set("Date"))).scalar()  # the days of a calendar
+    spine = changes.select(*keys).distinct() if keys else changes.groupBy().agg(F.count(F.lit(1)).alias("_n"))
+    spine = spine.withColumn("Date", F.explode(calendar))  # one row for each cell of the report
+    both = changes.select(*keys, "Date", "change", F.lit(0).alias("_shown")).unionByName(spine.select(*keys, "Date", F.lit(0).cast("long").alias("change"), F.lit(1).alias("_shown")))
+    w = Window.partitionBy(*keys or [F.lit(0)]).orderBy("Date", "_shown").rowsBetween(Window.unboundedPreceding, 0)  # changes and calendar: days
+    counted = both.withColumn("Active Customers", F.sum("change").over(w)).where("_shown = 1")
+    return counted.where(F.col("Active Customers") > 0).select(*keys, "Date", "Active Customers")
+
+
+def active_customers(star, by: list[str] = (), filters: dict | None = None, days: int = 60) -> DataFrame:
+    """Distinct customers with an order in the ``days`` up to each calendar date, by group, under the filters. A filter
+    on the date says which dates are shown; orders before them still count."""
+    filters = {c: v for c, v in (filters or {}).items() if _path("fact_orders", _split(c)[0], False) is not None}
+    dates = {c: v for c, v in filters.items() if _split(c)[0] == "dim_date"}
+    orders, keys = _facts(star, list(by), {c: v for c, v in filters.items() if c not in dates})
+    return _running(active_intervals(orders, keys, days), keys, _shown_dates(star, dates))
+
+
+def _shown_dates(star, filters: dict) -> DataFrame:
+    date = star["dim_date"].select(*[F.col(c).alias(f"dim_date.{c}") for c in star["dim_date"].columns])
+    return _filtered(date, filters).select(F.col("`dim_date.Date`").alias("Date"), F.col("`dim_date.MonthStart`").alias("MonthStart"))
+
+
 def evaluate_months(star, by: list[str] = (), filters: dict | None = None, days: int = 60) -> DataFrame:
     """Total Revenue, Revenue PM, Revenue MoM % and Active Customers per month and group of ``by``, under the filters.
 
     A filter on the date ends what is shown, but a month before it, and the days up to a month's end, still count for
-    the months that are shown, as in a report. Months without orders in a group have no row; the month before is looked up
-    on the calendar, so a gap gives NULL."""
+    the months that are shown, as in a report. A month has a row where any of the measures has a value: a quiet month
+    after a busy one shows its Revenue PM and the customers still active."""
     filters = {c: v for c, v in (filters or {}).items() if _path("fact_orders", _split(c)[0], False) is not None}
     dates = {c: v for c, v in filters.items() if _split(c)[0] == "dim_date"}
-    rest = {c: v for c, v in filters.items() if c not in dates}
-    df = _filtered(_context(star, "fact_orders", list(dict.fromkeys([*by, *rest])), False), rest)
-    keys = [_split(c)[1] for c in by]
-    df = df.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(by, keys, strict=True)], "OrderDate", "CustomerID", F.when(done(), F.col("FinalAmount")).alias("_r"))
+    orders, keys = _facts(star, list(by), {c: v for c, v in filters.items() if c not in dates})
     month = F.trunc("OrderDate", "month").alias("MonthStart")
-    revenue_ = df.groupBy(*keys, month).agg(F.sum("_r").alias("Total Revenue"))
-    before = revenue_.select(*keys, F.to_date(F.add_months("MonthStart", 1)).alias("MonthStart"), F.col("Total Revenue").alias("Revenue PM"))
-    shown = _filtered(star["dim_date"].select(*[F.col(c).alias(f"dim_date.{c}") for c in star["dim_date"].columns]), dates)
-    months = shown.select(F.col("`dim_date.MonthStart`").alias("MonthStart")).distinct()
-    spine = month_spine(star).join(months, "MonthStart")
-    ahead = days // 28 + 1
-    each = df.withColumn("MonthStart", F.explode(F.array(*[F.add_months(F.trunc("OrderDate", "month"), k) for k in range(ahead + 1)])))
-    live = each.join(spine, "MonthStart").filter((F.col("OrderDate") > F.date_sub("MonthEnd", days)) & (F.col("OrderDate") <= F.col("MonthEnd")))
-    active = live.groupBy(*keys, "MonthStart").agg(F.count_distinct("CustomerID").alias("Active Customers"))
-    on = [*keys, "MonthStart"]
-    out = _null_safe(_null_safe(revenue_, before, on), active, on).join(months, "MonthStart")
+    revenue_ = orders.groupBy(*keys, month).agg(F.sum("_r").alias("Total Revenue"))
+    months = _shown_dates(star, dates).select("MonthStart").distinct()
+    ends = month_spine(star).join(months, "MonthStart")
+    active = _running(active_intervals(orders, keys, days), keys, ends.select(F.col("MonthEnd").alias("Date")))
+    nothing = F.lit(None).cast("double")
+    cells = [
+        revenue_.select(*keys, "MonthStart", F.col("Total Revenue").alias("r"), nothing.alias("p"), F.lit(None).cast("long").alias("a")),
+        revenue_.where("`Total Revenue` is not null").select(*keys, F.to_date(F.add_months("MonthStart", 1)).alias("MonthStart"), nothing.alias("r"), F.col("Total Revenue").alias("p"), F.lit(None).cast("long").alias("a")),
+        active.select(*keys, F.trunc("Date", "month").alias("MonthStart"), nothing.alias("r"), nothing.alias("p"), F.col("Active Customers").alias("a")),
+    ]
+    every = reduce(DataFrame.unionByName, cells).groupBy(*keys, "MonthStart").agg(F.max("r").alias("Total Revenue"), F.max("p").alias("Revenue PM"), F.max("a").alias("Active Customers"))
     change = ratio(F.col("Total Revenue") - F.col("Revenue PM"), F.col("Revenue PM"))
-    return out.select(*keys, "MonthStart", "Total Revenue", "Revenue PM", change.alias("Revenue MoM %"), "Active Customers")
-
-
-def _null_safe(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """Left join in which NULL keys meet."""
-    other = right.select(*[F.col(c).alias(f"_r_{c}") for c in on], *[c for c in right.columns if c not in on])
-    cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in on])
-    return left.join(other, cond, "left").drop(*[f"_r_{c}" for c in on])
+    return every.join(months, "MonthStart").select(*keys, "MonthStart", "Total Revenue", "Revenue PM", change.alias("Revenue MoM %"), "Active Customers")
 
 
 # --------------------------------------------------------- time intelligence
@@ -200,14 +240,10 @@ def revenue_by_month(star) -> DataFrame:
 
 
 def active_customers_by_month(star, days: int = 60) -> DataFrame:
-    """Distinct customers with an order in the days up to each month's end. An order
-    can count for its own month and the few after it, so it is copied to those
-    instead of being range-joined."""
-    ahead = days // 28 + 1
-    o = star["fact_orders"].select("CustomerID", "OrderDate").withColumn(
-        "MonthStart", F.explode(F.array(*[F.add_months(F.trunc("OrderDate", "month"), k) for k in range(ahead + 1)])))
-    d = o.join(month_spine(star), "MonthStart").filter(F.col("OrderDate") > F.date_sub("MonthEnd", days))
-    return d.groupBy("MonthStart").agg(F.count_distinct("CustomerID").alias("Active Customers"))
+    """Distinct customers with an order in the days up to each month's end."""
+    orders, _ = _facts(star, [], {})
+    at = _running(active_intervals(orders, [], days), [], month_spine(star).select(F.col("MonthEnd").alias("Date")))
+    return at.select(F.trunc("Date", "month").alias("MonthStart"), "Active Customers")
 
 
 def revenue_30d_avg(star, days: int = 30) -> DataFrame:
