@@ -48,5 +48,5 @@ SQL = {
  (SELECT {r6('sum(label * tp / rn) / sum(label)')} FROM (SELECT label, sum(label) OVER w AS tp, row_number() OVER w AS rn FROM c_judged WINDOW w AS (ORDER BY score DESC, id ROWS UNBOUNDED PRECEDING))) AS "PR_AUC" FROM c_judged""",
     "confusion_matrix": f"SELECT label, CASE WHEN {HIT} THEN 1 ELSE 0 END AS predicted, count(*) AS n FROM c_judged GROUP BY 1, 2",
     "roc_curve": f"SELECT {r6('score')} AS score, {r6('tps / p')} AS tpr, {r6('fps / n')} AS fpr FROM c_rocsum",
-    "risk_segment_rates": f"""SELECT RiskSegment, count(*) AS customers, {r6('avg(Churn)')} AS churn_rate FROM c_cscores WHERE Split = 'test' GROUP BY 1""",
+    "risk_segment_rates_by_key": f"""SELECT RiskSegment, count(*) AS customers, {r6('avg(Churn)')} AS churn_rate FROM c_cscores WHERE Split = 'test' GROUP BY 1""",
 }

@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from orderlens.catalog_reports import over_store, sample_predictions, sample_scores, with_segments
+from orderlens.catalog_reports import ml_measures, over_store, sample_predictions, sample_scores, with_segments
 from orderlens.ml import metrics as mt
 from orderlens.ml import models as ml
-from orderlens.ml import prep
+from orderlens.ml import prep, search
+from orderlens.ml.registry import Registry
 from orderlens.ml.scores import segment_rates
+from orderlens.plans import kpis as k
 from orderlens.plans import measures as m
+from orderlens.plans import stats as x
 from orderlens.plans.kpis import union
 from orderlens.plans.star import top_features
-from orderlens.session import materialise, new_folder
+from orderlens.session import delete_at_end, materialise, new_folder
 from orderlens.sources import files
 
 
@@ -52,35 +55,17 @@ def _train(which):
     return run
 
 
-def _cv(s):
-    rows = []
-    for which, task in (("delivery", s.delivery), ("churn", s.churning)):
-        names = [n for n in task.models if n in ("Linear Regression", "Logistic Regression", "Decision Tree")]
-        rows += [(which, n, float(m), float(d)) for n, (m, d) in ml.cross_validate(task, names).items()]
-    return s.spark.createDataFrame(rows, "task string, Model string, cv_mean double, cv_std double")
-
-
-def _random_search(s):
-    rows = []
-    for which, task in (("delivery", s.delivery), ("churn", s.churning)):
-        best, score, _ = ml.search(task, "Decision Tree", ml.random_points(task, "Decision Tree"))
-        rows.append((which, str(best), float(score)))
-    return s.spark.createDataFrame(rows, "task string, params string, score double")
-
-
 def _grid_search(s):
-    best, score, _ = ml.search(s.churning, "Decision Tree", ml.grid(s.churning, "Decision Tree"))
-    return s.spark.createDataFrame([(str(best), float(score))], "params string, score double")
+    """The whole grid of the trees, for both tasks; the larger grids are searched at random."""
+    return search.best_points(union([search.full_grid(s.spark, s.task(w), "Decision Tree", w) for w in ("delivery", "churn")]), "grid")
 
 
 def _comparison(s, which):
-    names = {"delivery": ["Linear Regression", "Decision Tree"], "churn": ["Logistic Regression", "Decision Tree"]}[which]
-    task = s.delivery if which == "delivery" else s.churning
-    return s.keep(f"comparison/{which}", lambda: ml.compare(task, names))
+    return s.keep(f"comparison/{which}", lambda: materialise(ml.compare(s.task(which), which, s.chosen, s.every_model(which))))
 
 
 def _selected(s):
-    out = [ml.select_by_cv(_comparison(s, w)[0], m).select(F.lit(w).alias("task"), "Model", F.col(m).alias("cv"))
+    out = [ml.select_by_cv(_comparison(s, w), m).select(F.lit(w).alias("task"), "Model", F.col(m).alias("cv"))
            for w, m in (("delivery", "CV_R2_mean"), ("churn", "CV_AUC"))]
     return union(out)
 
@@ -90,14 +75,18 @@ SELECTION = {"delivery": ("CV_R2_mean", "permutation_mse_increase"), "churn": ("
 
 def _chosen(s, which):
     """The task, the name of the model that cross-validation chose, and the model."""
-    _, fitted, name = _comparison(s, which)
-    return (s.delivery if which == "delivery" else s.churning), name, fitted[name]
+    name = s.chosen.winner(which)
+    return s.task(which), name, s.every_model(which)[name]
 
 
 def _model_rows(s, which):
     """The comparison with all its scores; for delivery times also the leakage demonstration."""
-    rows = _comparison(s, which)[0].withColumn("task", F.lit(which))
-    return ml.union([rows, ml.leakage_demo(s.delivery).withColumn("task", F.lit(which))]) if which == "delivery" else rows
+    rows = _comparison(s, which).withColumn("task", F.lit(which))
+    return ml.union([rows, _leakage(s).withColumn("task", F.lit(which))]) if which == "delivery" else rows
+
+
+def _leakage(s):
+    return s.keep("leakage", lambda: materialise(ml.leakage_demo(s.delivery)))
 
 
 def _importance(s, which):
@@ -106,17 +95,27 @@ def _importance(s, which):
 
 
 def model_tables(s) -> dict:
-    """The six model tables of the star schema, from the models that cross-validation chose."""
-    delivery, _, delivery_model = _chosen(s, "delivery")
-    churn, _, churn_model = _chosen(s, "churn")
+    """The six model tables of the star schema, from the models that cross-validation chose; scores are stored once."""
+    def scored(which, build):
+        task, _, model = _chosen(s, which)
+        return s.keep(f"scores/{which}", lambda: materialise(build(task, model)))
+
     return {
-        "ml_delivery_predictions": ml.delivery_predictions(delivery, delivery_model), "ml_churn_scores": ml.churn_scores(churn, churn_model),
+        "ml_delivery_predictions": scored("delivery", ml.delivery_predictions), "ml_churn_scores": scored("churn", ml.churn_scores),
         "ml_delivery_feature_importance": top_features(_importance(s, "delivery"), SELECTION["delivery"][1]),
         "ml_churn_feature_importance": top_features(_importance(s, "churn"), SELECTION["churn"][1]),
         "ml_model_comparison_delivery": _model_rows(s, "delivery").drop("task"), "ml_model_comparison_churn": _model_rows(s, "churn").drop("task"),
     }
 
 
+def _test_scores(s):
+    return model_tables(s)["ml_churn_scores"].where("Split = 'test'")
+
+
+def _measures(s):
+    return ml_measures({**s.star, **model_tables(s)})
+
+
 def _importance_measures(s):
     star = {**s.star, **model_tables(s)}
     parts = [m.evaluate(star, [name], [f"{table}.feature"]).select(F.lit(name).alias("measure"), "feature", F.col(name).alias("value"))
@@ -132,9 +131,13 @@ def _export_full_star(s):
 
 
 def _save(s):
-    (task, name, model), folder = _chosen(s, "churn"), new_folder(s.spark)
-    ml.save_model(model, task, folder, name)
-    return task.predict(type(model).load(f"{folder}/model"), task.test)
+    """The chosen model, saved with its facts, loaded and used."""
+    task, name, model = _chosen(s, "churn")
+    folder = new_folder(s.spark)
+    delete_at_end(s.spark, folder)
+    saved = Registry(s.spark, folder)
+    saved.save(name, "", model, task)
+    return saved.score(name, "", task, task.test)
 
 
 def _export_ml(s):
@@ -155,15 +158,19 @@ QUERIES = {
     "classification_metrics": lambda s: r6(mt.classification_metrics(_judged(s))),
     "confusion_matrix": lambda s: mt.confusion(_judged(s)),
     "roc_curve": lambda s: r6(mt.roc_points(_judged(s)).select("score", "tpr", "fpr")),
-    "risk_segment_rates": lambda s: segment_rates(with_segments(sample_scores(s.churn))),
+    "risk_segment_rates_by_key": lambda s: segment_rates(with_segments(sample_scores(s.churn))),
+    "risk_segment_rates": lambda s: segment_rates(model_tables(s)["ml_churn_scores"]),
+    "measures_ml": _measures,
+    "dash_ml": lambda s: k.dash_models(model_tables(s)),
+    "auc_null_test": lambda s: x.auc_null(_test_scores(s), "CustomerID", "Churn", "ChurnProbability"),
     "train_regressors": _train("delivery"),
     "train_classifiers": _train("churn"),
-    "cross_validate": _cv,
-    "random_search": _random_search,
+    "cross_validate": lambda s: search.cv_scores(s.chosen.results),
+    "random_search": lambda s: search.best_points(s.chosen.results, "random"),
     "grid_search": _grid_search,
     "model_comparison": lambda s: ml.union([_model_rows(s, w) for w in ("delivery", "churn")]),
     "select_by_cv": _selected,
-    "leakage_demo": lambda s: ml.leakage_demo(s.delivery),
+    "leakage_demo": _leakage,
     "impurity_importance": lambda s: ml.impurity_importance(s.delivery, s.fitted("delivery", "Random Forest")),
     "permutation_importance": lambda s: _importance(s, "delivery"),
     "permutation_importance_churn": lambda s: _importance(s, "churn"),

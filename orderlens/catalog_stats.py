@@ -37,7 +37,7 @@ QUERIES = {
     "perm_test_order_value": lambda s: x.value_tests(s.base),
     "perm_partner_spread": lambda s: x.partner_test(s.base),
     "stat_battery": lambda s: x.battery(s.base),
-    "auc_null_test": lambda s: x.auc_null(sample_scores(s.churn), "CustomerID", "Churn", "ChurnProbability"),
+    "auc_null_test_by_key": lambda s: x.auc_null(sample_scores(s.churn), "CustomerID", "Churn", "ChurnProbability"),
 }
 
 

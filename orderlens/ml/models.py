@@ -4,15 +4,12 @@ from __future__ import annotations
 
 import json
 from functools import reduce
-from itertools import product
 
-import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -109,66 +106,25 @@ def baseline_churn(rows: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------- selection
-def cross_validate(task: Task, names: list[str] | None = None, n_folds: int = 5, parallelism: int = 4) -> dict[str, tuple[float, float]]:
-    """Mean and deviation of the fold scores of each model at its fixed parameters."""
-    folded = materialise(prep.folds(task.train, task.key, n_folds, stratify=task.stratify))
-    out = {}
-    for name in names or task.models:
-        cv = CrossValidator(estimator=task.models[name], estimatorParamMaps=[{}], evaluator=task.evaluator(), foldCol="fold",
-                            numFolds=n_folds, parallelism=parallelism, collectSubModels=False)
-        fitted = cv.fit(folded)
-        out[name] = (fitted.avgMetrics[0], fitted.stdMetrics[0])
-    return out
-
-
-def grid(task: Task, name: str) -> list[dict]:
-    g = task.grids[name]
-    return [dict(zip(g, v)) for v in product(*g.values())]
-
-
-def search(task: Task, name: str, points: list[dict], n_folds: int = 3, parallelism: int = 4):
-    """(best parameters, score, model fitted on the whole train set)."""
-    est = task.models[name]
-    maps = []
-    for p in points:
-        b = ParamGridBuilder()
-        maps += b.baseOn({est.getParam(k): v for k, v in p.items()}).build()
-    folded = materialise(prep.folds(task.train, task.key, n_folds, stratify=task.stratify))
-    fitted = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=task.evaluator(), foldCol="fold", numFolds=n_folds, parallelism=parallelism).fit(folded)
-    i = int(np.argmax(fitted.avgMetrics))
-    return points[i], fitted.avgMetrics[i], fitted.bestModel
-
-
-def random_points(task: Task, name: str, n: int = 4, seed: int = SEED) -> list[dict]:
-    points = grid(task, name)
-    return [points[i] for i in np.random.default_rng(seed).permutation(len(points))[:n]]
-
-
 def fit_all(task: Task, names: list[str] | None = None) -> dict:
     return {n: task.models[n].fit(task.train) for n in names or task.models}
 
 
-def compare(task: Task, names: list[str] | None = None, n_folds: int = 5, tune: int = 2, points: int = 4):
-    """The whole procedure: (comparison rows, fitted models, selected name).
-
-    Fixed models and the tuned best ones, chosen by cross-validation only."""
-    cv = cross_validate(task, names, n_folds)
-    fitted = fit_all(task, names)
-    metric = "CV_AUC" if task.classify else "CV_R2_mean"
-    rows = []
+def compare(task: Task, name: str, chosen, fitted: dict) -> DataFrame:
+    """One row for the baseline, each family at its fixed parameters and each tuned one: scores of the folds, which
+    select, beside those of the test rows, which do not. ``fitted``: models by family, tuned ones too."""
+    metric, deviation = ("CV_AUC", "CV_std") if task.classify else ("CV_R2_mean", "CV_std")
     base = baseline_churn(task.data) if task.classify else baseline_regression(task.data)
-    rows.append(base.select(F.lit("Baseline").alias("Model"), F.lit(0.5 if task.classify else 0.0).alias(metric), F.lit("baseline").alias("Stage"), "*"))
-    for name, model in fitted.items():
-        r = task.judge(task.predict(model, task.test))
-        rows.append(r.select(F.lit(name).alias("Model"), F.lit(cv[name][0]).alias(metric), F.lit(cv[name][1]).alias("CV_std"), F.lit("default").alias("Stage"), "*"))
-    score = {n: s for n, (s, _) in cv.items()}
-    for name in sorted((n for n in score if n in task.grids), key=lambda n: -score[n])[:tune]:
-        best, value, model = search(task, name, random_points(task, name, points))
-        label = f"{name} (tuned)"
-        fitted[label], score[label] = model, value
-        r = task.judge(task.predict(model, task.test))
-        rows.append(r.select(F.lit(label).alias("Model"), F.lit(value).alias(metric), F.lit("tuned").alias("Stage"), F.lit(json.dumps(best)).alias("Params"), "*"))
-    return union(rows), fitted, max(score, key=score.get)
+    rows = [base.select(F.lit("Baseline").alias("Model"), F.lit(0.5 if task.classify else 0.0).alias(metric), F.lit("baseline").alias("Stage"), "*")]
+    for label, model in fitted.items():
+        tuned = label.endswith(" (tuned)")
+        family = label.removesuffix(" (tuned)")
+        here = (F.col("task") == name) & (F.col("family") == family) & (F.col("stage") == ("random" if tuned else "cv"))
+        params = json.dumps(chosen.best_points[name, family]) if tuned else "{}"
+        score = chosen.results.where(here & (F.col("point") == params)).agg(F.avg("score").alias(metric), F.stddev_pop("score").alias(deviation))
+        judged = task.judge(task.predict(model, task.test)).select(F.lit(label).alias("Model"), F.lit("tuned" if tuned else "default").alias("Stage"), F.lit(params if tuned else None).cast("string").alias("Params"), "*")
+        rows.append(judged.withColumns({metric: score.select(metric).scalar(), deviation: score.select(deviation).scalar()}))
+    return union(rows)
 
 
 def select_by_cv(comparison: DataFrame, metric: str) -> DataFrame:
@@ -243,13 +199,3 @@ def target_shuffle(task: Task, repeats: int = 5, seed: int = SEED) -> DataFrame:
         train = task.train.join(swapped.filter(F.col("rep") == r), task.key).withColumn("label", F.col("_y"))
         parts.append(task.judge(task.predict(model.fit(train), task.test)).select(F.lit(r).alias("shuffle"), "R2"))
     return union(parts)
-
-
-def save_model(model, task: Task, path: str, name: str) -> None:
-    """The fitted model, and what is needed to use it, side by side."""
-    model.write().overwrite().save(f"{path}/model")
-    facts = task.judge(task.predict(model, task.test)).withColumns(
-        {"name": F.lit(name), "features": F.array(*[F.lit(n) for n in task.names])})
-    facts.write.mode("overwrite").json(f"{path}/facts")
-
-

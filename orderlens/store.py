@@ -7,9 +7,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderlens.ml import models
+from orderlens.ml import models, search
+from orderlens.ml.registry import Registry
 from orderlens.plans import features, star
-from orderlens.session import input_version, materialise, tune
+from orderlens.session import delete_at_end, input_version, materialise, new_folder, tune
 from orderlens.sources.sample import SampleTables, clean_tables
 
 _stored: dict[tuple[str, ...], DataFrame] = {}
@@ -44,9 +45,44 @@ class Store:
     def churning(self) -> models.Task:
         return self.keep("churning", lambda: models.churn_task(self.churn))
 
+    def task(self, which: str) -> models.Task:
+        return self.delivery if which == "delivery" else self.churning
+
+    @property
+    def registry(self) -> Registry:
+        """Where models are saved: the folder that ``spark.orderlens.models`` names, else one of this application."""
+        def open_folder() -> Registry:
+            folder = self.spark.conf.get("spark.orderlens.models", None)
+            if not folder:
+                folder = new_folder(self.spark)
+                delete_at_end(self.spark, folder)
+            return Registry(self.spark, folder)
+
+        return self.keep("registry", open_folder)
+
     def fitted(self, which: str, name: str):
-        task = self.delivery if which == "delivery" else self.churning
-        return self.keep(f"{which}/{name}", lambda: models.fit_all(task, [name])[name])
+        """A family at its fixed parameters, saved and loaded."""
+        task = self.task(which)
+        return self.keep(f"{which}/{name}", lambda: self.registry.load_or_fit(f"{which}/{name}", self._version, task, lambda: task.models[name].fit(task.train)))
+
+    @property
+    def chosen(self) -> search.Chosen:
+        """The search over all families of both tasks, done once."""
+        return self.keep("search", lambda: search.run(self.spark, {"delivery": self.delivery, "churn": self.churning}))
+
+    def every_model(self, which: str) -> dict:
+        """All families and the tuned ones, fitted side by side on all train rows."""
+        task, chosen = self.task(which), self.chosen
+        tuned = {f"{family} (tuned)": point for (name, family), point in chosen.best_points.items() if name == which}
+
+        def fit(label: str):
+            if label not in tuned:
+                return self.fitted(which, label)
+            family, point = label.removesuffix(" (tuned)"), tuned[label]
+            return self.registry.load_or_fit(f"{which}/{family} {point}", self._version, task, lambda: search.estimator(task, family, point).fit(task.train))
+
+        labels = [*task.models, *sorted(tuned)]
+        return self.keep(f"{which}/every", lambda: dict(zip(labels, search.side_by_side(self.spark, fit, labels), strict=True)))
 
     @property
     def base(self) -> DataFrame:
