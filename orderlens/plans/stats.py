@@ -6,9 +6,12 @@ needs, with the same null distribution:
 * a flag or a whole-number value has few distinct values, so a shuffle is a draw
   of value counts per group without replacement (multivariate hypergeometric);
   its cost does not grow with the rows;
-* a continuous value is shuffled in two steps: how many rows of each block go to
-  each group (hypergeometric again), then a shuffle inside the block for each
-  replicate. Rows never leave their block, but the work is rows x replicates.
+* a column of many values is counted first, and its distinct values are dealt into
+  blocks, the leaves of a tree. How many rows of a node go to each group is drawn
+  from the root down (hypergeometric again): a node sees the numbers of its own
+  branch only. In a leaf the rows of each value are drawn for each group; where
+  values hardly repeat, their few rows are shuffled, which is the same draw. The
+  work follows the distinct values, not the rows.
 """
 
 from __future__ import annotations
@@ -26,7 +29,9 @@ from orderlens.session import materialise
 SEED = 42
 BATCH = 100  # replicates per task
 GROUPS_PER_CHUNK = 2000
-ROWS_PER_BLOCK = 50_000
+VALUES_PER_BLOCK = 20_000
+FAN = 64  # children of a node
+REPEATS = 16  # rows for each value from which on counts are drawn instead of rows shuffled
 DRAWS_HELD = 500  # draws that a task holds before it hands them on
 _NUMPY_LIMIT = 10**9  # the library's bound on a hypergeometric population
 _lgamma = np.vectorize(math.lgamma, otypes=[float])
@@ -69,10 +74,10 @@ def _hyper_large(rng, good: np.ndarray, rest: np.ndarray, need: np.ndarray) -> n
     return out
 
 
-def _draw(rng, left: np.ndarray, n: int) -> np.ndarray:
+def _draw(rng, left: np.ndarray, n) -> np.ndarray:
     """For each row of ``left`` (replicates x values) the counts per value in a draw of
-    n without replacement."""
-    out, need, rest = np.zeros_like(left), np.full(len(left), int(n), dtype=np.int64), left.sum(axis=1)
+    n without replacement; n is one number or one for each row."""
+    out, need, rest = np.zeros_like(left), np.broadcast_to(np.asarray(n, np.int64), len(left)).copy(), left.sum(axis=1)
     for i in range(left.shape[1]):
         rest = rest - left[:, i]
         out[:, i] = _hyper(rng, left[:, i], rest, need)
@@ -187,36 +192,54 @@ def shuffle_few_values(cells: DataFrame, groups: DataFrame, tests: DataFrame, se
 
 
 # ------------------------------------------------ shuffles, many values
-def _block_draws(seed: int):
+DRAWS = "test string, batch int, node long, take array<long>, k int"
+
+
+def _child_draws(seed: int, level: int):
+    """What of a node's rows goes to each child, for all replicates of a batch."""
     def run(batches):
         for pdf in batches:
             rows = []
-            for test, batch, width, sizes, blocks, lengths in zip(pdf.test, pdf.batch, pdf.width, pdf.sizes, pdf.blocks, pdf.lengths):
-                rng = _rng(seed, test, int(batch), 7)
-                left = np.tile(np.asarray(sizes, dtype=np.int64), (int(width), 1))
-                for b, n in zip(blocks, lengths):
+            for test, batch, node, take, k, children, lengths in zip(pdf.test, pdf.batch, pdf.node, pdf["take"], pdf.k, pdf.children, pdf.lengths):
+                rng = _rng(seed, test, int(batch), 7, level, int(node))
+                left = np.asarray(take, dtype=np.int64).reshape(-1, int(k))
+                for child, n in zip(children, lengths):
                     d = _draw(rng, left, n)
                     left = left - d
-                    rows.append((test, int(batch), int(b), d.ravel(), d.shape[1]))
+                    rows.append((test, int(batch), int(child), d.ravel(), int(k)))
                     if len(rows) == DRAWS_HELD:
-                        yield pd.DataFrame(rows, columns=["test", "batch", "block", "take", "k"])
+                        yield pd.DataFrame(rows, columns=["test", "batch", "node", "take", "k"])
                         rows = []
-            yield pd.DataFrame(rows, columns=["test", "batch", "block", "take", "k"])
+            yield pd.DataFrame(rows, columns=["test", "batch", "node", "take", "k"])
 
     return run
 
 
+def group_sums(rng, y: np.ndarray, n: np.ndarray, take: np.ndarray) -> np.ndarray:
+    """(replicates x groups): sums of values that each group draws, values y of n rows each; ``take``: rows by group."""
+    if n.sum() <= REPEATS * len(y):
+        every = np.repeat(y, n)
+        ends = np.concatenate([np.zeros((len(take), 1), np.int64), np.cumsum(take, axis=1)], axis=1)
+        return np.stack([np.diff(np.concatenate([[0.0], np.cumsum(rng.permutation(every))])[e]) for e in ends])
+    left, sums = np.tile(n, (len(take), 1)), np.zeros(take.shape)
+    for i in range(take.shape[1] - 1):
+        d = _draw(rng, left, take[:, i])
+        left = left - d
+        sums[:, i] = d @ y
+    sums[:, -1] = left @ y
+    return sums
+
+
 def _block_sums(seed: int):
     def run(key, rows: pd.DataFrame, draws: pd.DataFrame) -> pd.DataFrame:
-        y, block = rows.sort_values("id").y.to_numpy(dtype=float), int(key[0])
+        rows, block = rows.sort_values("y"), int(key[0])
+        y, n = rows.y.to_numpy(dtype=float), rows.n.to_numpy(dtype=np.int64)
         parts = []
         for test, batch, take, k in zip(draws.test, draws.batch, draws["take"], draws.k):
-            rng = _rng(seed, test, int(batch), block + 1, 11)
-            for r, sizes in enumerate(np.asarray(take, dtype=np.int64).reshape(-1, int(k))):
-                ends = np.cumsum(sizes)
-                sums = np.diff(np.concatenate([[0.0], np.cumsum(rng.permutation(y))])[np.concatenate([[0], ends])])
-                parts.append(pd.DataFrame({"test": test, "rep": int(batch) * BATCH + r, "i": np.arange(int(k)), "s": sums}))
-        return pd.concat(parts)
+            sums = group_sums(_rng(seed, test, int(batch), block + 1, 11), y, n, np.asarray(take, dtype=np.int64).reshape(-1, int(k)))
+            reps, groups = np.indices(sums.shape)
+            parts.append(pd.DataFrame({"test": test, "rep": int(batch) * BATCH + reps.ravel(), "i": groups.ravel(), "s": sums.ravel()}))
+        return pd.concat(parts) if parts else pd.DataFrame({"test": [], "rep": [], "i": [], "s": []})
 
     return run
 
@@ -224,20 +247,27 @@ def _block_sums(seed: int):
 def shuffle_many_values(rows: DataFrame, groups: DataFrame, reps: int, seed: int = SEED) -> DataFrame:
     """(test, rep, i, s, n): sum of the shuffled y over group i of n rows.
 
-    ``rows`` (id, y), ``groups`` (test, g, n) with few groups per test."""
+    ``rows`` (y), ``groups`` (test, g, n) with few groups per test, which take all rows between them."""
     spark = rows.sparkSession
-    total = rows.select(F.count(F.lit(1))).scalar()
-    blocks_n = F.greatest(F.ceil(total / ROWS_PER_BLOCK), F.lit(1))
-    placed = materialise(rows.withColumn("block", F.pmod(F.xxhash64("id"), blocks_n).cast("int")))
-    lengths = placed.groupBy("block").agg(F.count(F.lit(1)).alias("n")).agg(F.sort_array(F.collect_list(F.struct("block", "n"))).alias("a"))
+    counted = materialise(rows.where("y is not null").groupBy("y").agg(F.count(F.lit(1)).alias("n")))
+    leaves, depth = -(-counted.count() // VALUES_PER_BLOCK), 0
+    while FAN**depth < leaves:
+        depth += 1
+    placed = counted.withColumn("node", F.pmod(F.xxhash64("y"), F.lit(max(1, leaves))))
+    lengths = materialise(placed.groupBy("node").agg(F.sum("n").alias("n")))
     sizes = groups.groupBy("test").agg(F.sort_array(F.collect_list(F.struct("g", "n"))).alias("a")).select("test", F.col("a.n").alias("sizes"))
-    setup = sizes.withColumn("l", lengths.scalar()).select("test", "sizes", F.col("l.block").alias("blocks"), F.col("l.n").alias("lengths"))
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    each = setup.withColumn("batch", F.explode(F.sequence(F.lit(0), F.lit((reps - 1) // BATCH)))).withColumn(
-        "width", F.least(F.lit(BATCH), F.lit(reps) - F.col("batch") * BATCH))
-    draws = each.repartition(width, "test", "batch").mapInPandas(_block_draws(seed), "test string, batch int, block int, take array<long>, k int")
-    sums = placed.groupBy("block").cogroup(draws.groupBy("block")).applyInPandas(
-        _block_sums(seed), "test string, rep int, i int, s double")
+    each = sizes.withColumn("batch", F.explode(F.sequence(F.lit(0), F.lit((reps - 1) // BATCH))))
+    in_batch = F.least(F.lit(BATCH), F.lit(reps) - F.col("batch") * BATCH)
+    draws = each.select("test", "batch", F.lit(0).cast("long").alias("node"), F.flatten(F.array_repeat("sizes", in_batch)).alias("take"), F.size("sizes").alias("k"))
+    for level in range(depth):
+        below = FAN ** (depth - level - 1)  # leaves under a child
+        sums = lengths.groupBy(F.floor(F.col("node") / below).alias("child")).agg(F.sum("n").alias("n"))
+        children = sums.groupBy(F.floor(F.col("child") / FAN).alias("node")).agg(F.sort_array(F.collect_list(F.struct("child", "n"))).alias("c"))  # at most FAN
+        at = draws.join(children.select("node", F.col("c.child").alias("children"), F.col("c.n").alias("lengths")), "node")
+        columns = ("test", "batch", "node", "take", "k", "children", "lengths")
+        draws = materialise(at.select(*columns).repartition(width, "test", "batch", "node").mapInPandas(_child_draws(seed, level), DRAWS))
+    sums = placed.groupBy("node").cogroup(draws.groupBy("node")).applyInPandas(_block_sums(seed), "test string, rep int, i int, s double")
     per = sums.groupBy("test", "rep", "i").agg(F.sum("s").alias("s"))
     number = sizes.select("test", F.posexplode("sizes").alias("i", "n"))
     return per.join(number, ["test", "i"])

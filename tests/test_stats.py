@@ -67,15 +67,45 @@ def test_mean_shuffles_by_counts_and_by_blocks_agree(spark):
     assert total[0] == pytest.approx(sum(y)) and total[1] == pytest.approx(sum(y))
 
 
-def test_block_shuffles_over_several_blocks(spark, monkeypatch):
-    monkeypatch.setattr(st, "ROWS_PER_BLOCK", 20)
+@pytest.mark.parametrize(("per_block", "fan"), [(20, 64), (5, 3)])  # one level, three levels
+def test_block_shuffles_over_several_blocks(spark, monkeypatch, per_block, fan):
+    monkeypatch.setattr(st, "VALUES_PER_BLOCK", per_block)
+    monkeypatch.setattr(st, "FAN", fan)
     rows = spark.createDataFrame([(i, float(i)) for i in range(100)], "id long, y double")
     groups = spark.createDataFrame([("t", "a", 30), ("t", "b", 70)], "test string, g string, n long")
-    got = [r.s for r in st.shuffle_many_values(rows, groups, 300).filter("i = 0").collect()]
-    assert np.mean(got) == pytest.approx(30 * 49.5, rel=0.05)
+    sums = st.shuffle_many_values(rows, groups, 300)
+    got = [r.s for r in sums.filter("i = 0").collect()]
+    assert len(got) == 300 and np.mean(got) == pytest.approx(30 * 49.5, rel=0.05)
     # deviation of the sum of 30 of 100 values drawn without replacement
     sd = np.sqrt(30 * 70 / 99 * np.var(np.arange(100)))
     assert np.std(got) == pytest.approx(sd, rel=0.2)
+    assert {round(r.s, 6) for r in sums.groupBy("rep").agg(F.sum("s").alias("s")).collect()} == {4950.0}
+
+
+def test_counts_and_rows_give_the_same_null():
+    """Repeated values by counts, and one by one in a plain shuffle: means and deviations within their own error."""
+    rng = np.random.default_rng(5)
+    y, n, sizes = np.array([1.0, 2.5, 4.0, 90.0]), np.array([400, 300, 250, 50]), np.array([200, 300, 500])
+    every = np.repeat(y, n)
+    plain = np.array([[p.sum() for p in np.split(rng.permutation(every), np.cumsum(sizes)[:-1])] for _ in range(3000)])
+    drawn = st.group_sums(rng, y, n, np.tile(sizes, (3000, 1)))
+    assert (drawn.sum(axis=1) == pytest.approx(every.sum()))
+    error = plain.std(axis=0) / np.sqrt(3000)
+    assert (np.abs(plain.mean(axis=0) - drawn.mean(axis=0)) < 5 * error).all()
+    assert drawn.std(axis=0) == pytest.approx(plain.std(axis=0), rel=0.06)
+    assert np.corrcoef(drawn.T)[0, 1] == pytest.approx(np.corrcoef(plain.T)[0, 1], abs=0.06)
+
+
+def test_work_follows_distinct_values_not_rows():
+    import time
+
+    def seconds(times):
+        start = time.process_time()
+        st.group_sums(np.random.default_rng(1), np.arange(300.0), np.full(300, 40 * times), np.tile([6000 * times, 6000 * times], (200, 1)))
+        return time.process_time() - start
+
+    seconds(1)
+    assert seconds(1000) < 4 * min(seconds(1) for _ in range(3)) + 0.2
 
 
 def test_large_populations_are_drawn(spark):
