@@ -10,7 +10,7 @@ from orderlens.plans import cleaning as cl
 from orderlens.plans import column_rules as cr
 from orderlens.plans import profile, quality
 from orderlens.plans import sqlbank as q
-from orderlens.session import new_folder, tune
+from orderlens.session import delete_at_end, new_folder, tune
 from orderlens.sources import files
 from orderlens.sources.sample import clean_tables, raw_tables
 
@@ -169,8 +169,9 @@ def _write_clean(s, d):
 def _bulk_load(s, d):
     folder, t = new_folder(s), _t(s, d)
     name = "load_" + folder.rsplit("/", 1)[1]
+    delete_at_end(s, folder)
     files.bulk_load(t, name, folder)
-    return _counts({n: s.table(f"{name}.{n}") for n in TABLES})
+    return _counts(files.open_database(s, name, folder))
 
 
 def file_jobs() -> dict:

@@ -75,6 +75,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return _file_system(spark, path).exists(_path(spark, path))
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file, there at once or not at all."""
+    _file_system(spark, path).createNewFile(_path(spark, path))
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names directly below a folder; none where it is not there."""
     return sorted(f.getPath().getName() for f in _file_system(spark, path).listStatus(_path(spark, path))) if exists(spark, path) else []
