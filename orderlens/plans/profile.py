@@ -8,20 +8,17 @@ from pyspark.sql import functions as F
 from orderlens.functions.dates import parse_mixed_dates
 from orderlens.functions.text import shape_of, to_number
 from orderlens.operators.cleaning import SRC
+from orderlens.operators.fingerprints import count_duplicates
 
 
 def profile_table(df: DataFrame, name: str) -> DataFrame:
-    """One row per column: rows, exact duplicates, NULLs. Equal rows are counted
-    first, so the duplicates and the NULLs come from one exchange."""
+    """One row per column: rows, exact duplicates, NULLs. NULLs are counted where the rows are; duplicates by fingerprints."""
     data = [c for c in df.columns if c != SRC]
-    rows = df.groupBy(*data).agg(F.count(F.lit(1)).alias("_n"))
-    entries = [
-        F.struct(F.lit(c).alias("column_name"), F.coalesce(F.sum(F.when(F.col(c).isNull(), F.col("_n"))), F.lit(0)).alias("nulls"))
-        for c in data
-    ]
-    one = rows.agg(F.sum("_n").alias("rows"), F.sum(F.col("_n") - 1).alias("duplicates"), F.array(*entries).alias("e"))
-    return one.select(F.lit(name).alias("table_name"), "rows", "duplicates", F.explode("e").alias("e")).select(
-        "table_name", "rows", "duplicates", "e.column_name", "e.nulls")
+    found = count_duplicates(df, data)
+    entries = [F.struct(F.lit(c).alias("column_name"), F.count_if(F.col(c).isNull()).alias("nulls")) for c in data]
+    nulls = df.agg(F.array(*entries).alias("e")).select(F.explode("e").alias("e")).select("e.*")
+    return nulls.select(
+        F.lit(name).alias("table_name"), found.select("rows").scalar().alias("rows"), found.select("duplicates").scalar().alias("duplicates"), "column_name", "nulls")
 
 
 def profile_tables(raw, names) -> DataFrame:

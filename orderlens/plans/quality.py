@@ -72,9 +72,11 @@ def _check(name: str, passed) -> Column:
     return F.struct(F.lit(name).alias("check_name"), passed.alias("passed"))
 
 
-def _key_entry(table: str) -> Column:
+def _key_unique(t, table: str) -> DataFrame:
+    """Keys are counted on their own, so that nothing but a key and its count is exchanged. A NULL key fails."""
     key = PRIMARY_KEYS[table]
-    return _check(f"{table}.{key} unique", F.count(F.lit(1)) == F.count_distinct(key))
+    per = t[table].groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return _explode(per, [_check(f"{table}.{key} unique", (F.coalesce(F.max("_n"), F.lit(0)) <= 1) & (F.count_if(F.col(key).isNull()) == 0))])
 
 
 def _range_entries(table: str) -> list[Column]:
@@ -82,7 +84,7 @@ def _range_entries(table: str) -> list[Column]:
 
 
 def pk_unique(t) -> DataFrame:
-    return _union([_explode(t[tab], [_key_entry(tab)]) for tab in PRIMARY_KEYS])
+    return _union([_key_unique(t, tab) for tab in PRIMARY_KEYS])
 
 
 def fk_resolve(t) -> DataFrame:
@@ -106,9 +108,8 @@ def ranges_hold(t) -> DataFrame:
 
 
 def validation_report(t) -> DataFrame:
-    """Keys and ranges share one scan per table, references one per child."""
-    own = [_explode(t[tab], [_key_entry(tab), *_range_entries(tab)]) for tab in PRIMARY_KEYS]
-    return _union([*own, fk_resolve(t)])
+    """Keys in an exchange of their own, ranges in an aggregate without rows to exchange, references one pass per child."""
+    return _union([pk_unique(t), ranges_hold(t), fk_resolve(t)])
 
 
 def ddl_constraints(t) -> DataFrame:

@@ -107,3 +107,18 @@ def test_selected_percentiles_of_an_empty_table(spark):
     got = selection.percentiles(spark.createDataFrame([], "g string, x double"), {"x": [0.5]}, [["g"], []])
     assert got.table(["g"], {"m": ("x", 0.5)}).count() == 0
     assert got.table([], {"m": ("x", 0.5)}).first()["m"] is None
+
+
+def test_duplicates_by_fingerprints_and_with_a_forced_collision(spark):
+    from orderlens.operators.fingerprints import count_duplicates
+
+    rows = [("a", None, 1), (None, "a", 1), ("a", None, 1), ("b", "c", 2), ("b", "c", 2), ("b", "c", 2), (None, None, None), (None, None, None), ("x", "y", 3)]
+    df = spark.createDataFrame(rows, "p string, q string, n int").repartition(3)
+    want = (len(rows), len(rows) - len(set(rows)))
+    assert tuple(count_duplicates(df, df.columns).first()) == want
+
+    def collide(columns):
+        return F.lit(7).cast("long"), F.lit(7).cast("long")
+
+    assert tuple(count_duplicates(df, df.columns, collide).first()) == want
+    assert tuple(count_duplicates(df.limit(0), df.columns).first()) == (0, 0)
