@@ -290,6 +290,33 @@ def test_quality_rejects_toxic_documents_and_keeps_clean_ones_beside_them(spark,
     assert not any(got[i].kept for i in range(600) if i % 7 == 1 and i % 5)
 
 
+def test_quality_matches_plain_version(spark, rng):
+    from pyspark.sql import functions as F
+
+    from tests.llm import plain_quality
+
+    docs = []
+    for i in range(160):
+        text = words(rng, rng.randrange(5, 60), 80)
+        if i % 4 == 1:
+            text = " ".join(f"{w.upper()}$$ {rng.randrange(99)}" for w in text.split())
+        if i % 6 == 2:
+            text += " " + " ".join(rng.choice(["vile", "slur", "hate"]) for _ in range(4))
+        docs.append((i, text))
+    docs += [(500, None), (501, ""), (502, docs[3][1]), (503, docs[3][1]), (504, "É ö 12 .;")]  # ties in the weight
+    labels = [(i, int(i % 4 != 1), int(i % 6 == 2)) for i in range(0, 120)] + [(3, 0, None), (500, 1, None), (501, None, 0), (502, None, None), (None, 1, 0)]
+    df = frame(spark, docs)
+    hashed = df.select("doc_id", ((F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 52)) + 0.5) / float(1 << 52)).alias("u")).collect()
+    want = {r[0]: r for r in plain_quality.resample(docs, labels, {r["doc_id"]: r["u"] for r in hashed})}
+    got = quality.resample(df, frame(spark, labels, "doc_id long, quality int, toxic int")).collect()
+    assert len(got) == len(docs) and 0 < sum(r["kept"] for r in got) < len(docs)
+    for r in got:
+        _, n, weight, draw, kept = want[r["doc_id"]]
+        assert (r["n_grams"], r["kept"]) == (n, kept)
+        assert r["log_weight"] == pytest.approx(weight, rel=1e-9, abs=1e-9)
+        assert r["draw"] == (draw if draw is None else pytest.approx(draw, rel=1e-9, abs=1e-9))
+
+
 def test_quality_without_labels_keeps_all(spark):
     none = frame(spark, [], "doc_id long, quality int, toxic int")
     docs = frame(spark, [(1, "a", 5), (1, "a", 6), (2, None, 7)], "doc_id long, text string, kept int")
