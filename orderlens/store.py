@@ -69,17 +69,18 @@ class Store:
         task = self.task(which)
         return self.keep(f"{which}/{name}", lambda: self.registry.load_or_fit(f"{which}/{name}", self._version, task, lambda: task.models[name].fit(task.train)))
 
-    def crossed(self, *which: str) -> search.Crossed:
+    def crossed(self, *which: str, ahead: int = 0) -> search.Crossed:
         """Cross-validation of all families of one task or both, done once for each task; new ones run side by side."""
         tasks = {w: self.task(w) for w in which if (f"cross/{w}") not in self._names()}
-        new = search.cross(self.spark, tasks) if tasks else None
-        found = {w: self.keep(f"cross/{w}", lambda w=w: search.Crossed({w: new.folded[w]}, [r for r in new.rows if r[0] == w])) for w in which}
-        return search.Crossed({w: c.folded[w] for w, c in found.items()}, [r for c in found.values() for r in c.rows])
+        new = search.cross(self.spark, tasks, ahead=ahead) if tasks else None
+        found = {w: self.keep(f"cross/{w}", lambda w=w: new.only(w)) for w in which}
+        return search.Crossed(
+            {w: c.folded[w] for w, c in found.items()}, [r for c in found.values() for r in c.rows], [r for c in found.values() for r in c.ahead])
 
     def searched(self, *which: str) -> search.Chosen:
         """The search over all families of one task or both, done once for each task; new ones run side by side."""
         tasks = {w: self.task(w) for w in which if (f"search/{w}") not in self._names()}
-        new = search.tune_best(self.spark, tasks, self.crossed(*tasks)) if tasks else None
+        new = search.tune_best(self.spark, tasks, self.crossed(*tasks, ahead=search.POINTS)) if tasks else None
         found = [
             self.keep(f"search/{w}", lambda w=w: search.Chosen(
                 new.results.where(F.col("task") == w), {k: p for k, p in new.best_points.items() if k[0] == w}, {w: new.means[w]}))
