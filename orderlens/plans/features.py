@@ -12,7 +12,7 @@ from orderlens.functions import haversine_km, is_completed, minute_of_day, rate,
 from orderlens.operators.blocks import ranks
 from orderlens.operators.cleaning import row_mean
 from orderlens.operators.selection import percentiles
-from orderlens.session import materialise
+from orderlens.session import materialise, side_by_side
 from orderlens.sources.sample import MOST_PAYMENTS
 
 #: rows of a dimension that may be sent to every executor (some 150 bytes each)
@@ -240,17 +240,28 @@ def order_base_table(t) -> DataFrame:
     matching row; their columns, the conditions and the flags come last, when no exchange of the orders follows. Joins
     match the same rows in either order."""
     orders = time_parts(t["orders"])
-    rest = materialise(restaurant_dim(t).withColumn("_rid", F.monotonically_increasing_id()))
-    part = materialise(partner_dim(t).withColumn("_pid", F.monotonically_increasing_id()))
-    people = customer_dim(t)
-    repeats = _repeats(people, "CustomerID")
+    spark = orders.sparkSession
+
+    def people_once() -> tuple[DataFrame, bool]:
+        people = customer_dim(t)
+        return people, _repeats(people, "CustomerID")
+
+    rest, part, (people, repeats) = side_by_side(spark, lambda build: build(), [
+        lambda: materialise(restaurant_dim(t).withColumn("_rid", F.monotonically_increasing_id())),
+        lambda: materialise(partner_dim(t).withColumn("_pid", F.monotonically_increasing_id())), people_once])
     placed = t["orders"].join(lookup(rest.select("RestaurantID", "RCity", "_rid")), "RestaurantID", "left").join(lookup(part.select("DeliveryPartnerID", "_pid")), "DeliveryPartnerID", "left")
     if repeats:  # a customer that repeats multiplies the orders, which the aggregates count
         placed = placed.join(people, "CustomerID", "left")
-    around = conditions(time_slots(time_parts(placed)), t).drop("n_orders")
-    stored = with_payment(with_basket(placed, t).join(feedback(t), "OrderID", "left"), t)  # read by three aggregates and the final join
+
+    def by_order() -> tuple[DataFrame, DataFrame]:
+        """Stored orders, read by three aggregates and the final join, and the totals of the restaurants."""
+        stored = with_payment(with_basket(placed, t).join(feedback(t), "OrderID", "left"), t)
+        d = time_parts(stored)
+        return stored, materialise(restaurant_feedback(d).join(restaurant_popularity(d), "RestaurantID", "left"))
+
+    # the conditions read the time and place of the orders alone: short jobs that need not wait for the long ones of the other
+    around, (stored, per) = side_by_side(spark, lambda build: build(), [lambda: conditions(time_slots(time_parts(placed)), t).drop("n_orders"), by_order])
     d = time_parts(stored)
-    per = materialise(restaurant_feedback(d).join(restaurant_popularity(d), "RestaurantID", "left"))
     per = per.select("RestaurantID", *[c for c in per.columns if c not in ("RestaurantID", "RestaurantAvgFeedback")], "RestaurantAvgFeedback")
     totals = customer_aggregates(d)
     who = totals if repeats else people.join(totals, "CustomerID", "full")
