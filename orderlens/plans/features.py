@@ -234,11 +234,36 @@ def _repeats(rows: DataFrame, key: str) -> bool:
     return not rows.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").isEmpty()
 
 
+class Lookup:
+    """A stored dimension. Rows that meet it are moved without it and meet it again where its columns are read: by its key, or,
+    where a key stands for several rows, by the number of the row they met first."""
+
+    def __init__(self, dim: DataFrame, key: str, number: str):
+        self.key, self.number = key, number
+        self.rows = materialise(dim.withColumn(number, F.monotonically_increasing_id()))
+        self.repeats = _repeats(self.rows, key)
+
+    def multiply(self, d: DataFrame) -> DataFrame:
+        """A row for each that the key stands for."""
+        return d.join(lookup(self.rows.select(self.key, self.number)), self.key, "left") if self.repeats else d
+
+    def meet(self, d: DataFrame, *columns: str) -> DataFrame:
+        """The named columns, or all, beside rows that were multiplied."""
+        by, other = (self.number, self.key) if self.repeats else (self.key, self.number)
+        return d.join(lookup(self.rows.select(by, *columns) if columns else self.rows.drop(other)), by, "left")
+
+
+def with_average(d: DataFrame) -> DataFrame:
+    """The mean of the ratings, behind them: computed anew where it is read, so that it need not be moved."""
+    ratings = ["CustomerRating", "DeliveryRating", "FoodRating"]
+    at = d.columns.index(ratings[-1]) + 1
+    return d.select(*d.columns[:at], row_mean(*[F.col(c) for c in ratings]).alias("AvgRating"), *d.columns[at:])
+
+
 def order_base_table(t) -> DataFrame:
     """Orders move twice, both times narrow: by their key, to meet basket, feedback and payment, and by their customer, to
-    meet the customer and the customer's totals. Restaurants and partners are joined by key first, as the number of the
-    matching row; their columns, the conditions and the flags come last, when no exchange of the orders follows. Joins
-    match the same rows in either order."""
+    meet the customer and the customer's totals. Restaurants, partners, the conditions and the flags come last, when no exchange
+    of the orders follows; before, their keys stand for them. Joins match the same rows in either order."""
     orders = time_parts(t["orders"])
     spark = orders.sparkSession
 
@@ -247,33 +272,31 @@ def order_base_table(t) -> DataFrame:
         return people, _repeats(people, "CustomerID")
 
     rest, part, (people, repeats) = side_by_side(spark, lambda build: build(), [
-        lambda: materialise(restaurant_dim(t).withColumn("_rid", F.monotonically_increasing_id())),
-        lambda: materialise(partner_dim(t).withColumn("_pid", F.monotonically_increasing_id())), people_once])
-    placed = t["orders"].join(lookup(rest.select("RestaurantID", "RCity", "_rid")), "RestaurantID", "left").join(lookup(part.select("DeliveryPartnerID", "_pid")), "DeliveryPartnerID", "left")
+        lambda: Lookup(restaurant_dim(t), "RestaurantID", "_rid"), lambda: Lookup(partner_dim(t), "DeliveryPartnerID", "_pid"), people_once])
+    placed = part.multiply(rest.multiply(t["orders"]))
     if repeats:  # a customer that repeats multiplies the orders, which the aggregates count
         placed = placed.join(people, "CustomerID", "left")
 
     def by_order() -> tuple[DataFrame, DataFrame]:
         """Stored orders, read by three aggregates and the final join, and the totals of the restaurants."""
-        stored = with_payment(with_basket(placed, t).join(feedback(t), "OrderID", "left"), t)
-        d = time_parts(stored)
+        stored = with_payment(with_basket(placed, t).join(feedback(t).drop("AvgRating"), "OrderID", "left"), t)
+        d = rest.meet(with_average(stored), "RCity")
         return stored, materialise(restaurant_feedback(d).join(restaurant_popularity(d), "RestaurantID", "left"))
 
     # the conditions read the time and place of the orders alone: short jobs that need not wait for the long ones of the other
-    around, (stored, per) = side_by_side(spark, lambda build: build(), [lambda: conditions(time_slots(time_parts(placed)), t).drop("n_orders"), by_order])
-    d = time_parts(stored)
+    around, (stored, per) = side_by_side(
+        spark, lambda build: build(), [lambda: conditions(time_slots(time_parts(rest.meet(placed, "RCity"))), t).drop("n_orders"), by_order])
+    d = time_parts(with_average(stored))
     per = per.select("RestaurantID", *[c for c in per.columns if c not in ("RestaurantID", "RestaurantAvgFeedback")], "RestaurantAvgFeedback")
     totals = customer_aggregates(d)
     who = totals if repeats else people.join(totals, "CustomerID", "full")
-    met = time_parts(stored.join(who.where("CustomerID is not null"), "CustomerID", "left"))
+    met = rest.meet(time_parts(with_average(stored.join(who.where("CustomerID is not null"), "CustomerID", "left"))))
     slot = around.withColumnsRenamed({k: f"_{k}" for k in ("RCity", "OrderDate", "order_min")})
     same = [met[k].eqNullSafe(F.col(f"_{k}")) for k in ("RCity", "OrderDate", "order_min")]
     met = met.join(slot, reduce(lambda a, b: a & b, same), "left").drop("_RCity", "_OrderDate", "_order_min")
-    out = order_flags(
-        met.join(lookup(rest.drop("RestaurantID", "RCity")), "_rid", "left")
-        .join(lookup(part.drop("DeliveryPartnerID")), "_pid", "left").join(lookup(per), "RestaurantID", "left"))
+    out = order_flags(part.meet(met).join(lookup(per), "RestaurantID", "left"))
     keys = ["RestaurantID", "CustomerID", "OrderID", "DeliveryPartnerID"]
-    first = [*keys, *orders.columns, *rest.columns, *people.columns, *part.columns, *around.columns, *d.columns]
+    first = [*keys, *orders.columns, *rest.rows.columns, *people.columns, *part.rows.columns, *around.columns, *d.columns]
     last = [c for c in (*totals.columns, *per.columns) if c not in keys]
     flags = [c for c in out.columns if c not in {*first, *last}]
     return out.select([c for c in dict.fromkeys([*first, *flags, *last]) if c not in ("_rid", "_pid")])

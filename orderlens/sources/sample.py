@@ -14,7 +14,7 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orderlens.session import input_version, materialise
+from orderlens.session import DENSE, input_version, materialise
 
 PHYSICAL = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -359,6 +359,17 @@ def payment_states(payments: DataFrame) -> DataFrame:
     return best.select("OrderID", F.element_at(F.array(*[F.lit(x) for x in STATUSES]), F.col("_k") + 1).alias("PaymentStatus"), "_payments")
 
 
+def late_orders(physical: dict[str, str]) -> str:
+    """The text of ``t_orders_all`` with the columns computed behind its join: what they are computed from is narrower to move."""
+    text = definitions("spark")["t_orders_all"]
+    for here, there in (
+        ("LEFT JOIN t_lines l ON l.l_orderkey = o.OrderID", ""), ("l.first_", "o.first_"), ("(SELECT o_orderkey", "(SELECT first_supp, first_ship, o_orderkey"),
+        ("FROM {orders}) o", "FROM {orders} LEFT JOIN t_lines ON l_orderkey = o_orderkey) o"),
+    ):
+        text = text.replace(here, there)
+    return text.format(**physical)
+
+
 _layer: dict[tuple[str, ...], DataFrame] = {}
 
 
@@ -377,9 +388,10 @@ class SampleTables:
         return self.spark.sql(with_tables(f"SELECT * FROM {self.prefix}{name}", "spark", self.physical, self._stored_orders(name)))
 
     def _stored_orders(self, name: str) -> dict[str, str]:
-        """Stored orders are read where a table is made of them, not put together again."""
+        """Stored orders are read where a table is made of them, not put together again; where they are, little of them is moved."""
         orders = _layer.get((*self._key(name)[:3], "t_orders"))
-        return {} if orders is None or self.prefix + name == "t_orders" else {"t_orders": f"SELECT * FROM parquet.`{orders.stored_at}`"}
+        late = {"t_orders_all": late_orders(self.physical)}
+        return late if orders is None or self.prefix + name == "t_orders" else late | {"t_orders": f"SELECT * FROM parquet.`{orders.stored_at}`"}
 
     def payment_states(self) -> DataFrame:
         return payment_states(self.build("payments_all"))
@@ -394,7 +406,7 @@ class SampleTables:
     def __getitem__(self, name: str) -> DataFrame:
         key = self._key(name)
         if key not in _layer:
-            _layer[key] = materialise(self.build(name))
+            _layer[key] = materialise(self.build(name), codec=DENSE)
         return _layer[key]
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from orderlens.ml import models, search
 from orderlens.ml.registry import Registry
 from orderlens.plans import features, star
-from orderlens.session import cut_lineage, delete_at_end, input_version, materialise, new_folder, parts_for, tune
+from orderlens.session import cut_lineage, delete_at_end, dense, input_version, materialise, new_folder, parts_for, tune
 from orderlens.sources.sample import SampleTables, clean_tables
 
 _stored: dict[tuple[str, ...], DataFrame] = {}
@@ -118,7 +118,7 @@ class Store:
 
     @property
     def base(self) -> DataFrame:
-        with parts_for(self.spark, self.t["orders"].count()):
+        with parts_for(self.spark, self.t["orders"].count()), dense(self.spark):
             return self._once("order_base", lambda: features.order_base_table(self.t))
 
     @property
