@@ -14,6 +14,7 @@ from orderlens.constants import FUZZY_CUTOFF, PAYMENT_RANK
 from orderlens.functions.dates import parse_mixed_dates, pick_closer
 from orderlens.functions.text import city_alias, clean_text
 from orderlens.operators.blocks import percentiles, running, sort_blocks
+from orderlens.operators.joins import beside
 
 SRC = "SourceRow"
 
@@ -213,17 +214,17 @@ def first_payment_dates(raw_payments: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------- keys
 def mark_known(df: DataFrame, key: str, parent: DataFrame, flag: str, parent_key: str | None = None) -> DataFrame:
-    """Add a boolean column: does the key exist in the parent?"""
+    """Add a boolean column: does the key exist in the parent? ``parent`` is stored, or small: its rows are counted."""
     p = parent.select(F.col(parent_key or key).alias("_pk")).filter("_pk is not null").distinct().withColumn("_hit", F.lit(True))
     return (
-        df.join(p, F.col(key) == F.col("_pk"), "left")
+        df.join(beside(parent, p), F.col(key) == F.col("_pk"), "left")
         .withColumn(flag, F.coalesce("_hit", F.lit(False))).drop("_pk", "_hit")
     )
 
 
 def drop_orphans(df: DataFrame, *parents: tuple[str, DataFrame]) -> DataFrame:
     for key, parent in parents:
-        df = df.join(parent.select(key), key, "left_semi")
+        df = df.join(beside(parent, parent.select(key)), key, "left_semi")
     return df
 
 

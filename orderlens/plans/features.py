@@ -11,12 +11,11 @@ from orderlens.constants import CANCELLED, CHURN_HORIZON_DAYS, LATE, TRAFFIC_SCO
 from orderlens.functions import haversine_km, is_completed, minute_of_day, rate, ratio
 from orderlens.operators.blocks import ranks
 from orderlens.operators.cleaning import row_mean
+from orderlens.operators.joins import beside, lookup
 from orderlens.operators.selection import percentiles
 from orderlens.session import materialise, side_by_side
 from orderlens.sources.sample import MOST_PAYMENTS
 
-#: rows of a dimension that may be sent to every executor (some 150 bytes each)
-LOOKUP_ROWS = 500_000
 READINGS = ("Rainfall", "Temperature", "Humidity", "TrafficScore", "AverageSpeed")
 
 
@@ -225,11 +224,6 @@ def restaurant_feedback(d: DataFrame) -> DataFrame:
     return d.groupBy("RestaurantID").agg(F.avg("AvgRating").alias("RestaurantAvgFeedback"))
 
 
-def lookup(dim: DataFrame) -> DataFrame:
-    """A stored dimension for a join: sent to the rows while it has few rows itself, so that the rows need not move."""
-    return F.broadcast(dim) if dim.count() <= LOOKUP_ROWS else dim
-
-
 def _repeats(rows: DataFrame, key: str) -> bool:
     return not rows.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").isEmpty()
 
@@ -275,7 +269,7 @@ def order_base_table(t) -> DataFrame:
         lambda: Lookup(restaurant_dim(t), "RestaurantID", "_rid"), lambda: Lookup(partner_dim(t), "DeliveryPartnerID", "_pid"), people_once])
     placed = part.multiply(rest.multiply(t["orders"]))
     if repeats:  # a customer that repeats multiplies the orders, which the aggregates count
-        placed = placed.join(people, "CustomerID", "left")
+        placed = placed.join(beside(people), "CustomerID", "left")
 
     def by_order() -> tuple[DataFrame, DataFrame]:
         """Stored orders, read by three aggregates and the final join, and the totals of the restaurants."""
@@ -339,7 +333,7 @@ def churn_table(base: DataFrame, t, horizon_days: int = CHURN_HORIZON_DAYS, cuto
     medians = percentiles(f, {"AvgRating": [0.5], "AvgDeliveryTime": [0.5]}, [[]])
     fills = {c: medians.scalar(c, 0.5) for c in ("AvgRating", "AvgDeliveryTime")}
     return (
-        f.join(people, "CustomerID", "left")
+        f.join(beside(people), "CustomerID", "left")
         .withColumns({c: F.coalesce(F.col(c), m) for c, m in fills.items()})
         .withColumn("Tenure", F.datediff("_at", "RegistrationDate"))
         .select("CustomerID", "Recency", "Frequency", "Monetary", "AvgOrderValue", "CancelRate", "LateRate", "CouponRate",

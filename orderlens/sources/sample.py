@@ -391,6 +391,8 @@ class SampleTables:
         """Stored orders are read where a table is made of them, not put together again; where they are, little of them is moved."""
         orders = _layer.get((*self._key(name)[:3], "t_orders"))
         late = {"t_orders_all": late_orders(self.physical)}
+        if name == "customers":  # by the product of their bytes nations and regions are large, and the customers would be sent to them
+            late["t_nations"] = f"SELECT * FROM parquet.`{clean_tables(self.spark, self.sf_dir)['nations'].stored_at}`"
         return late if orders is None or self.prefix + name == "t_orders" else late | {"t_orders": f"SELECT * FROM parquet.`{orders.stored_at}`"}
 
     def payment_states(self) -> DataFrame:
