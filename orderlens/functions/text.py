@@ -18,9 +18,13 @@ def clean_text(c: Column) -> Column:
     return F.when(~s.isin("", "nan", "NaN", "None"), s)
 
 
+#: all characters that are white space to Unicode, as in (?U)\s
+WHITE = "".join(map(chr, (*range(0x9, 0xE), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+
+
 def strip(c: Column) -> Column:
-    """Without white space of any kind at both ends."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    """Without white space of any kind at both ends. Numbers and dates are stripped several times a row: no pattern is matched."""
+    return F.btrim(c, F.lit(WHITE))
 
 
 def to_number(c: Column) -> Column:

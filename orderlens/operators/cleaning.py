@@ -27,11 +27,11 @@ def dedupe_rows(df: DataFrame, src: str = SRC) -> DataFrame:
     return df.groupBy(*data).agg(F.min(src).alias(src), (F.count(F.lit(1)) - 1).alias("copies"))
 
 
-def dedupe_key(df: DataFrame, key: list[str], order=SRC, count: str | None = None, sums: tuple = ()) -> DataFrame:
+def dedupe_key(df: DataFrame, key: list[str], order=SRC, count: str | None = None, sums: tuple = (), without: tuple = ()) -> DataFrame:
     """The first row per key by ``order``. A mergeable aggregate, so the copies of a
-    hot key are reduced before the exchange."""
+    hot key are reduced before the exchange. Columns named in ``without`` are not moved."""
     order_col = order if isinstance(order, Column) else F.col(order)
-    rest = [c for c in df.columns if c not in key and c not in sums]
+    rest = [c for c in df.columns if c not in key and c not in sums and c not in without]
     aggs = [F.min_by(F.struct(*rest), order_col).alias("_r")]
     aggs += [F.sum(c).alias(c) for c in sums]
     if count:
@@ -40,14 +40,14 @@ def dedupe_key(df: DataFrame, key: list[str], order=SRC, count: str | None = Non
     return df.groupBy(*key).agg(*aggs).select(*key, *[F.col(f"_r.{c}").alias(c) for c in rest], *extra)
 
 
-def best_status_row(payments: DataFrame, count: str | None = None, sums: tuple = ()) -> DataFrame:
+def best_status_row(payments: DataFrame, count: str | None = None, sums: tuple = (), without: tuple = ()) -> DataFrame:
     """One payment per order: best status, then the highest PaymentID."""
     rank = reduce(
         lambda acc, kv: acc.when(F.col("PaymentStatus") == kv[0], kv[1]),
         list(PAYMENT_RANK.items())[1:],
         F.when(F.col("PaymentStatus") == "Success", 0),
     ).otherwise(4)
-    return dedupe_key(payments, ["OrderID"], F.struct(rank, -F.col("PaymentID")), count, sums)
+    return dedupe_key(payments, ["OrderID"], F.struct(rank, -F.col("PaymentID")), count, sums, without)
 
 
 # ------------------------------------------------------------- city names

@@ -13,11 +13,13 @@ from orderlens.functions.dates import parse_mixed_dates
 from orderlens.functions.text import clean_text, digits_or_null, title_case, to_number, truncate_time, upper_code
 from orderlens.operators import cleaning as op
 from orderlens.operators import selection
+from orderlens.session import DENSE, materialise
 
 
 class Job:
-    def __init__(self, table: str, df: DataFrame):
-        self.table, self.df = table, df
+    def __init__(self, table: str, df: DataFrame, unread: tuple[str, ...] = ()):
+        """``unread``: columns that nothing reads behind the search for repeated keys."""
+        self.table, self.df, self.unread = table, df, unread
         self.rules: list[tuple[str, str, str]] = []
         self.dropped: list[str] = []
 
@@ -72,10 +74,14 @@ class Job:
         self.note("city spelling", "City", "canonical name", F.coalesce(F.col("City"), F.lit("")) != F.col("_before"))
         self.df = self.df.drop("_before")
 
+    def one(self, df: DataFrame, first, sums: tuple = ()) -> None:
+        """One row of each key, by ``first``. Places, and columns that are not read behind it, are not moved; the latter are NULL."""
+        gone = {c: F.lit(None).cast(df.schema[c].dataType) for c in self.unread}
+        self.df = first(df, count="_extra", sums=sums, without=(op.SRC, *gone)).withColumns(gone)
+
     def unique(self, key: str, exact: bool = False) -> None:
         df = op.dedupe_rows(self.df) if exact else self.df
-        df = op.dedupe_key(df, [key], count="_extra", sums=("copies",) if exact else ())
-        self.df = df
+        self.one(df, lambda d, **how: op.dedupe_key(d, [key], **how), ("copies",) if exact else ())
         if exact:
             self.note("duplicate rows", "all", "dropped copies", F.col("copies"))
         self.note("duplicate rows", key, "kept the first", F.col("_extra"))
@@ -138,6 +144,14 @@ INTEGERS = {
 }
 
 
+# columns that no rule of the log reads once the copies of a key are told apart
+UNREAD = {
+    "customers": ("Name", "TotalOrders"), "menu": ("FoodName", "PreparationTime", "Availability"),
+    "orders": ("OrderTime", "DeliveryFee", "Discount", "GST", "OrderStatus", "PaymentMethod"), "order_items": ("UnitPrice",),
+    "payments": ("PaymentID", "PaymentMethod", "PaymentStatus", "PaymentDate"), "customer_feedback": ("FeedbackID", "Sentiment"),
+}
+
+
 def whole_numbers(table: str, df: DataFrame) -> DataFrame:
     ints = INTEGERS[table]
     return df.select(*[F.bround(F.col(c)).cast("long").alias(c) if c in ints else F.col(c) for c in df.columns])
@@ -146,11 +160,17 @@ def whole_numbers(table: str, df: DataFrame) -> DataFrame:
 class Cleaner:
     """Builds the jobs in key order; ``raw`` maps a table name to an all-text
     DataFrame with its SourceRow. Nothing runs before a table or log is used,
-    except the statistics that need ordered blocks."""
+    except the statistics that need ordered blocks and the keys of orders and
+    menu, which several jobs look up."""
 
     def __init__(self, raw):
         self.raw = raw
         self._jobs: dict[str, Job] = {}
+        self._keys: dict[str, DataFrame] = {}
+
+    def counted(self, table: str) -> Job:
+        """The job as its log needs it: rows meet their copies without the columns that no rule reads."""
+        return getattr(self, f"_{table}")(UNREAD[table]) if table in UNREAD else self.job(table)
 
     def job(self, table: str) -> Job:
         if table not in self._jobs:
@@ -162,7 +182,13 @@ class Cleaner:
 
     def keys(self, table: str) -> DataFrame:
         """The keys that survive in a parent table, from its raw keys alone: a child
-        job never needs the parent's cleaned values."""
+        job never needs the parent's cleaned values. Stored where finding them moves rows."""
+        if table not in self._keys:
+            found = self._surviving(table)
+            self._keys[table] = materialise(found, codec=DENSE) if table in ("menu", "orders") else found
+        return self._keys[table]
+
+    def _surviving(self, table: str) -> DataFrame:
         if table == "cities":
             return self.raw["cities"].select(title_case(clean_text(F.col("City"))).alias("City"))
         if table == "promotions":
@@ -180,14 +206,14 @@ class Cleaner:
         return op.drop_orphans(typed, *[(c, self.keys(t)) for c, t in links]).select(key)
 
     def log(self, tables=None) -> DataFrame:
-        parts = [self.job(t).log() for t in tables or COLUMNS]
+        parts = [self.counted(t).log() for t in tables or COLUMNS]
         out = parts[0]
         for p in parts[1:]:
             out = out.unionByName(p)
         return out
 
-    def _start(self, table: str) -> Job:
-        return Job(table, self.raw[table])
+    def _start(self, table: str, unread: tuple[str, ...] = ()) -> Job:
+        return Job(table, self.raw[table], unread)
 
     def _cities(self) -> Job:
         j = self._start("cities")
@@ -198,8 +224,8 @@ class Cleaner:
         j.df = op.impute_group_median(j.df, "AverageIncome", "Region", bounded=True)  # one row per city
         return j
 
-    def _customers(self) -> Job:
-        j = self._start("customers")
+    def _customers(self, unread: tuple[str, ...] = ()) -> Job:
+        j = self._start("customers", unread)
         j.unique("CustomerID", exact=True)
         j.text("Name", "Email", "Gender", "State", "Membership", "PreferredCuisine")
         j.ids("CustomerID")
@@ -236,8 +262,8 @@ class Cleaner:
         j.city(self.keys("cities"))
         return j
 
-    def _menu(self) -> Job:
-        j = self._start("menu")
+    def _menu(self, unread: tuple[str, ...] = ()) -> Job:
+        j = self._start("menu", unread)
         j.unique("FoodItemID")
         j.ids("FoodItemID", "RestaurantID")
         j.number("Price", "PreparationTime", "Calories")
@@ -315,8 +341,8 @@ class Cleaner:
         j.city(self.keys("cities"))
         return j
 
-    def _orders(self) -> Job:
-        j = self._start("orders")
+    def _orders(self, unread: tuple[str, ...] = ()) -> Job:
+        j = self._start("orders", unread)
         j.unique("OrderID", exact=True)
         j.ids("OrderID", "CustomerID", "RestaurantID", "DeliveryPartnerID")
         j.number("DeliveryTimeMinutes", "FoodCost", "DeliveryFee", "Discount", "GST", "FinalAmount")
@@ -343,8 +369,8 @@ class Cleaner:
         j.set(CouponCode=F.when(F.col("_coupon"), F.col("CouponCode")))
         return j
 
-    def _order_items(self) -> Job:
-        j = self._start("order_items")
+    def _order_items(self, unread: tuple[str, ...] = ()) -> Job:
+        j = self._start("order_items", unread)
         j.unique("OrderItemID")
         j.ids("OrderItemID", "OrderID", "FoodItemID")
         j.number("Quantity", "UnitPrice", "TotalPrice")
@@ -354,14 +380,16 @@ class Cleaner:
         j.known("OrderID,FoodItemID", ("OrderID", self.keys("orders")), ("FoodItemID", self.keys("menu")))
         return j
 
-    def _payments(self) -> Job:
-        j = self._start("payments")
+    def _payments(self, unread: tuple[str, ...] = ()) -> Job:
+        j = self._start("payments", unread)
         j.df = op.dedupe_rows(j.df)
         j.ids("PaymentID", "OrderID")
-        j.text("PaymentMethod", "PaymentStatus", "TransactionID")
-        j.set(PaymentDate=parse_mixed_dates(F.col("PaymentDate"))["parsed"])
+        j.text("PaymentStatus")
         j.set(parsed=F.lit(1))
-        j.df = op.best_status_row(j.df, count="_extra", sums=("copies", "parsed"))
+        j.one(j.df, op.best_status_row, ("copies", "parsed"))
+        # the columns that do not choose the row are read in the chosen ones alone
+        j.text("PaymentMethod", "TransactionID")
+        j.set(PaymentDate=parse_mixed_dates(F.col("PaymentDate"))["parsed"])
         j.note("duplicate rows", "all", "dropped copies", F.col("copies"))
         j.note("mixed date formats", "PaymentDate", "parsed", F.col("parsed"))
         j.note("multiple payments per order", "OrderID", "kept the best status", F.col("_extra"))
@@ -369,8 +397,8 @@ class Cleaner:
         j.known("OrderID", ("OrderID", self.keys("orders")))
         return j
 
-    def _customer_feedback(self) -> Job:
-        j = self._start("customer_feedback")
+    def _customer_feedback(self, unread: tuple[str, ...] = ()) -> Job:
+        j = self._start("customer_feedback", unread)
         j.unique("OrderID", exact=True)
         j.ids("FeedbackID", "OrderID")
         ratings = ["CustomerRating", "DeliveryRating", "FoodRating"]

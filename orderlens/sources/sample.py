@@ -370,6 +370,7 @@ def late_orders(physical: dict[str, str]) -> str:
     return text.format(**physical)
 
 
+LINES, NUMBERED = "t_items_raw", ("t_order_items", "r_order_items", "r_payments")
 _layer: dict[tuple[str, ...], DataFrame] = {}
 
 
@@ -393,6 +394,8 @@ class SampleTables:
         late = {"t_orders_all": late_orders(self.physical)}
         if name == "customers":  # by the product of their bytes nations and regions are large, and the customers would be sent to them
             late["t_nations"] = f"SELECT * FROM parquet.`{clean_tables(self.spark, self.sf_dir)['nations'].stored_at}`"
+        if (lines := _layer.get((*self._key(name)[:3], LINES))) is not None and name != "payments_all":
+            late[LINES] = f"SELECT * FROM parquet.`{lines.stored_at}`"
         return late if orders is None or self.prefix + name == "t_orders" else late | {"t_orders": f"SELECT * FROM parquet.`{orders.stored_at}`"}
 
     def payment_states(self) -> DataFrame:
@@ -405,9 +408,18 @@ class SampleTables:
     def _key(self, name: str) -> tuple[str, ...]:
         return self.spark.sparkContext.applicationId, self.sf_dir, self.version, self.prefix + name
 
+    def _number_lines(self) -> None:
+        """Numbered lines are sorted within their order: once for all tables that show the number."""
+        key = (*self._key("")[:3], LINES)
+        if key not in _layer:
+            text = with_tables(f"SELECT * FROM {LINES}", "spark", self.physical)
+            _layer[key] = materialise(self.spark.sql(text), codec=DENSE)
+
     def __getitem__(self, name: str) -> DataFrame:
         key = self._key(name)
         if key not in _layer:
+            if key[3] in NUMBERED:
+                self._number_lines()
             _layer[key] = materialise(self.build(name), codec=DENSE)
         return _layer[key]
 
